@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pairquarry.llm import bpe, chat, exact_dedup, mixing, simhash, token_counts, topk
+from pairquarry.llm import bpe, chat, exact_dedup, mixing, simhash, token_counts, topk, toxicity, wrappers
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op2_chat_formatting": chat.op2_chat_formatting,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_html_extraction": wrappers.op7_html_extraction,
     "op9_exact_topk": topk.op9_exact_topk,
     "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
 }
