@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairquarry.llm import bpe, chat, exact_dedup, mixing, simhash, token_counts, topk, toxicity, wrappers
+from pairquarry.llm import bpe, chat, exact_dedup, mixing, simhash, substrings, token_counts, topk, toxicity, wrappers
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_html_extraction": wrappers.op7_html_extraction,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_exact_topk": topk.op9_exact_topk,
     "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
 }

@@ -221,7 +221,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
     kernel = Kernel(landmarks)
     # Words weigh as their share of their documents, both classes alike; a toxic class's own words get their disguises.
     # Words of a single document say nothing about a class, once documents are many.
-    least = 2 if len(texts) > 500 else 1
+    least = 2 if len(texts) > 200 else 1
     types = sorted(w for w in {*share[0], *share[1]} if seen[0][w] + seen[1][w] >= least)
     pos, neg = np.array([share[1][w] for w in types]) / toxic, np.array([share[0][w] for w in types]) / clean
     hidden = [(v, max(lift[w], 0)) for w in ranked[:LANDMARKS] for v in disguised(w)]
