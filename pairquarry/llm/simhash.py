@@ -31,6 +31,12 @@ BITS = 64
 SEED = 42
 PIVOTS = 48
 GROUP_ROWS = 512
+#: Bins of a min-hash sketch, and bands of rows among them that are keys.
+BINS, BANDS, ROWS = 256, 24, 4
+#: The share of equal minima errs by about this much; pairs that fall short by it still count as similar.
+SLACK = 0.02
+#: Bits by which fingerprints of similar texts may differ, and documents of a key in one chunk.
+SIMILAR_RADIUS, CHUNK = 24, 1024
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -153,6 +159,133 @@ def near_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, pivots: int =
     return small.unionByName(large).distinct()
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One-permutation min-hash: of the shingles whose hash starts with byte i, the least; 0 where there is none."""
+    out = np.zeros(BINS, np.uint64)
+    ordered = np.unique(hashes)
+    bins = (ordered >> np.uint64(56)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, bins[1:] != bins[:-1])) if len(ordered) else np.zeros(0, np.int64)
+    out[bins[first]] = ordered[first] | np.uint64(1)
+    return out
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each band of ROWS bins; an empty bin takes the next one that isn't."""
+    filled = np.flatnonzero(least)
+    if not len(filled):
+        return np.zeros(0, np.uint64)
+    dense = least[filled[np.searchsorted(filled, np.arange(BANDS * ROWS)) % len(filled)]].reshape(BANDS, ROWS)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(ROWS):
+            keys = (keys ^ (dense[:, i] >> np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15)
+            keys ^= keys >> np.uint64(29)
+    return keys
+
+
+def similarity_sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, fp, mins, keys): fingerprint, a byte of each bin's least hash with a bit map of the bins filled, band keys."""
+    chosen = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            fps, mins, keys = [], [], []
+            for text in batch.column(1):
+                hashes = shingle_hashes(text.as_py(), shingle)
+                least = sketch(hashes)
+                fps.append(fingerprint(hashes))
+                mins.append(((least >> np.uint64(8)) & np.uint64(255)).astype(np.uint8).tobytes() + np.packbits(least > 0).tobytes())
+                keys.append(band_keys(least).view(np.int64))
+            ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
+            flat = pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(mins, pa.binary()), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "fp", "mins", "keys"]
+            )
+
+    return chosen.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long, mins binary, keys array<long>")
+
+
+def similar_pairs(fps: np.ndarray, mins: np.ndarray, filled: np.ndarray, table: np.ndarray, side: np.ndarray, similarity: float, radius: int) -> list[tuple[int, int]]:
+    """Pairs of a forest over all pairs that are similar enough. side: 0 and 1 are compared with each other, or 0 only."""
+    other = np.flatnonzero(side == 1)
+    pairs = []
+    for i in np.flatnonzero(side == 0).tolist():
+        j = other if len(other) else np.arange(i + 1, len(fps))
+        for p in range(0, table.shape[1], 8):  # the pivot table, a few coordinates at a time
+            j = j[(np.abs(table[j, p : p + 8] - table[i, p : p + 8]) <= radius).all(axis=1)]
+        j = j[np.bitwise_count(fps[j] ^ fps[i]) <= radius]
+        if len(j):
+            both, any_ = filled[j] & filled[i], filled[j] | filled[i]
+            equal = ((mins[j] == mins[i]) & both).sum(axis=1)
+            pairs += [(i, k) for k in j[equal >= (similarity - SLACK) * any_.sum(axis=1)].tolist()]
+    return forest(len(fps), pairs)
+
+
+def similar_links(sketches: DataFrame, similarity: float, radius: int, chunk: int = CHUNK) -> DataFrame:
+    """(a, b) links between all documents that share a band key and are similar enough.
+
+    A key's documents are compared in pairs of chunks, so no task gets more than two chunks of a key.
+    """
+    kind = sketches.schema["doc_id"].dataType.simpleString()
+    keyed = sketches.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
+    sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "similar-sizes")
+    shared = materialize(keyed.join(sizes, "key"), "similar-shared")
+    rows = sketches.drop("keys").join(shared, "doc_id")
+    chunks = F.ceil(F.col("n") / chunk).cast("int")
+    own = F.pmod(F.xxhash64("doc_id", "key"), chunks).cast("int")
+    spread = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    blocks = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "doc_id", "fp", "mins")
+    dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches):
+        held, pivots = None, pivot_fingerprints(PIVOTS)
+        for batch in batches:
+            frame = batch.to_pandas()
+            held = frame if held is None or not len(held) else pd.concat([held, frame], ignore_index=True)
+            last = held[["key", "i", "j"]].iloc[-1]
+            open_ = ((held["key"] == last["key"]) & (held["i"] == last["i"]) & (held["j"] == last["j"])).to_numpy()
+            yield linked(held[~open_], pivots)
+            held = held[open_]
+        if held is not None and len(held):
+            yield linked(held, pivots)
+
+    def linked(frame: pd.DataFrame, pivots: np.ndarray) -> pa.RecordBatch:
+        a, b = [], []
+        if len(frame):
+            fps = frame["fp"].to_numpy().view(np.uint64)
+            raw = np.frombuffer(b"".join(frame["mins"]), np.uint8).reshape(len(frame), -1)
+            mins, filled = raw[:, :BINS], np.unpackbits(raw[:, BINS:], axis=1).astype(bool)
+            table, side, ids = pivot_table(fps, pivots), frame["side"].to_numpy(), frame["doc_id"].to_numpy()
+            group = frame[["key", "i", "j"]].to_numpy()
+            edge = np.flatnonzero(np.append(True, (group[1:] != group[:-1]).any(axis=1)))
+            for x, y in zip(edge.tolist(), [*edge[1:].tolist(), len(frame)], strict=True):
+                for m, n in similar_pairs(fps[x:y], mins[x:y], filled[x:y], table[x:y], side[x:y], similarity, radius):
+                    a.append(ids[x + m])
+                    b.append(ids[x + n])
+        return pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=frame["doc_id"].dtype), "b": pd.Series(b, dtype=frame["doc_id"].dtype)}), preserve_index=False)
+
+    return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def similar_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS) -> DataFrame:
+    """(doc_id, component_id) of every document that is linked to another of at least the similarity, by the Jaccard
+    index of their shingles.
+
+    At 0.8 fingerprints differ by 10 to 18 of 64 bits, more than bit blocks can key; so groups come from bands of
+    min-hashes of the same shingles, the pivot table discards pairs of a group beyond the radius, and the survivors are
+    verified by the share of equal minima of 256. Documents without words are similar to none.
+    """
+    sketches = materialize(similarity_sketches(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle), "sketches")
+    return connected_components(similar_links(sketches, similarity, radius)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs with one document, that with the smallest id, of each group of near copies; all columns stay."""
+    found = similar_duplicates(docs, id_col, text_col, shingle, similarity)
+    extra = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")), "near-extra")
+    return docs.join(extra, docs[id_col] == extra["__id"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, fp, component_id) for every row of docs; a component's id is the smallest doc_id in it."""
     marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
