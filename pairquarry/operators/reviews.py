@@ -66,9 +66,15 @@ def inline_text(author: Column, path: Column, position: Column, body: Column) ->
     return F.concat(F.lit("[Inline comment by @"), author, F.lit(" on "), where, F.lit("] "), text.strip(body))
 
 
+def wall_micros(at: Column) -> Column:
+    """Microseconds of a wall-clock time since 1970, whatever the session's zone."""
+    seconds = (F.unix_date(F.to_date(at)).cast("long") * 24 + F.hour(at)) * 3600 + F.minute(at) * 60
+    return seconds.cast("long") * 1_000_000 + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("long")
+
+
 def days_between(start: Column, end: Column) -> Column:
     """Days as a double, unrounded; 0 while open."""
-    return F.coalesce((F.unix_micros(end) - F.unix_micros(start)) / 86400e6, F.lit(0.0))
+    return F.coalesce((wall_micros(end) - wall_micros(start)) / 86400e6, F.lit(0.0))
 
 
 def decoded_content(content: Column, encoding: Column) -> Column:
