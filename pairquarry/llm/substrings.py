@@ -6,8 +6,8 @@ every 18 words) are all that is compared across the corpus.
 
 1. Anchors found in more than one document are candidates, their runs are fetched, all others are done.
 2. Of runs with equal words, all but the smallest document's are covered.
-3. Where an anchor has several different runs, they may still share windows. Their texts are cut out, one for each
-   different run; recurring passages are confirmed there: every task compiles an Aho-Corasick automaton of the phrases
+3. Where an anchor has several different runs, they may still share windows. Their texts are cut out, for each
+   different run from its smallest document; recurring passages are confirmed there: every task compiles an Aho-Corasick automaton of the phrases
    of its shard of runs, streams the runs through it, and each phrase located gives the windows around it, with the
    digest of their words. Windows whose smallest document isn't their own are covered.
 4. Covered words are removed from the documents that have any.
@@ -196,14 +196,14 @@ def covered_ranges(docs: DataFrame, runs: DataFrame, window: int, phrase: int) -
     listed = materialize(held.groupBy("doc_id", "tk").agg(F.collect_list(F.when(F.col("several"), F.struct("anchor", "run", "start", "size"))).alias("runs")), "runs-listed")
     keyed = docs.where("doc_id IS NOT NULL").withColumn("tk", text_key())
     texts = materialize(keyed.join(listed.select("doc_id", "tk"), ["doc_id", "tk"], "left_semi").dropDuplicates(["doc_id", "tk"]), "texts-held")
-    # One text for each different run of an anchor that has several: its smallest document's first.
+    # The texts of each different run of an anchor that has several: those in its smallest document.
     least = firsts.select("anchor", "run", F.col("low").alias("doc_id"))
-    open_runs = held.where("several").join(least, ["anchor", "run", "doc_id"], "left_semi").groupBy("anchor", "run", "doc_id", "tk").agg(F.min("start").alias("start"), F.first("size").alias("size"))
+    open_runs = held.where("several").join(least, ["anchor", "run", "doc_id"], "left_semi").select("doc_id", "tk", "anchor", "start", "size")
     cut = materialize(open_runs.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("runs")), "runs-open")
     windows = materialize(located_windows(texts.join(cut, ["doc_id", "tk"]), window, phrase), "windows")
     owners = windows.groupBy("high", "low").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").select("high", "low", "first_id")
     shared = windows.join(materialize(owners, "windows-owned"), ["high", "low"]).where("doc_id > first_id")
-    # A run's copies in larger documents are covered by rule 2, so only the text that was cut takes these.
+    # A run's copies in larger documents are covered by rule 2, so only the texts that were cut take these.
     ranges = copied.unionByName(shared.select("doc_id", "tk", F.col("pos").alias("start"), F.lit(window).alias("size")))
     return ranges, texts
 
