@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 from pairquarry.llm.shared import text_of
 
 #: Most labelled documents of a class that are used to train.
-TRAIN_ROWS = 1500
+TRAIN_ROWS = 1200
 LANDMARKS, BACKGROUND = 96, 24
 DECAY, SPAN = 0.7, 7
 #: Places of a subsequence's characters after the first.
 GAPS = [(a, b, c) for a in range(1, SPAN) for b in range(a + 1, SPAN) for c in range(b + 1, SPAN)]
 #: Words kept with their margins between the batches of a task; memory only.
 CACHE_WORDS = 300_000
+#: Words compared at once.
+BLOCK = 5_000
 THRESHOLD = 0.3
 #: A word counts as an insult from half of this part of the margin on, and fully from half of NEAR + 1.
 NEAR = 0.4
@@ -67,7 +69,7 @@ class Kernel:
         self.keys = np.array(sorted(weights), np.int64)
         self.table = np.array([weights[k] for k in self.keys.tolist()]) if weights else np.zeros((0, len(self.words)))
         self.table /= np.array([self.length(len(w)) for w in self.words])
-        self.place = np.full(self.base**4, -1, np.int32)
+        self.place = np.full(self.base**4, -1, np.int16 if len(self.keys) < 2**15 else np.int32)
         self.place[self.keys] = np.arange(len(self.keys))
 
     @staticmethod
@@ -76,7 +78,7 @@ class Kernel:
         return max(sum(max(0, n - c) * DECAY ** (2 * (c + 1)) for _, _, c in GAPS), 1e-9) ** 0.5
 
     def subsequences(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        code = np.array([self.code.get(x, 0) for x in word], np.int64)
+        code = np.array([self.code.get(x, 0) for x in word], np.int32)
         keys, values = [], []
         for gap in GAPS:
             if len(code) > gap[2]:
@@ -90,7 +92,7 @@ class Kernel:
         n = len(code) - gap[2]
         key, ok = code[:n].copy(), code[:n] > 0
         for at in gap:
-            key *= self.base
+            key *= np.int32(self.base)
             key += code[at : at + n]
             ok &= code[at : at + n] > 0
         return ok, key
@@ -99,7 +101,7 @@ class Kernel:
         """For every gap: the word and the place in keys of each of its subsequences that some own word has, and their weight."""
         lengths = np.array([len(w) for w in words])
         flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        code = np.zeros(self.code_limit() + 1, np.int64)
+        code = np.zeros(self.code_limit() + 1, np.int32)
         for ch, i in self.code.items():
             code[ord(ch)] = i
         c = code[np.minimum(flat, len(code) - 1)]
@@ -119,10 +121,12 @@ class Kernel:
     def to(self, words: list[str]) -> np.ndarray:
         """Kernel values, a row per word."""
         out = np.zeros((len(words), len(self.words)))
-        for at, place, weight in self.found(words):
-            if len(at):
-                first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-                out[at[first]] += np.add.reduceat(self.table[place], first, axis=0) * weight
+        for begin in range(0, len(words), BLOCK):
+            part = out[begin : begin + BLOCK]
+            for at, place, weight in self.found(words[begin : begin + BLOCK]):
+                if len(at):
+                    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                    part[at[first]] += np.add.reduceat(self.table[place], first, axis=0) * weight
         return out / self.scale(words)[:, None]
 
     def weighted(self, words: list[str], value: np.ndarray) -> np.ndarray:
@@ -150,30 +154,31 @@ def document_features(hits: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([np.log1p(hits), np.minimum(100 * share, 1), np.minimum(100 * share, 2), np.minimum(10 * share, 1), np.log1p(words) / 5, np.ones(len(hits))], axis=1)
 
 
-def fit_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-6, rounds: int = 40) -> np.ndarray:
-    """Linear support vector machine with squared hinge loss, by Newton steps on the margin's inside."""
+def fit_hinge(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, ridge: float = 1e-6, rounds: int = 40) -> np.ndarray:
+    """Linear support vector machine with squared hinge loss, by Newton steps on the margin's inside; each row counts
+    pos for the one class and neg for the other."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
-        inside = y * (x @ w) < 1
-        xi, wi = x[inside], weight[inside]
-        new = np.linalg.solve((xi * wi[:, None]).T @ xi + ridge * np.eye(x.shape[1]), (xi * wi[:, None]).T @ y[inside])
+        margin = x @ w
+        p, n = pos * (margin < 1), neg * (margin > -1)
+        new = np.linalg.solve(x.T @ (x * (p + n)[:, None]) + ridge * np.eye(x.shape[1]), x.T @ (p - n))
         if np.allclose(new, w, atol=1e-9):
             break
         w = 0.5 * (w + new)
     return w
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 100) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, rounds: int = 100) -> np.ndarray:
     """Ridge logistic regression by Newton steps, halved until the loss falls."""
 
     def loss(w):
         z = x @ w
-        return np.logaddexp(0, z).sum() - y @ z + ridge / 2 * w @ w
+        return weight @ (np.logaddexp(0, z) - y * z) + ridge / 2 * w @ w
 
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (weight * (y - p)) - ridge * w)
         while loss(w + step) > loss(w) and np.abs(step).max() > 1e-9:
             step = step / 2
         w = w + step
@@ -188,7 +193,8 @@ def disguised(word: str) -> list[str]:
     return [f"^{inner[:i]}{INSERTS[i % len(INSERTS)]}{inner[i:]}$" for i in range(1, len(inner))]
 
 
-def train(texts: list[str], labels: list[int]) -> Model:
+def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None = None) -> Model:
+    """totals: labelled documents of class 0 and 1 in all, of which texts are a sample."""
     y = np.array(labels)
     toxic, clean = int((y == 1).sum()), int((y == 0).sum())
     if not toxic or not clean:
@@ -231,11 +237,14 @@ def train(texts: list[str], labels: list[int]) -> Model:
     pos, neg = np.concatenate([pos, extra]), np.concatenate([neg, np.zeros(len(hidden))])
     x = np.hstack([kernel.to(types) @ whitening(kernel), np.ones((len(types), 1))])
     # Half of each word's evidence for one class cancels against the other's.
-    weights = fit_hinge(np.vstack([x, x]), np.repeat([1.0, -1.0], len(types)), np.concatenate([pos, 1.5 * neg]))
+    weights = fit_hinge(x, pos, 1.5 * neg)
     model = Model(landmarks, weights, np.zeros(6))
     scorer = Scorer(model)
     hits, words = np.array([scorer.hits(t) for t in texts]).T
-    model.doc_weights = fit_logistic(document_features(hits, words), y.astype(float))
+    # The sample may hold the classes in other shares than the labels do.
+    share_of = np.array(totals or (clean, toxic)) / (clean, toxic)
+    weight = share_of[y] * len(y) / share_of[y].sum()
+    model.doc_weights = fit_logistic(document_features(hits, words), y.astype(float), weight)
     return model
 
 
@@ -272,14 +281,15 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str, label_col: str, rows: int) -> tuple[list[str], list[int]]:
-    """At most `rows` labelled texts of each class, those with the smallest hashes of their ids."""
+def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str, label_col: str, rows: int) -> tuple[list[str], list[int], tuple[int, int]]:
+    """At most `rows` labelled texts of each class, those with the smallest hashes of their ids; and the labels of each class."""
     wanted = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).where(allowed & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
+    counts = {r["y"]: r["count"] for r in wanted.groupBy("y").count().collect()}
     by_hash = lambda y: wanted.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # At most 2 * rows ids of a few bytes: small enough to broadcast by its own bound.
     chosen = F.broadcast(by_hash(0).unionByName(by_hash(1)))
     sample = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(chosen, "doc_id").orderBy("doc_id", "y", "text").collect()
-    return [r["text"] for r in sample], [r["y"] for r in sample]
+    return [r["text"] for r in sample], [r["y"] for r in sample], (counts.get(0, 0), counts.get(1, 0))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
