@@ -12,7 +12,7 @@ BIG = "/root/testdata/sf0.1"
 @pytest.fixture(scope="module")
 def model(spark):
     docs, labels = spark.read.parquet(f"{BIG}/documents.parquet"), spark.read.parquet(f"{BIG}/labels.parquet")
-    return toxicity.learned(docs, labels, rows=400)
+    return toxicity.learned(docs, labels, rows=800)
 
 
 def test_held_out_accuracy(spark, model):
