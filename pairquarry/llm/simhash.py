@@ -102,9 +102,8 @@ def forest(n: int, pairs) -> list[tuple[int, int]]:
     return out
 
 
-def verified_pairs(fps: np.ndarray, pivots: np.ndarray, radius: int) -> np.ndarray:
+def verified_pairs(fps: np.ndarray, table: np.ndarray, radius: int) -> np.ndarray:
     """All pairs (i, j), i < j, within the radius: survivors of the pivot table, verified by their bits."""
-    table = pivot_table(fps, pivots)
     left, right = np.triu_indices(len(fps), 1)
     for p in range(table.shape[1]):  # coordinate by coordinate, so that most pairs go after a few
         near = np.abs(table[left, p] - table[right, p]) <= radius
@@ -113,6 +112,28 @@ def verified_pairs(fps: np.ndarray, pivots: np.ndarray, radius: int) -> np.ndarr
     return np.stack([left[true], right[true]], axis=1)
 
 
+def whole_groups(batches, keys: list[str]):
+    """Frames that hold whole groups of rows with equal keys, from batches sorted by them."""
+    held = None
+    for batch in batches:
+        frame = batch.to_pandas()
+        held = frame if held is None or not len(held) else pd.concat([held, frame], ignore_index=True)
+        if len(held):
+            last = (held[keys] == held[keys].iloc[-1]).all(axis=1).to_numpy()
+            if not last.all():
+                yield held[~last]
+            held = held[last]
+    if held is not None and len(held):
+        yield held
+
+
+def group_edges(frame: pd.DataFrame, keys: list[str]):
+    """(first, end) of each group of a sorted frame."""
+    values = frame[keys].to_numpy()
+    edge = np.flatnonzero(np.append(True, (values[1:] != values[:-1]).any(axis=1))).tolist()
+    return zip(edge, [*edge[1:], len(frame)], strict=True)
+
+
 def block_keys(radius: int, blocks: int) -> list:
     """A column for each choice of blocks - radius blocks: the choice's number and the bits of those blocks."""
     width = BITS // blocks
@@ -142,15 +163,21 @@ def near_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, pivots: int =
     keyed = nodes.select("node", "fp", F.explode(F.array(*block_keys(radius, blocks))).alias("key"))
     sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-sizes")
     shared = materialize(keyed.join(sizes, "key"), "simhash-shared")
-    id_type = nodes.schema["node"].dataType.simpleString()
-
-    def compare(pdf):
-        fps = pdf["fp"].to_numpy().view(np.uint64)
-        pairs = forest(len(fps), verified_pairs(fps, pivot_fingerprints(pivots), radius))
-        ids = pdf["node"].to_numpy()
-        return pd.DataFrame({"a": [ids[i] for i, _ in pairs], "b": [ids[j] for _, j in pairs]})
-
-    small = shared.where(F.col("n") <= group_rows).select("key", "node", "fp").groupBy("key").applyInPandas(compare, f"a {id_type}, b {id_type}")
+    kind = nodes.schema["node"].dataType.simpleString()
+    dealt = shared.where(F.col("n") <= group_rows).select("key.choice", "key.bits", "node", "fp").repartition("choice", "bits").sortWithinPartitions("choice", "bits")
+
+    def compare(batches):
+        reference = pivot_fingerprints(pivots)
+        for frame in whole_groups(batches, ["choice", "bits"]):
+            fps, ids, a, b = frame["fp"].to_numpy().view(np.uint64), frame["node"].to_numpy(), [], []
+            table = pivot_table(fps, reference)
+            for x, y in group_edges(frame, ["choice", "bits"]):
+                for i, j in forest(y - x, verified_pairs(fps[x:y], table[x:y], radius)):
+                    a.append(ids[x + i])
+                    b.append(ids[x + j])
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=frame["node"].dtype), "b": pd.Series(b, dtype=frame["node"].dtype)}), preserve_index=False)
+
+    small = dealt.mapInArrow(compare, f"a {kind}, b {kind}")
     crowded = shared.where(F.col("n") > group_rows).select("node", "fp").distinct()
     balls = crowded.select("node", F.explode(F.array(*ball_keys(radius))).alias("ball"))
     # A ball has no more nodes than a ball has fingerprints, so its least node is linked to each.
@@ -237,32 +264,20 @@ def similar_links(sketches: DataFrame, similarity: float, radius: int, chunk: in
     blocks = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "doc_id", "fp", "mins")
     dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
+    keys = ["key", "i", "j"]
+
     def run(batches):
-        held, pivots = None, pivot_fingerprints(PIVOTS)
-        for batch in batches:
-            frame = batch.to_pandas()
-            held = frame if held is None or not len(held) else pd.concat([held, frame], ignore_index=True)
-            last = held[["key", "i", "j"]].iloc[-1]
-            open_ = ((held["key"] == last["key"]) & (held["i"] == last["i"]) & (held["j"] == last["j"])).to_numpy()
-            yield linked(held[~open_], pivots)
-            held = held[open_]
-        if held is not None and len(held):
-            yield linked(held, pivots)
-
-    def linked(frame: pd.DataFrame, pivots: np.ndarray) -> pa.RecordBatch:
-        a, b = [], []
-        if len(frame):
-            fps = frame["fp"].to_numpy().view(np.uint64)
+        pivots = pivot_fingerprints(PIVOTS)
+        for frame in whole_groups(batches, keys):
+            fps, a, b = frame["fp"].to_numpy().view(np.uint64), [], []
             raw = np.frombuffer(b"".join(frame["mins"]), np.uint8).reshape(len(frame), -1)
             mins, filled = raw[:, :BINS], np.unpackbits(raw[:, BINS:], axis=1).astype(bool)
             table, side, ids = pivot_table(fps, pivots), frame["side"].to_numpy(), frame["doc_id"].to_numpy()
-            group = frame[["key", "i", "j"]].to_numpy()
-            edge = np.flatnonzero(np.append(True, (group[1:] != group[:-1]).any(axis=1)))
-            for x, y in zip(edge.tolist(), [*edge[1:].tolist(), len(frame)], strict=True):
+            for x, y in group_edges(frame, keys):
                 for m, n in similar_pairs(fps[x:y], mins[x:y], filled[x:y], table[x:y], side[x:y], similarity, radius):
                     a.append(ids[x + m])
                     b.append(ids[x + n])
-        return pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=frame["doc_id"].dtype), "b": pd.Series(b, dtype=frame["doc_id"].dtype)}), preserve_index=False)
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=frame["doc_id"].dtype), "b": pd.Series(b, dtype=frame["doc_id"].dtype)}), preserve_index=False)
 
     return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
