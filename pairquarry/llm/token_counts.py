@@ -16,7 +16,6 @@ rows are counted each; an empty table gives an empty result; other columns are p
 from __future__ import annotations
 
 import math
-from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -48,7 +47,10 @@ class TrieCounter:
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
         self.longest = max(map(len, scores))
-        self.ends = Counter(p[-1] for p in scores)
+        # Lengths of the pieces of three and more characters that end in the same three.
+        self.tails: dict[str, tuple[int, ...]] = {}
+        for tail, size in sorted({(p[-3:], len(p)) for p in scores if len(p) > 2}):
+            self.tails[tail] = (*self.tails.get(tail, ()), size)
         self.byte_score = min(scores.values()) - BYTE_COST
         self.known: dict[str, int] = {}
 
@@ -58,12 +60,12 @@ class TrieCounter:
         size = len(word[at].encode("utf-8", "surrogatepass"))
         score, tokens = path[at]
         best = (score + size * self.byte_score, tokens - size)
-        if word[at] in self.ends:
-            get = self.scores.get
-            for start in range(max(0, end - self.longest), end):
-                own = get(word[start:end])
+        get = self.scores.get
+        for length in (1, 2, *self.tails.get(word[max(0, end - 3) : end], ())):
+            if length <= end:
+                own = get(word[end - length : end])
                 if own is not None:
-                    score, tokens = path[start]
+                    score, tokens = path[end - length]
                     if (score + own, tokens - 1) > best:
                         best = (score + own, tokens - 1)
         return best
