@@ -45,30 +45,32 @@ def reply_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     """(tree, leaf, branch, depth, msg) of the best `branches` root-to-leaf paths of every tree (all if None).
 
     messages: tree, msg (unique in its tree), parent (null at a root), score (null counts as 0). Branch 1 has the highest
-    summed score; ties go to the smaller leaf. depth is 0 at the root.
+    summed score; ties go to the smaller leaf. depth is 0 at the root. A parent that isn't there makes a root.
     """
-    nodes = messages.select("tree", "msg", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-    # jump: the message 2**k replies up; total and depth are summed up to, not including, it.
-    jumps = materialize(nodes.select("tree", "msg", F.col("parent").alias("jump"), F.col("score").alias("total"), F.lit(1).cast("long").alias("length")), "reply-jumps")
-    levels = [jumps]
-    while not jumps.where("jump IS NOT NULL").isEmpty():
-        up = jumps.select(F.col("tree").alias("t"), F.col("msg").alias("m"), F.col("jump").alias("jump2"), F.col("total").alias("total2"), F.col("length").alias("length2"))
-        joined = jumps.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("m")), "left")
-        jumps = materialize(
-            joined.select("tree", "msg", F.col("jump2").alias("jump"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"), (F.col("length") + F.coalesce("length2", F.lit(0))).alias("length")),
-            "reply-jumps",
-        )
-        levels.append(jumps)
+    nodes = materialize(messages.select("tree", "msg", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "reply-nodes")
+    known = nodes.select(F.col("tree").alias("t"), F.col("msg").alias("m"))
+    on_parent = F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("m"))
+    # jump: the message 2**k replies up; total and length are summed up to, not including, it.
+    first = nodes.join(known, on_parent, "left").select("tree", "msg", F.col("m").alias("jump"), F.col("score").alias("total"), F.lit(1).cast("long").alias("length"))
+    jumps = materialize(first, "reply-jumps")
+    # Only messages whose pointer hasn't passed the root go on to the next join.
+    done, going, levels = jumps.where("jump IS NULL"), jumps.where("jump IS NOT NULL"), []
+    while not going.isEmpty():
+        levels.append(going)
         if len(levels) > 40:
             raise ValueError("replies form a cycle")
+        up = going.unionByName(done).select(F.col("tree").alias("t"), F.col("msg").alias("m"), F.col("jump").alias("jump2"), F.col("total").alias("total2"), F.col("length").alias("length2"))
+        joined = going.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("m")))
+        after = materialize(joined.select("tree", "msg", F.col("jump2").alias("jump"), (F.col("total") + F.col("total2")).alias("total"), (F.col("length") + F.col("length2")).alias("length")), "reply-jumps")
+        done, going = done.unionByName(after.where("jump IS NULL")), after.where("jump IS NOT NULL")
     parents = nodes.where("parent IS NOT NULL").select(F.col("tree").alias("t"), F.col("parent").alias("m")).distinct()
-    leaves = jumps.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("msg") == F.col("m")), "left_anti")
+    leaves = done.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("msg") == F.col("m")), "left_anti")
     ranked = leaves.withColumn("branch", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "msg")))
     chosen = ranked if branches is None else ranked.where(F.col("branch") <= branches)
     # Descending levels double the laid-out path: each message found also gives the one 2**k above it.
     path = chosen.select("tree", F.col("msg").alias("leaf"), "branch", (F.col("length") - 1).alias("depth"), "msg")
-    for k in reversed(range(len(levels) - 1)):
-        up = levels[k].where("jump IS NOT NULL").select(F.col("tree").alias("t"), F.col("msg").alias("m"), "jump")
+    for k in reversed(range(len(levels))):
+        up = levels[k].select(F.col("tree").alias("t"), F.col("msg").alias("m"), "jump")
         above = path.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("msg") == F.col("m"))).select("tree", "leaf", "branch", (F.col("depth") - 2**k).alias("depth"), F.col("jump").alias("msg"))
         path = materialize(path.unionByName(above), "reply-path")
     return path
