@@ -276,14 +276,59 @@ r AS (SELECT *, row_number() OVER (PARTITION BY finding ORDER BY doc_id) AS k FR
 SELECT finding, count(*) AS n, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) FILTER (k <= 12) AS preview FROM r GROUP BY finding
 """
 
+
+
+def audited_parts(spark, sf_dir):
+    """A pair for each part, of twelve kinds that break different checks."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey") % 12
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    name = F.when(k == 7, "dup").otherwise(F.concat(F.lit("part"), key))
+    stated = F.concat(F.lit("theorem "), name, F.lit(" : Size "), size)
+    initial = F.concat(stated, F.lit(" := by\n  norm_num\n  exact h"), key)
+    final = (
+        F.when(k == 0, F.concat(initial, F.lit(" -- same"))).when(k == 1, F.concat(stated, F.lit(" := by simp ("))).when(k == 2, F.concat(F.lit("theorem other : Size "), size, F.lit(" := by simp")))
+        .when(k == 4, F.concat(F.lit("theorem "), name, F.lit(" : Other := by simp"))).when(k == 5, "-- gone").when(k == 7, "theorem dup : Size := by simp").when(k == 8, F.concat(stated, F.lit(" := do let x : MetaM Expr := y")))
+        .otherwise(F.concat(stated, F.lit(" := by simp"), key))
+    )
+    return p.select(
+        "p_partkey", F.concat(F.lit("Root."), name).alias("declaration"), F.when(k == 9, "scripts/x.lean").otherwise("Mathlib/A.lean").alias("file_path"), initial.alias("initial"), final.alias("final"),
+        F.lit(3).alias("initial_lines"), F.when(k == 0, 3).when(k == 6, 9).otherwise(1).alias("final_lines"),
+    )
+
+
+def hygiene_audit(spark, sf_dir):
+    from pairquarry.operators.hygiene import audit
+
+    return audit(audited_parts(spark, sf_dir), "p_partkey")
+
+
+AUDIT_SQL = """
+WITH p AS (SELECT p_partkey, p_partkey % 12 AS k, CASE WHEN p_partkey % 12 = 7 THEN 'dup' ELSE 'part' || p_partkey END AS name, p_size FROM part),
+s AS (SELECT *, 'theorem ' || name || ' : Size ' || p_size AS sig_i FROM p),
+c AS (SELECT *, sig_i || ' := by norm_num exact h' || p_partkey AS code_i,
+  CASE k WHEN 2 THEN 'theorem other : Size ' || p_size WHEN 4 THEN 'theorem ' || name || ' : Other' WHEN 5 THEN '' WHEN 7 THEN 'theorem dup : Size' ELSE sig_i END AS sig_f FROM s),
+f AS (SELECT *, CASE k WHEN 0 THEN code_i WHEN 1 THEN sig_f || ' := by simp (' WHEN 5 THEN '' WHEN 8 THEN sig_f || ' := do let x : MetaM Expr := y' WHEN 2 THEN sig_f || ' := by simp' WHEN 4 THEN sig_f || ' := by simp'
+  WHEN 7 THEN sig_f || ' := by simp' ELSE sig_f || ' := by simp' || p_partkey END AS code_f FROM c)
+SELECT 'identical_after_comment_strip' AS finding, p_partkey, '' AS side FROM f WHERE code_i = code_f
+UNION ALL SELECT 'unbalanced_brackets', p_partkey, 'final' FROM f WHERE k = 1
+UNION ALL SELECT 'declaration_name_absent', p_partkey, 'final' FROM f WHERE k IN (2, 5)
+UNION ALL SELECT 'signature_actually_differs', p_partkey, '' FROM f WHERE sig_i <> sig_f
+UNION ALL SELECT 'empty_proof_body', p_partkey, 'final' FROM f WHERE code_f = ''
+UNION ALL SELECT 'line_count_mismatch', p_partkey, 'final' FROM f WHERE k = 6
+UNION ALL SELECT 'non_mathematical_path', p_partkey, '' FROM f WHERE k = 9
+UNION ALL SELECT 'metaprogram_code', p_partkey, '' FROM f WHERE k = 8
+UNION ALL SELECT 'duplicate_final_proof', p_partkey, '' FROM f WHERE code_f IN (SELECT code_f FROM f GROUP BY code_f HAVING count(*) > 1)
+UNION ALL SELECT 'duplicate_initial_proof', p_partkey, '' FROM f WHERE code_i IN (SELECT code_i FROM f GROUP BY code_i HAVING count(*) > 1)
+"""
+
 QUERIES = {
     "bag_token_diff": bag_token_diff, "meaningful_pairs": meaningful_pairs, "multiset_except": multiset_except, "duplicate_groups": duplicate_groups, "line_counts": line_counts,
     "bracket_balance": bracket_balance, "strip_comments_synth": strip_comments_synth, "block_parse_synth": block_parse_synth, "diff_hunks_synth": diff_hunks_synth, "json_lenient": json_lenient,
     "body_similarity": body_similarity, "name_suffix_present": name_suffix_present, "keyword_union": keyword_union, "base64_content": base64_content, "snapshot_align": snapshot_align,
-    "anchor_lookup": anchor_lookup, "greedy_pool_dedup": greedy_pool_dedup, "hygiene_summary": hygiene_summary,
+    "anchor_lookup": anchor_lookup, "greedy_pool_dedup": greedy_pool_dedup, "hygiene_summary": hygiene_summary, "hygiene_audit": hygiene_audit,
 }
 ORACLE_SQL = {
     "bag_token_diff": DIFF_SQL + "SELECT * FROM diff", "meaningful_pairs": MEANINGFUL_SQL, "multiset_except": MULTISET_SQL, "duplicate_groups": DUPLICATES_SQL, "line_counts": LINES_SQL,
     "bracket_balance": BRACKETS_SQL, "strip_comments_synth": STRIP_SQL, "block_parse_synth": BLOCKS_SQL, "diff_hunks_synth": HUNKS_SQL, "json_lenient": JSON_SQL, "name_suffix_present": SUFFIX_SQL,
-    "keyword_union": KEYWORD_SQL, "base64_content": BASE64_SQL, "snapshot_align": SNAPSHOT_SQL, "anchor_lookup": ANCHOR_SQL, "hygiene_summary": HYGIENE_SQL,
+    "keyword_union": KEYWORD_SQL, "base64_content": BASE64_SQL, "snapshot_align": SNAPSHOT_SQL, "anchor_lookup": ANCHOR_SQL, "hygiene_summary": HYGIENE_SQL, "hygiene_audit": AUDIT_SQL,
 }

@@ -33,3 +33,18 @@ def tally_report(tally: DataFrame, label: str, count: str, limit: int = 50) -> s
     """A short table of counts, most frequent first."""
     rows = tally.orderBy(F.desc(count), label).limit(limit).collect()
     return "\n".join(f"{r[count]:>8}  {r[label]}" for r in rows)
+
+
+def blind_files(tasks: DataFrame, dealt: DataFrame, folder: str) -> None:
+    """What readers get (tasks and batches) and, apart from it, the key."""
+    from pairquarry.operators.evaluation import reader_view
+
+    reader_view(tasks).write.mode("overwrite").json(f"{folder}/tasks")
+    tasks.select("task_id", "pr", "declaration", "stratum", "rep", "accepted_is_a").write.mode("overwrite").json(f"{folder}/key")
+    dealt.groupBy("batch").agg(F.sort_array(F.collect_list("task_id")).alias("task_ids")).write.mode("overwrite").json(f"{folder}/batches")
+
+
+def calibration(anchors: DataFrame, limit: int = 20) -> str:
+    """Known cases as Markdown: anchors(declaration, initial, final, expected)."""
+    rows = anchors.orderBy("declaration").limit(limit).collect()
+    return "\n\n".join(f"### {r['declaration']}\n\nExpected: {r['expected']}\n\nBefore:\n\n    {r['initial']}\n\nAfter:\n\n    {r['final']}" for r in rows)
