@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 KINDS = ("theorem", "lemma", "def", "instance", "example")
 MODIFIERS = ("noncomputable", "protected", "private", "unsafe", "partial", "scoped", "public")
 BOUNDARIES = (
-    "namespace section end open variable import set_option attribute class structure inductive abbrev opaque axiom mutual universe export "
-    "omit local alias assert_not_exists module macro syntax elab deriving suppress_compilation nonrec macro_rules run_cmd initialize "
-    "initialize_simps_projections notation add_decl_doc compile_inductive% register_simp_attr"
-).split()
+    "namespace", "section", "end", "open", "variable", "import", "set_option", "attribute", "class", "structure", "inductive", "abbrev", "opaque",
+    "axiom", "mutual", "universe", "export", "omit", "local", "alias", "assert_not_exists", "module", "macro", "syntax", "elab", "deriving",
+    "suppress_compilation", "nonrec", "macro_rules", "run_cmd", "initialize", "initialize_simps_projections", "notation", "add_decl_doc",
+    "compile_inductive%", "register_simp_attr",
+)
 
 SCHEMA = "kind string, name string, signature string, body string, full_text string, start_line int, end_line int"
 _NEST = re.compile(r"/-|-/")
