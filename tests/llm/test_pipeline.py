@@ -50,3 +50,20 @@ def test_each_stage_against_brute_force(spark):
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "ids", "n_tokens"]
     assert corpus_pipeline.run(spark, SF).where(F.size("ids") != F.col("n_tokens")).isEmpty()
+
+
+def test_stages_on_odd_rows_and_on_nothing(spark):
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "word " * 30_000, "en", "a", 5), (4, "same text here", "en", "a", 5), (4, "same text here", "en", "a", 5), (5, "same text here", "fr", None, 5), (None, "no id", "en", "b", 5), (6, "other words", None, "b", None)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("size", F.lit(1)).withColumn("ids", F.lit("clash"))
+    for docs in (odd, odd.limit(0)):
+        left = []
+        for name, stage in corpus_pipeline.STAGES:
+            docs = materialize(stage(spark, docs, SF), "odd")
+            left.append((name, docs.count()))
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == odd.columns
+        if left[0][1]:
+            # Null and empty texts are equal, and so are the three copies; the row without an id stays.
+            assert left[:3] == [("toxicity", 8), ("exact dedup", 5), ("simhash near-dedup", 5)]
+        else:
+            assert {n for _, n in left} == {0}
