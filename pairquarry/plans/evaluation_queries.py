@@ -150,8 +150,8 @@ def decode_majority(spark, sf_dir):
 
 
 def label_support_report(spark, sf_dir):
-    d = decode_majority(spark, sf_dir)
-    return ev.support(d, ["stratum"]).unionByName(ev.support(d.withColumn("stratum", F.lit("all")), ["stratum"]))
+    both = F.explode(F.array("stratum", F.lit("all")))
+    return ev.support(decode_majority(spark, sf_dir).withColumn("stratum", both), ["stratum"])
 
 
 REPORT_SQL = f"""WITH {PICKS},
