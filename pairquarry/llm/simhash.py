@@ -33,10 +33,14 @@ PIVOTS = 48
 GROUP_ROWS = 512
 #: Bins of a min-hash sketch, and bands of rows among them that are keys.
 BINS, BANDS, ROWS = 256, 24, 4
-#: The share of equal minima errs by about this much; pairs that fall short by it still count as similar.
-SLACK = 0.02
+#: The share of equal minima errs by up to this much (four deviations); pairs that fall short by it are still compared exactly.
+SLACK = 0.1
 #: Bits by which fingerprints of similar texts may differ, and documents of a key in one chunk.
 SIMILAR_RADIUS, CHUNK = 24, 1024
+#: Best partners of a document in a block that are compared exactly before all that are left.
+BEST = 8
+#: Rows of an Arrow batch that carries texts or shingles.
+SLICE = 1000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -211,11 +215,12 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def similarity_sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, fp, mins, keys): fingerprint, a byte of each bin's least hash with a bit map of the bins filled, band keys."""
+    """(doc_id, text, fp, mins, keys): the fingerprint of the different shingles, a byte of each bin's least hash with a
+    bit map of the bins filled, band keys."""
     chosen = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             fps, mins, keys = [], [], []
             for text in batch.column(1):
                 hashes = shingle_hashes(text.as_py(), shingle)
@@ -226,45 +231,87 @@ def similarity_sketches(docs: DataFrame, id_col: str, text_col: str, shingle: in
             ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
             flat = pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(mins, pa.binary()), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "fp", "mins", "keys"]
+                [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(mins, pa.binary()), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "text", "fp", "mins", "keys"]
             )
 
-    return chosen.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp long, mins binary, keys array<long>")
+    return chosen.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, text string, fp long, mins binary, keys array<long>")
+
+
+def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """docs(doc_id, text, fp, mins) with the sorted hashes of the different shingles instead of the text."""
+
+    def run(batches):
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
+            ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+            flat = pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "fp", "mins", "shingles"])
+
+    return docs.select("doc_id", "text", "fp", "mins").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, mins binary, shingles array<long>")
+
 
+def exact_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose different shingles have a Jaccard index of at least the similarity. Many pairs may have the same a."""
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    one = materialize(pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"), "exact-one")
+    both = one.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y")
 
-def similar_pairs(fps: np.ndarray, mins: np.ndarray, filled: np.ndarray, table: np.ndarray, side: np.ndarray, similarity: float, radius: int) -> list[tuple[int, int]]:
-    """Pairs of a forest over all pairs that are similar enough. side: 0 and 1 are compared with each other, or 0 only."""
+    def run(batches):
+        for batch in batches:
+            (xs, xe), (ys, ye) = ((c.values.to_numpy(), c.offsets.to_numpy()) for c in (batch.column(2), batch.column(3)))
+            good = []
+            for n in range(batch.num_rows):
+                x, y = xs[xe[n] : xe[n + 1]], ys[ye[n] : ye[n + 1]]
+                if min(len(x), len(y)) >= similarity * max(len(x), len(y)) - 1:
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if shared / max(1, len(x) + len(y) - shared) >= similarity:
+                        good.append(n)
+            take = pa.array(good, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], names=["a", "b"])
+
+    return materialize(both.mapInArrow(run, f"a {kind}, b {kind}").distinct(), "exact-links")
+
+
+def similar_pairs(fps: np.ndarray, mins: np.ndarray, filled: np.ndarray, table: np.ndarray, side: np.ndarray, allowed, similarity: float, radius: int, best: int | None):
+    """Pairs (i, j), i of side 0 and j of side 1, that may be similar enough; of each i the best ones only, if best is
+    given. allowed(i, j): which of the places j may pair with i."""
     other = np.flatnonzero(side == 1)
-    pairs = []
     for i in np.flatnonzero(side == 0).tolist():
-        j = other if len(other) else np.arange(i + 1, len(fps))
+        j = other[allowed(i, other)]
         for p in range(0, table.shape[1], 8):  # the pivot table, a few coordinates at a time
             j = j[(np.abs(table[j, p : p + 8] - table[i, p : p + 8]) <= radius).all(axis=1)]
         j = j[np.bitwise_count(fps[j] ^ fps[i]) <= radius]
         if len(j):
             both, any_ = filled[j] & filled[i], filled[j] | filled[i]
-            equal = ((mins[j] == mins[i]) & both).sum(axis=1)
-            pairs += [(i, k) for k in j[equal >= (similarity - SLACK) * any_.sum(axis=1)].tolist()]
-    return forest(len(fps), pairs)
+            share = ((mins[j] == mins[i]) & both).sum(axis=1) / any_.sum(axis=1)
+            near = np.flatnonzero(share >= similarity - SLACK)
+            if best is not None and len(near) > best:
+                near = near[np.argsort(-share[near], kind="stable")[:best]]
+            yield from ((i, k) for k in j[near].tolist())
 
 
-def similar_links(sketches: DataFrame, similarity: float, radius: int, chunk: int = CHUNK) -> DataFrame:
-    """(a, b) links between all documents that share a band key and are similar enough.
+def open_pairs(shared: DataFrame, held: DataFrame, components: DataFrame, similarity: float, radius: int, chunk: int, best: int | None) -> DataFrame:
+    """(a, b) of different components that share a key and may be similar enough by their sketches.
 
-    A key's documents are compared in pairs of chunks, so no task gets more than two chunks of a key.
+    A key whose documents are one component is done. Of any other, all documents are compared with those outside of
+    its largest component, a chunk of these and a chunk of those at a time, so no task gets more than two chunks.
     """
-    kind = sketches.schema["doc_id"].dataType.simpleString()
-    keyed = sketches.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
-    sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "similar-sizes")
-    shared = materialize(keyed.join(sizes, "key"), "similar-shared")
-    rows = sketches.drop("keys").join(shared, "doc_id")
-    chunks = F.ceil(F.col("n") / chunk).cast("int")
-    own = F.pmod(F.xxhash64("doc_id", "key"), chunks).cast("int")
-    spread = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    blocks = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "doc_id", "fp", "mins")
-    dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
+    kind = held.schema["doc_id"].dataType.simpleString()
+    placed = shared.select("doc_id", "key").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = materialize(placed.withColumn("component", F.coalesce("component", "doc_id")), "similar-placed")
+    counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
+    still = largest.where("n > top.n").select("key", "n", F.col("top.component").alias("base"), (F.col("n") - F.col("top.n")).alias("rest"))
+    opened = materialize(placed.join(materialize(still, "similar-open"), "key"), "similar-opened")
+    rows = held.select("doc_id", "fp", "mins").join(opened, "doc_id").withColumn("outside", F.col("component") != F.col("base"))
+    parts = lambda n: F.ceil(F.col(n) / chunk).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("doc_id", "key"), parts(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), parts(n) - 1))
+    columns = ["key", "i", "j", "side", "doc_id", "component", "outside", "fp", "mins"]
+    rest = rows.where("outside").withColumn("i", own("rest")).withColumn("j", spread("n")).withColumn("side", F.lit(0))
+    every = rows.withColumn("j", own("n")).withColumn("i", spread("rest")).withColumn("side", F.lit(1))
     keys = ["key", "i", "j"]
+    dealt = rest.select(columns).unionByName(every.select(columns)).repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
         pivots = pivot_fingerprints(PIVOTS)
@@ -273,25 +320,55 @@ def similar_links(sketches: DataFrame, similarity: float, radius: int, chunk: in
             raw = np.frombuffer(b"".join(frame["mins"]), np.uint8).reshape(len(frame), -1)
             mins, filled = raw[:, :BINS], np.unpackbits(raw[:, BINS:], axis=1).astype(bool)
             table, side, ids = pivot_table(fps, pivots), frame["side"].to_numpy(), frame["doc_id"].to_numpy()
+            component, outside = frame["component"].to_numpy(), frame["outside"].to_numpy()
             for x, y in group_edges(frame, keys):
-                for m, n in similar_pairs(fps[x:y], mins[x:y], filled[x:y], table[x:y], side[x:y], similarity, radius):
-                    a.append(ids[x + m])
-                    b.append(ids[x + n])
+                own_ids, own_component, own_outside = ids[x:y], component[x:y], outside[x:y]
+                # Two documents outside meet twice, unless only the best are taken; one pair of the two is enough then.
+                allowed = lambda i, j: (own_component[j] != own_component[i]) & (~own_outside[j] | (best is not None) | (own_ids[j] > own_ids[i]))  # noqa: B023, E731
+                for m, n in similar_pairs(fps[x:y], mins[x:y], filled[x:y], table[x:y], side[x:y], allowed, similarity, radius, best):
+                    a.append(own_ids[m])
+                    b.append(own_ids[n])
             yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=frame["doc_id"].dtype), "b": pd.Series(b, dtype=frame["doc_id"].dtype)}), preserve_index=False)
 
-    return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    found = dealt.mapInArrow(run, f"a {kind}, b {kind}")
+    return materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
+
+
+def similar_links(sketches: DataFrame, similarity: float, radius: int, chunk: int = CHUNK, shingle: int = 5) -> DataFrame:
+    """(a, b) links that connect all documents that share a key and have a Jaccard index of at least the similarity.
+
+    Keys are the bands and, for equal sketches, the sketch. First each key's documents are compared with its least one;
+    then each document with its best partners in other components; then all pairs of different components that are
+    left. Sketches only choose pairs: each link is a pair whose shingles were compared.
+    """
+    every = F.when(F.size("keys") > 0, F.array_append("keys", F.xxhash64("fp", "mins"))).otherwise(F.col("keys"))
+    keyed = sketches.select("doc_id", F.explode(F.array_distinct(every)).alias("key"))
+    sizes = keyed.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").drop("last")
+    shared = materialize(keyed.join(materialize(sizes, "similar-sizes"), "key"), "similar-shared")
+    ids = materialize(shared.select("doc_id").distinct(), "similar-ids")
+    held = materialize(shingle_sets(sketches.join(ids, "doc_id", "left_semi"), shingle), "shingle-sets")
+    stars = materialize(shared.where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct(), "similar-stars")
+    fps = held.select("doc_id", "fp")
+    marked = materialize(stars.join(fps.withColumnsRenamed({"doc_id": "b", "fp": "fb"}), "b"), "similar-marked")
+    marked = marked.join(fps.withColumnsRenamed({"doc_id": "a", "fp": "fa"}), "a").where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= radius)
+    links = exact_links(materialize(marked.select("a", "b").distinct(), "similar-near"), held, similarity)
+    for best in (BEST, None):
+        more = exact_links(open_pairs(shared, held, connected_components(links), similarity, radius, chunk, best), held, similarity)
+        links = links.unionByName(more)
+    return links.distinct()
 
 
 def similar_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS) -> DataFrame:
     """(doc_id, component_id) of every document that is linked to another of at least the similarity, by the Jaccard
     index of their shingles.
 
-    At 0.8 fingerprints differ by 10 to 18 of 64 bits, more than bit blocks can key; so groups come from bands of
-    min-hashes of the same shingles, the pivot table discards pairs of a group beyond the radius, and the survivors are
-    verified by the share of equal minima of 256. Documents without words are similar to none.
+    At 0.8 fingerprints of the different shingles differ by about 10 of 64 bits, more than bit blocks can key; so groups
+    come from bands of min-hashes of the same shingles, the pivot table discards pairs of a group beyond the radius, the
+    share of equal minima of 256 those that are far from similar, and the survivors' shingles are compared exactly.
+    Documents without words are similar to none.
     """
     sketches = materialize(similarity_sketches(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle), "sketches")
-    return connected_components(similar_links(sketches, similarity, radius)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+    return connected_components(similar_links(sketches, similarity, radius, shingle=shingle)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -129,6 +129,26 @@ def test_similar_documents(spark, chunk):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - set(want) | {990, 991, 992, None}
 
 
+def brute_shingles(text, size=5):
+    words = text.lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+@pytest.mark.parametrize("chunk", [1024, 5])
+def test_similar_documents_are_decided_by_their_exact_similarity(spark, chunk):
+    # Changing words at the end of 404 gives pairs from just above to just below 0.8, apart from all others.
+    texts = {}
+    for n in range(60):
+        own = [f"w{n}x{i}" for i in range(404)]
+        cut = 44 if n % 2 else 45  # 356 or 355 of 400 shingles stay: 356/444 = 0.8018, 355/445 = 0.7978
+        texts[2 * n], texts[2 * n + 1] = " ".join(own), " ".join([*own[:-cut], *(f"v{n}x{i}" for i in range(cut))])
+    sets = {i: brute_shingles(t) for i, t in texts.items()}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    assert want == {(2 * n, 2 * n + 1) for n in range(1, 60, 2)}
+    sketches = simhash.similarity_sketches(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "doc_id", "text", 5)
+    assert {tuple(r) for r in simhash.similar_links(sketches, 0.8, simhash.SIMILAR_RADIUS, chunk).collect()} == want
+
+
 def brute_repeats(texts, window):
     seen, out = {}, {}
     for i in sorted(texts):
