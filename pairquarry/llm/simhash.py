@@ -223,7 +223,8 @@ def similarity_sketches(docs: DataFrame, id_col: str, text_col: str, shingle: in
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             fps, mins, keys = [], [], []
             for text in batch.column(1):
-                hashes = shingle_hashes(text.as_py(), shingle)
+                # Each shingle once, as the Jaccard index counts it: a line repeated often must not outvote the others.
+                hashes = np.unique(shingle_hashes(text.as_py(), shingle))
                 least = sketch(hashes)
                 fps.append(fingerprint(hashes))
                 mins.append(((least >> np.uint64(8)) & np.uint64(255)).astype(np.uint8).tobytes() + np.packbits(least > 0).tobytes())

@@ -149,6 +149,15 @@ def test_similar_documents_are_decided_by_their_exact_similarity(spark, chunk):
     assert {tuple(r) for r in simhash.similar_links(sketches, 0.8, simhash.SIMILAR_RADIUS, chunk).collect()} == want
 
 
+def test_a_line_repeated_often_hides_no_copy(spark):
+    texts = {}
+    for n in range(12):
+        own = [f"w{n}x{i}" for i in range(304)]
+        texts[2 * n], texts[2 * n + 1] = " ".join(own), " ".join([*own, *([f"v{n}x{i}" for i in range(15)] * 100)])
+    found = simhash.similar_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i - i % 2 for i in texts}
+
+
 def brute_repeats(texts, window):
     seen, out = {}, {}
     for i in sorted(texts):
