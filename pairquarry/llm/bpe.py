@@ -200,14 +200,21 @@ def tokenizer(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and ids (array of int) for every row of docs. path: the tokenizer's file, on every executor."""
+def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", verify: bool = False) -> DataFrame:
+    """id_col and ids (array of int) for every row of docs. path: the tokenizer's file, on every executor.
+
+    With verify, each row's ids are decoded again, and ids that don't give the row's text are an error.
+    """
     chosen = docs.select(F.col(id_col), text_of(text_col).alias("text"))
 
     def run(batches):
         bpe = tokenizer(path)
         for batch in batches:
-            ids = bpe.encode_batch(batch.column(1).to_pylist())
+            texts = batch.column(1).to_pylist()
+            ids = bpe.encode_batch(texts)
+            for n, text in enumerate(texts if verify else ()):
+                if bpe.decode(ids[n]) != text:
+                    raise ValueError(f"the ids of {id_col} {batch.column(0)[n].as_py()} don't decode to its text")
             ends = np.cumsum([0, *map(len, ids)])
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=[id_col, "ids"])

@@ -1,5 +1,7 @@
+import json
 import re
 
+import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -67,3 +69,15 @@ def test_stages_on_odd_rows_and_on_nothing(spark):
             assert left[:3] == [("toxicity", 8), ("exact dedup", 5), ("simhash near-dedup", 5)]
         else:
             assert {n for _, n in left} == {0}
+
+
+def test_ids_that_do_not_decode_to_the_text_stop_the_last_stage(spark, tmp_path, monkeypatch):
+    with open(bpe.default_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["model"]["vocab"]["q"] = spec["model"]["vocab"]["z"]
+    (tmp_path / "bpe.json").write_text(json.dumps(spec), encoding="utf-8")
+    monkeypatch.setattr(bpe, "default_path", lambda: str(tmp_path / "bpe.json"))
+    docs = spark.createDataFrame([(1, "plain"), (2, "q z")], "doc_id long, text string")
+    assert corpus_pipeline.encode(spark, docs.where("doc_id = 1"), SF).count() == 1
+    with pytest.raises(Exception, match="don't decode"):
+        corpus_pipeline.encode(spark, docs, SF).collect()
