@@ -38,6 +38,8 @@ GAPS = [(a, b, c) for a in range(1, SPAN) for b in range(a + 1, SPAN) for c in r
 CACHE_WORDS = 300_000
 #: Words compared at once.
 BLOCK = 5_000
+#: Up to this many character codes a table has a place for every key; with more, keys are searched.
+DENSE = 61
 THRESHOLD = 0.3
 #: A word counts as an insult from half of this part of the margin on, and fully from half of NEAR + 1.
 NEAR = 0.4
@@ -57,9 +59,10 @@ class Kernel:
     tabled: bool = True
 
     def __post_init__(self):
-        letters = sorted({c for w in self.words for c in w})[:60]
+        letters = sorted({c for w in self.words for c in w})
         self.code = {c: i + 1 for i, c in enumerate(letters)}
         self.base = len(letters) + 1
+        self.kind = np.int32 if self.base <= DENSE else np.int64
         if not self.tabled:
             return
         weights: dict[int, np.ndarray] = {}
@@ -69,8 +72,18 @@ class Kernel:
         self.keys = np.array(sorted(weights), np.int64)
         self.table = np.array([weights[k] for k in self.keys.tolist()]) if weights else np.zeros((0, len(self.words)))
         self.table /= np.array([self.length(len(w)) for w in self.words])
-        self.place = np.full(self.base**4, -1, np.int16 if len(self.keys) < 2**15 else np.int32)
-        self.place[self.keys] = np.arange(len(self.keys))
+        if self.base <= DENSE:
+            self.place = np.full(self.base**4, -1, np.int16 if len(self.keys) < 2**15 else np.int32)
+            self.place[self.keys] = np.arange(len(self.keys))
+
+    def places(self, key: np.ndarray) -> np.ndarray:
+        """The place of each number in keys, -1 where there is none."""
+        if self.base <= DENSE:
+            return self.place[key]
+        if not len(self.keys):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, at, -1)
 
     @staticmethod
     def length(n: int) -> float:
@@ -78,7 +91,7 @@ class Kernel:
         return max(sum(max(0, n - c) * DECAY ** (2 * (c + 1)) for _, _, c in GAPS), 1e-9) ** 0.5
 
     def subsequences(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        code = np.array([self.code.get(x, 0) for x in word], np.int32)
+        code = np.array([self.code.get(x, 0) for x in word], self.kind)
         keys, values = [], []
         for gap in GAPS:
             if len(code) > gap[2]:
@@ -92,7 +105,7 @@ class Kernel:
         n = len(code) - gap[2]
         key, ok = code[:n].copy(), code[:n] > 0
         for at in gap:
-            key *= np.int32(self.base)
+            key *= self.kind(self.base)
             key += code[at : at + n]
             ok &= code[at : at + n] > 0
         return ok, key
@@ -101,7 +114,7 @@ class Kernel:
         """For every gap: the word and the place in keys of each of its subsequences that some own word has, and their weight."""
         lengths = np.array([len(w) for w in words])
         flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        code = np.zeros(self.code_limit() + 1, np.int32)
+        code = np.zeros(self.code_limit() + 1, self.kind)
         for ch, i in self.code.items():
             code[ord(ch)] = i
         c = code[np.minimum(flat, len(code) - 1)]
@@ -111,7 +124,7 @@ class Kernel:
             if n > 0:
                 ok, key = self.combined(c, gap)
                 at = np.flatnonzero(ok & (owner[:n] == owner[gap[2] :]))
-                place = self.place[key[at]]
+                place = self.places(key[at])
                 yield owner[at[place >= 0]], place[place >= 0], DECAY ** (gap[2] + 1)
 
     def scale(self, words: list[str]) -> np.ndarray:

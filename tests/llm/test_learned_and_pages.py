@@ -54,6 +54,15 @@ def test_kernel_is_symmetric_and_tolerates_gaps():
     assert near[0, 0] > 0.25 * own[0, 0] and near[1, 0] > 0.5 * own[0, 0] and near[2, 0] < 0.05
 
 
+def test_kernel_keeps_all_characters_of_its_words():
+    words = ["^abcdefghijklmnopqrstuvwxyz$", "^0123456789$", "^абвгдежзийклмнопрстуфхцчш$", "^щъыьэюя$", "^" + "".join(map(chr, range(0x4E00, 0x4F00))) + "$"]
+    for known in (words[:4], words):
+        k = toxicity.Kernel(known)
+        assert np.allclose(np.diag(k.to(known)), [toxicity.Kernel([w]).to([w])[0, 0] for w in known])
+        assert k.weighted(known, k.table.sum(axis=1)).min() > 0.1
+    assert toxicity.Kernel(["^idiot$"]).to(["^idiot$"])[0, 0] > 0.1
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a = "<p>no</p>";</script></head><body><nav><ul>{menu}</ul></nav><div class="cookie-notice">We use cookies</div>
 <main><article id=a><h1>Head&amp;line</h1>{body}<aside>see also</aside><form>mail <input></form><div class="ad-box">Buy</div></article></main>
 <section class="comments"><p>reader: nice</p></section><div id="sidebar">side</div><footer>foot &copy;</footer></body></html>"""
