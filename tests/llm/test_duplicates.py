@@ -158,6 +158,23 @@ def test_a_line_repeated_often_hides_no_copy(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == {i: i - i % 2 for i in texts}
 
 
+def test_a_family_of_one_component_is_not_dealt_out(spark, monkeypatch):
+    own = [f"w{i}" for i in range(100)]
+    texts = [(i, "  ".join(w.upper() if k % 7 == i % 7 else w for k, w in enumerate(own))) for i in range(40)]
+    sketches = simhash.similarity_sketches(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text", 5)
+    written, write = [], simhash.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", counted)
+    links = {tuple(r) for r in simhash.similar_links(sketches, 0.8, simhash.SIMILAR_RADIUS, 4).collect()}
+    assert links == {(0, i) for i in range(1, 40)}
+    assert [n for name, n in written if name == "similar-opened"] == [0, 0]
+
+
 def brute_repeats(texts, window):
     seen, out = {}, {}
     for i in sorted(texts):
