@@ -181,15 +181,19 @@ def to_nodes(value):
 def content_slots(wrapper: list) -> list:
     """wrapper with each slot as "#1" in the article and "#0" elsewhere.
 
-    Behind an optional group that opens or shuts elements a slot's place differs between pages; it stays "#", and each
-    page's own open tags decide.
+    Behind an optional group that opens or shuts elements a slot's place differs between pages, and where only some
+    pages have an article or main element, so does what counts outside of it; such slots stay "#", and each page's own
+    open tags decide.
     """
 
     def has_article(nodes) -> bool:
         return any(re.match(r"(article|main)\b", n) if isinstance(n, str) else has_article(n[2]) for n in nodes)
 
+    def always_article(nodes) -> bool:
+        return any(re.match(r"(article|main)\b", n) if isinstance(n, str) else not n[0] and always_article(n[2]) for n in nodes)
+
     place = Place(has_article(wrapper))
-    unsure = False
+    unsure = has_article(wrapper) and not always_article(wrapper)
 
     def mark(nodes):
         nonlocal unsure

@@ -88,6 +88,13 @@ def test_pages(spark):
     assert wrappers.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_without_an_article_on_a_host_where_others_have_one(spark):
+    plain, mixed = "<body><div><p>t</p></div></body>", "<body><div><p>t</p></div><article><p>u</p></article></body>"
+    rows = [(1, "https://a.example/1", plain), (2, "https://a.example/2", mixed), (3, "https://b.example/1", plain)]
+    got = wrappers.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {1: "t", 2: "u", 3: "t"}
+
+
 def test_wrappers_hold_optional_and_repeated_groups():
     streams = [wrappers.fold(s.split()) for s in ("ul li # /li li # /li /ul p # /p", "ul li # /li /ul p # /p p # /p", "ul li # /li li # /li li # /li /ul h2 # /h2 p # /p")]
     made = wrappers.wrapper_of(streams)
