@@ -2,17 +2,22 @@
 
 The kernel of two words sums over their common subsequences of four characters, gaps allowed, each weighted by
 DECAY to the power of the characters it spans (at most SPAN), with marks for a word's start and end; it is scaled
-by the words' lengths. So a word with gaps or inserted characters stays close to the word that it hides. Kernel
-values to the landmarks, whitened by the landmarks' own kernel matrix, are a word's features. The machine is trained
-on the words of sentences labelled with their document's label: most words of toxic sentences are harmless and
-cancel out against the same words in clean ones, what is left of the margin marks the insults. A document's score is
-a logistic function of the share and number of words beyond the margin, fitted on the same training rows.
+by the words' lengths and raised to POWER, which keeps near words apart from far ones. So a word with gaps or inserted
+characters stays close to the word that it hides. The kernel of two sentences is the sum over their pairs of words;
+with landmark words, whitened by the landmarks' own kernel matrix (Nystrom), a sentence's features are the sums of its
+words' features.
 
-Training takes at most TRAIN_ROWS labelled documents of each class, those with the smallest hashes of their ids,
-and of these only rows the caller allows; scoring reads every whole text. Only the text is an input of a score.
+The machine is trained on sentences. A clean document's sentences are all clean; in a toxic one only some are at fault, so
+each of its sentences weighs by how far it stands out under the machine of the round before (ROUNDS rounds, from
+equal weights). Landmarks with one inserted character are further toxic sentences of one word. A document's score is
+a logistic function of its sentences' margins, fitted on the same training rows.
+
+Training takes at most TRAIN_ROWS labelled documents of each class, those with the smallest hashes of their ids, of
+these as many as together have TRAIN_CHARS characters, and only rows the caller allows; scoring reads every whole text.
+Only the text is an input of a score.
 
 Results for odd input: null text counts as empty; texts without words score as the fitted function says for no
-insults in no words; without training rows of both classes every score is 0; labels that are null or of unknown documents are
+sentences; without training rows of both classes every score is 0; labels that are null or of unknown documents are
 not used; repeated rows are scored alike; an empty table gives an empty result; other columns are passed by.
 """
 
@@ -23,27 +28,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairquarry.llm.shared import text_of
 
-#: Most labelled documents of a class that are used to train.
-TRAIN_ROWS = 1200
+#: Most labelled documents of a class that are used to train, and most characters of a class's documents.
+TRAIN_ROWS, TRAIN_CHARS = 1200, 4_000_000
 LANDMARKS, BACKGROUND = 96, 24
-DECAY, SPAN = 0.7, 7
+DECAY, SPAN, POWER = 0.7, 7, 3
 #: Places of a subsequence's characters after the first.
 GAPS = [(a, b, c) for a in range(1, SPAN) for b in range(a + 1, SPAN) for c in range(b + 1, SPAN)]
-#: Words kept with their margins between the batches of a task; memory only.
-CACHE_WORDS = 300_000
-#: Words compared at once.
-BLOCK = 5_000
+#: Rounds in which sentences of toxic documents are weighed again, and how sharply.
+ROUNDS, SHARPNESS = 3, 2.0
+#: What a clean document weighs against a toxic one, and all disguised landmarks against all toxic documents.
+CLEAN_WEIGHT, DISGUISED_WEIGHT = 1.5, 0.3
+#: Words kept with their margins between the batches of a task, characters scored together, words compared at once; memory only.
+CACHE_WORDS, CHUNK_CHARS, BLOCK = 300_000, 4_000_000, 5_000
 #: Up to this many character codes a table has a place for every key; with more, keys are searched.
 DENSE = 61
 THRESHOLD = 0.3
-#: A word counts as an insult from half of this part of the margin on, and fully from half of NEAR + 1.
-NEAR = 0.4
 INSERTS = ".*-_x"
+ENDS = (".", "!", "?")
 
 
 def bare(word: str) -> str:
@@ -51,27 +57,37 @@ def bare(word: str) -> str:
     return "^" + word.strip(".,;:!?\"'()[]{}<>*#$%&@~|/\\+=-_") + "$"
 
 
+def words_and_sentences(text: str) -> tuple[list[str], list[int]]:
+    """Lower-cased words, and where the lines among them end; sentences end there and after a word that ends in a full stop or the like."""
+    words: list[str] = []
+    ends = []
+    for line in text.lower().split("\n"):
+        words += line.split()
+        ends.append(len(words))
+    return words, ends
+
+
 @dataclass
 class Kernel:
     """Kernel values of many words to a fixed list of words."""
 
     words: list[str]
-    tabled: bool = True
 
     def __post_init__(self):
         letters = sorted({c for w in self.words for c in w})
         self.code = {c: i + 1 for i, c in enumerate(letters)}
         self.base = len(letters) + 1
         self.kind = np.int32 if self.base <= DENSE else np.int64
-        if not self.tabled:
-            return
-        weights: dict[int, np.ndarray] = {}
+        weights: dict[int, Counter] = {}
         for n, w in enumerate(self.words):
             for key, value in zip(*self.subsequences(w), strict=True):
-                weights.setdefault(int(key), np.zeros(len(self.words)))[n] += value
+                weights.setdefault(int(key), Counter())[n] += value / self.length(len(w))
+        # For each key, in order, the own words that have it and how much it weighs in them.
         self.keys = np.array(sorted(weights), np.int64)
-        self.table = np.array([weights[k] for k in self.keys.tolist()]) if weights else np.zeros((0, len(self.words)))
-        self.table /= np.array([self.length(len(w)) for w in self.words])
+        rows = [weights[k] for k in self.keys.tolist()]
+        self.begin = np.cumsum([0, *map(len, rows)])
+        self.owner = np.array([n for r in rows for n in r], np.int64)
+        self.value = np.array([v for r in rows for v in r.values()], np.float64)
         if self.base <= DENSE:
             self.place = np.full(self.base**4, -1, np.int16 if len(self.keys) < 2**15 else np.int32)
             self.place[self.keys] = np.arange(len(self.keys))
@@ -133,21 +149,17 @@ class Kernel:
 
     def to(self, words: list[str]) -> np.ndarray:
         """Kernel values, a row per word."""
-        out = np.zeros((len(words), len(self.words)))
-        for begin in range(0, len(words), BLOCK):
-            part = out[begin : begin + BLOCK]
-            for at, place, weight in self.found(words[begin : begin + BLOCK]):
-                if len(at):
-                    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-                    part[at[first]] += np.add.reduceat(self.table[place], first, axis=0) * weight
-        return out / self.scale(words)[:, None]
-
-    def weighted(self, words: list[str], value: np.ndarray) -> np.ndarray:
-        """to(words) @ weights, where value is table @ weights: one number for each subsequence."""
-        out = np.zeros(len(words))
-        for at, place, weight in self.found(words):
-            out += np.bincount(at, value[place] * weight, len(words))
-        return out / self.scale(words)
+        size = len(self.words)
+        out = np.zeros((len(words), size))
+        for begin in range(0, len(words) if size else 0, BLOCK):
+            part = words[begin : begin + BLOCK]
+            for at, place, weight in self.found(part):
+                n = self.begin[place + 1] - self.begin[place]
+                each = np.repeat(self.begin[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                flat = np.bincount(np.repeat(at, n) * size + self.owner[each], self.value[each] * weight, len(part) * size)
+                out[begin : begin + BLOCK] += flat.reshape(len(part), size)
+        out /= self.scale(words)[:, None]
+        return out**POWER
 
     def code_limit(self) -> int:
         return max(map(ord, self.code), default=0) + 1
@@ -156,28 +168,43 @@ class Kernel:
 @dataclass
 class Model:
     landmarks: list[str]
-    weights: np.ndarray  # of the whitened kernel values, then the bias
+    weights: np.ndarray  # of the kernel values to the landmarks, then the bias
     doc_weights: np.ndarray  # of document_features, then the bias
     constant: float | None = None  # the score of every text, where nothing could be learned
 
 
-def document_features(hits: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Number and share of words beyond the margin, and their number in all."""
-    share = hits / np.maximum(words, 1)
-    return np.stack([np.log1p(hits), np.minimum(100 * share, 1), np.minimum(100 * share, 2), np.minimum(10 * share, 1), np.log1p(words) / 5, np.ones(len(hits))], axis=1)
+def document_features(margins: list[np.ndarray]) -> np.ndarray:
+    """From the margins of each document's sentences: the largest, the sum and share of those near or beyond the plane, their number."""
+    out = np.zeros((len(margins), 5))
+    for row, m in zip(out, margins, strict=True):
+        near = np.clip(m + 0.5, 0, 2).sum()
+        row[:] = max(m.max(), -3) if len(m) else -3, np.log1p(near), min(near / max(len(m), 1), 1), np.log1p(len(m)) / 5, 1
+    return out
 
 
-def fit_hinge(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, ridge: float = 1e-6, rounds: int = 40) -> np.ndarray:
-    """Linear support vector machine with squared hinge loss, by Newton steps on the margin's inside; each row counts
-    pos for the one class and neg for the other."""
-    w = np.zeros(x.shape[1])
+def fit_hinge(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, start: np.ndarray | None = None, ridge: float = 1e-6, rounds: int = 40) -> np.ndarray:
+    """Linear support vector machine with squared hinge loss, by Newton steps on the margin's inside, halved until the
+    loss falls; each row counts pos for the one class and neg for the other."""
+
+    def loss(m, w):
+        return pos @ np.maximum(1 - m, 0) ** 2 + neg @ np.maximum(1 + m, 0) ** 2 + ridge * w @ w
+
+    w = np.zeros(x.shape[1]) if start is None else start
+    margin = x @ w
     for _ in range(rounds):
-        margin = x @ w
         p, n = pos * (margin < 1), neg * (margin > -1)
-        new = np.linalg.solve(x.T @ (x * (p + n)[:, None]) + ridge * np.eye(x.shape[1]), x.T @ (p - n))
-        if np.allclose(new, w, atol=1e-9):
+        square, side = ridge * np.eye(x.shape[1]), np.zeros(x.shape[1])
+        for at in range(0, len(x), BLOCK):  # so that no copy of all rows is made
+            part = x[at : at + BLOCK].astype(np.float64)
+            square += part.T @ (part * (p + n)[at : at + BLOCK, None])
+            side += part.T @ (p - n)[at : at + BLOCK]
+        step = np.linalg.solve(square, side) - w
+        moved, before, size = x @ step, loss(margin, w), 1.0
+        while size > 1e-4 and loss(margin + size * moved, w + size * step) > before:
+            size /= 2
+        w, margin = w + size * step, margin + size * moved
+        if np.abs(size * step).max() < 1e-7:
             break
-        w = 0.5 * (w + new)
     return w
 
 
@@ -206,102 +233,168 @@ def disguised(word: str) -> list[str]:
     return [f"^{inner[:i]}{INSERTS[i % len(INSERTS)]}{inner[i:]}$" for i in range(1, len(inner))]
 
 
+def landmarks_of(texts: list[str], labels: list[int]) -> tuple[list[str], list[tuple[str, float]]]:
+    """Landmark words, and of the words that set toxic documents apart the first LANDMARKS with how much they do.
+
+    A word's lift is the share of toxic documents that have it, less an error of the count, less four times the share of
+    clean ones. Words are taken by falling lift unless near to one already taken; the most usual words of clean
+    documents follow.
+    """
+    toxic, seen = sum(labels), (Counter(), Counter())
+    for text, label in zip(texts, labels, strict=True):
+        seen[label].update({bare(w) for w in words_and_sentences(text)[0]})
+    lift = {w: (n - 0.5 * n**0.5) / toxic - 4 * seen[0][w] / (len(labels) - toxic) for w, n in seen[1].items() if len(w) > 4}
+    ranked = sorted((w for w in lift if lift[w] > 0), key=lambda w: (-lift[w], w))[: 8 * LANDMARKS]
+    near = Kernel(ranked).to(ranked)
+    taken: list[int] = []
+    for n in range(len(ranked)):
+        if len(taken) < LANDMARKS and all(near[n, t] < 0.6**POWER * (near[n, n] * near[t, t]) ** 0.5 for t in taken):
+            taken.append(n)
+    chosen = [ranked[n] for n in taken]
+    usual = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if len(w) > 4 and w not in chosen]
+    return chosen + usual[:BACKGROUND], [(w, lift[w]) for w in ranked[:LANDMARKS]]
+
+
+def whitening(kernel: Kernel) -> np.ndarray:
+    own = kernel.to(kernel.words)
+    value, vector = np.linalg.eigh((own + own.T) / 2)
+    return vector / np.sqrt(np.maximum(value, 1e-3 * max(value.max(initial=0), 1e-9)))
+
+
+def sentence_starts(words: list[str], line_ends: list[int]) -> np.ndarray:
+    stops = np.array([w.endswith(ENDS) for w in words], bool)
+    return starts_of(stops, line_ends)
+
+
+def starts_of(stops: np.ndarray, line_ends: list[int]) -> np.ndarray:
+    """First word of each sentence; stops: whether a sentence ends after the word."""
+    if not len(stops):
+        return np.zeros(0, np.int64)
+    edge = np.append(True, stops)
+    edge[line_ends] = True
+    return np.flatnonzero(edge[:-1])
+
+
+def sentence_features(texts: list[str], kernel: Kernel, white: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row for each sentence of the texts (features, then 1), and the text it is of."""
+    rows, of = [], []
+    block, at = [], 0
+    for n, text in enumerate(texts):
+        block.append((n, *words_and_sentences(text)))
+        at += len(block[-1][1])
+        if at < 20 * BLOCK and n < len(texts) - 1:
+            continue
+        number: dict[str, int] = {}
+        flat = np.array([number.setdefault(bare(w), len(number)) for _, words, _ in block for w in words], np.int64)
+        starts, base = [], 0
+        for m, words, ends in block:
+            starts.append(base + sentence_starts(words, ends))
+            of.append(np.full(len(starts[-1]), m))
+            base += len(words)
+        starts = np.concatenate(starts)
+        features = (kernel.to([*number]) @ white).astype(np.float32)
+        # Few sentences at a time: their words' features are spelled out before they are summed.
+        for a in range(0, len(starts), 500):
+            end = starts[a + 500] if a + 500 < len(starts) else len(flat)
+            sums = np.add.reduceat(features[flat[starts[a] : end]], starts[a : a + 500] - starts[a], axis=0)
+            rows.append(np.hstack([sums, np.ones((len(sums), 1), np.float32)]))
+        block, at = [], 0
+    return np.concatenate([np.zeros((0, white.shape[1] + 1), np.float32), *rows]), np.concatenate([np.zeros(0, np.int64), *of])
+
+
 def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None = None) -> Model:
     """totals: labelled documents of class 0 and 1 in all, of which texts are a sample."""
     y = np.array(labels)
     toxic, clean = int((y == 1).sum()), int((y == 0).sum())
     if not toxic or not clean:
-        return Model([], np.zeros(1), np.zeros(6), 0.0)
-    seen, share = (Counter(), Counter()), (Counter(), Counter())
-    for text, label in zip(texts, labels, strict=True):
-        counts = Counter(map(bare, text.lower().split()))
-        seen[label].update(counts.keys())
-        for w, n in counts.items():
-            share[label][w] += n / counts.total()
-    lift = {w: n / toxic - 4 * seen[0][w] / clean for w, n in seen[1].items() if n > 1 or toxic < 50}
-    ranked = sorted((w for w in lift if lift[w] > 0 and len(w) > 4), key=lambda w: (-lift[w], w))[: 40 * LANDMARKS]
-    landmarks: list[str] = []
-    if ranked:
-        own = Kernel(ranked[: 8 * LANDMARKS], tabled=False)
-        chosen: list[dict[int, float]] = []
-        for w in own.words:
-            if len(landmarks) == LANDMARKS:
-                break
-            mine = Counter()
-            for key, value in zip(*own.subsequences(w), strict=True):
-                mine[int(key)] += value
-            norm = sum(v * v for v in mine.values()) ** 0.5 or 1.0
-            mine = {k: v / norm for k, v in mine.items()}
-            if all(sum(v * c.get(k, 0.0) for k, v in mine.items()) < 0.6 for c in chosen):
-                chosen.append(mine)
-                landmarks.append(w)
-    usual = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if len(w) > 4 and w not in landmarks]
-    landmarks += usual[:BACKGROUND]
+        return Model([], np.zeros(1), np.zeros(5), 0.0)
+    landmarks, insults = landmarks_of(texts, labels)
     kernel = Kernel(landmarks)
-    # Words weigh as their share of their documents, both classes alike; a toxic class's own words get their disguises.
-    # Words of a single document say nothing about a class, once documents are many.
-    least = 2 if len(texts) > 200 else 1
-    types = sorted(w for w in {*share[0], *share[1]} if seen[0][w] + seen[1][w] >= least)
-    pos, neg = np.array([share[1][w] for w in types]) / toxic, np.array([share[0][w] for w in types]) / clean
-    hidden = [(v, max(lift[w], 0)) for w in ranked[:LANDMARKS] for v in disguised(w)]
-    types += [v for v, _ in hidden]
-    extra = np.array([n for _, n in hidden]) if hidden else np.zeros(0)
-    extra = extra / max(extra.sum(), 1e-12) * max((pos - neg).clip(0).sum(), 0) * 0.2
-    pos, neg = np.concatenate([pos, extra]), np.concatenate([neg, np.zeros(len(hidden))])
-    x = np.hstack([kernel.to(types) @ whitening(kernel), np.ones((len(types), 1))])
-    # Half of each word's evidence for one class cancels against the other's.
-    weights = fit_hinge(x, pos, 1.5 * neg)
-    model = Model(landmarks, weights, np.zeros(6))
-    scorer = Scorer(model)
-    hits, words = np.array([scorer.hits(t) for t in texts]).T
+    white = whitening(kernel)
+    x, of = sentence_features(texts, kernel, white)
+    hidden = [(v, lift) for w, lift in insults for v in disguised(w)]
+    own = np.hstack([kernel.to([v for v, _ in hidden]) @ white, np.ones((len(hidden), 1))]).astype(np.float32)
+    weight = np.array([n for _, n in hidden])
+    weight = DISGUISED_WEIGHT * weight / max(weight.sum(), 1e-12)
+    # A document's sentences share its weight, and a class's documents the class's.
+    share = 1 / np.maximum(np.bincount(of, minlength=len(y)), 1)[of]
+    neg = np.append(np.where(y[of] == 0, CLEAN_WEIGHT * share / clean, 0), np.zeros(len(hidden)))
+    every = np.concatenate([x, own])
+    w = None
+    for _ in range(ROUNDS + 1):
+        if w is not None:
+            margin = x @ w
+            top = np.full(len(y), -np.inf)
+            np.maximum.at(top, of, margin)
+            share = np.exp(SHARPNESS * (margin - top[of]))
+            share /= np.bincount(of, share, len(y))[of]
+        pos = np.append(np.where(y[of] == 1, share / toxic, 0), weight)
+        w = fit_hinge(every, pos, neg, w)
+    margin = x @ w
+    edges = np.searchsorted(of, np.arange(len(y) + 1))
+    features = document_features([margin[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
     # The sample may hold the classes in other shares than the labels do.
-    share_of = np.array(totals or (clean, toxic)) / (clean, toxic)
-    weight = share_of[y] * len(y) / share_of[y].sum()
-    model.doc_weights = fit_logistic(document_features(hits, words), y.astype(float), weight)
-    return model
-
-
-def whitening(kernel: Kernel) -> np.ndarray:
-    own = kernel.to(kernel.words)
-    value, vector = np.linalg.eigh((own + own.T) / 2)
-    return vector / np.sqrt(np.maximum(value, 1e-3 * max(value.max(), 1e-9)))
+    of_class = np.array(totals or (clean, toxic)) / (clean, toxic)
+    counts = of_class[y] * len(y) / of_class[y].sum()
+    return Model(landmarks, np.append(white @ w[:-1], w[-1]), fit_logistic(features, y.astype(float), counts))
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model = model
-        self.kernel = Kernel(model.landmarks)
-        self.value = self.kernel.table @ (whitening(self.kernel) @ model.weights[:-1]) if model.landmarks else None
-        self.margin: dict[str, float] = {}
-
-    def hits(self, text: str) -> tuple[float, int]:
-        """Sum over all words of how far each is beyond the margin (0 to 1), and the number of words."""
-        words = text.lower().split()
-        if len(self.margin) > CACHE_WORDS:
-            self.margin = {}
-        new = [*{w for w in words if w not in self.margin}]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            far = self.kernel.weighted([bare(w) for w in part], self.value) + self.model.weights[-1]
-            self.margin.update(zip(part, np.clip(2 * far - NEAR, 0, 1).tolist(), strict=True))
-        return sum(map(self.margin.__getitem__, words)), len(words)
+        self.model, self.kernel = model, Kernel(model.landmarks)
+        self.reset()
+
+    def reset(self) -> None:
+        self.number: dict[str, int] = {}
+        self.margin, self.stops = np.zeros(0), np.zeros(0, bool)
+
+    def learn(self) -> None:
+        """Margins of the words numbered since the last time."""
+        new = list(self.number)[len(self.margin) :]
+        for at in range(0, len(new), 4 * BLOCK):
+            part = new[at : at + 4 * BLOCK]
+            self.margin = np.append(self.margin, self.kernel.to([bare(w) for w in part]) @ self.model.weights[:-1])
+            self.stops = np.append(self.stops, np.array([w.endswith(ENDS) for w in part], bool))
+
+    def margins(self, texts: list[str]) -> list[np.ndarray]:
+        """The margins of each text's sentences."""
+        out: list[np.ndarray] = []
+        i = 0
+        while i < len(texts):
+            if len(self.number) > CACHE_WORDS:
+                self.reset()
+            chunk, chars, number = [], 0, self.number
+            while i < len(texts) and (not chunk or chars + len(texts[i]) <= CHUNK_CHARS):
+                words, ends = words_and_sentences(texts[i])
+                chunk.append((np.array([number.setdefault(w, len(number)) for w in words], np.int64), ends))
+                chars, i = chars + len(texts[i]), i + 1
+            self.learn()
+            for ids, ends in chunk:
+                starts = starts_of(self.stops[ids], ends)
+                out.append(np.add.reduceat(self.margin[ids], starts) + self.model.weights[-1] if len(starts) else np.zeros(0))
+        return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.model.constant is not None or not texts:
             return np.full(len(texts), self.model.constant or 0.0)
-        hits, words = np.array([self.hits(t) for t in texts], float).T
-        z = document_features(hits, words) @ self.model.doc_weights
+        z = document_features(self.margins(texts)) @ self.model.doc_weights
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str, label_col: str, rows: int) -> tuple[list[str], list[int], tuple[int, int]]:
-    """At most `rows` labelled texts of each class, those with the smallest hashes of their ids; and the labels of each class."""
+def training_sample(
+    docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str, label_col: str, rows: int, chars: int
+) -> tuple[list[str], list[int], tuple[int, int]]:
+    """At most `rows` labelled texts of each class, those with the smallest hashes of their ids, and of these as many as
+    have `chars` characters together; and the labels of each class."""
     wanted = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).where(allowed & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
     counts = {r["y"]: r["count"] for r in wanted.groupBy("y").count().collect()}
     by_hash = lambda y: wanted.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # At most 2 * rows ids of a few bytes: small enough to broadcast by its own bound.
     chosen = F.broadcast(by_hash(0).unionByName(by_hash(1)))
-    sample = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(chosen, "doc_id").orderBy("doc_id", "y", "text").collect()
+    found = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(chosen, "doc_id")
+    order = [F.xxhash64("doc_id"), "doc_id", "text"]
+    upto = F.sum(F.length("text")).over(Window.partitionBy("y").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sample = found.withColumn("upto", upto).where(F.col("upto") <= chars).orderBy("doc_id", "y", "text").select("text", "y").collect()
     return [r["text"] for r in sample], [r["y"] for r in sample], (counts.get(0, 0), counts.get(1, 0))
 
 
@@ -311,29 +404,26 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """id_col and score of every row; with keep, all columns of docs and then __score."""
-    score_col = "__score" if keep else "score"
-    chosen = docs.select("*" if keep else F.col(id_col), text_of(text_col).alias("__text"))
+    """id_col and score of every row; with keep, all columns of docs in a struct `row`, and score."""
+    own = F.struct("*").alias("row") if keep else F.col(id_col)
+    chosen = docs.select(own, text_of(text_col).alias("text"))
 
     def run(batches):
         scorer = Scorer(model)
         for batch in batches:
-            own = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = batch.schema.names[:-1]
-            scores = scorer.scores(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*own, pa.array(scores, pa.float64())], names=[*names, score_col])
+            scores = scorer.scores(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=[batch.schema.names[0], "score"])
 
-    out = chosen.drop("__text").withColumn(score_col, F.lit(0.0)).schema
-    return chosen.mapInArrow(run, out)
+    return chosen.mapInArrow(run, chosen.drop("text").withColumn("score", F.lit(0.0)).schema)
 
 
-def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
-    return train(*training_sample(docs, labels, ~held_out("doc_id"), id_col, text_col, label_col, rows))
+def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
+    return train(*training_sample(docs, labels, ~held_out("doc_id"), id_col, text_col, label_col, rows, chars))
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows whose score reaches the threshold; all columns stay."""
-    return score_documents(docs, model, keep=True).where(F.col("__score") < threshold).select(*docs.columns)
+    return score_documents(docs, model, keep=True).where(F.col("score") < threshold).select("row.*")
 
 
 def op3_toxicity(spark, sf_dir):

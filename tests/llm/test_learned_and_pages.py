@@ -1,8 +1,11 @@
 import zlib
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from pairquarry.llm import toxicity, wrappers
 
@@ -12,18 +15,18 @@ BIG = "/root/testdata/sf0.1"
 @pytest.fixture(scope="module")
 def model(spark):
     docs, labels = spark.read.parquet(f"{BIG}/documents.parquet"), spark.read.parquet(f"{BIG}/labels.parquet")
-    return toxicity.learned(docs, labels, rows=800)
+    return toxicity.learned(docs, labels)
 
 
 def test_held_out_accuracy(spark, model):
     docs, labels = spark.read.parquet(f"{BIG}/documents.parquet"), spark.read.parquet(f"{BIG}/labels.parquet")
-    tested = toxicity.score_documents(docs.join(labels.where(toxicity.held_out()), "doc_id"), model, keep=True).select("doc_id", "toxic", "__score").collect()
+    tested = toxicity.score_documents(docs.join(labels.where(toxicity.held_out()), "doc_id"), model, keep=True).select("row.*", "score").collect()
     assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in tested)
-    score, y = np.array([r["__score"] for r in tested]), np.array([r.toxic for r in tested])
+    score, y = np.array([r.score for r in tested]), np.array([r.toxic for r in tested])
     rank = np.argsort(np.argsort(score, kind="stable")) + 1
     area = (rank[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (y == 0).sum())
     caught = score >= toxicity.THRESHOLD
-    assert area > 0.9 and y[caught].mean() > 0.7 and caught[y == 1].mean() > 0.75
+    assert area > 0.95 and y[caught].mean() > 0.85 and caught[y == 1].mean() > 0.9
 
 
 def test_disguised_insults_are_found(model):
@@ -46,21 +49,61 @@ def test_without_both_classes_nothing_is_toxic(spark):
     assert [r.score for r in toxicity.score_documents(docs, toxicity.learned(docs, labels)).collect()] == [0.0]
 
 
+def test_few_labels_are_enough_for_a_score(spark):
+    docs = spark.createDataFrame([(1, "you utter blockhead. fine day"), (2, "fine day. good news"), (3, "what a block-head"), (4, "good day")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_documents(docs, toxicity.learned(docs, labels)).collect()}
+    assert got[3] > got[4] and got[1] > got[2]
+
+
+def test_training_takes_no_more_than_its_bounds(spark):
+    docs = spark.createDataFrame([(i, "word " * 20) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    texts, y, totals = toxicity.training_sample(docs, labels, F.lit(True), "doc_id", "text", "toxic", 8, 550)
+    assert (len(texts), sum(y), totals) == (10, 5, (20, 20))
+
+
+def brute_kernel(a, b):
+    """Common subsequences of four characters, each weighted by the characters that it spans."""
+
+    def weights(word):
+        out = Counter()
+        for places in combinations(range(len(word)), 4):
+            span = places[-1] - places[0] + 1
+            if span <= toxicity.SPAN:
+                out["".join(word[p] for p in places)] += toxicity.DECAY**span
+        return out
+
+    x, y = weights(a), weights(b)
+    norm = lambda w: sum(toxicity.DECAY ** (2 * (p[-1] - p[0] + 1)) for p in combinations(range(len(w)), 4) if p[-1] - p[0] < toxicity.SPAN) ** 0.5
+    return (sum(v * y[k] for k, v in x.items()) / norm(a) / norm(b)) ** toxicity.POWER
+
+
+def test_kernel_equals_brute_force():
+    known = ["^idiot$", "^банан$", "^aaaaaaa$", "^漢字漢字$", "^worthless$"]
+    words = ["^idiot$", "^id.iot$", "^iiddiioott$", "^aaaa$", "^банан-банан$", "^字漢字漢$", "^less-worth$", "^table$"]
+    assert np.allclose(toxicity.Kernel(known).to(words), [[brute_kernel(w, k) for k in known] for w in words])
+
+
 def test_kernel_is_symmetric_and_tolerates_gaps():
     k = toxicity.Kernel(["^idiot$", "^table$"])
     own = k.to(["^idiot$", "^table$"])
-    assert np.allclose(own, own.T) and own[0, 1] < 0.05
+    assert np.allclose(own, own.T) and own[0, 1] < 0.001
     near = k.to(["^id-iot$", "^idiott$", "^tablet$"])
-    assert near[0, 0] > 0.25 * own[0, 0] and near[1, 0] > 0.5 * own[0, 0] and near[2, 0] < 0.05
+    assert near[0, 0] > 0.25**3 * own[0, 0] and near[1, 0] > 0.5**3 * own[0, 0] and near[2, 0] < 0.001
 
 
 def test_kernel_keeps_all_characters_of_its_words():
     words = ["^abcdefghijklmnopqrstuvwxyz$", "^0123456789$", "^абвгдежзийклмнопрстуфхцчш$", "^щъыьэюя$", "^" + "".join(map(chr, range(0x4E00, 0x4F00))) + "$"]
     for known in (words[:4], words):
         k = toxicity.Kernel(known)
-        assert np.allclose(np.diag(k.to(known)), [toxicity.Kernel([w]).to([w])[0, 0] for w in known])
-        assert k.weighted(known, k.table.sum(axis=1)).min() > 0.1
-    assert toxicity.Kernel(["^idiot$"]).to(["^idiot$"])[0, 0] > 0.1
+        assert np.allclose(np.diag(k.to(known)), [toxicity.Kernel([w]).to([w])[0, 0] for w in known]) and k.to(known).max(axis=1).min() > 0.1
+
+
+def test_sentences_end_at_stops_and_lines():
+    words, ends = toxicity.words_and_sentences("One two. Three\n\nfour! 5\n")
+    assert words == ["one", "two.", "three", "four!", "5"] and toxicity.sentence_starts(words, ends).tolist() == [0, 2, 3, 4]
+    assert toxicity.sentence_starts(*toxicity.words_and_sentences("\n")).tolist() == []
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a = "<p>no</p>";</script></head><body><nav><ul>{menu}</ul></nav><div class="cookie-notice">We use cookies</div>
