@@ -5,8 +5,8 @@ Two fingerprints at `radius` bits or fewer agree on some choice of `blocks - rad
 grouped by each such choice. Within a group every node has its Hamming distances to the pivots (reference
 fingerprints); since distances obey the triangle inequality, a pair whose coordinates differ by more than the radius
 anywhere is discarded, and the survivors are verified bit by bit. A group gives the links of a spanning forest, not
-all its pairs. Groups over `group_rows` nodes are not compared pairwise: their nodes are keyed by every fingerprint
-within half the radius of their own, which two nodes share exactly if they are within the radius.
+all its pairs. Nodes of groups over `group_rows` are grouped again by finer blocks; at 16 blocks a group differs in 8 bits
+only, so that it has at most 256 nodes however many share a block. Every link comes from a pivot table.
 
 Results for odd input: null text counts as empty; texts without words get fingerprint 0 and are linked like any
 other; a null id never represents a group unless all its ids are null; repeated rows give repeated result rows; an
@@ -15,6 +15,7 @@ empty table gives an empty result; other columns are passed by.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -30,7 +31,8 @@ from pairquarry.llm.shared import materialize, text_of
 BITS = 64
 SEED = 42
 PIVOTS = 48
-GROUP_ROWS = 512
+#: Nodes of a group that are compared in one go, and into how many blocks of bits fingerprints are cut, and cut again.
+GROUP_ROWS, BLOCKS = 512, (4, 16)
 #: Bins of a min-hash sketch, and bands of rows among them that are keys.
 BINS, BANDS, ROWS = 256, 24, 4
 #: The share of equal minima errs by up to this much (four deviations); pairs that fall short by it are still compared exactly.
@@ -150,25 +152,13 @@ def block_keys(radius: int, blocks: int) -> list:
     return keys
 
 
-def ball_keys(radius: int) -> list:
-    """All fingerprints within radius // 2 bits; for an even radius two nodes share one exactly if they are within it."""
-    signed = lambda b: (1 << b) - (1 << BITS) * (b == BITS - 1)
-    return [
-        F.col("fp").bitwiseXOR(F.lit(sum(signed(b) for b in flips)))
-        for n in range(radius // 2 + 1)
-        for flips in combinations(range(BITS), n)
-    ]
+def near_links(nodes: DataFrame, radius: int = 2, levels: tuple[int, ...] = BLOCKS, pivots: int = PIVOTS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(a, b): links that connect all nodes(node, fp) within the radius of each other. fp must be unique.
 
-
-def near_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, pivots: int = PIVOTS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(a, b): links that connect all nodes(node, fp) within the radius of each other. fp must be unique, radius even."""
-    if radius % 2:
-        raise ValueError("radius must be even")
-    keyed = nodes.select("node", "fp", F.explode(F.array(*block_keys(radius, blocks))).alias("key"))
-    sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-sizes")
-    shared = materialize(keyed.join(sizes, "key"), "simhash-shared")
+    levels: into how many blocks fingerprints are cut; groups that are too large at one level are cut finer at the next,
+    and at the last level all groups are compared, as they have at most 2**(radius * 64 / levels[-1]) nodes.
+    """
     kind = nodes.schema["node"].dataType.simpleString()
-    dealt = shared.where(F.col("n") <= group_rows).select("key.choice", "key.bits", "node", "fp").repartition("choice", "bits").sortWithinPartitions("choice", "bits")
 
     def compare(batches):
         reference = pivot_fingerprints(pivots)
@@ -181,13 +171,18 @@ def near_links(nodes: DataFrame, radius: int = 2, blocks: int = 4, pivots: int =
                     b.append(ids[x + j])
             yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=frame["node"].dtype), "b": pd.Series(b, dtype=frame["node"].dtype)}), preserve_index=False)
 
-    small = dealt.mapInArrow(compare, f"a {kind}, b {kind}")
-    crowded = shared.where(F.col("n") > group_rows).select("node", "fp").distinct()
-    balls = crowded.select("node", F.explode(F.array(*ball_keys(radius))).alias("ball"))
-    # A ball has no more nodes than a ball has fingerprints, so its least node is linked to each.
-    least = balls.groupBy("ball").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    large = balls.join(least, "ball").where("node <> a").select("a", F.col("node").alias("b"))
-    return small.unionByName(large).distinct()
+    links, left = [], nodes.select("node", "fp")
+    for blocks in levels:
+        keyed = left.select("node", "fp", F.explode(F.array(*block_keys(radius, blocks))).alias("key"))
+        sizes = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-sizes")
+        shared = materialize(keyed.join(sizes, "key"), "simhash-shared")
+        crowded = F.lit(False) if blocks == levels[-1] else F.col("n") > group_rows
+        dealt = shared.where(~crowded).select("key.choice", "key.bits", "node", "fp").repartition("choice", "bits").sortWithinPartitions("choice", "bits")
+        links.append(materialize(dealt.mapInArrow(compare, f"a {kind}, b {kind}"), "simhash-links"))
+        left = shared.where(crowded).select("node", "fp").distinct()
+        if blocks == levels[-1] or left.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, links).distinct()
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
