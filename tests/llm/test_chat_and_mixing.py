@@ -76,33 +76,46 @@ def mixed_docs(spark):
 
 
 def test_mix_meets_its_targets(mixed_docs):
-    rows = mixing.mix_counts(mixed_docs).collect()
+    rows = mixing.mix_counts(mixed_docs).select(F.col("row.source").alias("source"), F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "copies").collect()
     sizes = {}
     for r in rows:
-        sizes[r.source] = sizes.get(r.source, 0) + r["__size"]
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
     want = brute_targets(sizes)
-    largest = max(r["__size"] for r in rows)
+    largest = max(r.size for r in rows)
     for s in sizes:
         mine = [r for r in rows if r.source == s]
-        assert mine[0]["__source_size"] == sizes[s] and abs(mine[0]["__target"] - want[s]) < 1e-6
-        assert abs(sum(r["__size"] * r["__copies"] for r in mine) - want[s]) <= largest / 2 + 1
-    assert all(0 <= r["__copies"] <= 3 for r in rows)
-    assert sorted(map(repr, mixing.mix_counts(mixed_docs).collect())) == sorted(map(repr, rows))
+        assert mine[0].source_size == sizes[s] and abs(mine[0].target - want[s]) < 1e-6
+        assert abs(sum(r.size * r.copies for r in mine) - want[s]) <= largest / 2 + 1
+    assert all(0 <= r.copies <= 3 for r in rows)
+    again = mixing.mix_counts(mixed_docs.repartition(7)).select("row.doc_id", "copies").collect()
+    assert sorted(map(repr, again)) == sorted(repr(type(again[0])(doc_id=r.doc_id, copies=r.copies)) for r in rows)
 
 
 def test_mix_takes_whole_rows(mixed_docs):
     taken = mixing.mix_documents(mixed_docs)
     assert taken.columns == mixed_docs.columns
-    counts = {r.doc_id: r["__copies"] for r in mixing.mix_counts(mixed_docs).collect()}
+    counts = {r.doc_id: r.copies for r in mixing.mix_counts(mixed_docs).select("row.doc_id", "copies").collect()}
     got = {r.doc_id: r["count"] for r in taken.groupBy("doc_id").count().collect()}
     assert got == {i: n for i, n in counts.items() if n}
 
 
 def test_mix_of_nothing(mixed_docs):
     assert mixing.mix_counts(mixed_docs.limit(0)).count() == 0
-    assert {r["__target"] for r in mixing.mix_counts(mixed_docs.where("doc_id = 3000")).collect()} == {0.0}
+    assert {r.target for r in mixing.mix_counts(mixed_docs.where("doc_id = 3000")).collect()} == {0.0}
 
 
-def test_higher_odds_come_first(spark):
-    q = lambda p, u: u / (1 - u) / (p / (1 - p))
-    assert q(0.8, 0.3) < q(0.2, 0.3) and q(0.5, 0.2) < q(0.5, 0.3)
+def test_longer_documents_are_taken_more_often(spark):
+    # Half of the words of one source, so that no copy is certain; short and long documents compete by their odds.
+    rng = random.Random(7)
+    rows = [(i, " ".join(["w"] * rng.choice([3, 3000])), "a") for i in range(1200)] + [(5000 + i, " ".join(["w"] * 1500), "b") for i in range(600)] + [(9000 + i, " ".join(["w"] * 1500), "c") for i in range(600)]
+    found = mixing.mix_counts(spark.createDataFrame(rows, "doc_id long, text string, source string")).select("row.source", "size", "copies").where("source = 'a'").collect()
+    share = lambda size: sum(r.copies for r in found if r.size == size) / sum(r.size == size for r in found)
+    # 8 + 12 digits against 8 + 2.
+    assert {r.copies for r in found} == {0, 1} and abs(share(3000) / share(3) - 2) < 0.35
+
+
+def test_ranks_are_random_odds_by_inclusion_odds(spark):
+    got = spark.range(1).select(*[mixing.pareto_rank(F.lit(b), F.lit(p)).alias(f"r{n}") for n, (b, p) in enumerate([(2**42, 0.8), (2**42, 0.2), (2**43, 0.2), (2**42, 0.0)])]).first()
+    odds = lambda b, p: (b + 0.5) / (2**44 - b - 0.5) / (p / (1 - p))
+    want = [q / (1 + q) for q in (odds(2**42, 0.8), odds(2**42, 0.2), odds(2**43, 0.2))]
+    assert got[3] is None and all(abs(g - w) < 1e-12 for g, w in zip(got[:3], want, strict=True)) and want == sorted(want)
