@@ -36,13 +36,13 @@ from pairquarry.llm.shared import text_of
 #: Most labelled documents of a class that are used to train, and most characters of a class's documents.
 TRAIN_ROWS, TRAIN_CHARS = 1200, 4_000_000
 LANDMARKS, BACKGROUND = 96, 24
-DECAY, SPAN, POWER = 0.7, 7, 3
+DECAY, SPAN, POWER = 0.7, 7, 2
 #: Places of a subsequence's characters after the first.
 GAPS = [(a, b, c) for a in range(1, SPAN) for b in range(a + 1, SPAN) for c in range(b + 1, SPAN)]
 #: Rounds in which sentences of toxic documents are weighed again, and how sharply.
 ROUNDS, SHARPNESS = 3, 2.0
 #: What a clean document weighs against a toxic one, and all disguised landmarks against all toxic documents.
-CLEAN_WEIGHT, DISGUISED_WEIGHT = 1.5, 0.3
+CLEAN_WEIGHT, DISGUISED_WEIGHT = 1.5, 0.5
 #: Words kept with their margins between the batches of a task, characters scored together, words compared at once; memory only.
 CACHE_WORDS, CHUNK_CHARS, BLOCK = 300_000, 4_000_000, 5_000
 #: Up to this many character codes a table has a place for every key; with more, keys are searched.
