@@ -35,12 +35,8 @@ PIVOTS = 48
 GROUP_ROWS, BLOCKS = 512, (4, 16)
 #: Bins of a min-hash sketch, and bands of rows among them that are keys.
 BINS, BANDS, ROWS = 256, 24, 4
-#: The share of equal minima errs by up to this much (four deviations); pairs that fall short by it are still compared exactly.
-SLACK = 0.1
-#: Bits by which fingerprints of similar texts may differ, and documents of a key in one chunk.
-SIMILAR_RADIUS, CHUNK = 24, 1024
-#: Best partners of a document in a block that are compared exactly before all that are left.
-BEST = 8
+#: Bits by which fingerprints of similar texts may differ; documents of a family in one chunk, and shingles of one.
+SIMILAR_RADIUS, CHUNK, CHUNK_SHINGLES = 24, 1024, 1_000_000
 #: Rows of an Arrow batch that carries texts or shingles.
 SLICE = 1000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -210,40 +206,37 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def similarity_sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, text, fp, mins, keys): the fingerprint of the different shingles, a byte of each bin's least hash with a
-    bit map of the bins filled, band keys."""
+    """(doc_id, text, fp, keys): the fingerprint of the different shingles; the keys of their min-hash bands, and one of all minima."""
     chosen = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
 
     def run(batches):
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            fps, mins, keys = [], [], []
+            fps, keys = [], []
             for text in batch.column(1):
                 # Each shingle once, as the Jaccard index counts it: a line repeated often must not outvote the others.
                 hashes = np.unique(shingle_hashes(text.as_py(), shingle))
                 least = sketch(hashes)
                 fps.append(fingerprint(hashes))
-                mins.append(((least >> np.uint64(8)) & np.uint64(255)).astype(np.uint8).tobytes() + np.packbits(least > 0).tobytes())
-                keys.append(band_keys(least).view(np.int64))
+                own = band_keys(least)
+                keys.append(np.append(own, np.uint64(xxhash.xxh64_intdigest(least.tobytes(), SEED))).view(np.int64) if len(own) else own.view(np.int64))
             ends = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
             flat = pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(mins, pa.binary()), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "text", "fp", "mins", "keys"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "text", "fp", "keys"])
 
-    return chosen.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, text string, fp long, mins binary, keys array<long>")
+    return chosen.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, text string, fp long, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """docs(doc_id, text, fp, mins) with the sorted hashes of the different shingles instead of the text."""
+    """docs(doc_id, text, fp) with the sorted hashes of the different shingles instead of the text."""
 
     def run(batches):
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
             ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
             flat = pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "fp", "mins", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "fp", "shingles"])
 
-    return docs.select("doc_id", "text", "fp", "mins").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, mins binary, shingles array<long>")
+    return docs.select("doc_id", "text", "fp").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, shingles array<long>")
 
 
 def exact_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -268,77 +261,105 @@ def exact_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     return materialize(both.mapInArrow(run, f"a {kind}, b {kind}").distinct(), "exact-links")
 
 
-def similar_pairs(fps: np.ndarray, mins: np.ndarray, filled: np.ndarray, table: np.ndarray, side: np.ndarray, allowed, similarity: float, radius: int, best: int | None):
-    """Pairs (i, j), i of side 0 and j of side 1, that may be similar enough; of each i the best ones only, if best is
-    given. allowed(i, j): which of the places j may pair with i."""
+class Postings:
+    """Shingles of many documents: which documents have each."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(x) for x in sets])
+        flat = np.concatenate([np.zeros(0, np.int64), *sets])
+        order = np.argsort(flat, kind="stable")
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        flat = flat[order]
+        self.start = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+        self.known, self.length = flat[self.start], np.diff(np.append(self.start, len(flat)))
+
+    def jaccard(self, own: np.ndarray) -> np.ndarray:
+        """The exact Jaccard index of a set of shingles with each document's."""
+        if not len(self.known):
+            return np.zeros(len(self.sizes))
+        at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+        at = at[self.known[at] == own]
+        n = self.length[at]
+        each = np.repeat(self.start[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = np.bincount(self.owner[each], minlength=len(self.sizes))
+        return shared / np.maximum(len(own) + self.sizes - shared, 1)
+
+
+def joining_links(fps: np.ndarray, sets: list[np.ndarray], component: np.ndarray, side: np.ndarray, similarity: float, radius: int):
+    """Pairs (i, j), i of side 0 and j of side 1, that are similar and join two components not joined before."""
+    table = pivot_table(fps, pivot_fingerprints(PIVOTS))
     other = np.flatnonzero(side == 1)
+    postings = Postings([sets[j] for j in other])
+    names, number = np.unique(component, return_inverse=True)
+    root = np.arange(len(names))
     for i in np.flatnonzero(side == 0).tolist():
-        j = other[allowed(i, other)]
+        while (root != root[root]).any():  # few steps: roots are kept flat
+            root = root[root]
+        j = np.flatnonzero(root[number[other]] != root[number[i]])
         for p in range(0, table.shape[1], 8):  # the pivot table, a few coordinates at a time
-            j = j[(np.abs(table[j, p : p + 8] - table[i, p : p + 8]) <= radius).all(axis=1)]
-        j = j[np.bitwise_count(fps[j] ^ fps[i]) <= radius]
+            j = j[(np.abs(table[other[j], p : p + 8] - table[i, p : p + 8]) <= radius).all(axis=1)]
+        j = j[np.bitwise_count(fps[other[j]] ^ fps[i]) <= radius]
         if len(j):
-            both, any_ = filled[j] & filled[i], filled[j] | filled[i]
-            share = ((mins[j] == mins[i]) & both).sum(axis=1) / any_.sum(axis=1)
-            near = np.flatnonzero(share >= similarity - SLACK)
-            if best is not None and len(near) > best:
-                near = near[np.argsort(-share[near], kind="stable")[:best]]
-            yield from ((i, k) for k in j[near].tolist())
+            j = j[postings.jaccard(sets[i])[j] >= similarity]
+            for k in other[j].tolist():
+                a, b = root[number[i]], root[number[k]]
+                if a != b:
+                    root[root == max(a, b)] = min(a, b)
+                    yield i, k
 
 
-def open_pairs(shared: DataFrame, held: DataFrame, components: DataFrame, similarity: float, radius: int, chunk: int, best: int | None) -> DataFrame:
-    """(a, b) of different components that share a key and may be similar enough by their sketches.
+def family_links(shared: DataFrame, held: DataFrame, components: DataFrame, similarity: float, radius: int, chunk: int) -> DataFrame:
+    """(a, b): links that join the components of all similar documents that share a key.
 
-    A key whose documents are one component is done. Of any other, all documents are compared with those outside of
-    its largest component, a chunk of these and a chunk of those at a time, so no task gets more than two chunks.
+    Keys whose documents are one component are done. Documents connected by the other keys are a family; its documents
+    outside of its largest component are compared with all of it, a chunk of these and a chunk of those at a time, by
+    their pivot tables and then their whole shingle sets. A task gives links that join two components, of which there
+    are fewer than components, and never all similar pairs.
     """
     kind = held.schema["doc_id"].dataType.simpleString()
     placed = shared.select("doc_id", "key").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     placed = materialize(placed.withColumn("component", F.coalesce("component", "doc_id")), "similar-placed")
-    counts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
-    still = largest.where("n > top.n").select("key", "n", F.col("top.component").alias("base"), (F.col("n") - F.col("top.n")).alias("rest"))
-    opened = materialize(placed.join(materialize(still, "similar-open"), "key"), "similar-opened")
-    rows = held.select("doc_id", "fp", "mins").join(opened, "doc_id").withColumn("outside", F.col("component") != F.col("base"))
-    parts = lambda n: F.ceil(F.col(n) / chunk).cast("int")
-    own = lambda n: F.pmod(F.xxhash64("doc_id", "key"), parts(n)).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), parts(n) - 1))
-    columns = ["key", "i", "j", "side", "doc_id", "component", "outside", "fp", "mins"]
-    rest = rows.where("outside").withColumn("i", own("rest")).withColumn("j", spread("n")).withColumn("side", F.lit(0))
-    every = rows.withColumn("j", own("n")).withColumn("i", spread("rest")).withColumn("side", F.lit(1))
-    keys = ["key", "i", "j"]
-    dealt = rest.select(columns).unionByName(every.select(columns)).repartition(*keys).sortWithinPartitions(*keys)
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc_id").alias("least")).where("low < high").select("key", "least")
+    opened = materialize(placed.join(materialize(several, "similar-open"), "key"), "similar-opened")
+    named = connected_components(opened.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+    members = named.join(opened.select("doc_id", "component").distinct(), "doc_id")
+    rows = materialize(held.join(members, "doc_id").withColumn("size", F.size("shingles")), "similar-members")
+    counts = rows.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
+    largest = counts.groupBy("family").agg(F.max(F.struct("n", "component", "shingles")).alias("top"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"))
+    parts = lambda n, m: F.greatest(F.ceil(n / chunk), F.ceil(m / CHUNK_SHINGLES), F.lit(1)).cast("int")
+    sizes = largest.select(
+        "family", F.col("top.component").alias("base"), parts(F.col("n"), F.col("shingles")).alias("all_parts"),
+        parts(F.col("n") - F.col("top.n"), F.col("shingles") - F.col("top.shingles")).alias("rest_parts"),
+    )
+    dealt = rows.join(materialize(sizes, "similar-families"), "family")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["family", "i", "j", "side", "doc_id", "component", "fp", "shingles"]
+    rest = dealt.where("component <> base").withColumn("i", own("rest_parts")).withColumn("j", spread("all_parts")).withColumn("side", F.lit(0))
+    every = dealt.withColumn("j", own("all_parts")).withColumn("i", spread("rest_parts")).withColumn("side", F.lit(1))
+    keys = ["family", "i", "j"]
+    grouped = rest.select(columns).unionByName(every.select(columns)).repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
-        pivots = pivot_fingerprints(PIVOTS)
         for frame in whole_groups(batches, keys):
-            fps, a, b = frame["fp"].to_numpy().view(np.uint64), [], []
-            raw = np.frombuffer(b"".join(frame["mins"]), np.uint8).reshape(len(frame), -1)
-            mins, filled = raw[:, :BINS], np.unpackbits(raw[:, BINS:], axis=1).astype(bool)
-            table, side, ids = pivot_table(fps, pivots), frame["side"].to_numpy(), frame["doc_id"].to_numpy()
-            component, outside = frame["component"].to_numpy(), frame["outside"].to_numpy()
+            fps, ids, a, b = frame["fp"].to_numpy().view(np.uint64), frame["doc_id"].to_numpy(), [], []
+            sets, component, side = frame["shingles"].tolist(), frame["component"].to_numpy(), frame["side"].to_numpy()
             for x, y in group_edges(frame, keys):
-                own_ids, own_component, own_outside = ids[x:y], component[x:y], outside[x:y]
-                # Two documents outside meet twice, unless only the best are taken; one pair of the two is enough then.
-                allowed = lambda i, j: (own_component[j] != own_component[i]) & (~own_outside[j] | (best is not None) | (own_ids[j] > own_ids[i]))  # noqa: B023, E731
-                for m, n in similar_pairs(fps[x:y], mins[x:y], filled[x:y], table[x:y], side[x:y], allowed, similarity, radius, best):
-                    a.append(own_ids[m])
-                    b.append(own_ids[n])
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=frame["doc_id"].dtype), "b": pd.Series(b, dtype=frame["doc_id"].dtype)}), preserve_index=False)
+                for m, n in joining_links(fps[x:y], sets[x:y], component[x:y], side[x:y], similarity, radius):
+                    a.append(ids[x + m])
+                    b.append(ids[x + n])
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=ids.dtype), "b": pd.Series(b, dtype=ids.dtype)}), preserve_index=False)
 
-    found = dealt.mapInArrow(run, f"a {kind}, b {kind}")
-    return materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
+    return materialize(grouped.mapInArrow(run, f"a {kind}, b {kind}"), "family-links")
 
 
 def similar_links(sketches: DataFrame, similarity: float, radius: int, chunk: int = CHUNK, shingle: int = 5) -> DataFrame:
     """(a, b) links that connect all documents that share a key and have a Jaccard index of at least the similarity.
 
-    Keys are the bands and, for equal sketches, the sketch. First each key's documents are compared with its least one;
-    then each document with its best partners in other components; then all pairs of different components that are
-    left. Sketches only choose pairs: each link is a pair whose shingles were compared.
+    First each key's documents are compared with its least one, then those that are still apart by families. Keys and
+    fingerprints only choose pairs: each link is a pair whose whole shingle sets were compared.
     """
-    every = F.when(F.size("keys") > 0, F.array_append("keys", F.xxhash64("fp", "mins"))).otherwise(F.col("keys"))
-    keyed = sketches.select("doc_id", F.explode(F.array_distinct(every)).alias("key"))
+    keyed = sketches.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
     sizes = keyed.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least < last").drop("last")
     shared = materialize(keyed.join(materialize(sizes, "similar-sizes"), "key"), "similar-shared")
     ids = materialize(shared.select("doc_id").distinct(), "similar-ids")
@@ -348,10 +369,7 @@ def similar_links(sketches: DataFrame, similarity: float, radius: int, chunk: in
     marked = materialize(stars.join(fps.withColumnsRenamed({"doc_id": "b", "fp": "fb"}), "b"), "similar-marked")
     marked = marked.join(fps.withColumnsRenamed({"doc_id": "a", "fp": "fa"}), "a").where(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= radius)
     links = exact_links(materialize(marked.select("a", "b").distinct(), "similar-near"), held, similarity)
-    for best in (BEST, None):
-        more = exact_links(open_pairs(shared, held, connected_components(links), similarity, radius, chunk, best), held, similarity)
-        links = links.unionByName(more)
-    return links.distinct()
+    return links.unionByName(family_links(shared, held, connected_components(links), similarity, radius, chunk)).distinct()
 
 
 def similar_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = SIMILAR_RADIUS) -> DataFrame:
@@ -359,9 +377,8 @@ def similar_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     index of their shingles.
 
     At 0.8 fingerprints of the different shingles differ by about 10 of 64 bits, more than bit blocks can key; so groups
-    come from bands of min-hashes of the same shingles, the pivot table discards pairs of a group beyond the radius, the
-    share of equal minima of 256 those that are far from similar, and the survivors' shingles are compared exactly.
-    Documents without words are similar to none.
+    come from bands of min-hashes of the same shingles, the pivot table discards pairs of a group beyond the radius, and
+    the survivors' whole shingle sets are compared. Documents without words are similar to none.
     """
     sketches = materialize(similarity_sketches(docs.where(F.col(id_col).isNotNull()), id_col, text_col, shingle), "sketches")
     return connected_components(similar_links(sketches, similarity, radius, shingle=shingle)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
@@ -370,8 +387,8 @@ def similar_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document, that with the smallest id, of each group of near copies; all columns stay."""
     found = similar_duplicates(docs, id_col, text_col, shingle, similarity)
-    extra = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")), "near-extra")
-    return docs.join(extra, docs[id_col] == extra["__id"], "left_anti")
+    extra = materialize(found.where("doc_id <> component_id").select("doc_id"), "near-extra")
+    return docs.join(extra, docs[id_col] == extra["doc_id"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
