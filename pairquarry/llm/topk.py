@@ -1,15 +1,17 @@
 """Exact top-k inner products: a ball tree per shard, branch and bound with a shared k-th score.
 
-Vectors are dealt to shards by a hash of their id. A first round searches one shard per query; the k-th score found
-there bounds every other shard's search, which visits nodes in order of their inner-product upper bound q.c + |q| r
-and stops at the first that can't reach the current k-th place. Scores are exact 64-bit integers; bounds carry a
-slack for rounding. Equal vectors of a shard are one point with its smallest ids, so a vector with many copies costs
-one visit.
+Vectors are dealt to shards by a hash of their id, each vector to one. A shard's task builds its tree once and streams the
+queries that were sent to it, a batch at a time, so that its memory is bounded by the shard. In a first round each
+query goes to one shard; the k-th score found there bounds its search in every other shard, which visits nodes in
+order of their inner-product upper bound q.c + |q| r and stops at the first that can't reach the current k-th place.
+Only queries are copied, one to a shard: with 100 million vectors, 2 % of them queries, and 65,536 vectors a shard, 3
+billion small rows. Scores are exact; bounds carry a slack for rounding. Equal vectors of a shard are one point with its
+smallest ids, so a vector with many copies costs one visit.
 
 Results for odd input: vectors that are null, hold null or non-finite components, or have a null id take no part;
 vectors are compared with those of the same length only; ties go to the smaller id; rows repeating an id and its
-vector count once; fewer candidates than k give fewer rows; an empty table gives an empty result; other columns are
-passed by.
+vector count once; fewer candidates than k give fewer rows; scores beyond the range of a long, of huge components, count
+as its ends; an empty table gives an empty result; other columns are passed by.
 """
 
 from __future__ import annotations
@@ -17,16 +19,18 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairquarry.llm.shared import materialize
 
-SHARD_ROWS = 8192
+#: Most vectors of a shard, and queries that are searched together; a shard of 64 components is some 100 MB.
+SHARD_ROWS = 65_536
 BLOCK_ROWS = 2048
 LEAF_ROWS = 128
 SLACK = 1e-9
+LONG = 2**63 - 1
 
 
 class BallTree:
@@ -67,94 +71,125 @@ class BallTree:
         return queries @ self.center.T + length * self.radius + SLACK * length * reach + SLACK
 
 
-def search_shard(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query's place, id, score) of the best k of this shard that can still be among the best k of all."""
-    points, which = np.unique(vectors, axis=0, return_inverse=True)
-    by_id = np.lexsort((ids, which.ravel()))
-    edges = np.searchsorted(which.ravel()[by_id], np.arange(len(points) + 1))
-    # One more than k of a point's ids, as the query's own may be among them.
-    point_ids = [ids[by_id[a : min(b, a + k + 1)]] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    tree = BallTree(points)
-    limits = tree.bounds(queries.astype(np.float64))
-    out = []
-    for i, (query, own, floor) in enumerate(zip(queries, query_ids, floors, strict=True)):
-        best: list[tuple[int, int]] = []  # (score, -id), the worst first
-        heap = [(-limits[i, 0], 0)]
-        while heap:
-            limit, node = heapq.heappop(heap)
-            worst = max(floor, best[0][0]) if len(best) == k else floor
-            if -limit < worst:
-                break
-            if tree.children[node]:
-                for child in tree.children[node]:
-                    heapq.heappush(heap, (-limits[i, child], child))
-                continue
-            start, end = tree.span[node]
-            inside = tree.order[start:end]
-            scores = points[inside] @ query
-            for j in np.flatnonzero(scores >= worst):
-                for c in point_ids[inside[j]]:
-                    if c != own:
-                        entry = (int(scores[j]), -int(c))
-                        if len(best) < k:
-                            heapq.heappush(best, entry)
-                        elif entry > best[0]:
-                            heapq.heapreplace(best, entry)
-        out += [(i, -c, s) for s, c in best]
-    return out
+class Shard:
+    """The vectors of a shard, in double precision as long as their components are whole numbers below 2**53."""
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray):
+        points, which = np.unique(vectors, axis=0, return_inverse=True)
+        by_id = np.lexsort((ids, which.ravel()))
+        edges = np.searchsorted(which.ravel()[by_id], np.arange(len(points) + 1))
+        self.points, self.sorted_ids, self.edges = points, ids[by_id], edges
+        self.largest = np.abs(points).max(initial=0)
+        self.tree = BallTree(points)
+
+    def ids(self, point: int, n: int) -> list[int]:
+        return self.sorted_ids[self.edges[point] : min(self.edges[point + 1], self.edges[point] + n)].tolist()
+
+    def products(self, inside: np.ndarray, query: np.ndarray, exact: bool) -> np.ndarray:
+        if exact:
+            return self.points[inside] @ query
+        # Products of numbers that doubles can't hold, in whole numbers of any size.
+        whole = [sum(int(a) * int(b) for a, b in zip(p, query, strict=True)) for p in self.points[inside].tolist()]
+        return np.array([max(-LONG - 1, min(LONG, x)) for x in whole], object)
+
+    def search(self, queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        """(query's place, id, score) of the best k of this shard that can still be among the best k of all."""
+        tree, out = self.tree, []
+        limits = np.nan_to_num(tree.bounds(queries), nan=np.inf, posinf=np.inf)
+        for i, (query, own, floor) in enumerate(zip(queries, query_ids.tolist(), floors.tolist(), strict=True)):
+            exact = self.largest * np.abs(query).max(initial=0) * len(query) < 2.0**53
+            best: list[tuple[int, int]] = []  # (score, -id), the worst first
+            heap = [(-limits[i, 0], 0)]
+            while heap:
+                limit, node = heapq.heappop(heap)
+                worst = max(floor, best[0][0]) if len(best) == k else floor
+                if -limit < worst:
+                    break
+                if tree.children[node]:
+                    for child in tree.children[node]:
+                        heapq.heappush(heap, (-limits[i, child], child))
+                    continue
+                start, end = tree.span[node]
+                inside = tree.order[start:end]
+                scores = self.products(inside, query, exact)
+                for j in np.flatnonzero(scores >= worst).tolist():
+                    # One more than k of a point's ids, as the query's own may be among them.
+                    for c in self.ids(inside[j], k + 1):
+                        if c != own:
+                            entry = (int(scores[j]), -c)
+                            if len(best) < k:
+                                heapq.heappush(best, entry)
+                            elif entry > best[0]:
+                                heapq.heapreplace(best, entry)
+            out += [(i, -c, s) for s, c in best]
+        return out
+
+
+def searched(points: DataFrame, asks: DataFrame, k: int, name: str) -> DataFrame:
+    """points: id, v, dim, shard; asks: id, v, dim, shard, floor. A shard's vectors sort before its queries, so its tree
+    is complete when the first query comes; a query without vectors in its shard gives nothing."""
+    vectors = points.select("dim", "shard", F.lit(0).alias("side"), "id", "v", F.lit(0).cast("long").alias("floor"))
+    wanted = asks.select("dim", "shard", F.lit(1).alias("side"), "id", "v", "floor")
+    dealt = vectors.unionByName(wanted).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "side")
+
+    def run(batches):
+        key, ids, rows, shard = None, [], [], None
+        for batch in batches:
+            dims, shards, sides = (batch.column(i).to_numpy() for i in range(3))
+            edge = np.flatnonzero(np.append(True, (dims[1:] != dims[:-1]) | (shards[1:] != shards[:-1]) | (sides[1:] != sides[:-1])))
+            for a, b in zip(edge.tolist(), [*edge[1:].tolist(), batch.num_rows], strict=True):
+                if (dims[a], shards[a]) != key:
+                    key, ids, rows, shard = (dims[a], shards[a]), [], [], None
+                part = batch.slice(a, b - a)
+                own, values = part.column(3).to_numpy(), part.column(4).flatten().to_numpy().reshape(b - a, dims[a])
+                if sides[a] == 0:
+                    ids.append(own)
+                    rows.append(values)
+                    continue
+                if shard is None and ids:
+                    shard = Shard(np.concatenate(rows), np.concatenate(ids))
+                    ids, rows = [], []
+                for at in range(0, b - a if shard else 0, BLOCK_ROWS):
+                    some = slice(at, at + BLOCK_ROWS)
+                    found = shard.search(values[some], own[some], part.column(5).to_numpy()[some], k)
+                    if found:
+                        where, c, score = zip(*found, strict=True)
+                        take = pa.array([at + w for w in where], pa.int64())
+                        yield pa.RecordBatch.from_arrays([part.column(3).take(take), part.column(4).take(take), pa.array(c, pa.int64()), pa.array(score, pa.int64())], names=["query_id", "q", "vec_id", "score"])
+
+    return materialize(dealt.mapInArrow(run, "query_id long, q array<double>, vec_id long, score long"), name)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "vector", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query the k rows of vectors with the highest inner product.
 
-    vectors, queries: id_col (long) and vector_col (array of long). A query's own id is no candidate for it.
+    vectors, queries: id_col (long) and vector_col (array of whole numbers). A query's own id is no candidate for it.
     """
-    tidy = lambda df: df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).distinct().withColumn("dim", F.size("v"))
+    tidy = lambda df: df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).distinct().withColumn("dim", F.size("v"))
     points, asks = materialize(tidy(vectors), "topk-vectors"), materialize(tidy(queries), "topk-queries")
-    shards = max(1, -(-points.count() // shard_rows))
-    blocks = max(1, -(-asks.count() // BLOCK_ROWS))
-    points = points.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    asks = asks.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
-
-    def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            asked = np.stack(right["v"].to_numpy()).astype(np.int64)
-            ids = right["id"].to_numpy()
-            found = search_shard(np.stack(left["v"].to_numpy()).astype(np.int64), left["id"].to_numpy(), asked, ids, right["floor"].to_numpy(), k)
-        return pd.DataFrame(
-            {
-                "query_id": np.array([ids[i] for i, _, _ in found], np.int64),
-                "q": pd.Series([asked[i].tolist() for i, _, _ in found], dtype=object),
-                "vec_id": np.array([c for _, c, _ in found], np.int64),
-                "score": np.array([s for _, _, s in found], np.int64),
-            }
-        )
-
-    def searched(wanted: DataFrame, name: str) -> DataFrame:
-        """wanted: id, v, dim, block, shard, floor."""
-        placed = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        keys = ["dim", "shard", "block"]
-        done = placed.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInPandas(search, "query_id long, q array<long>, vec_id long, score long")
-        return materialize(done, name)
-
+    # As many shards as their size asks for, and no fewer than there are cores to search them.
+    count = points.count()
+    shards = max(1, -(-count // shard_rows), min(points.sparkSession.sparkContext.defaultParallelism, count // BLOCK_ROWS))
+    place = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(shards)).cast("int")
+    points = points.withColumn("shard", place(0))
     lowest = F.lit(-(2**63)).cast("long")
-    home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
-    first = searched(asks.withColumn("shard", home).withColumn("floor", lowest), "topk-first")
+    first = searched(points, asks.withColumn("shard", place(1)).withColumn("floor", lowest), k, "topk-first")
     kth = first.groupBy("query_id", "q").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).drop("n")
-    bounded = asks.join(kth, (F.col("id") == F.col("query_id")) & (F.col("v") == F.col("q")), "left").select("id", "v", "dim", "block", F.coalesce("kth", lowest).alias("floor"))
-    others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)
-    rest = searched(bounded.withColumn("shard", F.explode(others)), "topk-rest")
+    bounded = asks.join(kth, (F.col("id") == F.col("query_id")) & (F.col("v") == F.col("q")), "left").select("id", "v", "dim", F.coalesce("kth", lowest).alias("floor"))
+    others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != place(1))
+    rest = searched(points, bounded.withColumn("shard", F.explode(others)), k, "topk-rest")
     ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def quantized(embeddings: DataFrame) -> DataFrame:
-    """(vec_id, vector): floor(256 x) of each component; only vectors whose components are all finite."""
+    """(vec_id, vector): floor(256 x) of each component, a whole number as a double; only vectors whose components are all finite."""
     x = F.transform("embedding", lambda v: v.cast("double") * 256)
     # not < infinity holds for NaN too, which Spark orders above all numbers; null is tested by itself
-    finite = F.forall("embedding", lambda v: v.isNotNull() & (F.abs(v.cast("double")) < float("inf")))
-    return embeddings.where(F.col("embedding").isNotNull() & finite).select("vec_id", F.transform(x, lambda v: F.floor(v)).alias("vector"))
+    finite = F.forall("embedding", lambda v: v.isNotNull() & (F.abs(v.cast("double") * 256) < float("inf")))
+    # From 2**52 on a double is a whole number as it is; F.floor would cut it at the range of a long.
+    whole = lambda v: F.when(F.abs(v) < 2.0**52, F.floor(v).cast("double")).otherwise(v)
+    return embeddings.where(F.col("embedding").isNotNull() & finite).select("vec_id", F.transform(x, whole).alias("vector"))
 
 
 def op9_exact_topk(spark, sf_dir):
