@@ -2,13 +2,26 @@
 
 A page is a stream of tags and text slots. Adjacent repeats in it are folded into repeated groups, and the folded
 streams of a host are aligned one after the other: what both have stays, where they differ the difference becomes an
-optional group, and groups that start alike are aligned inside. The result is the host's wrapper: tags, text slots,
-optional and repeated groups, and no alternatives. Slots inside an article and outside of menus, notices, adverts,
-forms, comments and the like are the wrapper's content. A page is read by running its wrapper over its stream; from
-where a page stops following its wrapper (cut-off or odd pages) its own open tags decide in the same way.
+optional group, and groups that start alike are aligned inside. The result is the host's wrapper: tags, numbered text
+slots, optional and repeated groups, and no alternatives.
 
-Every page takes part in the inference: pages give their folded streams, equal ones of a host are counted first,
-salted parts of a host are aligned apart, and the parts' wrappers are aligned last, so no task gathers a host.
+Every page is then read through its host's wrapper, and each slot's texts are counted: how many, how often the most
+frequent one, how long, below which open elements. From these counts alone a host learns what its content is:
+
+* A slot whose text is the same nearly always is template, wherever it stands; but where such slots hold most of a host's
+  text its pages are copies, and none is template.
+* Content lies below the host's article or main elements, if these hold a fair part of the varying text, else below
+  the element that the varying text leads down to: from the root on, the one that holds most of it.
+* An element below it whose class or id speaks of menus, notices, adverts, comments and the like is left out, unless it
+  holds half of the varying text itself: then its name misleads.
+
+Elements that HTML itself sets apart (nav, footer, aside, form, script and so on) are never content. Hosts on which only
+some pages have an article learn both kinds of pages apart. Where a page stops following its wrapper (cut-off or odd
+pages), its open elements are looked up among those learned. Without its host's wrapper no page has a text.
+
+Every page takes part in the inference: pages give their folded streams, equal ones of a host are counted first, and the
+different ones are aligned in groups of some GROUP, then the groups' wrappers, round by round, until a host has one. So
+no task gathers a host, however many different streams it has.
 
 Results for odd input: null html counts as empty and gives an empty text, as does a page without content; a null url is
 a host of its own; pages of any length are read whole; repeated rows are read alike; an empty table gives an empty
@@ -18,25 +31,34 @@ result; other columns are passed by.
 from __future__ import annotations
 
 import html as entities
+import itertools
 import json
 import re
 from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairquarry.llm.shared import materialize, text_of
 
-SALTS = 16
+#: Streams of a host that are aligned in one go.
+GROUP = 64
+#: From so many texts on, of which this share is one text, a slot is constant; constant slots above the second share are copies.
+FEW, CONSTANT, COPIES = 4, 0.9, 0.5
+#: Shares of the varying text: that of articles to be the content, that of an element for the way to lead into it, and that at which a name misleads.
+ARTICLE, LEADS, MISLEADS = 0.2, 0.6, 0.5
+#: Elements that hold a line of text; the way ends above them.
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd tr td th tbody thead blockquote pre figure figcaption br hr address".split())
 #: Longest group of tokens that is recognised as repeated.
 PERIOD = 12
 SLOT = "#"
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp")
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements and class or id words whose text isn't the article's.
+#: Elements that HTML sets apart, and class or id words that speak of something else than an article.
 OUTSIDE = frozenset("head nav footer aside form script style noscript template button select option iframe svg dialog menu textarea title".split())
 OUTSIDE_WORDS = re.compile(
     r"(?:^|[^a-z])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|alert|popup|modal|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|comments?|reply|replies|respond|share|sharing|social|related|recommended|login|signup|subscribe|newsletter|search|pagination|toolbar|widget|copyright)(?:[^a-z]|$)"
@@ -70,29 +92,40 @@ def tokens(html: str):
 
 
 class Place:
-    """Open tags while a stream is read: whether text is content here."""
+    """Open elements while a stream is read."""
 
-    def __init__(self, articles: bool):
-        self.articles, self.open = articles, []
+    def __init__(self):
+        self.open: list[str] = []
 
     def feed(self, symbol: str) -> None:
-        name, _, marks = symbol.partition(".")
+        name = symbol.partition(".")[0]
         if name[0] == "/":
-            names = [n for n, _, _ in self.open]
-            if name[1:] in names:
-                del self.open[len(names) - 1 - names[::-1].index(name[1:]) :]
+            for at in range(len(self.open) - 1, -1, -1):
+                if self.open[at].partition(".")[0] == name[1:]:
+                    del self.open[at:]
+                    return
             return
         if name in VOID or name in INLINE:
             return
-        if self.open and self.open[-1][0] == name and name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
+        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and self.open and self.open[-1].partition(".")[0] == name:
             self.open.pop()
-        above = self.open[-1] if self.open else ("", not self.articles, False)
-        inside = above[1] or name in ("article", "main") or marks == "main"
-        outside = above[2] or name in OUTSIDE or (name == "header" and not above[1]) or bool(marks and name not in ("html", "body", "article", "main") and OUTSIDE_WORDS.search(marks))
-        self.open.append((name, inside, outside))
+        self.open.append(symbol)
+
+
+def is_article(symbol: str) -> bool:
+    name, _, marks = symbol.partition(".")
+    return name in ("article", "main") or marks == "main"
+
 
-    def content(self) -> bool:
-        return bool(self.open) and self.open[-1][1] and not self.open[-1][2] if self.open else not self.articles
+def set_apart(path: tuple[str, ...]) -> bool:
+    """Whether HTML itself sets an open element apart from the text; headers inside an article are its own."""
+    names = [p.partition(".")[0] for p in path]
+    return not OUTSIDE.isdisjoint(names) or ("header" in names and not any(map(is_article, path[: names.index("header")])))
+
+
+def speaks_of_other(symbol: str) -> bool:
+    name, _, marks = symbol.partition(".")
+    return bool(marks) and name not in ("html", "body", "article", "main") and OUTSIDE_WORDS.search(marks) is not None
 
 
 # A node is a symbol, or (optional, repeated, nodes).
@@ -178,54 +211,24 @@ def to_nodes(value):
     return value if isinstance(value, str) else (value[0], value[1], tuple(map(to_nodes, value[2])))
 
 
-def content_slots(wrapper: list) -> list:
-    """wrapper with each slot as "#1" in the article and "#0" elsewhere.
-
-    Behind an optional group that opens or shuts elements a slot's place differs between pages, and where only some
-    pages have an article or main element, so does what counts outside of it; such slots stay "#", and each page's own
-    open tags decide.
-    """
+def numbered(nodes: list, count=None) -> list:
+    """nodes with their slots as "#0", "#1" and so on."""
+    count = itertools.count() if count is None else count
+    return [(f"{SLOT}{next(count)}" if n == SLOT else n) if isinstance(n, str) else (n[0], n[1], tuple(numbered(n[2], count))) for n in nodes]
 
-    def has_article(nodes) -> bool:
-        return any(re.match(r"(article|main)\b", n) if isinstance(n, str) else has_article(n[2]) for n in nodes)
 
-    def always_article(nodes) -> bool:
-        return any(re.match(r"(article|main)\b", n) if isinstance(n, str) else not n[0] and always_article(n[2]) for n in nodes)
-
-    place = Place(has_article(wrapper))
-    unsure = has_article(wrapper) and not always_article(wrapper)
-
-    def mark(nodes):
-        nonlocal unsure
-        out = []
-        for n in nodes:
-            if isinstance(n, str):
-                if n == SLOT:
-                    n = SLOT if unsure else SLOT + ("1" if place.content() else "0")
-                else:
-                    place.feed(n)
-                out.append(n)
-            else:
-                before = [*place.open]
-                out.append((n[0], n[1], tuple(mark(n[2]))))
-                unsure |= n[0] and [x[1:] for x in place.open] != [x[1:] for x in before]
-        return out
-
-    return mark(wrapper)
-
-
-def follow(wrapper: list, symbols: list[str]) -> list[bool | None]:
-    """For each symbol that follows the wrapper, from the first on, whether it is a content slot; None if that is open."""
-    out: list[bool | None] = []
+def follow(wrapper: list, symbols: list[str]) -> list[int]:
+    """For each symbol that follows the wrapper, from the first on, the number of its slot, or -1 if it is a tag."""
+    out: list[int] = []
 
     def run(nodes) -> bool:
         """Whether nodes could be followed to their end; out grows by what was followed."""
         for n in nodes:
             if isinstance(n, str):
                 if len(out) < len(symbols) and symbols[len(out)] == n[:1] == SLOT:
-                    out.append(None if n == SLOT else n == "#1")
+                    out.append(int(n[1:]))
                 elif len(out) < len(symbols) and symbols[len(out)] == n:
-                    out.append(False)
+                    out.append(-1)
                 elif n[0] != SLOT:
                     return False
                 continue
@@ -245,34 +248,95 @@ def follow(wrapper: list, symbols: list[str]) -> list[bool | None]:
     return out
 
 
-def main_text(html: str, wrapper: list | None) -> str:
-    """Blocks of the content slots, white space squeezed, joined by one space."""
-    stream = [*tokens(html)]
-    symbols = [s for s, _ in stream]
-    followed = follow(wrapper, symbols) if wrapper else []
-    place = Place(any(re.match(r"(article|main)\b", s) for s in symbols))
-    blocks: list[list[str]] = [[]]
-    for n, (symbol, text) in enumerate(stream):
+def slots_of(stream: list[tuple[str, str]], wrapper: list):
+    """(place in the stream, slot number or -1 where the wrapper isn't followed any more, open elements) of each text."""
+    followed = follow(wrapper, [s for s, _ in stream])
+    place = Place()
+    for n, (symbol, _) in enumerate(stream):
         if symbol == SLOT:
-            known = followed[n] if n < len(followed) else None
-            if place.content() if known is None else known:
-                blocks[-1].append(entities.unescape(text))
-            continue
-        place.feed(symbol)
-        name = symbol.lstrip("/").partition(".")[0]
-        if name == "br":
-            blocks[-1].append(" ")
-        elif name not in INLINE:
-            blocks.append([])
-    return " ".join(filter(None, (" ".join("".join(b).split()) for b in blocks)))
+            yield n, followed[n] if n < len(followed) else -1, tuple(place.open)
+        else:
+            place.feed(symbol)
+
+
+def kind_of(stream: list[tuple[str, str]]) -> str:
+    """Pages with an article or main element, and others."""
+    return "article" if any(is_article(s) for s, _ in stream) else "plain"
+
+
+def learned(units: list[tuple[int, tuple[str, ...], int, int, int]]) -> dict:
+    """What is content of one kind of pages, from (slot, open elements, texts, those equal to the most frequent one,
+    characters): the element paths below which it lies, those left out below these, and the template's slots."""
+    units = [u for u in units if not set_apart(u[1])]
+    constant = {u[0] for u in units if u[0] >= 0 and u[2] >= FEW and u[3] >= CONSTANT * u[2]}
+    if sum(u[4] for u in units if u[0] in constant) > COPIES * sum(u[4] for u in units):
+        constant = set()
+    mass: Counter = Counter()
+    for u in units:
+        if u[0] not in constant:
+            for n in range(len(u[1]) + 1):
+                mass[u[1][:n]] += u[4]
+    roots = [p for p in mass if p and is_article(p[-1]) and not any(map(is_article, p[:-1]))]
+    if sum(mass[p] for p in roots) < ARTICLE * mass[()] or not roots:
+        at: tuple[str, ...] = ()
+        below = sorted(mass, key=lambda p: (-mass[p], p))
+        while True:
+            on = next((p for p in below if len(p) == len(at) + 1 and p[:-1] == at and mass[p] >= LEADS * mass[at]), None)
+            if on is None or on[-1].partition(".")[0] in LINES:
+                break
+            at = on
+        roots = [at]
+    cut = [p for p in mass if p and speaks_of_other(p[-1]) and mass[p] < MISLEADS * mass[()] and any(p[: len(r)] == r and len(p) > len(r) for r in roots)]
+    return {"roots": roots, "cut": cut, "template": sorted(constant)}
+
+
+class Reader:
+    """Reads the pages of a host by its wrapper and what was learned of it."""
+
+    def __init__(self, wrapper: str, plan: str):
+        self.wrapper = [to_nodes(x) for x in json.loads(wrapper)]
+        self.plans = {kind: {"roots": {*map(tuple, p["roots"])}, "cut": {*map(tuple, p["cut"])}, "template": {*p["template"]}} for kind, p in json.loads(plan).items()}
+        self.known: dict = {}
+
+    def below(self, kind: str, path: tuple[str, ...]) -> bool:
+        """Whether text below the open elements is content."""
+        key = kind, path
+        if key not in self.known:
+            plan = self.plans[kind]
+            tops = [path[:n] for n in range(len(path) + 1)]
+            self.known[key] = not set_apart(path) and any(t in plan["roots"] for t in tops) and not any(t in plan["cut"] for t in tops)
+        return self.known[key]
+
+    def text(self, html: str) -> str:
+        """Blocks of the content slots, white space squeezed, joined by one space."""
+        stream = [*tokens(html)]
+        kind = kind_of(stream)
+        if kind not in self.plans:
+            return ""
+        if len(self.known) > 10_000:
+            self.known = {}
+        template = self.plans[kind]["template"]
+        content = {n for n, slot, path in slots_of(stream, self.wrapper) if slot not in template and self.below(kind, path)}
+        blocks: list[list[str]] = [[]]
+        for n, (symbol, text) in enumerate(stream):
+            if symbol == SLOT:
+                if n in content:
+                    blocks[-1].append(entities.unescape(text))
+                continue
+            name = symbol.lstrip("/").partition(".")[0]
+            if name == "br":
+                blocks[-1].append(" ")
+            elif name not in INLINE:
+                blocks.append([])
+        return " ".join(filter(None, (" ".join("".join(b).split()) for b in blocks)))
 
 
 def host(url_col: str):
     return F.coalesce(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
 
 
-def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", salts: int = SALTS) -> DataFrame:
-    """(host, wrapper): one row per host; the wrapper as JSON, its content slots marked."""
+def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", group: int = GROUP) -> DataFrame:
+    """(host, wrapper): one row per host; the wrapper as JSON, its slots numbered."""
     chosen = pages.select(host(url_col).alias("host"), text_of(html_col).alias("html"))
 
     def streams(batches):
@@ -282,36 +346,81 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
                 seen[h, json.dumps(fold([s for s, _ in tokens(page)]))] += 1
             yield pa.RecordBatch.from_pydict({"host": [h for h, _ in seen], "stream": [s for _, s in seen], "n": [*seen.values()]}, schema=pa.schema([("host", pa.string()), ("stream", pa.string()), ("n", pa.int64())]))
 
-    counted = chosen.mapInArrow(streams, "host string, stream string, n long").groupBy("host", "stream").agg(F.sum("n").alias("n"))
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values(["n", "stream"], ascending=[False, True])
+        made = wrapper_of([[to_nodes(x) for x in json.loads(s)] for s in rows["stream"]])
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "stream": [json.dumps(made)], "n": [rows["n"].sum()]})
+
+    schema = "host string, stream string, n long"
+    parts = materialize(chosen.mapInArrow(streams, schema).groupBy("host", "stream").agg(F.sum("n").alias("n")), "page-streams")
+    while True:
+        sizes = parts.groupBy("host").agg(F.count(F.lit(1)).alias("streams"))
+        if (sizes.agg(F.max("streams")).first()[0] or 0) <= 1:
+            break
+        salted = parts.join(sizes, "host").withColumn("salt", F.pmod(F.xxhash64("stream"), F.ceil(F.col("streams") / group)))
+        parts = materialize(salted.select("host", "salt", "stream", "n").groupBy("host", "salt").applyInPandas(merge, schema), "wrapper-parts")
 
-    def merged(last: bool):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            rows = pdf.sort_values(["n", "stream"], ascending=[False, True])
-            made = wrapper_of([[to_nodes(x) for x in json.loads(s)] for s in rows["stream"]])
-            return pd.DataFrame({"host": [rows["host"].iloc[0]], "stream": [json.dumps(content_slots(made) if last else made)], "n": [rows["n"].sum()]})
+    number = F.udf(lambda s: json.dumps(numbered([to_nodes(x) for x in json.loads(s)])), "string")  # one call a host
+    return materialize(parts.select("host", number("stream").alias("wrapper")), "wrappers")
 
-        return run
 
-    parts = counted.withColumn("salt", F.pmod(F.xxhash64("stream"), F.lit(salts))).groupBy("host", "salt").applyInPandas(merged(False), "host string, stream string, n long")
-    return materialize(parts.groupBy("host").applyInPandas(merged(True), "host string, stream string, n long").select("host", F.col("stream").alias("wrapper")), "wrappers")
+def learn_hosts(pages: DataFrame, wrappers: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, wrapper, plan): what is content on each host, as JSON by kind of page, from the texts in its wrapper's slots."""
+    chosen = pages.select(host(url_col).alias("host"), text_of(html_col).alias("html")).join(wrappers, "host")
+
+    def counts(batches):
+        wrapper_of_host: dict = {}
+        for batch in batches:
+            seen: dict = {}
+            for h, page, w in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if h not in wrapper_of_host:
+                    if len(wrapper_of_host) > 1000:
+                        wrapper_of_host = {}
+                    wrapper_of_host[h] = [to_nodes(x) for x in json.loads(w)]
+                stream = [*tokens(page)]
+                kind = kind_of(stream)
+                for n, slot, path in slots_of(stream, wrapper_of_host[h]):
+                    text = stream[n][1]
+                    one = seen.setdefault((h, kind, slot, path, xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1), [0, 0])
+                    one[0] += 1
+                    one[1] += len(text)
+            keys = [*seen]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.int32()), pa.array([json.dumps(k[3]) for k in keys], pa.string()),
+                 pa.array([k[4] for k in keys], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())],
+                names=["host", "kind", "slot", "path", "text", "n", "chars"],
+            )
+
+    each = chosen.mapInArrow(counts, "host string, kind string, slot int, path string, text long, n long, chars long")
+    unit = ["host", "kind", "slot", "path"]
+    units = each.groupBy(*unit, "text").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars")).groupBy(*unit).agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("chars").alias("chars"))
+
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
+        plan = {}
+        for kind, own in pdf.groupby("kind"):
+            plan[kind] = learned([(int(r.slot), tuple(json.loads(r.path)), int(r.n), int(r.most), int(r.chars)) for r in own.sort_values(["slot", "path"]).itertuples()])
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "plan": [json.dumps(plan)]})
+
+    plans = units.groupBy("host").applyInPandas(decide, "host string, plan string")
+    return materialize(wrappers.join(plans, "host"), "host-plans")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id_col, url_col and text of every row of pages."""
-    wrappers = infer_wrappers(pages, url_col, html_col)
+    plans = learn_hosts(pages, infer_wrappers(pages, url_col, html_col), url_col, html_col)
     chosen = pages.select(F.col(id_col), F.col(url_col), host(url_col).alias("host"), text_of(html_col).alias("html"))
-    joined = chosen.join(wrappers, "host", "left").select(id_col, url_col, "html", "wrapper")
+    joined = chosen.join(plans, "host", "left").select(id_col, url_col, "html", "wrapper", "plan", "host")
 
     def run(batches):
-        known: dict = {None: None}
+        readers: dict = {}
         for batch in batches:
             texts = []
-            for page, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if w not in known:
-                    if len(known) > 1000:
-                        known = {None: None}
-                    known[w] = [to_nodes(x) for x in json.loads(w)]
-                texts.append(main_text(page, known[w]))
+            for page, w, plan, h in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                if h not in readers:
+                    if len(readers) > 1000:
+                        readers = {}
+                    readers[h] = Reader(w or "[]", plan or "{}")
+                texts.append(readers[h].text(page))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=[id_col, url_col, "text"])
 
     return joined.mapInArrow(run, joined.select(id_col, url_col, F.lit("").alias("text")).schema)

@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -88,9 +89,9 @@ def test_kernel_equals_brute_force():
 def test_kernel_is_symmetric_and_tolerates_gaps():
     k = toxicity.Kernel(["^idiot$", "^table$"])
     own = k.to(["^idiot$", "^table$"])
-    assert np.allclose(own, own.T) and own[0, 1] < 0.001
+    assert np.allclose(own, own.T) and own[0, 1] < 0.0025
     near = k.to(["^id-iot$", "^idiott$", "^tablet$"])
-    assert near[0, 0] > 0.25**3 * own[0, 0] and near[1, 0] > 0.5**3 * own[0, 0] and near[2, 0] < 0.001
+    assert near[0, 0] > 0.25**2 * own[0, 0] and near[1, 0] > 0.5**2 * own[0, 0] and near[2, 0] < 0.0025
 
 
 def test_kernel_keeps_all_characters_of_its_words():
@@ -143,14 +144,52 @@ def test_wrappers_hold_optional_and_repeated_groups():
     made = wrappers.wrapper_of(streams)
     assert made == ["ul", (False, True, ("li", "#", "/li")), "/ul", (True, False, ("h2", "#", "/h2")), (False, True, ("p", "#", "/p"))]
     for s in ("ul li # /li /ul p # /p", "ul li # /li li # /li /ul h2 # /h2 p # /p p # /p"):
-        assert len(wrappers.follow(made, s.split())) == len(s.split())
+        assert len(wrappers.follow(wrappers.numbered(made), s.split())) == len(s.split())
 
 
-def test_page_query_reads_articles(spark):
+def texts_of(spark, pages):
+    df = spark.createDataFrame([(n, "https://a.example/x", h) for n, h in enumerate(pages)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in wrappers.extract_main_text(df).collect()}
+
+
+def test_the_wrapper_overrules_names_that_mislead(spark):
+    # The text stands in a "sidebar", the same notice on all pages in a "content" block next to it.
+    one = '<body><div class="content">Always the same words of welcome to all of our readers</div><div class="sidebar"><div>{}</div></div></body>'
+    texts = [f"A story of its own, number {n}, with {n * 7} sheep and {n * n} goats" for n in range(9)]
+    assert texts_of(spark, [one.format(t) for t in texts]) == dict(enumerate(texts))
+
+
+def test_slots_that_do_not_vary_are_template(spark):
+    one = "<body><article><p>{}</p><div><p>Share this with your friends</p></div></article></body>"
+    texts = [f"Text {n} of the series about the {n * n} lives of cats" for n in range(8)]
+    assert texts_of(spark, [one.format(t) for t in texts]) == dict(enumerate(texts))
+    # Two pages tell nothing about what is constant, and neither do copies; then all of the article is its text.
+    assert texts_of(spark, [one.format(texts[0]) for _ in texts]) == dict.fromkeys(range(8), f"{texts[0]} Share this with your friends")
+    assert texts_of(spark, [one.format(t) for t in texts[:2]]) == {n: f"{t} Share this with your friends" for n, t in enumerate(texts[:2])}
+
+
+def test_without_a_wrapper_no_page_has_a_text():
+    assert wrappers.Reader("[]", "{}").text(page(2)) == ""
+
+
+@pytest.mark.parametrize("group", [2, 64])
+def test_many_streams_of_a_host_are_merged_in_rounds(spark, group):
+    pages = [f"<body><nav>m</nav>{'<h2>a</h2>' * (n % 3)}<ul>{'<li>x</li>' * (n % 5)}</ul><article>{'<p>t</p><pre>c</pre>' * (n % 7)}</article></body>" for n in range(105)]
+    df = spark.createDataFrame([("https://a.example/", p) for p in [*pages, pages[0]]] + [("https://b.example/", pages[1])], "url string, html string")
+    made = {r.host: r.wrapper for r in wrappers.infer_wrappers(df, group=group).collect()}
+    assert set(made) == {"a.example", "b.example"}
+    wrapper = [wrappers.to_nodes(x) for x in json.loads(made["a.example"])]
+    for p in pages:
+        symbols = [s for s, _ in wrappers.tokens(p)]
+        assert len(wrappers.follow(wrapper, symbols)) == len(symbols)
+
+
+@pytest.mark.parametrize("folder", [SF, SF.replace("sf0.001", "sf0.01")])
+def test_page_query_reads_articles(spark, folder):
     import html
     import re
 
-    for r in wrappers.op7_html_extraction(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
+    for r in wrappers.op7_html_extraction(spark, folder).join(spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "html"), "page_id").collect():
         inside = re.search(r"<article>(.*?)(?:</article>|\Z)", r.html, re.S)[1]
         inside = re.sub(r"</?b>", "", re.sub(r"<[a-zA-Z/][^>]*\Z", "", inside))
         assert r.text == " ".join(filter(None, (" ".join(html.unescape(x).split()) for x in re.split("<[^>]*>", inside)))) and r.n_chars == len(r.text)
