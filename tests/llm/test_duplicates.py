@@ -227,8 +227,11 @@ def brute_repeats(texts, window):
     return out
 
 
-@pytest.mark.parametrize(("letters", "window", "phrase"), [("ab", 6, 2), ("abcdefghij", 6, 3), ("abcdefghijklmnopqrstuvwxyz", 8, 4)])
-def test_substrings_equal_brute_force(spark, letters, window, phrase):
+@pytest.mark.parametrize(
+    ("letters", "window", "phrase", "shard", "chunk", "code"), [("ab", 6, 2, 40_000, 10**7, 64), ("abcdefghij", 6, 3, 5, 300, 64), ("abcdefghijklmnopqrstuvwxyz", 8, 4, 7, 10**7, 2)]
+)
+def test_substrings_equal_brute_force(spark, monkeypatch, letters, window, phrase, shard, chunk, code):
+    monkeypatch.setattr(substrings, "LETTERS", code)
     rng = random.Random(6)
     shared = [[rng.choice(letters) for _ in range(rng.randint(4, 25))] for _ in range(6)]
     texts = {}
@@ -238,7 +241,7 @@ def test_substrings_equal_brute_force(spark, letters, window, phrase):
             words += [rng.choice(letters) for _ in range(rng.randint(0, 9))] + (rng.choice(shared) if rng.random() < 0.6 else [])
         texts[i] = " ".join(words)
     texts[60], texts[61], texts[62] = None, "", texts[0]
-    every, changed = substrings.remove_repeats(spark.createDataFrame([*[(i, t, "x") for i, t in texts.items()], (None, texts[0], "x")], "doc_id long, text string, runs string"), window=window, phrase=phrase)
+    every, changed = substrings.remove_repeats(spark.createDataFrame([*[(i, t, "x") for i, t in texts.items()], (None, texts[0], "x")], "doc_id long, text string, runs string"), window=window, phrase=phrase, shard_phrases=shard, chunk_chars=chunk)
     lost = {r.doc_id: (r.n_removed, r.kept) for r in changed.collect()}
     for i, (n, removed, kept) in brute_repeats(texts, window).items():
         assert lost.get(i, (0, " ".join((texts[i] or "").split()))) == (removed, kept), i
@@ -251,6 +254,27 @@ def test_substring_query_equals_brute_force(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.op8_substring_dedup(spark, SF).collect()} == want
 
 
+def test_automata_locate_all_occurrences():
+    rng = random.Random(2)
+    words = [rng.choice("abc").encode() for _ in range(400)]
+    phrases = [[rng.choice("abc").encode() for _ in range(3)] for _ in range(8)]
+    automata = substrings.Automata()
+    for n, p in enumerate(phrases):
+        automata.add(p, n)
+    automata.close()
+    last = {tuple(p): n for n, p in enumerate(phrases)}
+    assert automata.occurrences(words, 3) == [(i, last[tuple(words[i : i + 3])]) for i in range(398) if tuple(words[i : i + 3]) in last]
+
+
+def test_runs_come_from_the_automata(spark):
+    # Without the phrases in the shards nothing is located, whatever the documents hold.
+    twice = " ".join(f"w{i}" for i in range(80))
+    texts = spark.createDataFrame([(1, 1, twice, [0]), (2, 2, twice, [0])], "doc_id long, tk long, text string, shards array<int>")
+    phrases = spark.createDataFrame([(0, 7, " ".join(f"w{i}" for i in range(20, 36)))], "shard int, phrase long, words string")
+    assert substrings.located_runs(texts, phrases.limit(0), 50, 16, 1000).count() == 0
+    assert sorted((r.doc_id, r.phrase, r.start, r.size) for r in substrings.located_runs(texts, phrases, 50, 16, 1000).collect()) == [(1, 7, 0, 70), (2, 7, 0, 70)]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = random.Random(9)
     vectors = {i: [rng.randint(-20, 20) for _ in range(8)] for i in range(300)}
