@@ -119,6 +119,11 @@ def blocks_of(sources: DataFrame, source_col: str, *keys: str) -> DataFrame:
     return sources.select(*keys, F.posexplode(parse(F.col(source_col))).alias("ordinal", "block")).select(*keys, "ordinal", "block.*")
 
 
+def tactics_only(blocks: DataFrame) -> DataFrame:
+    """Declarations whose body begins with by."""
+    return blocks.where(F.regexp_replace("body", r"^\s+", "").startswith("by"))
+
+
 # A hunk's header, and a declaration's name in a line of a hunk.
 HUNK = r"^@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@"
 DECLARED = r"(?:theorem|lemma|def|instance)\s+([\p{L}\p{N}_][\p{L}\p{N}_'.]*)"
@@ -149,3 +154,10 @@ def hunks_of(diffs: DataFrame, diff_col: str, key: str) -> DataFrame:
     named = lambda ls: F.element_at(F.filter(F.transform(ls, lambda x: F.regexp_extract(x, DECLARED, 1)), lambda x: x != ""), 1)
     first = lambda ls: F.when(F.exists(ls, lambda x: x.rlike(DECLARED)), named(ls))
     return split.withColumn("declaration", F.coalesce(first(F.col("context_lines")), first(F.concat("old_lines", "new_lines"))))
+
+
+def declarations_of(diffs: DataFrame, diff_col: str, key: str) -> DataFrame:
+    """(key, declarations): the different declarations that a diff's hunks name, first seen first. Bounded by the diff's own hunks."""
+    rows = F.array_sort(F.collect_list(F.struct("hunk", "declaration")))
+    named = F.filter(F.transform(rows, lambda r: r["declaration"]), lambda d: d.isNotNull())
+    return hunks_of(diffs, diff_col, key).groupBy(key).agg(F.array_distinct(named).alias("declarations"))

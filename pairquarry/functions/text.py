@@ -20,6 +20,12 @@ def line_count(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
 
 
+def stored_or_counted(stored: Column, text: Column) -> Column:
+    """A recorded number of lines; if it is missing or 0, the lines of the text, an end of line at its end not counted."""
+    counted = F.when(text == "", 0).otherwise(line_count(text) - text.endswith("\n").cast("long"))
+    return F.coalesce(F.when(stored != 0, stored), counted).cast("long")
+
+
 def occurrences(text: Column, what: str) -> Column:
     """How often a one-character string occurs."""
     return (F.length(text) - F.length(F.replace(text, F.lit(what), F.lit("")))).cast("long")

@@ -38,14 +38,14 @@ def dataset_rows(labels: DataFrame, pairs: DataFrame, metadata: DataFrame, remar
         F.concat(F.lit(url), F.col("pr").cast("string")).alias("pr_url"), "pr", plain_title(F.col("title")).alias("pr_title"), F.coalesce("declaration", F.lit(UNNAMED)).alias("declaration_name"), "file_path", "position",
         "initial", "final", text.line_count(F.col("initial")).alias("initial_lines"), text.line_count(F.col("final")).alias("final_lines"), (F.col("initial_signature") != F.col("final_signature")).alias("signature_changed"),
         F.coalesce("summary", F.lit("")).alias("summary"), F.coalesce("categories", none).alias("categories"), F.coalesce("reviewers", none).alias("reviewers"), F.coalesce("n_remarks", F.lit(0)).alias("n_remarks"),
-        F.coalesce("base_sha", F.lit("")).alias("base_sha"), F.date_format("created_at", "yyyy-MM-dd").alias("created"), days_between(F.col("created_at"), F.col("closed_at")).alias("review_days"), (extracted_on if extracted_on is not None else F.current_date()).alias("extraction_date"),
+        F.coalesce("base_sha", F.lit("")).alias("base_sha"), F.date_format("created_at", "yyyy-MM-dd").alias("created"), F.round(days_between(F.col("created_at"), F.col("closed_at")), 2).alias("review_days"), (extracted_on if extracted_on is not None else F.current_date()).alias("extraction_date"),
     )
     return first_wins(flat, ["pr", "declaration_name"], ["position", "file_path"]).withColumn("line_delta", F.col("final_lines") - F.col("initial_lines"))
 
 
 def evaluation_row(length_ratio: Column, similarity: Column) -> list[Column]:
-    """The derived numbers of an evaluation row, left unrounded; a report rounds them."""
-    return [length_ratio.alias("length_ratio"), similarity.alias("code_similarity"), F.lit(False).alias("signature_changed")]
+    """The derived numbers of an evaluation row, rounded to four places."""
+    return [F.round(length_ratio, 4).alias("length_ratio"), F.round(similarity, 4).alias("code_similarity"), F.lit(False).alias("signature_changed")]
 
 
 def prompt(row_title: Column, declaration: Column, initial: Column, final: Column, context: Column) -> Column:

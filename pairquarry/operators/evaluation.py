@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairquarry.functions import text
 from pairquarry.functions.text import stable_bit
+from pairquarry.operators.mining import null_safe_join
 
 # The strata's sizes, readers of each replicate, replicates, and the columns a reader may see.
 API_ROWS, OTHER_ROWS, READERS, REPLICATES = 60, 190, 12, 3
 TASK_COLUMNS = ["task_id", "declaration", "file_path", "proof_a", "proof_b"]
+KEY_COLUMNS = ("pr", "stratum", "rep", "accepted_is_a")
 # Paths that hold no mathematics, and words of code that runs at compile time.
 NOT_MATHEMATICS = r"^(scripts|Cache|LongestPole|test|Shake|ImportGraph|Counterexamples|Archive)/|^\.github/|^lakefile|^Mathlib/(Tactic|Util|Lean|Mathport|Testing)/|/Linter/"
 DO_WORD = r"(?<![A-Za-z_])do(?![A-Za-z_])"
@@ -28,6 +31,32 @@ def first_failure(rules: list[tuple[str, Column]]) -> Column:
     return out
 
 
+# The reasons for which a candidate is left out, in the order in which they are looked at.
+REASONS = (
+    "not HIGH_VALUE", "signature_changed", "initial < 5 lines", "no explicit review feedback", "same-or-longer (not labelable from proof text)", "PR in the held-out-against set",
+    "non-mathematical path", "declaration+file in the held-out-against set", "no parsing record", "identical once comments are stripped", "metaprogram code", "empty rejection_reasons",
+)
+MIN_INITIAL_LINES = 5
+
+
+def with_reasons(candidates: DataFrame, held_prs: DataFrame, held_pairs: DataFrame, proofs: DataFrame, summaries: DataFrame, proof_keys: list[str], summary_keys: list[str]) -> DataFrame:
+    """candidates with `reason`: the first of REASONS that holds, null for the eligible.
+
+    candidates: pr, declaration, file_path, verdict, signature_changed, has_feedback, initial_lines, ratio and the keys.
+    held_prs: pr. held_pairs: declaration, file_path. proofs: proof_keys, same_code, final_code (once a proof, so that
+    texts are read once and not for each candidate). summaries: summary_keys, summary. Missing names equal missing names.
+    """
+    known = candidates.join(held_prs.select("pr", F.lit(True).alias("pr_held")).distinct(), "pr", "left")
+    known = null_safe_join(known, held_pairs.select("declaration", "file_path", F.lit(True).alias("pair_held")).distinct(), ["declaration", "file_path"])
+    known = known.join(proofs.select(*proof_keys, "same_code", "final_code", F.lit(True).alias("is_parsed")), proof_keys, "left")
+    known = known.join(summaries.select(*summary_keys, "summary"), summary_keys, "left")
+    broken = [
+        F.col("verdict") != "HIGH_VALUE", F.col("signature_changed"), F.col("initial_lines") < MIN_INITIAL_LINES, ~F.col("has_feedback"), F.col("ratio") >= 1.0, F.col("pr_held"),
+        F.col("file_path").rlike(NOT_MATHEMATICS), F.col("pair_held"), F.col("is_parsed").isNull(), F.col("same_code"), metaprogram(F.col("final_code")), F.coalesce(text.strip(F.col("summary")), F.lit("")) == "",
+    ]
+    return known.withColumn("reason", first_failure(list(zip(REASONS, broken, strict=True)))).drop("pr_held", "pair_held", "is_parsed")
+
+
 def tally(df: DataFrame, reason: str = "reason") -> DataFrame:
     return df.where(F.col(reason).isNotNull()).groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
 
@@ -37,12 +66,25 @@ def round_robin_draw(pool: DataFrame, target: int, pr: str, year: str, order: li
 
     Only the best `target` rows of a year can be drawn, so Spark limits a year within every task before it ranks it.
     """
-    rest = [c for c in pool.columns if c != pr]
-    best = pool.groupBy(pr).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(pr, "r.*")
+    return draw(best_of_each(pool, [pr], order), target, year, order)
+
+
+def best_of_each(pool: DataFrame, keys: list[str], order: list) -> DataFrame:
+    rest = [c for c in pool.columns if c not in keys]
+    return pool.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*keys, "r.*")
+
+
+def draw(best: DataFrame, target: int, year: str, order: list) -> DataFrame:
+    """target rows, taken from the years in turn, each year's best first."""
     turn = F.row_number().over(Window.partitionBy(year).orderBy(*order))
     return best.withColumn("turn", turn).where(F.col("turn") <= target).orderBy("turn", year).limit(target)
 
 
+def selection_summary(drawn: DataFrame, *by: str) -> DataFrame:
+    """Rows, different records and the share of rows about interfaces."""
+    return drawn.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("pr").alias("n_prs"), F.avg(F.col("is_api").cast("double")).alias("api_share"))
+
+
 def blind_tasks(rows: DataFrame, prefix: str = "v") -> DataFrame:
     """Three tasks per row, each with the two proofs in one order: accepted first, last, and by a stable coin.
 
@@ -59,12 +101,17 @@ def blind_tasks(rows: DataFrame, prefix: str = "v") -> DataFrame:
     )
 
 
-def reader_view(tasks: DataFrame) -> DataFrame:
-    """What a reader sees; raises if it held anything else."""
-    seen = tasks.select(*TASK_COLUMNS)
-    if set(seen.columns) - set(TASK_COLUMNS):
-        raise ValueError("a task shows more than a reader may see")
-    return seen
+def assert_blind(shown: DataFrame) -> DataFrame:
+    """shown, unless it holds a column that a reader may not see; then it raises."""
+    leaks = sorted(set(shown.columns) - set(TASK_COLUMNS))
+    if leaks:
+        raise ValueError(f"a task shows more than a reader may see: {', '.join(leaks)}")
+    return shown
+
+
+def reader_view(tasks: DataFrame, key: tuple[str, ...] = KEY_COLUMNS) -> DataFrame:
+    """tasks without the columns of the key; raises if others are left than a reader may see."""
+    return assert_blind(tasks.drop(*key)).select(*TASK_COLUMNS)
 
 
 def deal(tasks: DataFrame, readers: int = READERS) -> DataFrame:
@@ -78,6 +125,31 @@ def repeated_in_batch(dealt: DataFrame) -> DataFrame:
     return dealt.groupBy("batch", "pr", "declaration").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def checked_deal(tasks: DataFrame, readers: int = READERS) -> DataFrame:
+    """deal(), unless a batch would hold a row twice; then it raises. Tasks are few: three for each drawn row."""
+    dealt = deal(tasks, readers)
+    twice = repeated_in_batch(dealt).orderBy("batch", "pr").first()
+    if twice:
+        raise ValueError(f"batch {twice['batch']} holds {twice['declaration']} of {twice['pr']} {twice['n']} times")
+    return dealt
+
+
+def batch_outcomes(dealt: DataFrame, answered: DataFrame) -> DataFrame:
+    """Each batch's tasks and how many were answered; a batch without an answer has failed."""
+    j = dealt.join(answered.select("task_id", F.lit(1).alias("answered")).distinct(), "task_id", "left")
+    counts = j.groupBy("batch").agg(F.count(F.lit(1)).alias("n_tasks"), F.count("answered").alias("n_answered"))
+    return counts.withColumn("ok", F.col("n_answered") > 0)
+
+
+def missing_verdicts(verdicts: DataFrame, tasks: DataFrame) -> DataFrame:
+    return tasks.join(verdicts.select("task_id").distinct(), "task_id", "left_anti")
+
+
+def with_strata(rows: DataFrame, strata: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with their stratum, or "-" where none is known."""
+    return null_safe_join(rows, strata.select(*keys, "stratum").distinct(), keys).withColumn("stratum", F.coalesce("stratum", F.lit("-")))
+
+
 def pick(verdict: Column, accepted_is_a: Column) -> Column:
     return F.when(verdict == "comparable", "comparable").when((verdict == "A") == accepted_is_a, "accepted").otherwise("initial")
 

@@ -9,7 +9,10 @@ from pairquarry.functions.text import occurrences
 
 # Phases in their order, the number of errors from which a record is left alone, and the longest message kept.
 PHASES = ("enriched", "extracted", "parsed", "summarized", "assembled")
+ALL_PHASES = (*PHASES, "contexts_extracted")
 MAX_ERRORS, MAX_MESSAGE = 3, 1000
+# What each queue waits for, and what it needs to be done before.
+QUEUES = {"enrich": ("enriched", None), "extract": ("extracted", None), "parse": ("parsed", "extracted"), "summarize": ("summarized", "parsed"), "assemble": ("assembled", "summarized"), "contexts": ("contexts_extracted", "assembled")}
 
 
 def folded_candidates(events: DataFrame) -> DataFrame:
@@ -47,6 +50,74 @@ def pending(events: DataFrame, phase: str, after: str | None = None) -> DataFram
     return sums.where((F.col("done") == 0) & (F.col("error_count") < MAX_ERRORS) & ((F.col("ready") == 1) if after else F.lit(True))).select("pr", "error_count")
 
 
+def checked_events(events: DataFrame) -> DataFrame:
+    """events, unless a phase isn't known; then it raises. A null phase is a discovery."""
+    odd = events.where(F.col("phase").isNotNull() & ~F.col("phase").isin(*ALL_PHASES, "error")).select("phase").first()
+    if odd:
+        raise ValueError(f"unknown phase: {odd['phase']}")
+    return events
+
+
+def status_table(events: DataFrame) -> DataFrame:
+    """events(pr, ts, phase, qualifies, message) as one row per record: the last time of each phase, whether it qualifies
+    (what the last enrichment said), its errors and the last one's message, cut at MAX_MESSAGE."""
+    when = lambda p, value: F.when(F.col("phase") == p, value)
+    return events.groupBy("pr").agg(
+        *[F.max(when(p, F.col("ts"))).alias(f"{p}_at") for p in ALL_PHASES],
+        F.coalesce(F.max_by(when("enriched", F.col("qualifies")), when("enriched", F.col("ts"))), F.lit(False)).alias("qualifies"),
+        F.count_if(F.col("phase") == "error").alias("error_count"),
+        F.max_by(F.substring("message", 1, MAX_MESSAGE), when("error", F.col("ts"))).alias("last_error"),
+    )
+
+
+def phase_counts(status: DataFrame) -> DataFrame:
+    """Records discovered, qualified, failed, and those that reached each phase; zeros for an empty ledger."""
+    reached = [F.count(f"{p}_at").alias(p) for p in ALL_PHASES]
+    return status.agg(F.count(F.lit(1)).alias("discovered"), *reached, F.count_if("qualifies").alias("qualified"), F.count_if(F.col("error_count") >= MAX_ERRORS).alias("failed"))
+
+
+def waiting(status: DataFrame, phase: str, after: str | None = None, qualified: bool = True, gated: bool = True) -> DataFrame:
+    """Records without the phase: those that qualify, have the one it needs and fewer than MAX_ERRORS errors."""
+    keep = F.col(f"{phase}_at").isNull()
+    if qualified:
+        keep = keep & F.col("qualifies")
+    if after:
+        keep = keep & F.col(f"{after}_at").isNotNull()
+    if gated:
+        keep = keep & (F.col("error_count") < MAX_ERRORS)
+    return status.where(keep)
+
+
+def queue(status: DataFrame, name: str, limit: int | None = None) -> DataFrame:
+    """The records that wait in a queue, in its order: by number, but extraction by priority (see by_priority)."""
+    phase, after = QUEUES[name]
+    found = waiting(status, phase, after, qualified=name != "enrich", gated=name != "enrich")
+    ordered = by_priority(found) if name == "extract" else found.orderBy("pr")
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def scan_cursors(updates: DataFrame) -> DataFrame:
+    """updates(scan_id, at, end_cursor, fetched, total) as each scan's last state; a total once known stays."""
+    return updates.groupBy("scan_id").agg(
+        F.max_by("end_cursor", "at").alias("end_cursor"), F.max_by("fetched", "at").alias("fetched"), F.max_by("total", F.when(F.col("total").isNotNull(), F.col("at"))).alias("total")
+    )
+
+
+def search_cursors(updates: DataFrame, queries: DataFrame) -> DataFrame:
+    """queries(query_key) with the last page that was read: 0 if none was, -1 once the search is completed.
+
+    updates: query_key, at, last_page, total_count, completed.
+    """
+    last = updates.groupBy("query_key").agg(F.max_by(F.struct("last_page", "completed"), "at").alias("u"))
+    page = F.when(F.col("u.completed"), -1).otherwise(F.col("u.last_page"))
+    return queries.join(last, "query_key", "left").select("query_key", F.coalesce(page, F.lit(0)).cast("long").alias("page"))
+
+
+def widened(df: DataFrame, **columns: str) -> DataFrame:
+    """df with the columns that it lacks, as nulls of the given types: rows of an older layout."""
+    return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
+
+
 def keyword_hits(source_query: Column) -> Column:
     return F.coalesce(occurrences(source_query, ","), F.lit(0))
 

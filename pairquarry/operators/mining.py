@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairquarry.functions import text
@@ -11,19 +11,22 @@ from pairquarry.functions import text
 MIN_CHANGED, MIN_SHARE = 3, 0.05
 
 
-def bag_diff(pairs: DataFrame, key: str, initial: str, final: str) -> DataFrame:
-    """key, n_initial, n_final, added, removed: tokens that one side has more often, as multisets, order apart.
+def bag_diff(pairs: DataFrame, key: str, initial: str, final: str, *carried: str) -> DataFrame:
+    """key, carried columns, n_initial, n_final, added, removed: tokens that one side has more often, as multisets, order apart.
 
-    Tokens count +1 or -1 and are summed by pair and token before they are shuffled, so a pair of long texts, or a
-    token that is everywhere, costs a row per task.
+    The pairs are read once; each token of a side counts +1 or -1 and is summed by pair and token. Pairs that a join has
+    dealt out by their key stay where they are; others are summed before they are shuffled. carried: small columns that
+    the key determines.
     """
-    side = lambda col, n: pairs.select(key, F.explode(text.tokens(F.col(col))).alias("token"), F.lit(n).alias("sign"))
-    counted = side(final, 1).unionByName(side(initial, -1)).groupBy(key, "token").agg(F.sum("sign").alias("net"), F.count_if(F.col("sign") < 0).alias("before"), F.count_if(F.col("sign") > 0).alias("after"))
-    sums = counted.groupBy(key).agg(
-        F.sum("before").alias("n_initial"), F.sum("after").alias("n_final"), F.sum(F.greatest("net", F.lit(0))).alias("added"), F.sum(F.greatest(-F.col("net"), F.lit(0))).alias("removed")
+    signed = lambda c, n: F.transform(text.tokens(F.col(c)), lambda t: F.struct(t.alias("token"), F.lit(n).alias("sign")))
+    none = F.array().cast("array<struct<token:string,sign:int>>")
+    both = F.concat(F.coalesce(signed(final, 1), none), F.coalesce(signed(initial, -1), none))
+    each = pairs.select(key, *carried, F.explode_outer(both).alias("t")).select(key, *carried, "t.*")
+    counted = each.groupBy(key, *carried, "token").agg(F.sum("sign").alias("net"), F.count_if(F.col("sign") < 0).alias("before"), F.count_if(F.col("sign") > 0).alias("after"))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    return counted.groupBy(key, *carried).agg(
+        total("before", "n_initial"), total("after", "n_final"), total(F.greatest("net", F.lit(0)), "added"), total(F.greatest(-F.col("net"), F.lit(0)), "removed")
     )
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return pairs.select(key).join(sums, key, "left").select(key, zero("n_initial"), zero("n_final"), zero("added"), zero("removed"))
 
 
 def migration_only(initial: Column, final: Column) -> Column:
@@ -71,7 +74,9 @@ def newest_of_two_keys(rows: DataFrame, order: str, first_key: str, second_key:
 
     A row with no larger undecided row on either key is kept; rows sharing a key with a kept one go; the rest waits
     for the next round. That gives what going through all rows one by one gives, and each round only takes maxima
-    per key. order must be unique. written(df, name) stores a table between rounds.
+    per key. order must be unique. written(df, name) stores a table between rounds. There are as many rounds as the
+    longest chain of rows, falling by order, in which each shares a key with the next: few where keys repeat at random,
+    but a chain made on purpose costs a round a row.
     """
     undecided = written(rows.select(order, first_key, second_key), "undecided")
     kept = None
@@ -109,8 +114,3 @@ def by_priority_within_budget(comments: Column, budget: int) -> Column:
         )
 
     return F.aggregate(comments, start, step, lambda s: s["taken"])
-
-
-def lead_bounds(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Each row's next start within its key."""
-    return df.withColumn("next_start", F.lead(order).over(Window.partitionBy(key).orderBy(order)))

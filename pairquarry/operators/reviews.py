@@ -55,6 +55,33 @@ def coerced_verdict(verdict: Column) -> Column:
     return F.when(verdict.isin("HIGH_VALUE", "LOW_VALUE", "CONTEXTUAL"), verdict).otherwise("LOW_VALUE")
 
 
+def present(content: Column) -> Column:
+    """A file's content; an empty one counts as missing."""
+    return F.when(content != "", content)
+
+
+def has_review_activity(n_reviews: Column, n_threads: Column) -> Column:
+    return (n_reviews >= 1) | (n_threads >= 1)
+
+
+def is_api(categories: Column) -> Column:
+    """Whether a label is about the design of an interface; false without categories."""
+    return F.coalesce(F.array_contains(categories, "api_design"), F.lit(False))
+
+
+def titled(rows, titles, key: str, order: list):
+    """rows with their record's last title, or "PR #n" for records without one."""
+    last = titles.groupBy(key).agg(F.max_by("title", F.struct(*order)).alias("title"))
+    return rows.join(last, key, "left").withColumn("title", F.coalesce("title", F.concat(F.lit("PR #"), F.col(key).cast("string"))))
+
+
+def comments_on_pairs(comments, pairs):
+    """comments(pr, path, diff_hunk, ...) by the pairs(pr, path, declaration) of their file: priority 1 if the hunk names
+    the declaration, 2 if it doesn't."""
+    named = F.contains("diff_hunk", "declaration")
+    return comments.join(pairs, ["pr", "path"]).withColumn("priority", F.when(named, 1).otherwise(2))
+
+
 def noise(body: Column) -> Column:
     """Merge commands and remarks of under 20 characters."""
     b = text.strip(body)

@@ -5,7 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+
+#: Paths of this process's tables, in order.
+WRITTEN: list[str] = []
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -19,4 +25,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
         folder = spark.sparkContext.getCheckpointDir()
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the tables that written() made since the `since`-th, but for the last `keep`: for callers whose result is
+    stored elsewhere, as DataFrames that read these tables are of no use afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in WRITTEN[since : len(WRITTEN) - keep]:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    del WRITTEN[since : len(WRITTEN) - keep]
+
+
+def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table at path, built and written there if there is none yet. What is there is never built again."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    build().write.parquet(path)
+    return spark.read.parquet(path)

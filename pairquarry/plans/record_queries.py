@@ -136,17 +136,17 @@ def qualify_prs(spark, sf_dir):
     files = table(spark, sf_dir, "lineitem").withColumn("path", line_path())
     touched = files.groupBy(F.col("l_orderkey").alias("pr")).agg(
         F.bool_or(reviews.is_source(F.col("path")) & ~reviews.is_infrastructure(F.col("path"))).alias("touches_proofs"),
-        F.count_if(F.col("l_returnflag") == "R").alias("n_reviews"), F.sum(F.col("l_quantity").cast("long")).alias("additions"),
+        F.count_if(F.col("l_returnflag") == "R").alias("n_reviews"), F.count_if(F.col("l_linestatus") == "O").alias("n_threads"), F.sum(F.col("l_quantity").cast("long")).alias("additions"),
     )
     r = requests(spark, sf_dir).withColumn("status", reviews.merge_status(F.col("title"), F.col("state"), F.col("merged")))
-    return r.join(touched, "pr").where(F.col("status").isin("github_merged", "merged_by_bors") & F.col("touches_proofs") & (F.col("n_reviews") >= 1) & (F.col("additions") >= 3)).select("pr", "status", "n_reviews", "additions")
+    return r.join(touched, "pr").where(F.col("status").isin("github_merged", "merged_by_bors") & F.col("touches_proofs") & reviews.has_review_activity(F.col("n_reviews"), F.col("n_threads")) & (F.col("additions") >= 3)).select("pr", "status", "n_reviews", "n_threads", "additions")
 
 
 QUALIFY_SQL = f"""WITH {REQUESTS_SQL},
 f AS (SELECT *, {PATH_SQL} AS path FROM lineitem),
-t AS (SELECT l_orderkey AS pr, bool_or(ends_with(path, '.lean') AND NOT regexp_matches(path, '^(scripts/|Mathlib/Tactic/)')) AS touches, count(*) FILTER (l_returnflag = 'R') AS n_reviews, sum(l_quantity::BIGINT)::BIGINT AS additions FROM f GROUP BY ALL),
+t AS (SELECT l_orderkey AS pr, bool_or(ends_with(path, '.lean') AND NOT regexp_matches(path, '^(scripts/|Mathlib/Tactic/)')) AS touches, count(*) FILTER (l_returnflag = 'R') AS n_reviews, count(*) FILTER (l_linestatus = 'O') AS n_threads, sum(l_quantity::BIGINT)::BIGINT AS additions FROM f GROUP BY ALL),
 s AS (SELECT *, CASE WHEN merged THEN 'github_merged' WHEN upper(state) = 'OPEN' THEN 'open' WHEN starts_with(title, '[Merged') THEN 'merged_by_bors' ELSE 'closed_not_merged' END AS status FROM req)
-SELECT pr, status, n_reviews, additions FROM s JOIN t USING (pr) WHERE status IN ('github_merged', 'merged_by_bors') AND touches AND n_reviews >= 1 AND additions >= 3
+SELECT pr, status, n_reviews, n_threads, additions FROM s JOIN t USING (pr) WHERE status IN ('github_merged', 'merged_by_bors') AND touches AND (n_reviews >= 1 OR n_threads >= 1) AND additions >= 3
 """
 
 

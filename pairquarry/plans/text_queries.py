@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairquarry.functions import blocks, scan, text
-from pairquarry.operators import mining
+from pairquarry.operators import mining, reviews
 from pairquarry.session import table
 
 TOKEN_SQL = r"[a-zA-Z_][\p{L}\p{N}_''.]*|[^\s\x0B\x1c-\x1f\x85\p{Z}]"
@@ -32,9 +32,8 @@ def bag_token_diff(spark, sf_dir):
 
 def meaningful_pairs(spark, sf_dir):
     pairs = document_pairs(spark, sf_dir)
-    diff = mining.bag_diff(pairs, "doc_id", "initial", "final")
-    migrated = pairs.select("doc_id", mining.migration_only(F.col("initial"), F.col("final")).alias("migrated"))
-    joined = diff.join(migrated, "doc_id")
+    marked = pairs.withColumn("migrated", mining.migration_only(F.col("initial"), F.col("final")))
+    joined = mining.bag_diff(marked, "doc_id", "initial", "final", "migrated")
     keep = mining.meaningful(F.col("added"), F.col("removed"), F.col("n_initial"), F.col("n_final"), F.col("migrated"))
     return joined.where(keep).select("doc_id", (F.col("added") + F.col("removed")).alias("changed"), F.least("n_initial", "n_final").alias("shorter"))
 
@@ -60,6 +59,16 @@ FROM (SELECT lang, token FROM t WHERE doc_id % 2 = 0 EXCEPT ALL SELECT lang, tok
 """
 
 
+def duplicate_members(spark, sf_dir):
+    """The members of each group of equal texts, a row each in order: no group is gathered, however large."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+    groups = d.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+    return d.join(groups, "text_sha256").select("text_sha256", "doc_id", "n", "first_id")
+
+
+MEMBERS_SQL = "SELECT sha256(text) AS text_sha256, doc_id, count(*) OVER g AS n, min(doc_id) OVER g AS first_id FROM documents WINDOW g AS (PARTITION BY text) QUALIFY count(*) OVER g > 1"
+
+
 def duplicate_groups(spark, sf_dir):
     """Texts that several documents share: how many, the first and the last of them."""
     d = table(spark, sf_dir, "documents")
@@ -156,6 +165,28 @@ UNION ALL SELECT line, 2, 7, 1, 8, 1, 'x', 'y', NULL FROM l
 """
 
 
+def diff_declarations(spark, sf_dir):
+    """The different declarations that a diff names, in the order in which its hunks do."""
+    line = lambda *c: F.concat(*c, F.lit("\n"))
+    named = lambda k: line(F.lit(" theorem t"), k, F.lit(" : T"))
+    p = F.col("p_partkey").cast("string")
+    head = F.lit("@@ -1,2 +1,2 @@\n")
+    diff = F.concat(head, named(F.lit("b")), head, named(F.concat(F.lit("a"), p)), head, named(F.lit("b")), head, F.lit("-x\n+y"))
+    return blocks.declarations_of(table(spark, sf_dir, "part").select("p_partkey", diff.alias("diff")), "diff", "p_partkey").select("p_partkey", F.array_join("declarations", ",").alias("declarations"))
+
+
+DECLARATIONS_SQL = "SELECT p_partkey, 'tb,ta' || p_partkey AS declarations FROM part"
+
+
+def tactic_blocks(spark, sf_dir):
+    """Declarations whose proof is by tactics."""
+    found = blocks.tactics_only(blocks.blocks_of(part_sources(spark, sf_dir), "source", "p_partkey"))
+    return found.select("p_partkey", "name")
+
+
+TACTICS_SQL = "SELECT p_partkey, 'part' || p_partkey || '.name' AS name FROM part"
+
+
 def json_lenient(spark, sf_dir):
     """Properties read back from a fenced answer amid prose."""
     answer = F.concat(F.lit("```json\nHere it is: "), F.col("props"), F.lit(" - done {}\n```"))
@@ -216,19 +247,31 @@ SELECT doc_id, length(t) AS n_chars, sha256(t) AS text_sha256 FROM b
 
 def snapshot_align(spark, sf_dir):
     """Initial and final snapshots side by side; a missing side stays null."""
-    d = table(spark, sf_dir, "documents").withColumn("path", F.floor(F.col("doc_id") / 2))
+    # Every eleventh file came back empty, which counts as missing.
+    content = F.when(F.col("doc_id") % 11 != 0, F.col("text")).otherwise("")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 2).alias("path"), F.length(reviews.present(content)).cast("long").alias("n_chars"))
     one = d.where((F.col("doc_id") % 2 == 0) & (F.col("doc_id") % 10 != 0)).select("path", F.col("n_chars").alias("initial_chars"))
     two = d.where((F.col("doc_id") % 2 == 1) & (F.col("doc_id") % 7 != 0)).select("path", F.col("n_chars").alias("final_chars"))
-    return one.join(two, "path", "full").withColumn("fetch_failed", F.col("initial_chars").isNull() | F.col("final_chars").isNull())
+    both = one.join(two, "path", "full").where("initial_chars IS NOT NULL OR final_chars IS NOT NULL")
+    return both.withColumn("fetch_failed", F.col("initial_chars").isNull() | F.col("final_chars").isNull())
 
 
 SNAPSHOT_SQL = """
-WITH d AS (SELECT *, doc_id // 2 AS path FROM documents)
-SELECT coalesce(a.path, b.path) AS path, a.n_chars AS initial_chars, b.n_chars AS final_chars, a.n_chars IS NULL OR b.n_chars IS NULL AS fetch_failed
-FROM (SELECT * FROM d WHERE doc_id % 2 = 0 AND doc_id % 10 <> 0) a FULL JOIN (SELECT * FROM d WHERE doc_id % 2 = 1 AND doc_id % 7 <> 0) b ON a.path = b.path
+WITH d AS (SELECT doc_id, doc_id // 2 AS path, CASE WHEN doc_id % 11 <> 0 AND text <> '' THEN length(text) END AS n FROM documents)
+SELECT coalesce(a.path, b.path) AS path, a.n AS initial_chars, b.n AS final_chars, a.n IS NULL OR b.n IS NULL AS fetch_failed
+FROM (SELECT * FROM d WHERE doc_id % 2 = 0 AND doc_id % 10 <> 0) a FULL JOIN (SELECT * FROM d WHERE doc_id % 2 = 1 AND doc_id % 7 <> 0) b ON a.path = b.path WHERE a.n IS NOT NULL OR b.n IS NOT NULL
 """
 
 
+def stored_line_counts(spark, sf_dir):
+    """The recorded number of lines, or where it is 0 or missing that of the text."""
+    recorded = F.when(F.col("doc_id") % 3 == 1, 0).when(F.col("doc_id") % 3 == 2, F.col("n_chars"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.stored_or_counted(recorded, F.col("text")).alias("lines"))
+
+
+STORED_SQL = "SELECT doc_id, CASE WHEN doc_id % 3 = 2 AND n_chars <> 0 THEN n_chars WHEN text = '' THEN 0 ELSE length(text) - length(replace(text, chr(10), '')) + CASE WHEN ends_with(text, chr(10)) THEN 0 ELSE 1 END END::BIGINT AS lines FROM documents"
+
+
 def anchor_lookup(spark, sf_dir):
     """Known cases looked up by their key, with what they are expected to be."""
     anchors = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.when(F.col("item_id") % 4 == 0, "comparable").otherwise("accepted").alias("expected"))
@@ -313,8 +356,8 @@ SELECT 'identical_after_comment_strip' AS finding, p_partkey, '' AS side FROM f
 UNION ALL SELECT 'unbalanced_brackets', p_partkey, 'final' FROM f WHERE k = 1
 UNION ALL SELECT 'declaration_name_absent', p_partkey, 'final' FROM f WHERE k IN (2, 5)
 UNION ALL SELECT 'signature_actually_differs', p_partkey, '' FROM f WHERE sig_i <> sig_f
-UNION ALL SELECT 'empty_proof_body', p_partkey, 'final' FROM f WHERE code_f = ''
-UNION ALL SELECT 'line_count_mismatch', p_partkey, 'final' FROM f WHERE k = 6
+UNION ALL SELECT 'empty_proof_body', p_partkey, '' FROM f WHERE code_f = ''
+UNION ALL SELECT 'line_count_mismatch', p_partkey, '' FROM f WHERE k = 6
 UNION ALL SELECT 'non_mathematical_path', p_partkey, '' FROM f WHERE k = 9
 UNION ALL SELECT 'metaprogram_code', p_partkey, '' FROM f WHERE k = 8
 UNION ALL SELECT 'duplicate_final_proof', p_partkey, '' FROM f WHERE code_f IN (SELECT code_f FROM f GROUP BY code_f HAVING count(*) > 1)
@@ -322,13 +365,13 @@ UNION ALL SELECT 'duplicate_initial_proof', p_partkey, '' FROM f WHERE code_i IN
 """
 
 QUERIES = {
-    "bag_token_diff": bag_token_diff, "meaningful_pairs": meaningful_pairs, "multiset_except": multiset_except, "duplicate_groups": duplicate_groups, "line_counts": line_counts,
+    "bag_token_diff": bag_token_diff, "meaningful_pairs": meaningful_pairs, "multiset_except": multiset_except, "duplicate_groups": duplicate_groups, "duplicate_members": duplicate_members, "stored_line_counts": stored_line_counts, "diff_declarations": diff_declarations, "tactic_blocks": tactic_blocks, "line_counts": line_counts,
     "bracket_balance": bracket_balance, "strip_comments_synth": strip_comments_synth, "block_parse_synth": block_parse_synth, "diff_hunks_synth": diff_hunks_synth, "json_lenient": json_lenient,
     "body_similarity": body_similarity, "name_suffix_present": name_suffix_present, "keyword_union": keyword_union, "base64_content": base64_content, "snapshot_align": snapshot_align,
     "anchor_lookup": anchor_lookup, "greedy_pool_dedup": greedy_pool_dedup, "hygiene_summary": hygiene_summary, "hygiene_audit": hygiene_audit,
 }
 ORACLE_SQL = {
-    "bag_token_diff": DIFF_SQL + "SELECT * FROM diff", "meaningful_pairs": MEANINGFUL_SQL, "multiset_except": MULTISET_SQL, "duplicate_groups": DUPLICATES_SQL, "line_counts": LINES_SQL,
+    "bag_token_diff": DIFF_SQL + "SELECT * FROM diff", "meaningful_pairs": MEANINGFUL_SQL, "multiset_except": MULTISET_SQL, "duplicate_groups": DUPLICATES_SQL, "duplicate_members": MEMBERS_SQL, "stored_line_counts": STORED_SQL, "diff_declarations": DECLARATIONS_SQL, "tactic_blocks": TACTICS_SQL, "line_counts": LINES_SQL,
     "bracket_balance": BRACKETS_SQL, "strip_comments_synth": STRIP_SQL, "block_parse_synth": BLOCKS_SQL, "diff_hunks_synth": HUNKS_SQL, "json_lenient": JSON_SQL, "name_suffix_present": SUFFIX_SQL,
     "keyword_union": KEYWORD_SQL, "base64_content": BASE64_SQL, "snapshot_align": SNAPSHOT_SQL, "anchor_lookup": ANCHOR_SQL, "hygiene_summary": HYGIENE_SQL, "hygiene_audit": AUDIT_SQL,
 }

@@ -57,7 +57,7 @@ class PageRange(InputPartition):
 
 class PagedSource(DataSource):
     """Format "paged": options transport ("module:function" of (resource, page) to (list of records, whether more follow)),
-    resource, pages, and pages_per_partition. Rows: page and the record as JSON."""
+    resource, pages (or limit and per_page, for as many pages as hold the limit, whole ones), first_page to go on from, and pages_per_partition. Rows: page and the record as JSON."""
 
     @classmethod
     def name(cls) -> str:
@@ -75,8 +75,12 @@ class PagedReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self):
-        pages, step = int(self.options["pages"]), int(self.options.get("pages_per_partition", 10))
-        return [PageRange(a, min(a + step, pages + 1)) for a in range(1, pages + 1, step)]
+        first, step = int(self.options.get("first_page", 1)), int(self.options.get("pages_per_partition", 10))
+        if "limit" in self.options:
+            last = first - 1 - (-int(self.options["limit"]) // int(self.options["per_page"]))
+        else:
+            last = int(self.options["pages"])
+        return [PageRange(a, min(a + step, last + 1)) for a in range(first, last + 1, step)]
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
         module, _, function = self.options["transport"].partition(":")

@@ -57,6 +57,17 @@ def record_files(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     return read.select("*", name.alias("file_name"), F.regexp_extract(name, r"pr_(\d+)\.json", 1).cast("long").alias("file_pr")).where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
+def strict_record_files(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """Like record_files, but a document that doesn't fit the schema is an error."""
+    read = spark.read.schema(schema_of(kind)).option("multiLine", True).option("mode", "FAILFAST").json(f"{folder}/pr_*.json")
+    return read.withColumn("file_name", F.col("_metadata.file_name"))
+
+
+def by_number(records: DataFrame, numbers: DataFrame, key: str) -> DataFrame:
+    """The records whose key is asked for; numbers without a record give nothing."""
+    return records.join(numbers.select(key).distinct(), key, "left_semi")
+
+
 def held_out(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The requests and the (declaration, file) pairs of a reference set, whose records are flat or hold declarations."""
     one = "declaration_name string, file_path string"

@@ -24,9 +24,11 @@ def new_rows(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
     return df.dropDuplicates(keys).join(known.select(*keys).distinct(), keys, "left_anti")
 
 
-def dataset_info(df: DataFrame, name: str, version: str, now: datetime | None = None) -> str:
-    """The sidecar of a dataset: its name, version, number of rows and time."""
-    return json.dumps({"name": name, "version": version, "total_rows": df.count(), "generated_at": (now or datetime.now(UTC)).isoformat()})
+def dataset_info(df: DataFrame, name: str, version: str, now: datetime | None = None, known: DataFrame | None = None, keys: list[str] | None = None) -> str:
+    """The sidecar of a dataset: its name, version, number of rows and time. With known, the table of earlier runs, all
+    different keys of both count."""
+    total = df.count() if known is None else df.select(*keys).union(known.select(*keys)).distinct().count()
+    return json.dumps({"name": name, "version": version, "total_rows": total, "generated_at": (now or datetime.now(UTC)).isoformat()})
 
 
 def tally_report(tally: DataFrame, label: str, count: str, limit: int = 50) -> str:
@@ -35,6 +37,23 @@ def tally_report(tally: DataFrame, label: str, count: str, limit: int = 50) -> s
     return "\n".join(f"{r[count]:>8}  {r[label]}" for r in rows)
 
 
+def status_report(counts: DataFrame) -> str:
+    """The one row of phase_counts() as a table."""
+    row = counts.first().asDict()
+    return "\n".join(f"{name:<20}{n:>8}" for name, n in row.items())
+
+
+def verify_report(verdicts: DataFrame, tasks: DataFrame, preview: int = 12) -> tuple[str, int]:
+    """How many tasks have a verdict and which have none, and the exit status: 1 if any is missing."""
+    from pairquarry.operators.evaluation import missing_verdicts
+
+    missing = missing_verdicts(verdicts, tasks)
+    n, total = missing.count(), tasks.count()
+    some = [r["task_id"] for r in missing.select("task_id").orderBy("task_id").limit(preview).collect()]
+    lines = [f"verdicts: {total - n} of {total}", *([f"missing: {', '.join(some)}" + (f" and {n - len(some)} more" if n > len(some) else "")] if n else [])]
+    return "\n".join(lines), int(n > 0)
+
+
 def blind_files(tasks: DataFrame, dealt: DataFrame, folder: str) -> None:
     """What readers get (tasks and batches) and, apart from it, the key."""
     from pairquarry.operators.evaluation import reader_view

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def event_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -17,10 +16,6 @@ def first_seen(events: DataFrame, keys: list[str], time_col: str, delay: str = "
     return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def phase_counts(events: DataFrame, time_col: str, phase_col: str, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    return events.withWatermark(time_col, delay).groupBy(F.window(time_col, window), phase_col).agg(F.count(F.lit(1)).alias("n"))
-
-
 def catch_up(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append all that is new to a Parquet table, then stop. Run again, it takes up where it stopped."""
     stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", path).outputMode("append").trigger(availableNow=True).start().awaitTermination()

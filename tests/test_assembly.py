@@ -46,12 +46,20 @@ def test_audit(spark):
     rows = [(1, "N.a", "Mathlib/A", "theorem a : T := by x", "theorem a : T := by x -- y", 1, 1), (2, "b", "Cache/B", "theorem b : T := (", "", 5, 1), (3, "c", "Mathlib/C", "theorem c : T := z", "def c : T := do x : IO Unit", 1, 1)]
     found = hygiene.audit(spark.createDataFrame(rows, "k int, declaration string, file_path string, initial string, final string, initial_lines int, final_lines int"), "k")
     assert sorted(tuple(r) for r in found.collect()) == sorted([
-        ("identical_after_comment_strip", 1, ""), ("unbalanced_brackets", 2, "initial"), ("declaration_name_absent", 2, "final"), ("signature_actually_differs", 2, ""), ("empty_proof_body", 2, "final"),
-        ("line_count_mismatch", 2, "initial"), ("non_mathematical_path", 2, ""), ("signature_actually_differs", 3, ""), ("metaprogram_code", 3, ""),
+        ("identical_after_comment_strip", 1, ""), ("unbalanced_brackets", 2, "initial"), ("declaration_name_absent", 2, "final"), ("signature_actually_differs", 2, ""), ("empty_proof_body", 2, ""),
+        ("line_count_mismatch", 2, ""), ("non_mathematical_path", 2, ""), ("signature_actually_differs", 3, ""), ("metaprogram_code", 3, ""),
     ])
     assert hygiene.report(found, "k").splitlines()[-1] == "total: 9"
 
 
+def test_checks_of_both_sides_give_a_row_one_finding(spark):
+    rows = [(1, "a", "Mathlib/A", "-- a", "-- b", 5, 5), (2, "a", "Mathlib/A", "theorem a := x\n\n", "theorem a := y", 1, 1), (3, "a", "Mathlib/A", "theorem a := x", "theorem a := z", 1, 1)]
+    df = spark.createDataFrame(rows, "k int, declaration string, file_path string, initial string, final string, initial_lines int, final_lines int")
+    found = [tuple(r) for r in hygiene.audit(df, "k").collect()]
+    assert found.count(("empty_proof_body", 1, "")) == found.count(("line_count_mismatch", 1, "")) == 1 and ("line_count_mismatch", 2, "") not in found
+    assert [tuple(r) for r in hygiene.duplicate_groups(df, "k", "initial").collect()] == [(2, "2 == 3")]
+
+
 def test_blind_files_keep_the_key_apart(spark, tmp_path):
     rows = spark.createDataFrame([(n, "d", "f", "B", "i", "f") for n in range(5)], "pr int, declaration string, file_path string, stratum string, initial string, final string")
     tasks = evaluation.blind_tasks(rows)

@@ -109,6 +109,60 @@ def test_reader_view_shows_only_what_it_may(spark):
     assert evaluation.repeated_in_batch(evaluation.deal(tasks)).isEmpty()
 
 
+def test_what_a_reader_may_not_see_raises(spark):
+    rows = spark.createDataFrame([(1, "d", "f", "B", " i ", " f ")], "pr int, declaration string, file_path string, stratum string, initial string, final string")
+    with pytest.raises(ValueError, match="verdict"):
+        evaluation.reader_view(evaluation.blind_tasks(rows).withColumn("verdict", F.lit("A")))
+    tasks = evaluation.blind_tasks(rows)
+    with pytest.raises(ValueError, match="2 times"):
+        evaluation.checked_deal(tasks.union(tasks.withColumn("task_id", F.concat("task_id", F.lit("x")))), 1)
+
+
+def test_strata_and_missing_verdicts(spark):
+    rows = spark.createDataFrame([(1, None), (2, "a")], "pr int, declaration string")
+    strata = spark.createDataFrame([(1, None, "B")], "pr int, declaration string, stratum string")
+    assert {r.pr: r.stratum for r in evaluation.with_strata(rows, strata, ["pr", "declaration"]).collect()} == {1: "B", 2: "-"}
+    tasks, verdicts = (spark.createDataFrame([(t,) for t in ts], "task_id string") for ts in (["v1", "v2", "v3"], ["v2"]))
+    assert sinks.verify_report(verdicts, tasks) == ("verdicts: 1 of 3\nmissing: v1, v3", 1)
+    assert sinks.verify_report(tasks, tasks) == ("verdicts: 3 of 3", 0)
+
+
+def test_ledger_status_and_unknown_phases(spark):
+    rows = [(1, 1, None, None, None), (1, 2, "enriched", True, None), (1, 3, "error", None, "y" * 1200), (1, 4, "enriched", False, None), (2, 1, "error", None, "a"), (2, 2, "error", None, "b")]
+    events = spark.createDataFrame(rows, "pr int, ts int, phase string, qualifies boolean, message string")
+    found = {r.pr: r for r in ledger.status_table(ledger.checked_events(events)).collect()}
+    assert (found[1].enriched_at, found[1].qualifies, found[1].last_error, found[1].error_count) == (4, False, "y" * 1000, 1)
+    assert (found[2].enriched_at, found[2].qualifies, found[2].last_error, found[2].error_count) == (None, False, "b", 2)
+    with pytest.raises(ValueError, match="golfed"):
+        ledger.checked_events(events.withColumn("phase", F.lit("golfed")))
+    assert sinks.status_report(ledger.phase_counts(ledger.status_table(events.limit(0)))).split()[:2] == ["discovered", "0"]
+
+
+def test_a_cached_table_is_built_once(spark, tmp_path):
+    from pairquarry.operators.tables import cached
+
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3)
+
+    assert [cached(spark, str(tmp_path / "c"), build).count() for _ in range(2)] == [3, 3] and built == [1]
+
+
+def test_written_tables_can_be_dropped(spark):
+    import os
+
+    from pairquarry.operators import tables
+
+    first = len(tables.WRITTEN)
+    one, two = written(spark.range(3), "one"), written(spark.range(4), "two")
+    gone, kept = tables.WRITTEN[first:]
+    tables.drop_written(spark, first, keep=1)
+    assert one.schema == two.schema and two.count() == 4 and tables.WRITTEN[first:] == [kept]
+    assert not os.path.exists(gone.removeprefix("file:")) and os.path.exists(kept.removeprefix("file:"))
+
+
 def test_position_bias_without_sides_is_nan(spark):
     df = spark.createDataFrame([("t", "comparable")], "task_id string, verdict string")
     assert evaluation.position_bias(df).first().bias != evaluation.position_bias(df).first().bias
@@ -140,6 +194,8 @@ def test_record_sources(spark, tmp_path):
         (tmp_path / f"pr_{n}.json").write_text(json.dumps({"pr_number": n, "pair_count": 0, "pairs": []}, indent=1))
     (tmp_path / "pr_11.json").write_text("{broken")
     assert sorted((r.file_pr, r.file_name) for r in records.record_files(spark, str(tmp_path), "parsing").collect()) == [(9, "pr_9.json"), (10, "pr_10.json")]
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        records.strict_record_files(spark, str(tmp_path), "parsing").collect()
     v = lambda t, x: {"task_id": t, "verdict": x}
     (tmp_path / "v_verdicts_1.json").write_text(json.dumps({"verdicts": [v("a", "A"), v("b", "B")]}))
     (tmp_path / "v_verdicts_2.json").write_text(json.dumps({"verdicts": [v("a", "comparable")]}))
@@ -154,6 +210,8 @@ def test_record_sources(spark, tmp_path):
 def test_paged_source(spark):
     reader = paged.PagedReader({"transport": "pairquarry.sources.replay:pages", "resource": "r", "pages": 7, "pages_per_partition": 3})
     assert [(p.first, p.last) for p in reader.partitions()] == [(1, 4), (4, 7), (7, 8)]
+    resumed = paged.PagedReader({"first_page": 3, "limit": 250, "per_page": 100, "pages_per_partition": 2})
+    assert [(p.first, p.last) for p in resumed.partitions()] == [(3, 5), (5, 6)]
     spark.dataSource.register(paged.PagedSource)
     df = spark.read.format("paged").option("transport", "pairquarry.sources.replay:pages").option("resource", "numbers").option("pages", 7).option("pages_per_partition", 3).load()
     assert sorted(json.loads(r.record)["id"] for r in df.collect()) == sorted(10 * p + i for p in range(1, 6) for i in range(2))
@@ -187,6 +245,7 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "j")).count() == 6
     assert [r.k for r in sinks.new_rows(df, df.where("k = 2"), ["k"]).collect()] == [1]
     assert json.loads(sinks.dataset_info(df, "n", "0.1"))["total_rows"] == 3
+    assert json.loads(sinks.dataset_info(df, "n", "0.1", known=df.selectExpr("k + 1 AS k"), keys=["k"]))["total_rows"] == 3
     assert sinks.tally_report(df.groupBy("v").count(), "v", "count").split() == ["2", "a", "1", "b"]
     sinks.replace_table(df, str(tmp_path / "t"), "k")
     sinks.replace_table(df.where("k = 1").limit(1), str(tmp_path / "t"), "k")
