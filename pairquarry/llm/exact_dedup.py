@@ -6,8 +6,8 @@ content is always compared, never inferred from the digest. A text with any numb
 row per task into the first shuffle and one per salt into the second.
 
 Results for odd input: null text counts as empty; a null id sorts lowest and wins only a group of null ids;
-rows that repeat both id and text count as copies of one document, of which one is kept; an empty table gives
-an empty result; other columns, whatever their names, are left alone.
+rows that repeat both id and text count as copies of one document, of which the one whose other columns come first
+(as JSON) is kept; an empty table gives an empty result; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -36,14 +36,14 @@ def merged_groups(base: DataFrame, salts: int = SALTS) -> DataFrame:
     return salted.groupBy("digest", "text").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
 
-def exact_groups(
+def exact_rows(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     digest: Callable[[Column], Column] = sha256,
     salts: int = SALTS,
 ) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept and text_sha256 of its text."""
+    """One row per id and text: doc_id, keep_id, group_size, sha, and the number of input rows that have both."""
     base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("digest", digest(F.col("text")))
     groups = materialize(
         merged_groups(base, salts)
@@ -63,7 +63,12 @@ def exact_groups(
         by_text = merged_groups(clash.select("doc_id", "text", "digest"), salts)
         copies = clash.select("doc_id", "digest", "text", sha.alias("sha")).groupBy("doc_id", "digest", "text", "sha").agg(F.count(F.lit(1)).alias("copies"))
         found = found.unionByName(copies.join(by_text, ["digest", "text"]).select("doc_id", "keep_id", "group_size", "sha", "copies"))
-    copy = found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+    return found
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256, salts: int = SALTS) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept and text_sha256 of its text."""
+    copy = exact_rows(docs, id_col, text_col, digest, salts).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
     return copy.select(
         "doc_id",
         "keep_id",
@@ -75,12 +80,16 @@ def exact_groups(
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """docs with one row for each different text, that with the largest id; all columns stay."""
-    kept = materialize(
-        exact_groups(docs, id_col, text_col, salts=salts).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")), "exact-kept"
-    )
-    keyed = docs.withColumn("__sha", F.sha2(text_of(text_col), 256))
-    chosen = keyed.join(kept.withColumnRenamed("__sha", "__kept_sha"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
-    return chosen.dropDuplicates([id_col, "__sha"]).select(*docs.columns)
+    winners = exact_rows(docs, id_col, text_col, salts=salts).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    kept = materialize(winners.select(F.col("doc_id").alias("kept_id"), F.col("sha").alias("kept_sha"), (F.col("copies") > 1).alias("repeated")), "exact-kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), sha256(text_of(text_col)).alias("sha"))
+    on = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha"))
+    single = rows.join(kept.where("NOT repeated"), on, "left_semi").select("row.*")
+    if kept.where("repeated").isEmpty():
+        return single
+    # Only rows that repeat id and text are grouped once more.
+    again = rows.join(kept.where("repeated"), on, "left_semi").groupBy("id", "sha").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return single.unionByName(again.select("row.*"))
 
 
 def op6_exact_dedup(spark, sf_dir):

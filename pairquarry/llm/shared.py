@@ -1,36 +1,16 @@
-"""Tables in the cluster's shared folder: lineage is cut by writing and rereading Parquet there."""
+"""What the operators share: texts and words as columns, and tables in the cluster's shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairquarry.operators.tables import written as materialize  # noqa: F401  the operators' name for it
+
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Where none is set, as in local tests, a temporary one becomes it."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="spark-checkpoint-")
-    spark.sparkContext.setCheckpointDir(made)
-    return spark.sparkContext.getCheckpointDir()
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: computed once, no lineage, safe from lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_of(column: str) -> Column:
     """The column's text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

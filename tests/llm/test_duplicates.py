@@ -42,6 +42,14 @@ def test_exact_copies_are_dropped_once(docs):
     assert exact_dedup.exact_groups(docs.limit(0)).count() == 0
 
 
+def test_the_row_that_stays_is_fixed_and_names_may_clash(spark):
+    rows = [(7, "a", 3, "x"), (7, "a", 1, "y"), (7, "a", 2, "x"), (5, "a", 0, "z"), (1, "b", 9, "z")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, row int, sha string").withColumn("id", F.lit(1)).withColumn("kept_sha", F.lit("k")).withColumn("__sha", F.lit("s"))
+    for n in (1, 3, 5):
+        kept = exact_dedup.drop_exact_copies(odd.repartition(n))
+        assert kept.columns == odd.columns and sorted((r.doc_id, r.row, r.sha, r.id, r["__sha"]) for r in kept.collect()) == [(1, 9, "z", 1, "s"), (7, 1, "y", 1, "s")]
+
+
 def union(pairs, nodes):
     root = {n: n for n in nodes}
 

@@ -1,3 +1,4 @@
+import hashlib
 import os
 import random
 import sys
@@ -51,6 +52,18 @@ def test_bpe_on_random_strings():
     assert [own.decode(np.array(x)) for x in ids] == [library.decode(x, skip_special_tokens=False) for x in ids]
 
 
+def test_bpe_query_equals_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_path())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        want[r.doc_id] = len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op10_bpe_encode_decode(spark, SF).collect()} == want
+
+
 def test_bpe_of_an_empty_table(odd_docs):
     assert bpe.token_digests(odd_docs.limit(0)).count() == 0
 
