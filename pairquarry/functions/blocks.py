@@ -92,7 +92,7 @@ def parse_blocks(source: str) -> list[tuple]:
     inside = commented_lines(lines)
     starts = [(n, k) for n, line in enumerate(lines) if n not in inside and (k := line_kind(line)) is not None]
     found = []
-    for (begin, (kind, name)), end in zip(starts, [n for n, _ in starts[1:]] + [len(lines)], strict=True):
+    for (begin, (kind, name)), end in zip(starts, [*(n for n, _ in starts[1:]), len(lines)], strict=False):
         if not kind:
             continue
         while end > begin + 1 and not lines[end - 1].strip():

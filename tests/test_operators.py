@@ -163,6 +163,40 @@ def test_written_tables_can_be_dropped(spark):
     assert not os.path.exists(gone.removeprefix("file:")) and os.path.exists(kept.removeprefix("file:"))
 
 
+def test_draw_takes_years_in_turn(spark):
+    rows = [(1, "2020", 5, "a"), (1, "2020", 9, "b"), (2, "2020", 1, "c"), (3, "2021", 7, "d"), (4, "2022", 2, "e"), (5, "2022", 2, "f")]
+    pool = spark.createDataFrame(rows, "pr int, year string, quotes int, name string")
+    order = lambda: [-F.col("quotes"), F.col("pr")]
+    drawn = lambda n: [(r.pr, r.name) for r in evaluation.round_robin_draw(pool, n, "pr", "year", order()).orderBy("turn", "year").collect()]
+    # A request gives its best row only; each year's best first; a target above the pool takes all.
+    assert drawn(4) == [(1, "b"), (3, "d"), (4, "e"), (2, "c")] and drawn(99) == [(1, "b"), (3, "d"), (4, "e"), (2, "c"), (5, "f")]
+
+
+def test_cascade_takes_the_first_reason(spark):
+    names = "pr int, declaration string, file_path string, verdict string, signature_changed boolean, initial_lines int, has_feedback boolean, ratio double, p int, s int"
+    good = (1, None, "Mathlib/A.lean", "HIGH_VALUE", False, 5, True, 0.5, 1, 1)
+    odd = {3: "LOW_VALUE", 4: True, 5: 4, 6: False, 7: 1.0, 0: 9, 2: "Mathlib/Tactic/X.lean", 1: "held", 8: 2}
+    rows = [good, *[tuple(v if n == at else x for n, x in enumerate(good)) for at, v in odd.items()], (*good[:8], 3, 1), (*good[:8], 4, 1), (*good[:8], 1, 2), (1, None, "Mathlib/Tactic/X.lean", "LOW_VALUE", True, 1, False, 2.0, 9, 9)]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], names + ", i int")
+    frame = lambda data, schema: spark.createDataFrame(data, schema)
+    found = evaluation.with_reasons(
+        df, frame([(9,)], "pr int"), frame([("held", "Mathlib/A.lean")], "declaration string, file_path string"),
+        frame([(1, False, "simp"), (3, True, "simp"), (4, False, "do let x : MetaM Expr")], "p int, same_code boolean, final_code string"), frame([(1, "why"), (2, " \n")], "s int, summary string"), ["p"], ["s"],
+    )
+    got = {r.i: r.reason for r in found.collect()}
+    r = evaluation.REASONS
+    assert [got[i] for i in range(len(rows))] == [None, r[0], r[1], r[2], r[3], r[4], r[5], r[6], r[7], r[8], r[9], r[10], r[11], r[0]]
+
+
+def test_majorities_and_failures(spark):
+    tasks = spark.createDataFrame([(f"t{pr}{n}", pr, "d", "B", n != 1) for pr in range(5) for n in range(3)], "task_id string, pr int, declaration string, stratum string, accepted_is_a boolean")
+    said = {0: "ABA", 1: "BBB", 2: ["A", "A", "comparable"], 3: ["comparable"] * 3, 4: "BAB"}
+    verdicts = spark.createDataFrame([(f"t{pr}{n}", v) for pr, vs in said.items() for n, v in enumerate(vs)], "task_id string, verdict string")
+    d = evaluation.decoded(verdicts, tasks)
+    got = {r.pr: (r.majority, r.failure) for r in d.withColumn("failure", evaluation.failure_kind(d)).collect()}
+    assert got == {0: ("accepted", None), 1: ("initial", "majority against"), 2: ("split", "three-way split"), 3: ("comparable", "unanimous comparable"), 4: ("initial", "unanimous initial")}
+
+
 def test_position_bias_without_sides_is_nan(spark):
     df = spark.createDataFrame([("t", "comparable")], "task_id string, verdict string")
     assert evaluation.position_bias(df).first().bias != evaluation.position_bias(df).first().bias

@@ -89,3 +89,23 @@ def test_blocks():
 
 def test_empty_body_is_dropped():
     assert blocks.parse_blocks("theorem a : T :=\n") == []
+
+
+@pytest.mark.parametrize(
+    ("source", "found"),
+    [
+        ("theorem a : ⟨x := 1⟩ = T := by simp\n", [("a", "theorem a : ⟨x", "1⟩ = T := by simp")]),
+        ('def a := "/-"\ntheorem b : T := x\n-/\ntheorem c : T := x\n', [("a", "def a", '"/-"\ntheorem b : T := x\n-/'), ("c", "theorem c : T", "x")]),
+        ("def a := 1\nabbrev b := 2\ndef c (x : N := 3) [d := 4] {e := 5} := 6\n", [("a", "def a", "1"), ("c", "def c (x : N := 3) [d := 4] {e := 5}", "6")]),
+        ("@[a] @[b] theorem t : T := x\n", []),
+        ("", []),
+        ("@[simp]\ntheorem t : T := x\n", [("t", "theorem t : T", "x")]),
+        ("theorem t : T := x\ntheorem t : T := y\n", [("t", "theorem t : T", "x"), ("t", "theorem t : T", "y")]),
+    ],
+)
+def test_what_a_block_holds(source, found):
+    assert [(b[1], b[2], b[3]) for b in blocks.parse_blocks(source)] == found
+
+
+def test_a_string_hides_no_split_from_the_canonical_scanner():
+    assert scan.statement('def f "a := b" := c') == 'def f "a'
