@@ -181,10 +181,9 @@ def near_links(nodes: DataFrame, radius: int = 2, levels: tuple[int, ...] = BLOC
     return reduce(DataFrame.unionByName, links).distinct()
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """One-permutation min-hash: of the shingles whose hash starts with byte i, the least; 0 where there is none."""
+def sketch(ordered: np.ndarray) -> np.ndarray:
+    """One-permutation min-hash of different hashes in order: of those that start with byte i the least; 0 where there is none."""
     out = np.zeros(BINS, np.uint64)
-    ordered = np.unique(hashes)
     bins = (ordered >> np.uint64(56)).astype(np.int64)
     first = np.flatnonzero(np.append(True, bins[1:] != bins[:-1])) if len(ordered) else np.zeros(0, np.int64)
     out[bins[first]] = ordered[first] | np.uint64(1)
