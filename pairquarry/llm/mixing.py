@@ -155,9 +155,10 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """row (all columns of docs in a struct), size, source_size, target and copies (0 to cap) of each row; nothing is shuffled but small tables."""
     plan = mix_plan(docs, id_col, text_col, source_col, cap, seed)
     sized = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_of(text_col)).alias("size"))
-    numbered = sized.withColumn("digits", digits(F.col("size")))
+    # Random bits below the join, where they are drawn once a row, however often the rank is looked at.
+    numbered = sized.withColumn("digits", digits(F.col("size"))).withColumn("bits", uniform_bits(F.col("id"), seed))
     joined = numbered.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.digits") == F.col("p.digits")), "left")
-    return joined.select("row", "size", "p.source_size", "p.target", copies("p", F.col("d.id"), uniform_bits(F.col("d.id"), seed)).alias("copies"))
+    return joined.select("row", "size", "p.source_size", "p.target", copies("p", F.col("d.id"), F.col("d.bits")).alias("copies"))
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cap: int = CAP, seed: str = SEED) -> DataFrame:
