@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairquarry.functions import text
 from pairquarry.functions.text import stable_bit
-from pairquarry.operators.mining import null_safe_join
+from pairquarry.operators.mining import first_wins, last_wins, null_safe_join
 
 # The strata's sizes, readers of each replicate, replicates, and the columns a reader may see.
 API_ROWS, OTHER_ROWS, READERS, REPLICATES = 60, 190, 12, 3
@@ -150,6 +150,14 @@ def with_strata(rows: DataFrame, strata: DataFrame, keys: list[str]) -> DataFram
     return null_safe_join(rows, strata.select(*keys, "stratum").distinct(), keys).withColumn("stratum", F.coalesce("stratum", F.lit("-")))
 
 
+def anchors(rows: DataFrame, by_name: DataFrame, by_request: DataFrame, order: list) -> DataFrame:
+    """Known cases among rows(pr, declaration, ...): the last row of each declaration of by_name(declaration, expected), and
+    the first of each (pr, declaration) of by_request. Both lists are short."""
+    named = last_wins(rows.join(by_name.select("declaration").distinct(), "declaration", "left_semi"), ["declaration"], order).join(by_name, "declaration")
+    asked = first_wins(rows.join(by_request.select("pr", "declaration").distinct(), ["pr", "declaration"], "left_semi"), ["pr", "declaration"], order).join(by_request, ["pr", "declaration"])
+    return named.unionByName(asked)
+
+
 def pick(verdict: Column, accepted_is_a: Column) -> Column:
     return F.when(verdict == "comparable", "comparable").when((verdict == "A") == accepted_is_a, "accepted").otherwise("initial")
 

@@ -14,19 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 WRITTEN: list[str] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the folder of spark.checkpoint.dir and read back: lineage ends here and outlives executors."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the folder of spark.checkpoint.dir; drop_written() deletes it like a table."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
         folder = spark.sparkContext.getCheckpointDir()
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    WRITTEN.append(f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return WRITTEN[-1]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the folder of spark.checkpoint.dir and read back: lineage ends here and outlives executors."""
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_written(spark: SparkSession, since: int = 0, keep: int = 0) -> None:

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairquarry.operators import ledger, reviews
-from pairquarry.plans.record_queries import PATH_SQL, line_path
+from pairquarry.operators import assembly, evaluation, ledger, reviews
+from pairquarry.operators.tables import new_path
+from pairquarry.plans.record_queries import LINE_ORDER, PATH_SQL, line_path
 from pairquarry.session import table
-from pairquarry.sources import normalize, records
+from pairquarry.sources import normalize, records, sinks
 
 STATUS_SQL = """
 ev AS (SELECT user_id * 7 + event_id % 7 AS pr, ts, [NULL, 'enriched', 'extracted', 'parsed', 'summarized', 'assembled', 'contexts_extracted', 'error', 'enriched'][event_id % 9 + 1] AS phase, value >= 50 AS qualifies,
@@ -199,10 +200,63 @@ def normalized_files(spark, sf_dir):
 
 FILES_SQL = f"WITH f AS (SELECT l_orderkey, {PATH_SQL} AS path, l_quantity::BIGINT AS a, l_linenumber AS d FROM lineitem) SELECT path, count(DISTINCT l_orderkey) AS n_prs, sum(a)::BIGINT AS additions, sum(d)::BIGINT AS deletions FROM f GROUP BY path"
 
+def landed_metadata(spark, sf_dir):
+    """Requests written as JSON lines, with lines that don't fit among them, and scanned back by their schema."""
+    o = table(spark, sf_dir, "orders")
+    path = new_path(spark, "landed-metadata")
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    sinks.append_lines(o.select(F.col("o_orderkey").alias("number"), F.col("o_orderpriority").alias("title"), F.col("o_orderstatus").alias("state"), stamp.alias("created_at"), F.array("o_orderpriority").alias("labels")), path)
+    o.where("o_orderkey % 10 = 0").select(F.concat(F.lit("not json "), "o_orderkey").alias("value")).write.mode("append").text(path)
+    found = records.lines(spark, path, "metadata")
+    return found.select("number", "title", "state", F.date_format("created_at", "yyyy-MM-dd").alias("created"), F.size("labels").cast("long").alias("n_labels"), F.col("author").isNull().alias("no_author"))
+
+
+LANDED_SQL = "SELECT o_orderkey AS number, o_orderpriority AS title, o_orderstatus AS state, strftime(o_orderdate, '%Y-%m-%d') AS created, 1::BIGINT AS n_labels, true AS no_author FROM orders"
+
+
+def journal_of_verdicts(spark, sf_dir):
+    """Verdicts out of a journal: results amid other events and lines that aren't JSON. A task has one verdict here."""
+    e, n = table(spark, sf_dir, "events"), F.col("event_id")
+    verdict = F.struct(F.concat(F.lit("t"), n.cast("string")).alias("task_id"), F.when(n % 3 == 0, "A").when(n % 3 == 1, "B").otherwise("comparable").alias("verdict"), F.col("event_type").alias("reasoning"))
+    line = F.when(n % 5 == 0, F.lit("noise")).otherwise(F.to_json(F.struct(F.when(n % 5 == 1, "start").otherwise("result").alias("type"), F.struct(F.array(verdict).alias("verdicts")).alias("result"))))
+    path = new_path(spark, "journal")
+    e.select(line.alias("value")).write.text(path)
+    return records.journal_verdicts(spark, path).select("task_id", "verdict", "reasoning")
+
+
+JOURNAL_SQL = "SELECT 't' || event_id AS task_id, CASE event_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'comparable' END AS verdict, event_type AS reasoning FROM events WHERE event_id % 5 > 1"
+
+
+def metadata_errors(spark, sf_dir):
+    """Pending requests without metadata, as errors of theirs."""
+    o = table(spark, sf_dir, "orders")
+    pending = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr")).distinct()
+    ready, errors = assembly.pending_metadata(pending, o.where("o_orderkey % 6 <> 0").select(F.col("o_orderkey").alias("pr"), F.col("o_orderpriority").alias("title")))
+    return ready.select("pr", "title", F.lit(None).cast("string").alias("error")).unionByName(errors.select("pr", F.lit(None).cast("string").alias("title"), "error"))
+
+
+ERRORS_SQL = "SELECT l_orderkey AS pr, max(CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority END) AS title, CASE WHEN l_orderkey % 6 = 0 THEN 'no metadata' END AS error FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey"
+
+
+def anchor_choice(spark, sf_dir):
+    """Known cases by name, the last of each, and by request and name, the first."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr"), F.concat(F.lit("d"), "l_partkey").alias("declaration"), *LINE_ORDER)
+    b = table(spark, sf_dir, "benchmark")
+    names = b.select(F.concat(F.lit("d"), "item_id").alias("declaration"), F.lit("accepted").alias("expected"))
+    asked = table(spark, sf_dir, "lineitem").where("l_partkey % 50 = 1").select(F.col("l_orderkey").alias("pr"), F.concat(F.lit("d"), "l_partkey").alias("declaration"), F.lit("comparable").alias("expected")).distinct()
+    return evaluation.anchors(li, names, asked, LINE_ORDER).select("pr", "declaration", "expected", "l_linenumber", "l_suppkey")
+
+
+ORDER_SQL = ", ".join(LINE_ORDER)
+ANCHORS_SQL = f"""(SELECT l_orderkey AS pr, 'd' || l_partkey AS declaration, 'accepted' AS expected, l_linenumber, l_suppkey FROM lineitem WHERE l_partkey IN (SELECT item_id FROM benchmark)
+QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY {', '.join(c + ' DESC' for c in LINE_ORDER)}) = 1)
+UNION ALL (SELECT l_orderkey, 'd' || l_partkey, 'comparable', l_linenumber, l_suppkey FROM lineitem WHERE l_partkey % 50 = 1 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY {ORDER_SQL}) = 1)"""
+
 QUERIES = {
     "ledger_status": ledger_status, "status_funnel": status_funnel, "pending_queues": pending_queues, "generic_queue": generic_queue, "scan_cursors": scan_cursors, "search_cursors": search_cursors, "widened_ledger": widened_ledger,
     "point_lookup": point_lookup, "request_titles": request_titles, "comment_pair_join": comment_pair_join, "rollup_nested": rollup_nested, "normalized_review_comments": normalized_review_comments,
     "normalized_issue_comments": normalized_issue_comments, "normalized_reviews": normalized_reviews, "normalized_commits": normalized_commits, "normalized_files": normalized_files,
+    "landed_metadata": landed_metadata, "journal_of_verdicts": journal_of_verdicts, "metadata_errors": metadata_errors, "anchor_choice": anchor_choice,
 }
 ORACLE_SQL = {
     "ledger_status": f"WITH {STATUS_SQL} SELECT * FROM status", "status_funnel": f"WITH {STATUS_SQL} {FUNNEL_SQL}", "pending_queues": f"WITH {STATUS_SQL} " + " UNION ALL ".join(f"SELECT * FROM ({_queue_sql(q)})" for q in ledger.QUEUES),
@@ -211,4 +265,5 @@ ORACLE_SQL = {
     "normalized_issue_comments": f"SELECT conv_id AS pr, {AUTHOR_SQL} AS author, count(*) AS n, {LENGTH_SQL} AS n_chars FROM conversations GROUP BY ALL",
     "normalized_reviews": f"SELECT conv_id AS pr, {AUTHOR_SQL} AS author, upper(role) AS state, count(*) AS n, max('2024-01-0' || turn % 9 + 1) AS last_day FROM conversations GROUP BY ALL",
     "normalized_commits": COMMITS_SQL, "normalized_files": FILES_SQL,
+    "landed_metadata": LANDED_SQL, "journal_of_verdicts": JOURNAL_SQL, "metadata_errors": ERRORS_SQL, "anchor_choice": ANCHORS_SQL,
 }

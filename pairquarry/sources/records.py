@@ -26,9 +26,25 @@ SCHEMAS = {
 
 @dataclass(frozen=True)
 class Landing:
-    """Where the phases' files lie below one folder."""
+    """Where the phases' files lie below one folder, and what the dataset is called. from_conf takes them from the
+    session's settings spark.pairquarry.root, .host, .owner, .repository and .version."""
 
     root: str
+    host: str = ""
+    owner: str = ""
+    repository: str = ""
+    version: str = "0.1"
+
+    @classmethod
+    def from_conf(cls, spark: SparkSession) -> Landing:
+        given = {name: spark.conf.get(f"spark.pairquarry.{name}", None) for name in ("root", "host", "owner", "repository", "version")}
+        if not given["root"]:
+            raise ValueError("spark.pairquarry.root must name the folder of the landed files")
+        return cls(**{k: v for k, v in given.items() if v is not None})
+
+    @property
+    def pull_url(self) -> str:
+        return f"{self.host}/{self.owner}/{self.repository}/pull/"
 
     def of(self, phase: str) -> str:
         return f"{self.root.rstrip('/')}/{phase}"

@@ -221,6 +221,30 @@ def test_labels_of_a_stand_in(spark):
     assert found[2].verdict == "LOW_VALUE" and 3 not in found
 
 
+def test_batches_are_adjudicated_or_fail(spark):
+    def ask(prompt):
+        if prompt == "down":
+            raise TimeoutError("late")
+        return {"fine": 'Here: {"verdicts": [{"task_id": "v1", "verdict": "A", "confidence": "high"}, {"task_id": "v2", "verdict": "comparable"}]}', "odd": '{"verdicts": [{"task_id": "v3", "verdict": "C"}]}', "mute": "no idea"}[prompt]
+
+    batches = spark.createDataFrame([(n, p) for n, p in enumerate(["fine", "odd", "mute", "down"])], "batch int, prompt string")
+    verdicts, failed = external.adjudicated(batches, ask)
+    assert sorted((r.batch, r.task_id, r.verdict) for r in verdicts.collect()) == [(0, "v1", "A"), (0, "v2", "comparable")]
+    assert {r.batch: r.error for r in failed.collect()} == {1: "no valid verdicts", 2: "no valid verdicts", 3: "TimeoutError: late"}
+
+
+def test_settings_of_the_session(spark):
+    with pytest.raises(ValueError, match="root"):
+        records.Landing.from_conf(spark)
+    spark.conf.set("spark.pairquarry.root", "/data/")
+    spark.conf.set("spark.pairquarry.host", "https://host")
+    spark.conf.set("spark.pairquarry.owner", "o")
+    landing = records.Landing.from_conf(spark)
+    assert (landing.of("parsing"), landing.pull_url, landing.version) == ("/data/parsing", "https://host/o//pull/", "0.1")
+    for name in ("root", "host", "owner"):
+        spark.conf.unset(f"spark.pairquarry.{name}")
+
+
 def test_record_sources(spark, tmp_path):
     (tmp_path / "m.jsonl").write_text('{"number": 1, "title": "a"}\n\nnot json\n{"number": 2}\n')
     assert sorted(r.number for r in records.lines(spark, str(tmp_path / "m.jsonl"), "metadata").collect()) == [1, 2]
