@@ -23,7 +23,8 @@ def _lines(source: Column) -> Column:
 def audit(rows: DataFrame, key: str) -> DataFrame:
     """(finding, key, side) of rows(key, declaration, file_path, initial, final, initial_lines, final_lines).
 
-    Brackets and names are looked for on each side; all other checks give a row one finding, whichever side fails.
+    Brackets and names are looked for on each side; all other checks give a row one finding, whichever side fails. A
+    group of rows with one canonical text is one finding, under its first key and with its size in place of the side.
     Sources are scanned once; duplicates are found by counting canonical texts, not by collecting them.
     """
     scanned = rows.select(
@@ -46,9 +47,8 @@ def audit(rows: DataFrame, key: str) -> DataFrame:
     hits = F.filter(F.array(*[F.when(F.coalesce(rule, F.lit(False)), F.struct(F.lit(name).alias("finding"), side.alias("side"))) for name, rule, side in rules]), lambda h: h.isNotNull())
     found = scanned.select(key, F.explode(hits).alias("h")).select("h.finding", key, "h.side")
     for side in both:
-        repeated = scanned.groupBy(f"code_{side}").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(f"code_{side}")
-        again = scanned.join(repeated, f"code_{side}", "left_semi").select(F.lit(f"duplicate_{side}_proof").alias("finding"), key, F.lit("").alias("side"))
-        found = found.unionByName(again)
+        groups = scanned.groupBy(f"code_{side}").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias(key)).where("n > 1")
+        found = found.unionByName(groups.select(F.lit(f"duplicate_{side}_proof").alias("finding"), key, F.concat(F.col("n").cast("string"), F.lit(" rows")).alias("side")))
     return found
 
 

@@ -360,8 +360,8 @@ UNION ALL SELECT 'empty_proof_body', p_partkey, '' FROM f WHERE code_f = ''
 UNION ALL SELECT 'line_count_mismatch', p_partkey, '' FROM f WHERE k = 6
 UNION ALL SELECT 'non_mathematical_path', p_partkey, '' FROM f WHERE k = 9
 UNION ALL SELECT 'metaprogram_code', p_partkey, '' FROM f WHERE k = 8
-UNION ALL SELECT 'duplicate_final_proof', p_partkey, '' FROM f WHERE code_f IN (SELECT code_f FROM f GROUP BY code_f HAVING count(*) > 1)
-UNION ALL SELECT 'duplicate_initial_proof', p_partkey, '' FROM f WHERE code_i IN (SELECT code_i FROM f GROUP BY code_i HAVING count(*) > 1)
+UNION ALL SELECT 'duplicate_final_proof', min(p_partkey), count(*) || ' rows' FROM f GROUP BY code_f HAVING count(*) > 1
+UNION ALL SELECT 'duplicate_initial_proof', min(p_partkey), count(*) || ' rows' FROM f GROUP BY code_i HAVING count(*) > 1
 """
 
 QUERIES = {

@@ -56,6 +56,7 @@ def test_checks_of_both_sides_give_a_row_one_finding(spark):
     rows = [(1, "a", "Mathlib/A", "-- a", "-- b", 5, 5), (2, "a", "Mathlib/A", "theorem a := x\n\n", "theorem a := y", 1, 1), (3, "a", "Mathlib/A", "theorem a := x", "theorem a := z", 1, 1)]
     df = spark.createDataFrame(rows, "k int, declaration string, file_path string, initial string, final string, initial_lines int, final_lines int")
     found = [tuple(r) for r in hygiene.audit(df, "k").collect()]
+    assert ("duplicate_initial_proof", 2, "2 rows") in found and not [f for f in found if f[0] == "duplicate_final_proof"]
     assert found.count(("empty_proof_body", 1, "")) == found.count(("line_count_mismatch", 1, "")) == 1 and ("line_count_mismatch", 2, "") not in found
     assert [tuple(r) for r in hygiene.duplicate_groups(df, "k", "initial").collect()] == [(2, "2 == 3")]
 
