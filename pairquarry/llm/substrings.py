@@ -41,7 +41,7 @@ from pairquarry.llm.shared import materialize, same, text_of
 
 WINDOW, PHRASE = 50, 16
 #: Phrases of a shard, words of an owner whose phrases stay together, characters of a shard's texts in one chunk.
-SHARD_PHRASES, SHARD_SPAN, CHUNK_CHARS = 40_000, 65_536, 32_000_000
+SHARD_PHRASES, SHARD_SPAN, CHUNK_CHARS = 20_000, 65_536, 12_000_000
 #: Odd numbers: the base of phrase hashes, and what mixes them.
 BASE = 0x9E3779B97F4A7C15
 MIX = 0xD6E8FEB86659FD93
