@@ -159,7 +159,8 @@ class Kernel:
                 flat = np.bincount(np.repeat(at, n) * size + self.owner[each], self.value[each] * weight, len(part) * size)
                 out[begin : begin + BLOCK] += flat.reshape(len(part), size)
         out /= self.scale(words)[:, None]
-        return out**POWER
+        out **= POWER
+        return out
 
     def code_limit(self) -> int:
         return max(map(ord, self.code), default=0) + 1
@@ -182,24 +183,31 @@ def document_features(margins: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fit_hinge(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, start: np.ndarray | None = None, ridge: float = 1e-6, rounds: int = 40) -> np.ndarray:
+def margins_of(blocks: list[np.ndarray], w: np.ndarray) -> np.ndarray:
+    return np.concatenate([x @ w for x in blocks])
+
+
+def fit_hinge(blocks: list[np.ndarray], pos: np.ndarray, neg: np.ndarray, start: np.ndarray | None = None, ridge: float = 1e-6, rounds: int = 40) -> np.ndarray:
     """Linear support vector machine with squared hinge loss, by Newton steps on the margin's inside, halved until the
-    loss falls; each row counts pos for the one class and neg for the other."""
+    loss falls; each row counts pos for the one class and neg for the other. Rows come in blocks of single precision,
+    so that no more than one is spelled out."""
 
     def loss(m, w):
         return pos @ np.maximum(1 - m, 0) ** 2 + neg @ np.maximum(1 + m, 0) ** 2 + ridge * w @ w
 
-    w = np.zeros(x.shape[1]) if start is None else start
-    margin = x @ w
+    width = blocks[0].shape[1]
+    w = np.zeros(width) if start is None else start
+    margin = margins_of(blocks, w)
     for _ in range(rounds):
         p, n = pos * (margin < 1), neg * (margin > -1)
-        square, side = ridge * np.eye(x.shape[1]), np.zeros(x.shape[1])
-        for at in range(0, len(x), BLOCK):  # so that no copy of all rows is made
-            part = x[at : at + BLOCK].astype(np.float64)
-            square += part.T @ (part * (p + n)[at : at + BLOCK, None])
-            side += part.T @ (p - n)[at : at + BLOCK]
+        square, side, at = ridge * np.eye(width), np.zeros(width), 0
+        for x in blocks:
+            part, own = x.astype(np.float64), slice(at, at + len(x))
+            square += part.T @ (part * (p + n)[own, None])
+            side += part.T @ (p - n)[own]
+            at += len(x)
         step = np.linalg.solve(square, side) - w
-        moved, before, size = x @ step, loss(margin, w), 1.0
+        moved, before, size = margins_of(blocks, step), loss(margin, w), 1.0
         while size > 1e-4 and loss(margin + size * moved, w + size * step) > before:
             size /= 2
         w, margin = w + size * step, margin + size * moved
@@ -275,14 +283,14 @@ def starts_of(stops: np.ndarray, line_ends: list[int]) -> np.ndarray:
     return np.flatnonzero(edge[:-1])
 
 
-def sentence_features(texts: list[str], kernel: Kernel, white: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A row for each sentence of the texts (features, then 1), and the text it is of."""
+def sentence_features(texts: list[str], kernel: Kernel, white: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Blocks of a row for each sentence of the texts (features, then 1), and the text it is of."""
     rows, of = [], []
     block, at = [], 0
     for n, text in enumerate(texts):
         block.append((n, *words_and_sentences(text)))
         at += len(block[-1][1])
-        if at < 20 * BLOCK and n < len(texts) - 1:
+        if at < 4 * BLOCK and n < len(texts) - 1:
             continue
         number: dict[str, int] = {}
         flat = np.array([number.setdefault(bare(w), len(number)) for _, words, _ in block for w in words], np.int64)
@@ -293,13 +301,13 @@ def sentence_features(texts: list[str], kernel: Kernel, white: np.ndarray) -> tu
             base += len(words)
         starts = np.concatenate(starts)
         features = (kernel.to([*number]) @ white).astype(np.float32)
+        rows.append(np.ones((len(starts), white.shape[1] + 1), np.float32))
         # Few sentences at a time: their words' features are spelled out before they are summed.
         for a in range(0, len(starts), 500):
             end = starts[a + 500] if a + 500 < len(starts) else len(flat)
-            sums = np.add.reduceat(features[flat[starts[a] : end]], starts[a : a + 500] - starts[a], axis=0)
-            rows.append(np.hstack([sums, np.ones((len(sums), 1), np.float32)]))
+            rows[-1][a : a + 500, :-1] = np.add.reduceat(features[flat[starts[a] : end]], starts[a : a + 500] - starts[a], axis=0)
         block, at = [], 0
-    return np.concatenate([np.zeros((0, white.shape[1] + 1), np.float32), *rows]), np.concatenate([np.zeros(0, np.int64), *of])
+    return rows, np.concatenate([np.zeros(0, np.int64), *of])
 
 
 def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None = None) -> Model:
@@ -319,18 +327,18 @@ def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None =
     # A document's sentences share its weight, and a class's documents the class's.
     share = 1 / np.maximum(np.bincount(of, minlength=len(y)), 1)[of]
     neg = np.append(np.where(y[of] == 0, CLEAN_WEIGHT * share / clean, 0), np.zeros(len(hidden)))
-    every = np.concatenate([x, own])
+    every = [*x, own]
     w = None
     for _ in range(ROUNDS + 1):
         if w is not None:
-            margin = x @ w
+            margin = margins_of(x, w)
             top = np.full(len(y), -np.inf)
             np.maximum.at(top, of, margin)
             share = np.exp(SHARPNESS * (margin - top[of]))
             share /= np.bincount(of, share, len(y))[of]
         pos = np.append(np.where(y[of] == 1, share / toxic, 0), weight)
         w = fit_hinge(every, pos, neg, w)
-    margin = x @ w
+    margin = margins_of(x, w)
     edges = np.searchsorted(of, np.arange(len(y) + 1))
     features = document_features([margin[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
     # The sample may hold the classes in other shares than the labels do.
