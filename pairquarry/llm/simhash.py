@@ -36,7 +36,7 @@ GROUP_ROWS, BLOCKS = 512, (4, 16)
 #: Bins of a min-hash sketch, and bands of rows among them that are keys.
 BINS, BANDS, ROWS = 256, 24, 4
 #: Bits by which fingerprints of similar texts may differ; documents of a family in one chunk, and shingles of one.
-SIMILAR_RADIUS, CHUNK, CHUNK_SHINGLES = 24, 1024, 1_000_000
+SIMILAR_RADIUS, CHUNK, CHUNK_SHINGLES = 24, 2048, 1_000_000
 #: Rows of an Arrow batch that carries texts or shingles.
 SLICE = 1000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
