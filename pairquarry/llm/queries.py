@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairquarry.llm import bpe, chat, exact_dedup, mixing, simhash, substrings, token_counts, topk, toxicity, wrappers
+from pairquarry.llm import bpe, chat, exact_dedup, manifest, mixing, periodic_runs, quality, simhash, substrings, token_counts, topk, toxicity, wrappers
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8_substring_dedup,
     "op9_exact_topk": topk.op9_exact_topk,
     "op10_bpe_encode_decode": bpe.op10_bpe_encode_decode,
+    "op11_quality_rules": quality.op11_quality_rules,
+    "op12_merkle_manifest": manifest.op12_merkle_manifest,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -22,4 +25,5 @@ ORACLE_SQL = {
     "op5_mix_sources": mixing.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op9_exact_topk": topk.ORACLE,
+    "op12_merkle_manifest": manifest.ORACLE,
 }
