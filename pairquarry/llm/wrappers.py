@@ -5,19 +5,23 @@ streams of a host are aligned one after the other: what both have stays, where t
 optional group, and groups that start alike are aligned inside. The result is the host's wrapper: tags, numbered text
 slots, optional and repeated groups, and no alternatives.
 
-Every page is then read through its host's wrapper, and each slot's texts are counted: how many, how often the most
-frequent one, how long, below which open elements. From these counts alone a host learns what its content is:
+A wrapper is compiled into an automaton that holds all its states at once while a page is read, so that every page that
+took part in the inference is followed to its end, however alike the beginnings of optional groups are, and in time that grows with its
+tokens. Of several ways to read a page the one that enters groups first is taken.
 
-* A slot whose text is the same nearly always is template, wherever it stands; but where such slots hold most of a host's
-  text its pages are copies, and none is template.
-* Content lies below the host's article or main elements, if these hold a fair part of the varying text, else below
-  the element that the varying text leads down to: from the root on, the one that holds most of it.
+Every page is read through its host's wrapper, and the texts in each slot, below each stack of open elements, are counted: how many
+different ones, how long. From these counts alone a host learns which slots hold its content:
+
+* The texts of a slot weigh by the characters of the different ones. So what all pages share weighs as one text, what varies
+  weighs on every page, and copies of a page weigh nothing more.
+* Content lies below the host's article or main elements, if these hold a fair part of this weight, else below the element that it
+  leads down to: from the root on, the one that holds most of it. In the latter case a slot with the same text on different pages is template.
 * An element below it whose class or id speaks of menus, notices, adverts, comments and the like is left out, unless it
-  holds half of the varying text itself: then its name misleads.
+  holds half of the weight itself: then its name misleads.
 
 Elements that HTML itself sets apart (nav, footer, aside, form, script and so on) are never content. Hosts on which only
-some pages have an article learn both kinds of pages apart. Where a page stops following its wrapper (cut-off or odd
-pages), its open elements are looked up among those learned. Without its host's wrapper no page has a text.
+some pages have an article learn both kinds of pages apart. A page's text is what its wrapper puts into the content slots: without the
+wrapper, or with that of another host, there is none.
 
 Every page takes part in the inference: pages give their folded streams, equal ones of a host are counted first, and the
 different ones are aligned in groups of some GROUP, then the groups' wrappers, round by round, until a host has one. So
@@ -30,6 +34,8 @@ result; other columns are passed by.
 
 from __future__ import annotations
 
+import bisect
+import functools
 import html as entities
 import itertools
 import json
@@ -46,12 +52,12 @@ from pairquarry.llm.shared import materialize, text_of
 
 #: Streams of a host that are aligned in one go.
 GROUP = 64
-#: From so many texts on, of which this share is one text, a slot is constant; constant slots above the second share are copies.
-FEW, CONSTANT, COPIES = 4, 0.9, 0.5
-#: Shares of the varying text: that of articles to be the content, that of an element for the way to lead into it, and that at which a name misleads.
+#: Shares of the weight of texts: that of articles to be the content, that of an element for the way to lead into it, and that at which a name misleads.
 ARTICLE, LEADS, MISLEADS = 0.2, 0.6, 0.5
 #: Elements that hold a line of text; the way ends above them.
 LINES = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd tr td th tbody thead blockquote pre figure figcaption br hr address".split())
+#: Most bytes of wrappers that are sent to every task; more are joined by host. Most states that an automaton keeps; memory only.
+BROADCAST_BYTES, KEPT_STATES = 8_000_000, 1_000_000
 #: Longest group of tokens that is recognised as repeated.
 PERIOD = 12
 SLOT = "#"
@@ -166,6 +172,9 @@ def optional(nodes: list) -> list:
 def align(a: list, b: list) -> list:
     """The wrapper of all that the wrappers a and b describe."""
     out, i, j = [], 0, 0
+    where: dict[str, list[int]] = {}
+    for n, y in enumerate(b):
+        where.setdefault(first(y), []).append(n)
     while i < len(a) and j < len(b):
         x, y = a[i], b[j]
         if x == y:
@@ -188,10 +197,13 @@ def align(a: list, b: list) -> list:
                 i, j = i + 1, j + 1
                 continue
         # The nearest places at which both go on alike; what lies before is optional.
-        where = {}
-        for k in range(j, len(b)):
-            where.setdefault(first(b[k]), k)
-        best = min(((k - i + where[first(a[k])] - j, k, where[first(a[k])]) for k in range(i, len(a)) if first(a[k]) in where and (k, where[first(a[k])]) != (i, j)), default=None)
+        best, k = None, i
+        while k < len(a) and (best is None or k - i < best[0]):
+            places = where.get(first(a[k]), ())
+            n = bisect.bisect_left(places, j + (k == i))
+            if n < len(places):
+                best = min(x for x in (best, (k - i + places[n] - j, k, places[n])) if x)
+            k += 1
         if best is None:
             break
         out += optional(a[i : best[1]]) + optional(b[j : best[2]])
@@ -217,40 +229,102 @@ def numbered(nodes: list, count=None) -> list:
     return [(f"{SLOT}{next(count)}" if n == SLOT else n) if isinstance(n, str) else (n[0], n[1], tuple(numbered(n[2], count))) for n in nodes]
 
 
-def follow(wrapper: list, symbols: list[str]) -> list[int]:
-    """For each symbol that follows the wrapper, from the first on, the number of its slot, or -1 if it is a tag."""
-    out: list[int] = []
+class Automaton:
+    """A wrapper's nodes as places to read a symbol at, and the places that may come next, those inside of groups first."""
+
+    def __init__(self, wrapper: list):
+        self.symbol: list[str | None] = []  # None: nothing is read here
+        self.slot: list[int] = []
+        self.after: list[list[int]] = []  # of places where nothing is read, where they lead
+        self.build(wrapper)
+        self.end = self.put(None, -1)
+        self.near: dict[int, tuple[int, ...]] = {}
+        self.forget()
+
+    def put(self, symbol: str | None, slot: int) -> int:
+        self.symbol.append(symbol)
+        self.slot.append(slot)
+        self.after.append([])
+        return len(self.symbol) - 1
 
-    def run(nodes) -> bool:
-        """Whether nodes could be followed to their end; out grows by what was followed."""
+    def build(self, nodes) -> None:
         for n in nodes:
             if isinstance(n, str):
-                if len(out) < len(symbols) and symbols[len(out)] == n[:1] == SLOT:
-                    out.append(int(n[1:]))
-                elif len(out) < len(symbols) and symbols[len(out)] == n:
-                    out.append(-1)
-                elif n[0] != SLOT:
-                    return False
+                self.put(*(SLOT, int(n[1:])) if n[0] == SLOT else (n, -1))
                 continue
-            head = first(n)
-            head = SLOT if head[0] == SLOT else head
-            while len(out) < len(symbols) and symbols[len(out)] == head:
-                before = len(out)
-                if not run(n[2]):
-                    # An optional part only started like this one; go back and try what comes after it.
-                    del out[before:]
-                    break
-                if not n[1]:
-                    break
-        return True
-
-    run(wrapper)
-    return out
-
-
-def slots_of(stream: list[tuple[str, str]], wrapper: list):
+            fork = self.put(None, -1) if n[0] else None
+            begin = len(self.symbol)
+            self.build(n[2])
+            if n[1]:
+                again = self.put(None, -1)
+                self.after[again] = [begin, again + 1]
+            if fork is not None:
+                self.after[fork] = [fork + 1, len(self.symbol)]
+
+    def forget(self) -> None:
+        self.lists: list[tuple[int, ...]] = []
+        self.number: dict[tuple[int, ...], int] = {}
+        self.moves: dict[tuple[int, str], tuple[int, tuple[int, ...]]] = {}
+        self.size = 0
+        self.numbered(self.reading(0))
+
+    def numbered(self, states: tuple[int, ...]) -> int:
+        if states not in self.number:
+            self.number[states] = len(self.lists)
+            self.lists.append(states)
+            self.size += len(states)
+        return self.number[states]
+
+    def reading(self, place: int) -> tuple[int, ...]:
+        """The places that read, or the end, that are reached from a place without reading, in order."""
+        if place not in self.near:
+            found, seen, todo = [], set(), [place]
+            while todo:
+                at = todo.pop()
+                if at in seen:
+                    continue
+                seen.add(at)
+                if self.symbol[at] is not None or at == self.end:
+                    found.append(at)
+                else:
+                    todo += reversed(self.after[at])
+            self.near[place] = tuple(found)
+        return self.near[place]
+
+    def moved(self, states: int, symbol: str) -> tuple[int, tuple[int, ...]]:
+        """The states after a symbol, and which state each of them came from."""
+        to: dict[int, int] = {}
+        for n, place in enumerate(self.lists[states]):
+            if self.symbol[place] == symbol:
+                for x in self.reading(place + 1):
+                    to.setdefault(x, n)
+        self.moves[states, symbol] = self.numbered(tuple(to)), tuple(to.values())
+        self.size += len(to)
+        return self.moves[states, symbol]
+
+    def follow(self, symbols: list[str]) -> list[int]:
+        """For each symbol that follows the wrapper, from the first on, the number of its slot, or -1 if it is a tag."""
+        if self.size > KEPT_STATES:
+            self.forget()
+        now, trail = 0, []
+        for symbol in symbols:
+            to, came = self.moves.get((now, symbol)) or self.moved(now, symbol)
+            if not came:
+                break
+            trail.append((now, came))
+            now = to
+        last = self.lists[now]
+        at = last.index(self.end) if self.end in last and len(trail) == len(symbols) else 0
+        out = []
+        for states, came in reversed(trail):
+            at = came[at]
+            out.append(self.slot[self.lists[states][at]])
+        return out[::-1]
+
+
+def slots_of(stream: list[tuple[str, str]], wrapper: Automaton):
     """(place in the stream, slot number or -1 where the wrapper isn't followed any more, open elements) of each text."""
-    followed = follow(wrapper, [s for s, _ in stream])
+    followed = wrapper.follow([s for s, _ in stream])
     place = Place()
     for n, (symbol, _) in enumerate(stream):
         if symbol == SLOT:
@@ -264,20 +338,17 @@ def kind_of(stream: list[tuple[str, str]]) -> str:
     return "article" if any(is_article(s) for s, _ in stream) else "plain"
 
 
-def learned(units: list[tuple[int, tuple[str, ...], int, int, int]]) -> dict:
-    """What is content of one kind of pages, from (slot, open elements, texts, those equal to the most frequent one,
-    characters): the element paths below which it lies, those left out below these, and the template's slots."""
-    units = [u for u in units if not set_apart(u[1])]
-    constant = {u[0] for u in units if u[0] >= 0 and u[2] >= FEW and u[3] >= CONSTANT * u[2]}
-    if sum(u[4] for u in units if u[0] in constant) > COPIES * sum(u[4] for u in units):
-        constant = set()
+def learned(units: list[tuple[int, tuple[str, ...], int, bool]]) -> list[tuple[int, tuple[str, ...]]]:
+    """Which units are content, of one kind of pages, from (slot, open elements, characters of different texts, whether
+    different pages have the same text there)."""
+    units = [u for u in units if u[0] >= 0 and not set_apart(u[1])]
     mass: Counter = Counter()
-    for u in units:
-        if u[0] not in constant:
-            for n in range(len(u[1]) + 1):
-                mass[u[1][:n]] += u[4]
+    for _, path, weight, _ in units:
+        for n in range(len(path) + 1):
+            mass[path[:n]] += weight
     roots = [p for p in mass if p and is_article(p[-1]) and not any(map(is_article, p[:-1]))]
-    if sum(mass[p] for p in roots) < ARTICLE * mass[()] or not roots:
+    by_name = bool(roots) and sum(mass[p] for p in roots) >= ARTICLE * mass[()]
+    if not by_name:
         at: tuple[str, ...] = ()
         below = sorted(mass, key=lambda p: (-mass[p], p))
         while True:
@@ -286,37 +357,26 @@ def learned(units: list[tuple[int, tuple[str, ...], int, int, int]]) -> dict:
                 break
             at = on
         roots = [at]
-    cut = [p for p in mass if p and speaks_of_other(p[-1]) and mass[p] < MISLEADS * mass[()] and any(p[: len(r)] == r and len(p) > len(r) for r in roots)]
-    return {"roots": roots, "cut": cut, "template": sorted(constant)}
+    tops = set(roots)
+    inside = lambda path: next((n for n in range(len(path) + 1) if path[:n] in tops), None)
+    cut = {p for p in mass if p and speaks_of_other(p[-1]) and mass[p] < MISLEADS * mass[()] and inside(p[:-1]) is not None}
+    return [(slot, path) for slot, path, _, same in units if inside(path) is not None and not any(path[:n] in cut for n in range(len(path) + 1)) and (by_name or not same)]
 
 
 class Reader:
     """Reads the pages of a host by its wrapper and what was learned of it."""
 
     def __init__(self, wrapper: str, plan: str):
-        self.wrapper = [to_nodes(x) for x in json.loads(wrapper)]
-        self.plans = {kind: {"roots": {*map(tuple, p["roots"])}, "cut": {*map(tuple, p["cut"])}, "template": {*p["template"]}} for kind, p in json.loads(plan).items()}
-        self.known: dict = {}
-
-    def below(self, kind: str, path: tuple[str, ...]) -> bool:
-        """Whether text below the open elements is content."""
-        key = kind, path
-        if key not in self.known:
-            plan = self.plans[kind]
-            tops = [path[:n] for n in range(len(path) + 1)]
-            self.known[key] = not set_apart(path) and any(t in plan["roots"] for t in tops) and not any(t in plan["cut"] for t in tops)
-        return self.known[key]
+        self.wrapper = Automaton([to_nodes(x) for x in json.loads(wrapper)])
+        self.plans = {kind: {(slot, tuple(path)) for slot, path in units} for kind, units in json.loads(plan).items()}
 
     def text(self, html: str) -> str:
         """Blocks of the content slots, white space squeezed, joined by one space."""
         stream = [*tokens(html)]
-        kind = kind_of(stream)
-        if kind not in self.plans:
+        plan = self.plans.get(kind_of(stream))
+        if not plan:
             return ""
-        if len(self.known) > 10_000:
-            self.known = {}
-        template = self.plans[kind]["template"]
-        content = {n for n, slot, path in slots_of(stream, self.wrapper) if slot not in template and self.below(kind, path)}
+        content = {n for n, slot, path in slots_of(stream, self.wrapper) if (slot, path) in plan}
         blocks: list[list[str]] = [[]]
         for n, (symbol, text) in enumerate(stream):
             if symbol == SLOT:
@@ -364,41 +424,52 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
     return materialize(parts.select("host", number("stream").alias("wrapper")), "wrappers")
 
 
+def with_hosts(pages: DataFrame, hosts: DataFrame, columns: list[str]) -> DataFrame:
+    """pages with the columns of their host: sent to every task where they are small all together, else joined."""
+    size = hosts.agg(F.sum(sum(F.length(c) for c in columns))).first()[0] or 0
+    return pages.join(F.broadcast(hosts) if size <= BROADCAST_BYTES else hosts, "host", "left")
+
+
+def per_host(make):
+    """make(key, ...), remembered for the last 1,000 hosts."""
+    return functools.lru_cache(1000)(make)
+
+
+def signed_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
+
+
 def learn_hosts(pages: DataFrame, wrappers: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, wrapper, plan): what is content on each host, as JSON by kind of page, from the texts in its wrapper's slots."""
-    chosen = pages.select(host(url_col).alias("host"), text_of(html_col).alias("html")).join(wrappers, "host")
+    """(host, wrapper, plan): the content slots of each host, as JSON by kind of page, from the texts in its wrapper's slots."""
+    chosen = with_hosts(pages.select(host(url_col).alias("host"), text_of(html_col).alias("html")), wrappers, ["wrapper"]).select("host", "html", "wrapper")
+    names = ["host", "kind", "slot", "path", "text", "chars", "least", "most"]
+    types = [pa.string(), pa.string(), pa.int32(), pa.string(), *[pa.int64()] * 4]
 
     def counts(batches):
-        wrapper_of_host: dict = {}
+        automaton = per_host(lambda wrapper: Automaton([to_nodes(x) for x in json.loads(wrapper)]))
         for batch in batches:
             seen: dict = {}
             for h, page, w in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if h not in wrapper_of_host:
-                    if len(wrapper_of_host) > 1000:
-                        wrapper_of_host = {}
-                    wrapper_of_host[h] = [to_nodes(x) for x in json.loads(w)]
                 stream = [*tokens(page)]
-                kind = kind_of(stream)
-                for n, slot, path in slots_of(stream, wrapper_of_host[h]):
+                kind, own = kind_of(stream), signed_hash(page)
+                for n, slot, path in slots_of(stream, automaton(w)):
                     text = stream[n][1]
-                    one = seen.setdefault((h, kind, slot, path, xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1), [0, 0])
-                    one[0] += 1
-                    one[1] += len(text)
-            keys = [*seen]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.int32()), pa.array([json.dumps(k[3]) for k in keys], pa.string()),
-                 pa.array([k[4] for k in keys], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())],
-                names=["host", "kind", "slot", "path", "text", "n", "chars"],
-            )
-
-    each = chosen.mapInArrow(counts, "host string, kind string, slot int, path string, text long, n long, chars long")
+                    one = seen.setdefault((h, kind, slot, path, signed_hash(text)), [len(text), own, own])
+                    one[1:] = min(one[1], own), max(one[2], own)
+            rows = [(h, kind, slot, json.dumps(path), text, *v) for (h, kind, slot, path, text), v in seen.items()]
+            columns = zip(*rows, strict=True) if rows else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    # least and most are hashes of pages: they differ where different pages have the text.
+    each = chosen.mapInArrow(counts, "host string, kind string, slot int, path string, text long, chars long, least long, most long")
     unit = ["host", "kind", "slot", "path"]
-    units = each.groupBy(*unit, "text").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars")).groupBy(*unit).agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("chars").alias("chars"))
+    texts = each.groupBy(*unit, "text").agg(F.max("chars").alias("chars"), F.min("least").alias("least"), F.max("most").alias("most"))
+    units = texts.groupBy(*unit).agg(F.sum("chars").alias("mass"), ((F.count(F.lit(1)) == 1) & (F.min("least") < F.max("most"))).alias("same"))
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         plan = {}
         for kind, own in pdf.groupby("kind"):
-            plan[kind] = learned([(int(r.slot), tuple(json.loads(r.path)), int(r.n), int(r.most), int(r.chars)) for r in own.sort_values(["slot", "path"]).itertuples()])
+            plan[kind] = learned([(int(r.slot), tuple(json.loads(r.path)), int(r.mass), bool(r.same)) for r in own.sort_values(["slot", "path"]).itertuples()])
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "plan": [json.dumps(plan)]})
 
     plans = units.groupBy("host").applyInPandas(decide, "host string, plan string")
@@ -409,18 +480,12 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """id_col, url_col and text of every row of pages."""
     plans = learn_hosts(pages, infer_wrappers(pages, url_col, html_col), url_col, html_col)
     chosen = pages.select(F.col(id_col), F.col(url_col), host(url_col).alias("host"), text_of(html_col).alias("html"))
-    joined = chosen.join(plans, "host", "left").select(id_col, url_col, "html", "wrapper", "plan", "host")
+    joined = with_hosts(chosen, plans, ["wrapper", "plan"]).select(id_col, url_col, "html", "wrapper", "plan")
 
     def run(batches):
-        readers: dict = {}
+        reader = per_host(Reader)
         for batch in batches:
-            texts = []
-            for page, w, plan, h in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                if h not in readers:
-                    if len(readers) > 1000:
-                        readers = {}
-                    readers[h] = Reader(w or "[]", plan or "{}")
-                texts.append(readers[h].text(page))
+            texts = [reader(w or "[]", plan or "{}").text(page) for page, w, plan in zip(*(batch.column(i).to_pylist() for i in range(2, 5)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=[id_col, url_col, "text"])
 
     return joined.mapInArrow(run, joined.select(id_col, url_col, F.lit("").alias("text")).schema)
