@@ -2,7 +2,7 @@
 
 The kernel of two words sums over their common subsequences of four characters, gaps allowed, each weighted by
 DECAY to the power of the characters it spans (at most SPAN), with marks for a word's start and end; it is scaled
-by the words' lengths and raised to POWER, which keeps near words apart from far ones. So a word with gaps or inserted
+by the words' lengths and raised to a power, which keeps near words apart from far ones. So a word with gaps or inserted
 characters stays close to the word that it hides. The kernel of two sentences is the sum over their pairs of words;
 with landmark words, whitened by the landmarks' own kernel matrix (Nystrom), a sentence's features are the sums of its
 words' features.
@@ -10,10 +10,11 @@ words' features.
 The machine is trained on sentences. A clean document's sentences are all clean; in a toxic one only some are at fault, so
 each of its sentences weighs by how far it stands out under the machine of the round before (ROUNDS rounds, from
 equal weights). Landmarks with one inserted character are further toxic sentences of one word. A document's score is
-a logistic function of its sentences' margins, fitted on the same training rows.
+a logistic function of its sentences' margins, fitted on margins of training rows by machines trained without them.
 
 Training takes at most TRAIN_ROWS labelled documents of each class, those with the smallest hashes of their ids, of
-these as many as together have TRAIN_CHARS characters, and only rows the caller allows; scoring reads every whole text.
+these as many as together reach TRAIN_CHARS characters, very long ones last, and only rows the caller allows; scoring reads every
+whole text.
 Only the text is an input of a score.
 
 Results for odd input: null text counts as empty; texts without words score as the fitted function says for no
@@ -35,14 +36,16 @@ from pairquarry.llm.shared import text_of
 
 #: Most labelled documents of a class that are used to train, and most characters of a class's documents.
 TRAIN_ROWS, TRAIN_CHARS = 1200, 4_000_000
+#: Texts longer than this part of TRAIN_CHARS train only where there are no others.
+LONG_SHARE = 40
 LANDMARKS, BACKGROUND = 96, 24
-DECAY, SPAN, POWER = 0.7, 7, 2
+DECAY, SPAN = 0.7, 7
 #: Places of a subsequence's characters after the first.
 GAPS = [(a, b, c) for a in range(1, SPAN) for b in range(a + 1, SPAN) for c in range(b + 1, SPAN)]
-#: Rounds in which sentences of toxic documents are weighed again, and how sharply.
-ROUNDS, SHARPNESS = 3, 2.0
-#: What a clean document weighs against a toxic one, and all disguised landmarks against all toxic documents.
-CLEAN_WEIGHT, DISGUISED_WEIGHT = 1.5, 0.5
+#: Rounds in which sentences of toxic documents are weighed again.
+ROUNDS = 3
+#: Parts of the training rows whose margins the score is fitted on are left out of the machine that gives them.
+PARTS = 3
 #: Words kept with their margins between the batches of a task, characters scored together, words compared at once; memory only.
 CACHE_WORDS, CHUNK_CHARS, BLOCK = 300_000, 4_000_000, 5_000
 #: Up to this many character codes a table has a place for every key; with more, keys are searched.
@@ -52,6 +55,18 @@ INSERTS = ".*-_x"
 ENDS = (".", "!", "?")
 
 
+@dataclass(frozen=True)
+class Settings:
+    """Chosen by log loss over inner folds of the training rows (toxicity_folds), never by the held-out ones: the kernel's
+    power, how sharply sentences of toxic documents are weighed again, what a clean document weighs against a toxic one,
+    and all disguised landmarks against all toxic documents."""
+
+    power: int = 3
+    sharpness: float = 1.0
+    clean_weight: float = 1.5
+    disguised_weight: float = 0.2
+
+
 def bare(word: str) -> str:
     """The word without punctuation around it, within marks; long words are compared by all their characters."""
     return "^" + word.strip(".,;:!?\"'()[]{}<>*#$%&@~|/\\+=-_") + "$"
@@ -72,6 +87,7 @@ class Kernel:
     """Kernel values of many words to a fixed list of words."""
 
     words: list[str]
+    power: int = 2
 
     def __post_init__(self):
         letters = sorted({c for w in self.words for c in w})
@@ -159,7 +175,7 @@ class Kernel:
                 flat = np.bincount(np.repeat(at, n) * size + self.owner[each], self.value[each] * weight, len(part) * size)
                 out[begin : begin + BLOCK] += flat.reshape(len(part), size)
         out /= self.scale(words)[:, None]
-        out **= POWER
+        out **= self.power
         return out
 
     def code_limit(self) -> int:
@@ -172,6 +188,7 @@ class Model:
     weights: np.ndarray  # of the kernel values to the landmarks, then the bias
     doc_weights: np.ndarray  # of document_features, then the bias
     constant: float | None = None  # the score of every text, where nothing could be learned
+    power: int = 2
 
 
 def document_features(margins: list[np.ndarray]) -> np.ndarray:
@@ -241,7 +258,7 @@ def disguised(word: str) -> list[str]:
     return [f"^{inner[:i]}{INSERTS[i % len(INSERTS)]}{inner[i:]}$" for i in range(1, len(inner))]
 
 
-def landmarks_of(texts: list[str], labels: list[int]) -> tuple[list[str], list[tuple[str, float]]]:
+def landmarks_of(texts: list[str], labels: list[int], power: int = 2) -> tuple[list[str], list[tuple[str, float]]]:
     """Landmark words, and of the words that set toxic documents apart the first LANDMARKS with how much they do.
 
     A word's lift is the share of toxic documents that have it, less an error of the count, less four times the share of
@@ -253,10 +270,10 @@ def landmarks_of(texts: list[str], labels: list[int]) -> tuple[list[str], list[t
         seen[label].update({bare(w) for w in words_and_sentences(text)[0]})
     lift = {w: (n - 0.5 * n**0.5) / toxic - 4 * seen[0][w] / (len(labels) - toxic) for w, n in seen[1].items() if len(w) > 4}
     ranked = sorted((w for w in lift if lift[w] > 0), key=lambda w: (-lift[w], w))[: 8 * LANDMARKS]
-    near = Kernel(ranked).to(ranked)
+    near = Kernel(ranked, power).to(ranked)
     taken: list[int] = []
     for n in range(len(ranked)):
-        if len(taken) < LANDMARKS and all(near[n, t] < 0.6**POWER * (near[n, n] * near[t, t]) ** 0.5 for t in taken):
+        if len(taken) < LANDMARKS and all(near[n, t] < 0.6**power * (near[n, n] * near[t, t]) ** 0.5 for t in taken):
             taken.append(n)
     chosen = [ranked[n] for n in taken]
     usual = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if len(w) > 4 and w not in chosen]
@@ -310,23 +327,20 @@ def sentence_features(texts: list[str], kernel: Kernel, white: np.ndarray) -> tu
     return rows, np.concatenate([np.zeros(0, np.int64), *of])
 
 
-def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None = None) -> Model:
-    """totals: labelled documents of class 0 and 1 in all, of which texts are a sample."""
-    y = np.array(labels)
+def trained_machine(texts: list[str], y: np.ndarray, settings: Settings) -> Model:
+    """Landmarks and weights; documents are not scored yet."""
     toxic, clean = int((y == 1).sum()), int((y == 0).sum())
-    if not toxic or not clean:
-        return Model([], np.zeros(1), np.zeros(5), 0.0)
-    landmarks, insults = landmarks_of(texts, labels)
-    kernel = Kernel(landmarks)
+    landmarks, insults = landmarks_of(texts, y.tolist(), settings.power)
+    kernel = Kernel(landmarks, settings.power)
     white = whitening(kernel)
     x, of = sentence_features(texts, kernel, white)
     hidden = [(v, lift) for w, lift in insults for v in disguised(w)]
     own = np.hstack([kernel.to([v for v, _ in hidden]) @ white, np.ones((len(hidden), 1))]).astype(np.float32)
     weight = np.array([n for _, n in hidden])
-    weight = DISGUISED_WEIGHT * weight / max(weight.sum(), 1e-12)
+    weight = settings.disguised_weight * weight / max(weight.sum(), 1e-12)
     # A document's sentences share its weight, and a class's documents the class's.
     share = 1 / np.maximum(np.bincount(of, minlength=len(y)), 1)[of]
-    neg = np.append(np.where(y[of] == 0, CLEAN_WEIGHT * share / clean, 0), np.zeros(len(hidden)))
+    neg = np.append(np.where(y[of] == 0, settings.clean_weight * share / clean, 0), np.zeros(len(hidden)))
     every = [*x, own]
     w = None
     for _ in range(ROUNDS + 1):
@@ -334,22 +348,47 @@ def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None =
             margin = margins_of(x, w)
             top = np.full(len(y), -np.inf)
             np.maximum.at(top, of, margin)
-            share = np.exp(SHARPNESS * (margin - top[of]))
+            share = np.exp(settings.sharpness * (margin - top[of]))
             share /= np.bincount(of, share, len(y))[of]
         pos = np.append(np.where(y[of] == 1, share / toxic, 0), weight)
         w = fit_hinge(every, pos, neg, w)
-    margin = margins_of(x, w)
-    edges = np.searchsorted(of, np.arange(len(y) + 1))
-    features = document_features([margin[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
+    return Model(landmarks, np.append(white @ w[:-1], w[-1]), np.zeros(5), power=settings.power)
+
+
+def parts_of(y: np.ndarray, parts: int) -> np.ndarray:
+    """A part for each row, the classes dealt out in turn."""
+    out = np.zeros(len(y), np.int64)
+    for label in (0, 1):
+        out[y == label] = np.arange((y == label).sum()) % parts
+    return out
+
+
+def train(texts: list[str], labels: list[int], totals: tuple[int, int] | None = None, settings: Settings | None = None) -> Model:
+    """totals: labelled documents of class 0 and 1 in all, of which texts are a sample.
+
+    The function that makes scores of margins is fitted on margins by machines that haven't seen the document: margins of a
+    machine's own rows lie too far from its plane."""
+    settings, y = settings or Settings(), np.array(labels)
+    count = np.array([(y == 0).sum(), (y == 1).sum()])
+    if not count.all():
+        return Model([], np.zeros(1), np.zeros(5), 0.0)
+    part = parts_of(y, PARTS) if count.min() >= 2 * PARTS else np.zeros(len(y), np.int64)
+    features = np.zeros((len(y), 5))
+    machine = trained_machine(texts, y, settings)
+    for n in range(part.max() + 1):
+        unseen, seen = np.flatnonzero(part == n), np.flatnonzero(part != n)
+        other = trained_machine([texts[i] for i in seen], y[seen], settings) if len(seen) else machine
+        features[unseen] = document_features(Scorer(other).margins([texts[i] for i in unseen]))
     # The sample may hold the classes in other shares than the labels do.
-    of_class = np.array(totals or (clean, toxic)) / (clean, toxic)
-    counts = of_class[y] * len(y) / of_class[y].sum()
-    return Model(landmarks, np.append(white @ w[:-1], w[-1]), fit_logistic(features, y.astype(float), counts))
+    of_class = np.array(totals or count) / count
+    weights = of_class[y] * len(y) / of_class[y].sum()
+    machine.doc_weights = fit_logistic(features, y.astype(float), weights)
+    return machine
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.kernel = model, Kernel(model.landmarks)
+        self.model, self.kernel = model, Kernel(model.landmarks, model.power)
         self.reset()
 
     def reset(self) -> None:
@@ -393,16 +432,19 @@ def training_sample(
     docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str, text_col: str, label_col: str, rows: int, chars: int
 ) -> tuple[list[str], list[int], tuple[int, int]]:
     """At most `rows` labelled texts of each class, those with the smallest hashes of their ids, and of these as many as
-    have `chars` characters together; and the labels of each class."""
+    reach `chars` characters together; and the labels of each class.
+
+    Texts longer than a LONG_SHARE-th of chars come last, so that one of them can't stand for all others; a class that
+    has any text keeps one at least. Of rows that repeat an id the least text trains."""
     wanted = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).where(allowed & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
     counts = {r["y"]: r["count"] for r in wanted.groupBy("y").count().collect()}
     by_hash = lambda y: wanted.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # At most 2 * rows ids of a few bytes: small enough to broadcast by its own bound.
     chosen = F.broadcast(by_hash(0).unionByName(by_hash(1)))
-    found = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(chosen, "doc_id")
-    order = [F.xxhash64("doc_id"), "doc_id", "text"]
-    upto = F.sum(F.length("text")).over(Window.partitionBy("y").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    sample = found.withColumn("upto", upto).where(F.col("upto") <= chars).orderBy("doc_id", "y", "text").select("text", "y").collect()
+    found = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).join(chosen, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    order = [F.length("text") > chars // LONG_SHARE, F.xxhash64("doc_id"), "doc_id"]
+    before = F.coalesce(F.sum(F.length("text")).over(Window.partitionBy("y").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sample = found.withColumn("before", before).where(F.col("before") < chars).orderBy(F.xxhash64("doc_id"), "doc_id", "y").select("text", "y").collect()
     return [r["text"] for r in sample], [r["y"] for r in sample], (counts.get(0, 0), counts.get(1, 0))
 
 

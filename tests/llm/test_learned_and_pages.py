@@ -63,7 +63,26 @@ def test_training_takes_no_more_than_its_bounds(spark):
     docs = spark.createDataFrame([(i, "word " * 20) for i in range(40)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     texts, y, totals = toxicity.training_sample(docs, labels, F.lit(True), "doc_id", "text", "toxic", 8, 550)
-    assert (len(texts), sum(y), totals) == (10, 5, (20, 20))
+    # The text that crosses the bound is the last.
+    assert (len(texts), sum(y), totals) == (12, 6, (20, 20))
+
+
+def test_a_very_long_text_does_not_stand_for_all_others(spark):
+    docs = spark.createDataFrame([(i, f"word {i} " * 20) for i in range(40)] + [(i, "long " * 1000) for i in range(100, 108)] + [(200, "much " * 2000), (3, "word 3 other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in [*range(40), *range(100, 108)]] + [(200, 1)], "doc_id long, toxic int")
+    texts, y, _ = toxicity.training_sample(docs, labels, F.lit(True), "doc_id", "text", "toxic", 48, 20_000)
+    # Short ones first, an id once, long ones as far as there is room; a class of long texts alone keeps one.
+    assert y.count(1) == 1 and sum(t.startswith("word") for t in texts) == 40 and sum(t.startswith("long") for t in texts) == 3
+
+
+def test_inner_folds_score_each_training_row_once(spark):
+    from pairquarry.llm import toxicity_folds
+
+    texts = [f"you idiot {i}. fine" if i % 3 == 0 else f"a fine day {i}" for i in range(24)]
+    settings = toxicity_folds.candidates(toxicity.Settings())[:2]
+    scored = toxicity_folds.fold_scores(spark, texts, [int(i % 3 == 0) for i in range(24)], settings)
+    assert scored.groupby("setting").size().tolist() == [24, 24] and scored[scored["setting"] == 1]["label"].sum() == 8
+    assert all(0 <= x for x in toxicity_folds.figures(scored))
 
 
 def brute_kernel(a, b):
@@ -79,7 +98,7 @@ def brute_kernel(a, b):
 
     x, y = weights(a), weights(b)
     norm = lambda w: sum(toxicity.DECAY ** (2 * (p[-1] - p[0] + 1)) for p in combinations(range(len(w)), 4) if p[-1] - p[0] < toxicity.SPAN) ** 0.5
-    return (sum(v * y[k] for k, v in x.items()) / norm(a) / norm(b)) ** toxicity.POWER
+    return (sum(v * y[k] for k, v in x.items()) / norm(a) / norm(b)) ** 2
 
 
 def test_kernel_equals_brute_force():
