@@ -1,5 +1,22 @@
-"""A transport without a network, for trying the paged source: five pages of two numbered records."""
+"""Transports without a network, for trying the paged and the cursor source."""
+
+import json
+import os
+from pathlib import Path
 
 
 def pages(resource: str, page: int):
+    """Five pages of two numbered records."""
     return [{"id": 10 * page + i, "resource": resource} for i in range(2)] if page <= 5 else [], page < 5
+
+
+def chain(resource: str, cursor: str | None):
+    """Pages landed as JSON lines in folders page=N below resource, a folder that the driver sees. A cursor names a page or, at the
+    chain's end, the place after the last one, where a page may appear later."""
+    root = Path(resource.removeprefix("file:"))
+    known = sorted(int(d.removeprefix("page=")) for d in os.listdir(root) if d.startswith("page="))
+    left = [n for n in known if n >= int(cursor or 0)]
+    if not left:
+        return [], cursor, False, None
+    records = [json.loads(line) for f in sorted(root.glob(f"page={left[0]}/part-*")) for line in f.read_text().splitlines()]
+    return records, str(left[0] + 1), len(left) > 1, None
