@@ -14,19 +14,24 @@ MIN_CHANGED, MIN_SHARE = 3, 0.05
 def bag_diff(pairs: DataFrame, key: str, initial: str, final: str, *carried: str) -> DataFrame:
     """key, carried columns, n_initial, n_final, added, removed: tokens that one side has more often, as multisets, order apart.
 
-    The pairs are read once; each token of a side counts +1 or -1 and is summed by pair and token. Pairs that a join has
-    dealt out by their key stay where they are; others are summed before they are shuffled. carried: small columns that
-    the key determines.
+    Both sides' tokens are sorted as one list, in which equal tokens lie together, and one pass sums their balance: all
+    in the pair's own row, without a shuffle. A null side has no tokens.
     """
-    signed = lambda c, n: F.transform(text.tokens(F.col(c)), lambda t: F.struct(t.alias("token"), F.lit(n).alias("sign")))
-    none = F.array().cast("array<struct<token:string,sign:int>>")
-    both = F.concat(F.coalesce(signed(final, 1), none), F.coalesce(signed(initial, -1), none))
-    each = pairs.select(key, *carried, F.explode_outer(both).alias("t")).select(key, *carried, "t.*")
-    counted = each.groupBy(key, *carried, "token").agg(F.sum("sign").alias("net"), F.count_if(F.col("sign") < 0).alias("before"), F.count_if(F.col("sign") > 0).alias("after"))
-    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
-    return counted.groupBy(key, *carried).agg(
-        total("before", "n_initial"), total("after", "n_final"), total(F.greatest("net", F.lit(0)), "added"), total(F.greatest(-F.col("net"), F.lit(0)), "removed")
-    )
+    none = F.array().cast("array<string>")
+    split = pairs.select(key, *carried, F.coalesce(text.tokens(F.col(initial)), none).alias("one"), F.coalesce(text.tokens(F.col(final)), none).alias("other"))
+    signed = lambda tokens, sign: F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(sign).alias("sign")))
+    marks = F.sort_array(F.concat(signed("one", -1), signed("other", 1)))
+    each = split.select(key, *carried, F.size("one").cast("long").alias("n_initial"), F.size("other").cast("long").alias("n_final"), marks.alias("marks"))
+    start = F.struct(F.lit("").alias("token"), F.lit(0).alias("net"), F.lit(0).alias("added"), F.lit(0).alias("removed"))
+
+    def step(s, m):
+        # A new token closes the balance of the one before.
+        same = m["token"] == s["token"]
+        closed = F.struct(m["token"].alias("token"), m["sign"].alias("net"), (s["added"] + F.greatest(s["net"], F.lit(0))).alias("added"), (s["removed"] - F.least(s["net"], F.lit(0))).alias("removed"))
+        return F.when(same, F.struct(m["token"].alias("token"), (s["net"] + m["sign"]).alias("net"), s["added"].alias("added"), s["removed"].alias("removed"))).otherwise(closed)
+
+    ended = lambda s: F.struct((s["added"] + F.greatest(s["net"], F.lit(0))).cast("long").alias("added"), (s["removed"] - F.least(s["net"], F.lit(0))).cast("long").alias("removed"))
+    return each.select(key, *carried, "n_initial", "n_final", F.aggregate("marks", start, step, ended).alias("d")).select(key, *carried, "n_initial", "n_final", "d.*")
 
 
 def migration_only(initial: Column, final: Column) -> Column:
@@ -69,27 +74,88 @@ def multiset_minus(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.exceptAll(right)
 
 
-def newest_of_two_keys(rows: DataFrame, order: str, first_key: str, second_key: str, written) -> DataFrame:
-    """Ordered greedy dedup on two keys: rows by descending order, each kept unless a kept one shares a key with it.
+def two_key_decisions(rows: DataFrame, order: str, first_key: str, second_key: str, written, rounds: int = 3, small: int = 10_000) -> DataFrame:
+    """Ordered greedy dedup on two keys: rows by descending order, each kept unless a kept one before it shares a key with it.
+
+    order, and why a row goes: first_key or second_key, whichever of the two, in this order, a kept row before it holds;
+    null for those that stay. order must be unique; null keys equal each other.
 
-    A row with no larger undecided row on either key is kept; rows sharing a key with a kept one go; the rest waits
-    for the next round. That gives what going through all rows one by one gives, and each round only takes maxima
-    per key. order must be unique. written(df, name) stores a table between rounds. There are as many rounds as the
-    longest chain of rows, falling by order, in which each shares a key with the next: few where keys repeat at random,
-    but a chain made on purpose costs a round a row.
+    A row with no larger undecided row on either key stays, and rows sharing a key with one that stays go: `rounds` times, with maxima
+    per key. Where keys repeat at random that decides nearly all. What is left falls apart into components of
+    rows that share keys, found in rounds that grow with the logarithm of a chain's length; those of up to `small` rows are gone through row by row, each by
+    one task, and only larger ones take further rounds of the first kind.
+    written(df, name) stores a table between rounds.
     """
-    undecided = written(rows.select(order, first_key, second_key), "undecided")
-    kept = None
-    while not undecided.isEmpty():
-        top = lambda k: undecided.groupBy(k).agg(F.max(order).alias("top")).withColumnRenamed(k, "k")
-        a, b = written(top(first_key), "top-first"), written(top(second_key), "top-second")
-        marked = undecided.join(a.withColumnRenamed("top", "top_a"), undecided[first_key].eqNullSafe(a["k"])).drop("k")
-        marked = marked.join(b.withColumnRenamed("top", "top_b"), marked[second_key].eqNullSafe(b["k"])).drop("k")
-        best = written(marked.where((F.col(order) == F.col("top_a")) & (F.col(order) == F.col("top_b"))).select(order, first_key, second_key), "kept")
-        kept = best if kept is None else kept.unionByName(best)
-        gone = lambda df, k: df.join(best.select(F.col(k).alias("k")).distinct(), df[k].eqNullSafe(F.col("k")), "left_anti")
-        undecided = written(gone(gone(undecided, first_key), second_key), "undecided")
-    return rows.limit(0) if kept is None else rows.join(kept.select(order), order, "left_semi")
+    keys = rows.select(F.col(order).alias("row"), F.col(first_key).alias("a"), F.col(second_key).alias("b"))
+    undecided, kept = written(keys, "undecided"), keys.limit(0)
+    for _ in range(rounds):
+        if undecided.isEmpty():
+            break
+        kept, undecided = one_round(undecided, kept, written)
+    if not undecided.isEmpty():
+        labelled = written(undecided.join(key_components(undecided, written), "row"), "components")
+        sizes = labelled.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        few = labelled.join(sizes.where(F.col("size") <= small), "component", "left_semi")
+        kept = written(kept.unionByName(few.groupBy("component").applyInPandas(kept_in_turn, keys.schema)), "kept")
+        undecided = written(labelled.join(sizes.where(F.col("size") > small), "component", "left_semi").select("row", "a", "b"), "undecided")
+        while not undecided.isEmpty():
+            kept, undecided = one_round(undecided, kept, written)
+    # A key is held by one kept row at most.
+    by_first = kept.select(F.col("row").alias("first_row"), F.col("a").alias("held_a"))
+    marked = keys.join(by_first, keys["a"].eqNullSafe(F.col("held_a")), "left").join(kept.select("row", F.lit(True).alias("stays")), "row", "left")
+    why = F.when(F.col("stays"), None).when(F.col("first_row") > F.col("row"), first_key).otherwise(second_key)
+    return marked.select(F.col("row").alias(order), why.alias("reason"))
+
+
+def one_round(undecided: DataFrame, kept: DataFrame, written) -> tuple[DataFrame, DataFrame]:
+    """The rows that are the largest of both their keys join the kept ones; what shares a key with them is decided too."""
+    top = lambda k: written(undecided.groupBy(k).agg(F.max("row").alias(f"top_{k}")).withColumnRenamed(k, f"of_{k}"), f"top-{k}")
+    a, b = top("a"), top("b")
+    marked = undecided.join(a, undecided["a"].eqNullSafe(a["of_a"])).join(b, undecided["b"].eqNullSafe(b["of_b"]))
+    best = written(marked.where("row = top_a AND row = top_b").select("row", "a", "b"), "best")
+    gone = lambda df, k: df.join(best.select(F.col(k).alias("k")).distinct(), df[k].eqNullSafe(F.col("k")), "left_anti")
+    return written(kept.unionByName(best), "kept"), written(gone(gone(undecided, "a"), "b"), "undecided")
+
+
+def key_components(rows: DataFrame, written) -> DataFrame:
+    """(row, component): rows(row, a, b) that are linked by shared keys have the least row of them all.
+
+    Rows of a key are linked to its least row. Links are then turned towards ever lesser rows: those of a row's greater
+    neighbours, then of its lesser ones (large and small stars), until every row is linked to its component's least alone."""
+    star = lambda k: rows.join(rows.groupBy(k).agg(F.min("row").alias("least")).withColumnRenamed(k, "k"), rows[k].eqNullSafe(F.col("k"))).where("row > least").select(F.col("row").alias("u"), F.col("least").alias("v"))
+    links = written(star("a").unionByName(star("b")).distinct(), "links")
+
+    def turned(links: DataFrame, large: bool) -> DataFrame:
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else links
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        met = both.join(least, "u")
+        out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        return out.where("u > v").distinct()
+
+    while True:
+        following = written(turned(written(turned(links, True), "links"), False), "links")
+        if following.exceptAll(links).isEmpty() and links.exceptAll(following).isEmpty():
+            break
+        links = following
+    return rows.select("row").join(links.groupBy(F.col("u").alias("row")).agg(F.min("v").alias("component")), "row", "left").select("row", F.coalesce("component", "row").alias("component"))
+
+
+def kept_in_turn(pdf):
+    """The rows of a component that stay, gone through one by one."""
+    held_a, held_b, stays = set(), set(), []
+    pdf = pdf.sort_values("row", ascending=False)
+    for a, b in zip(pdf["a"], pdf["b"], strict=True):
+        stays.append(a not in held_a and b not in held_b)
+        if stays[-1]:
+            held_a.add(a)
+            held_b.add(b)
+    return pdf.loc[stays, ["row", "a", "b"]]
+
+
+def newest_of_two_keys(rows: DataFrame, order: str, first_key: str, second_key: str, written) -> DataFrame:
+    """The rows that two_key_decisions lets stay."""
+    stays = two_key_decisions(rows, order, first_key, second_key, written).where("reason IS NULL")
+    return rows.join(stays.select(order), order, "left_semi")
 
 
 def by_priority_within_budget(comments: Column, budget: int) -> Column:

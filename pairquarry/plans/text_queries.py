@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairquarry.functions import blocks, scan, text
-from pairquarry.operators import mining, reviews
+from pairquarry.operators import evaluation, mining, reviews
+from pairquarry.operators.tables import written
 from pairquarry.session import table
 
 TOKEN_SQL = r"[a-zA-Z_][\p{L}\p{N}_''.]*|[^\s\x0B\x1c-\x1f\x85\p{Z}]"
@@ -23,7 +24,8 @@ diff AS (SELECT p.doc_id, coalesce(sum(b), 0)::BIGINT AS n_initial, coalesce(sum
 def document_pairs(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     after = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("final"))
-    return d.select("doc_id", F.col("text").alias("initial")).join(after, "doc_id")
+    # Texts are never broadcast, however few there are.
+    return d.select("doc_id", F.col("text").alias("initial")).join(after.hint("shuffle_hash"), "doc_id")
 
 
 def bag_token_diff(spark, sf_dir):
@@ -282,11 +284,41 @@ ANCHOR_SQL = "SELECT doc_id, lang, CASE WHEN item_id % 4 = 0 THEN 'comparable' E
 
 
 def greedy_pool_dedup(spark, sf_dir):
-    """Documents, newest first, without a text or a (source, size) seen before; no SQL equivalent, see the tests."""
-    from pairquarry.operators.tables import written
+    """Documents, newest first, without a text or a (source, size) seen before."""
+    return mining.newest_of_two_keys(pool_of_documents(spark, sf_dir), "doc_id", "text_key", "size_key", written)
 
-    d = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_key"), F.concat_ws("/", "source", "n_chars").alias("size_key"))
-    return mining.newest_of_two_keys(d, "doc_id", "text_key", "size_key", written)
+
+def pool_of_documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_key"), F.concat_ws("/", "source", "n_chars").alias("size_key"))
+
+
+def pool_rejections(spark, sf_dir):
+    """How many documents of the pool go, by why: metadata rules first, then the dedup of what they let through, in one tally."""
+    pool = pool_of_documents(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "doc_id")
+    rules = evaluation.first_failure([("language", F.col("lang") != "en"), ("short", F.col("n_chars") < 500)])
+    judged = written(pool.withColumn("reason", rules), "pool-judged")
+    passed = judged.where("reason IS NULL").drop("reason")
+    dropped = mining.two_key_decisions(passed, "doc_id", "size_key", "text_key", written).where("reason IS NOT NULL")
+    return evaluation.tally(judged).unionByName(evaluation.tally(dropped))
+
+
+TURN_SQL = """
+r AS (SELECT *, row_number() OVER (ORDER BY doc_id DESC) AS n FROM pool),
+t AS (SELECT 0::BIGINT AS n, NULL::BIGINT AS doc_id, NULL::VARCHAR AS reason, [NULL::VARCHAR] AS a, [NULL::VARCHAR] AS b
+      UNION ALL SELECT r.n, r.doc_id, CASE WHEN list_contains(t.a, r.first_key) THEN '{first}' WHEN list_contains(t.b, r.second_key) THEN '{second}' END AS why,
+        CASE WHEN why IS NULL THEN list_append(t.a, r.first_key) ELSE t.a END, CASE WHEN why IS NULL THEN list_append(t.b, r.second_key) ELSE t.b END FROM t JOIN r ON r.n = t.n + 1)
+"""
+POOL_SQL = (
+    "WITH RECURSIVE pool AS (SELECT doc_id, md5(text) AS first_key, source || '/' || n_chars AS second_key FROM documents),"
+    + TURN_SQL.format(first="text_key", second="size_key")
+    + "SELECT doc_id, sha256(d.text) AS text_key, source || '/' || n_chars AS size_key FROM t JOIN documents d USING (doc_id) WHERE reason IS NULL"
+)
+REJECTIONS_SQL = (
+    "WITH RECURSIVE judged AS (SELECT *, CASE WHEN lang <> 'en' THEN 'language' WHEN n_chars < 500 THEN 'short' END AS reason FROM documents),"
+    "pool AS (SELECT doc_id, source || '/' || n_chars AS first_key, md5(text) AS second_key FROM judged WHERE reason IS NULL),"
+    + TURN_SQL.format(first="size_key", second="text_key")
+    + "SELECT reason, count(*) AS n FROM (SELECT reason FROM judged UNION ALL SELECT reason FROM t) WHERE reason IS NOT NULL GROUP BY reason"
+)
 
 
 def hygiene_summary(spark, sf_dir):
@@ -368,10 +400,10 @@ QUERIES = {
     "bag_token_diff": bag_token_diff, "meaningful_pairs": meaningful_pairs, "multiset_except": multiset_except, "duplicate_groups": duplicate_groups, "duplicate_members": duplicate_members, "stored_line_counts": stored_line_counts, "diff_declarations": diff_declarations, "tactic_blocks": tactic_blocks, "line_counts": line_counts,
     "bracket_balance": bracket_balance, "strip_comments_synth": strip_comments_synth, "block_parse_synth": block_parse_synth, "diff_hunks_synth": diff_hunks_synth, "json_lenient": json_lenient,
     "body_similarity": body_similarity, "name_suffix_present": name_suffix_present, "keyword_union": keyword_union, "base64_content": base64_content, "snapshot_align": snapshot_align,
-    "anchor_lookup": anchor_lookup, "greedy_pool_dedup": greedy_pool_dedup, "hygiene_summary": hygiene_summary, "hygiene_audit": hygiene_audit,
+    "anchor_lookup": anchor_lookup, "greedy_pool_dedup": greedy_pool_dedup, "pool_rejections": pool_rejections, "hygiene_summary": hygiene_summary, "hygiene_audit": hygiene_audit,
 }
 ORACLE_SQL = {
     "bag_token_diff": DIFF_SQL + "SELECT * FROM diff", "meaningful_pairs": MEANINGFUL_SQL, "multiset_except": MULTISET_SQL, "duplicate_groups": DUPLICATES_SQL, "duplicate_members": MEMBERS_SQL, "stored_line_counts": STORED_SQL, "diff_declarations": DECLARATIONS_SQL, "tactic_blocks": TACTICS_SQL, "line_counts": LINES_SQL,
     "bracket_balance": BRACKETS_SQL, "strip_comments_synth": STRIP_SQL, "block_parse_synth": BLOCKS_SQL, "diff_hunks_synth": HUNKS_SQL, "json_lenient": JSON_SQL, "name_suffix_present": SUFFIX_SQL,
-    "keyword_union": KEYWORD_SQL, "base64_content": BASE64_SQL, "snapshot_align": SNAPSHOT_SQL, "anchor_lookup": ANCHOR_SQL, "hygiene_summary": HYGIENE_SQL, "hygiene_audit": AUDIT_SQL,
+    "keyword_union": KEYWORD_SQL, "base64_content": BASE64_SQL, "snapshot_align": SNAPSHOT_SQL, "anchor_lookup": ANCHOR_SQL, "greedy_pool_dedup": POOL_SQL, "pool_rejections": REJECTIONS_SQL, "hygiene_summary": HYGIENE_SQL, "hygiene_audit": AUDIT_SQL,
 }

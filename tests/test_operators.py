@@ -49,6 +49,36 @@ def test_greedy_dedup_equals_going_row_by_row(spark):
     assert mining.newest_of_two_keys(df.limit(0), "pr", "a", "b", written).count() == 0
 
 
+def in_turn(rows):
+    """order: reason, going through (order, a, b) one by one."""
+    a_held, b_held, out = set(), set(), {}
+    for order, a, b in sorted(rows, reverse=True):
+        out[order] = "a" if a in a_held else "b" if b in b_held else None
+        if out[order] is None:
+            a_held.add(a)
+            b_held.add(b)
+    return out
+
+
+@pytest.mark.parametrize(("shape", "small"), [("chain", 10_000), ("random", 10_000), ("random", 3)])
+def test_two_key_decisions_tell_why_and_take_few_rounds(spark, shape, small):
+    import random
+
+    from pairquarry.operators.tables import written
+
+    rnd = random.Random(8)
+    if shape == "chain":
+        # Each row shares one key with the next: going by maxima alone takes a round for every second of them.
+        rows = [(2000 - n, f"a{(n + 1) // 2}", f"b{n // 2}") for n in range(1000)]
+    else:
+        rows = [(n, rnd.choice([None, *(f"a{i}" for i in range(12))]), rnd.choice([None, *(f"b{i}" for i in range(40))])) for n in range(150)]
+    stored = []
+    df = spark.createDataFrame(rows, "pr long, a string, b string")
+    found = mining.two_key_decisions(df, "pr", "a", "b", lambda t, name: stored.append(name) or written(t, name), small=small)
+    assert {r.pr: r.reason for r in found.collect()} == in_turn(rows)
+    assert stored.count("links") < 60
+
+
 def test_greedy_dedup_keeps_what_only_a_rejected_row_blocked(spark):
     df = spark.createDataFrame([(30, "D1", "P1"), (20, "D2", "P1"), (10, "D2", "P3")], "pr int, a string, b string")
     assert sorted(r.pr for r in mining.newest_of_two_keys(df, "pr", "a", "b", written).collect()) == [10, 30]

@@ -16,4 +16,4 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_query_has_sql_or_a_test_of_its_own():
-    assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {"body_similarity", "greedy_pool_dedup"}
+    assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {"body_similarity"}
