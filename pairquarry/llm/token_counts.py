@@ -4,7 +4,8 @@ A text's pre-tokens are its words, each after the word mark. The distinct pre-to
 their trie is grown level by level: a node is a prefix, made from its parent and one character, so each shared prefix
 is scored once however many words begin with it. A node's unigram forward score is the best sum of piece scores over
 all ways to cut its prefix into pieces; it keeps the unfinished pieces that end in it, as states of a trie of the
-vocabulary, each with the score of the node where the piece began. All nodes of a level are made at once with numpy.
+vocabulary, each with the score of the node where the piece began. All nodes of a level are made at once with numpy, or, where
+few words are left, one by one along the sorted words, each word from the last node that it shares with the one before.
 A pre-token's count is the number of pieces on the best way at its terminal node; a text's count sums its pre-tokens'.
 
 No file of public_tokenizers holds unigram probabilities, so scores are this module's own: a piece's score is its
@@ -18,6 +19,7 @@ rows are counted each; an empty table gives an empty result; other columns are p
 from __future__ import annotations
 
 import math
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +33,7 @@ MARK = "▁"
 #: Words kept with their terminal counts between the batches of a task, and characters of text that share a trie; memory only.
 CACHE_WORDS = 400_000
 CHUNK_CHARS = 8_000_000
-#: Levels with fewer words than this are grown node by node, which is faster there; the results are the same.
+#: Levels with fewer words than this are walked node by node, which is faster there; each shared prefix is scored once either way.
 FEW_WORDS = 24
 #: Zipf-Mandelbrot offset of the ranks, and what a byte costs below the rarest piece.
 OFFSET, BYTE_COST = 2.7, 10.0
@@ -114,9 +116,19 @@ class TrieCounter:
             counts[word[done]] = tokens[node[done]]
             word, node = word[~done], node[~done]
         edges = np.searchsorted(piece[0], np.arange(len(score) + 1))
+        # The nodes on the way to the word before, from depth on: score, tokens, unfinished pieces. Words are sorted, so that
+        # these are all of the nodes made so far that a word can go on from.
+        trail: list[tuple[float, int, list]] = []
+        before, at = "", -1
         for w, n in zip(word.tolist(), node.tolist(), strict=True):
-            own = slice(edges[n], edges[n + 1])
-            counts[w] = self.count_rest(words[w], depth, score[n], tokens[n], list(zip(*(x[own].tolist() for x in piece[1:]), strict=True)))
+            if n != at:
+                own = slice(edges[n], edges[n + 1])
+                trail, before, at = [(score[n], tokens[n], list(zip(*(x[own].tolist() for x in piece[1:]), strict=True)))], words[w][:depth], n
+            shared = len(os.path.commonprefix([before, words[w]]))
+            del trail[shared - depth + 1 :]
+            for char in words[w][shared:]:
+                trail.append(self.below(char, *trail[-1]))
+            counts[w], before = trail[-1][1], words[w]
         return counts
 
     def level(self, score, tokens, piece, parent, char):
@@ -146,24 +158,20 @@ class TrieCounter:
         joined = lambda a, b: np.concatenate([a, b])[order]
         return new_score, new_tokens, (joined(node, every), joined(state, np.zeros(len(parent), np.int64)), joined(base, new_score), joined(base_tokens, new_tokens))
 
-    def count_rest(self, word: str, depth: int, score: float, tokens: int, pieces: list[tuple[int, float, int]]) -> int:
-        """Tokens of a word of whose trie path the first `depth` nodes are made; the rest one by one."""
-        steps, ends = self.pieces.steps, self.pieces.ends
-        for char in word[depth:]:
-            code = ord(char)
-            size = int(utf8_size(np.array(code))) if code > 0x7F else 1
-            best, fewest, going = score + size * self.byte_score, tokens + size, []
-            for state, base, base_tokens in pieces:
-                after = steps.get(state * CODES + code)
-                if after is not None:
-                    going.append((after, base, base_tokens))
-                    own = ends.get(after)
-                    if own is not None and (base + own, -base_tokens - 1) > (best, -fewest):
-                        best, fewest = base + own, base_tokens + 1
-            score, tokens = best, fewest
-            going.append((0, score, tokens))
-            pieces = going
-        return tokens
+    def below(self, char: str, score: float, tokens: int, pieces: list[tuple[int, float, int]]) -> tuple[float, int, list]:
+        """The node below a node by a character."""
+        steps, ends, code = self.pieces.steps, self.pieces.ends, ord(char)
+        size = int(utf8_size(np.array(code))) if code > 0x7F else 1
+        best, fewest, going = score + size * self.byte_score, tokens + size, []
+        for state, base, base_tokens in pieces:
+            after = steps.get(state * CODES + code)
+            if after is not None:
+                going.append((after, base, base_tokens))
+                own = ends.get(after)
+                if own is not None and (base + own, -base_tokens - 1) > (best, -fewest):
+                    best, fewest = base + own, base_tokens + 1
+        going.append((0, best, fewest))
+        return best, fewest, going
 
     def count_texts(self, texts: list[str]) -> list[int]:
         out: list[int] = []

@@ -93,3 +93,18 @@ def test_token_counts_equal_brute_force(spark, odd_docs):
     want = sorted((r.doc_id or -1, brute_count(r.text, scores, own.byte_score, max(map(len, scores)))) for r in docs.collect())
     assert sorted((r.doc_id or -1, r.n_tokens) for r in token_counts.count_tokens(docs, path).collect()) == want
     assert token_counts.count_tokens(docs.limit(0), path).count() == 0
+
+
+@pytest.mark.parametrize("n", [3, 23, 24, 60])
+def test_a_shared_prefix_is_scored_once_however_few_words_share_it(monkeypatch, n):
+    import public_tokenizers
+
+    own = token_counts.TrieCounter(token_counts.piece_scores(public_tokenizers.path("piece_bpe_32k.model")))
+    made = []
+    below, level = token_counts.TrieCounter.below, token_counts.TrieCounter.level
+    monkeypatch.setattr(token_counts.TrieCounter, "below", lambda self, *a: made.append(1) or below(self, *a))
+    monkeypatch.setattr(token_counts.TrieCounter, "level", lambda self, *a: made.extend(a[-1]) or level(self, *a))
+    words = sorted({"inter" * 40 + format(i, "b") for i in range(n)})
+    counts = own.count_words(words)
+    assert len(made) == len({w[:k] for w in words for k in range(1, len(w) + 1)})
+    assert counts.tolist() == [token_counts.TrieCounter.count_words(own, [w])[0] for w in words]
