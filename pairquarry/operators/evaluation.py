@@ -44,17 +44,22 @@ def with_reasons(candidates: DataFrame, held_prs: DataFrame, held_pairs: DataFra
 
     candidates: pr, declaration, file_path, verdict, signature_changed, has_feedback, initial_lines, ratio and the keys.
     held_prs: pr. held_pairs: declaration, file_path. proofs: proof_keys, same_code, final_code (once a proof, so that
-    texts are read once and not for each candidate). summaries: summary_keys, summary. Missing names equal missing names.
+    texts are read once and not for each candidate). Candidates that metadata rules leave out have null texts. summaries: summary_keys, summary. Missing names equal missing names.
     """
     known = candidates.join(held_prs.select("pr", F.lit(True).alias("pr_held")).distinct(), "pr", "left")
     known = null_safe_join(known, held_pairs.select("declaration", "file_path", F.lit(True).alias("pair_held")).distinct(), ["declaration", "file_path"])
-    known = known.join(proofs.select(*proof_keys, "same_code", "final_code", F.lit(True).alias("is_parsed")), proof_keys, "left")
-    known = known.join(summaries.select(*summary_keys, "summary"), summary_keys, "left")
-    broken = [
+    of_metadata = [
         F.col("verdict") != "HIGH_VALUE", F.col("signature_changed"), F.col("initial_lines") < MIN_INITIAL_LINES, ~F.col("has_feedback"), F.col("ratio") >= 1.0, F.col("pr_held"),
-        F.col("file_path").rlike(NOT_MATHEMATICS), F.col("pair_held"), F.col("is_parsed").isNull(), F.col("same_code"), metaprogram(F.col("final_code")), F.coalesce(text.strip(F.col("summary")), F.lit("")) == "",
+        F.col("file_path").rlike(NOT_MATHEMATICS), F.col("pair_held"),
     ]
-    return known.withColumn("reason", first_failure(list(zip(REASONS, broken, strict=True)))).drop("pr_held", "pair_held", "is_parsed")
+    of_texts = [F.col("is_parsed").isNull(), F.col("same_code"), metaprogram(F.col("final_code")), F.coalesce(text.strip(F.col("summary")), F.lit("")) == ""]
+    n = len(of_metadata)
+    judged = known.withColumn("reason", first_failure(list(zip(REASONS[:n], of_metadata, strict=True)))).drop("pr_held", "pair_held")
+    # Only what the metadata rules let through meets its texts.
+    passed = judged.where("reason IS NULL").drop("reason")
+    passed = passed.join(proofs.select(*proof_keys, "same_code", "final_code", F.lit(True).alias("is_parsed")), proof_keys, "left").join(summaries.select(*summary_keys, "summary"), summary_keys, "left")
+    passed = passed.withColumn("reason", first_failure(list(zip(REASONS[n:], of_texts, strict=True)))).drop("is_parsed")
+    return judged.where("reason IS NOT NULL").unionByName(passed, allowMissingColumns=True)
 
 
 def tally(df: DataFrame, reason: str = "reason") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairquarry.functions.text import occurrences
@@ -78,6 +78,10 @@ def phase_counts(status: DataFrame) -> DataFrame:
 
 def waiting(status: DataFrame, phase: str, after: str | None = None, qualified: bool = True, gated: bool = True) -> DataFrame:
     """Records without the phase: those that qualify, have the one it needs and fewer than MAX_ERRORS errors."""
+    return status.where(_waits(phase, after, qualified, gated))
+
+
+def _waits(phase: str, after: str | None, qualified: bool, gated: bool) -> Column:
     keep = F.col(f"{phase}_at").isNull()
     if qualified:
         keep = keep & F.col("qualifies")
@@ -85,7 +89,7 @@ def waiting(status: DataFrame, phase: str, after: str | None = None, qualified:
         keep = keep & F.col(f"{after}_at").isNotNull()
     if gated:
         keep = keep & (F.col("error_count") < MAX_ERRORS)
-    return status.where(keep)
+    return keep
 
 
 def queue(status: DataFrame, name: str, limit: int | None = None) -> DataFrame:
@@ -96,6 +100,17 @@ def queue(status: DataFrame, name: str, limit: int | None = None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 
 
+def queue_heads(status: DataFrame, limit: int) -> DataFrame:
+    """(queue, pr, place) of the first records of every queue, in one pass over the status: a record names the queues it waits in."""
+    names = [F.when(_waits(phase, after, name != "enrich", name != "enrich"), F.lit(name)) for name, (phase, after) in QUEUES.items()]
+    each = status.select("pr", "source", "source_query", F.explode(F.array_compact(F.array(*names))).alias("queue"))
+    first = F.col("queue") == "extract"
+    order = [F.when(first, _tier()), F.when(first, -keyword_hits(F.col("source_query"))), F.when(first, -F.col("pr")).otherwise(F.col("pr"))]
+    # Tasks keep the first `limit` of each queue before they are dealt out.
+    place = F.row_number().over(Window.partitionBy("queue").orderBy(*order))
+    return each.withColumn("place", place).where(F.col("place") <= limit).select("queue", "pr", "place")
+
+
 def scan_cursors(updates: DataFrame) -> DataFrame:
     """updates(scan_id, at, end_cursor, fetched, total) as each scan's last state; a total once known stays."""
     return updates.groupBy("scan_id").agg(
@@ -122,7 +137,10 @@ def keyword_hits(source_query: Column) -> Column:
     return F.coalesce(occurrences(source_query, ","), F.lit(0))
 
 
+def _tier() -> Column:
+    return F.when(F.col("source") == "keyword_search", 0).otherwise(1)
+
+
 def by_priority(ledger: DataFrame) -> DataFrame:
     """Keyword finds first, those of many queries before others, then the newest."""
-    first = F.when(F.col("source") == "keyword_search", 0).otherwise(1)
-    return ledger.withColumn("tier", first).withColumn("hits", keyword_hits(F.col("source_query"))).orderBy("tier", F.desc("hits"), F.desc("pr"))
+    return ledger.withColumn("tier", _tier()).withColumn("hits", keyword_hits(F.col("source_query"))).orderBy("tier", F.desc("hits"), F.desc("pr"))

@@ -3,9 +3,6 @@ ledger's log; conversation turns and order lines, written as JSON, for a host's
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairquarry.operators import assembly, evaluation, ledger, reviews
@@ -51,11 +48,7 @@ QUEUE_ROWS = 40
 
 def pending_queues(spark, sf_dir):
     """The head of each queue, in its order."""
-    status = ledger_status(spark, sf_dir)
-    order = {"extract": ["tier", F.desc("hits"), F.desc("pr")]}
-    # A queue's head is a bounded number of rows, so one task may number it.
-    head = lambda q: ledger.queue(status, q, QUEUE_ROWS).select(F.lit(q).alias("queue"), "pr", F.row_number().over(Window.orderBy(*order.get(q, ["pr"]))).alias("place"))
-    return reduce(DataFrame.unionByName, [head(q) for q in ledger.QUEUES])
+    return ledger.queue_heads(ledger_status(spark, sf_dir), QUEUE_ROWS)
 
 
 def _queue_sql(name: str) -> str:

@@ -106,6 +106,6 @@ def verdict_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
 
 def journal_verdicts(spark: SparkSession, path: str) -> DataFrame:
     """Verdicts out of an event journal: the results' lines only; lines that aren't JSON are skipped."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("line"))
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     event = F.from_json("value", f"type string, result struct<{SCHEMAS['verdicts'].replace('verdicts array', 'verdicts:array')}>")
-    return last_verdicts(raw.withColumn("e", event).where("e.type = 'result'").select("file_name", "line", F.coalesce("e.result.verdicts", F.array()).alias("verdicts")), ["file_name", "line"])
+    return last_verdicts(raw.withColumn("e", event).where("e.type = 'result'").select("file_name", "block", "line", F.coalesce("e.result.verdicts", F.array()).alias("verdicts")), ["file_name", "block", "line"])

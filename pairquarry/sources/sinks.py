@@ -19,9 +19,12 @@ def replace_table(df: DataFrame, path: str, *partition_by: str) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def new_rows(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key isn't known yet, one per key."""
-    return df.dropDuplicates(keys).join(known.select(*keys).distinct(), keys, "left_anti")
+def new_rows(df: DataFrame, known: DataFrame, keys: list[str], order: list | None = None) -> DataFrame:
+    """Rows whose key isn't known yet, of each key the first by order (by all other columns, if none is given)."""
+    from pairquarry.operators.mining import first_wins
+
+    fresh = df.join(known.select(*keys).distinct(), keys, "left_anti")
+    return first_wins(fresh, keys, order or [c for c in df.columns if c not in keys]).select(*df.columns)
 
 
 def dataset_info(df: DataFrame, name: str, version: str, now: datetime | None = None, known: DataFrame | None = None, keys: list[str] | None = None) -> str:
