@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pairquarry.functions import blocks
 from pairquarry.operators import assembly, evaluation, external, hygiene, mining, reviews
+from pairquarry.operators.answers import AnswerStore, Reply, asked_once, usage
 from pairquarry.operators.ledger_state import LedgerState
 from pairquarry.operators.phases import Phase, PhaseStore, run_phases
 from pairquarry.operators.tables import new_path, written
@@ -90,7 +91,8 @@ def phases_of(landing: records.Landing) -> list[Phase]:
     def summarize(store, waiting):
         pairs = pairs_of(store).join(waiting, "pr", "left_semi").withColumn("key", F.concat_ws("/", "pr", "file_path", "declaration"))
         shown = assembly.prompt(F.col("pr").cast("string"), F.col("declaration"), F.col("initial"), F.col("final"), F.concat(F.lit("Changed: "), F.col("changed").cast("string")))
-        answers = external.asked(pairs.withColumn("prompt", shown), "key", "prompt", judge)
+        # A phase that dies and is run again finds its answers in the landing; the stand-in needs no pace.
+        answers = asked_once(pairs.withColumn("prompt", shown), "key", "prompt", judge, AnswerStore(landing.of("answers")), interval=0)
         labelled = external.labels(answers, "key").join(pairs.select("key", "pr", "file_path", "declaration", "position"), "key")
         per_request = labelled.groupBy("pr").agg(F.array_sort(F.collect_list(F.struct("file_path", "declaration", "position", "verdict", "summary", "categories"))).alias("labels"))
         return waiting.join(per_request, "pr", "left").withColumn("error", F.lit(None).cast("string"))
@@ -171,6 +173,44 @@ s AS (SELECT m.pr, qualifies, qualifies AND x.pr IS NOT NULL AS ok FROM m LEFT J
 SELECT pr, qualifies, true AS enriched, ok AS extracted, ok AS parsed, ok AS summarized, ok AS assembled, (qualifies AND NOT ok)::BIGINT AS error_count, CASE WHEN qualifies AND NOT ok THEN 'no context' END AS last_error FROM s"""
 
 
+def turn_judge(prompt: str) -> Reply:
+    """Stands in for a model that is down for one length in seven and speaks prose for another; a token is a character."""
+    n = len(prompt)
+    if n % 7 == 0:
+        raise RuntimeError("down")
+    text = "I can't tell." if n % 7 == 1 else json.dumps({"verdict": "HIGH_VALUE" if n % 2 else "LOW_VALUE", "summary": f"{n} long"})
+    return Reply(text, n, len(text))
+
+
+def judged(spark, sf_dir):
+    """All turns, each different text asked about once; a second run finds the answers of the first in the store."""
+    turns = table(spark, sf_dir, "conversations").select(F.struct("conv_id", "turn").alias("key"), "text")
+    store = AnswerStore(new_path(spark, "turn-answers"))
+    asked_once(turns.where("turn = 0"), "key", "text", turn_judge, store, interval=0)
+    return asked_once(turns, "key", "text", turn_judge, store, interval=0)
+
+
+def judged_turns(spark, sf_dir):
+    answers = written(judged(spark, sf_dir), "judged")
+    found = answers.join(external.labels(answers, "key"), "key", "left")
+    return found.select("key.conv_id", "key.turn", "verdict", "summary", F.split_part("error", F.lit(":"), F.lit(1)).alias("failure"), "attempts", "input_tokens", "output_tokens")
+
+
+def judge_usage(spark, sf_dir):
+    return usage(judged(spark, sf_dir))
+
+
+JUDGED_SQL = """WITH c AS (SELECT conv_id, turn, text, length(text) AS n, length(text) % 7 AS m, text IN (SELECT text FROM conversations WHERE turn = 0 AND text IS NOT NULL) AS known FROM conversations),
+j AS (SELECT *, CASE WHEN m > 1 THEN CASE WHEN n % 2 = 1 THEN 'HIGH_VALUE' ELSE 'LOW_VALUE' END END AS verdict, CASE WHEN m > 1 THEN n || ' long' END AS summary,
+  CASE WHEN text IS NULL THEN 'no prompt' WHEN m = 0 THEN 'RuntimeError' WHEN m = 1 THEN 'ValueError' END AS failure FROM c),
+t AS (SELECT *, CASE WHEN text IS NULL OR (m > 1 AND known) THEN 0 ELSE 1 END AS attempts, CASE WHEN m > 1 THEN n ELSE 0 END::BIGINT AS input_tokens,
+  CASE WHEN m > 1 THEN length(format('{{"verdict": "{}", "summary": "{}"}}', verdict, summary)) ELSE 0 END::BIGINT AS output_tokens FROM j)
+"""
+TURNS_SQL = f"{JUDGED_SQL} SELECT conv_id, turn, verdict, summary, failure, attempts, input_tokens, output_tokens FROM t"
+USAGE_SQL = f"""{JUDGED_SQL}, d AS (SELECT text, count(*) AS n, any_value(verdict) AS verdict, any_value(attempts) AS attempts, any_value(input_tokens) AS i, any_value(output_tokens) AS o FROM t GROUP BY text)
+SELECT coalesce(sum(n), 0)::BIGINT AS prompts, count(text) AS different, count(verdict) AS answered, count(*) - count(verdict) AS failed, coalesce(sum(attempts), 0)::BIGINT AS calls, coalesce(sum(i), 0)::BIGINT AS input_tokens, coalesce(sum(o), 0)::BIGINT AS output_tokens FROM d"""
+
+
 def ledger_by_batches(spark, sf_dir):
     """The ledger's status kept up over three batches of its events, out of order; equal to the fold over all of them."""
     path = new_path(spark, "ledger-state")
@@ -199,5 +239,5 @@ def cursor_scan(spark, sf_dir):
 
 CURSOR_SQL = "SELECT o_orderkey AS number, o_orderpriority AS title, o_orderstatus AS state FROM orders"
 
-QUERIES = {"mined_flow": mined_flow, "flow_phases": flow_phases, "ledger_by_batches": ledger_by_batches, "cursor_scan": cursor_scan}
-ORACLE_SQL = {"mined_flow": FLOW_SQL, "flow_phases": PHASES_SQL, "ledger_by_batches": f"WITH {STATUS_SQL} SELECT * FROM status", "cursor_scan": CURSOR_SQL}
+QUERIES = {"mined_flow": mined_flow, "flow_phases": flow_phases, "ledger_by_batches": ledger_by_batches, "cursor_scan": cursor_scan, "judged_turns": judged_turns, "judge_usage": judge_usage}
+ORACLE_SQL = {"mined_flow": FLOW_SQL, "flow_phases": PHASES_SQL, "ledger_by_batches": f"WITH {STATUS_SQL} SELECT * FROM status", "cursor_scan": CURSOR_SQL, "judged_turns": TURNS_SQL, "judge_usage": USAGE_SQL}
