@@ -10,9 +10,10 @@ from pairquarry.functions import scan, text
 from pairquarry.operators import evaluation as ev
 from pairquarry.operators import reviews
 from pairquarry.operators.assembly import evaluation_row
-from pairquarry.operators.tables import written
+from pairquarry.operators.tables import new_path, written
 from pairquarry.plans.record_queries import LINE_ORDER, PATH_SQL, line_path
 from pairquarry.session import table
+from pairquarry.sources import bundle, sinks
 
 CODE_SQL = "CASE WHEN l_partkey % 13 = 0 THEN 'do let e : MetaM Expr' WHEN l_partkey % 13 = 1 THEN 'undo MetaM' WHEN l_partkey % 13 = 2 THEN 'do simp' ELSE 'simp' END"
 CANDIDATES_SQL = f"""
@@ -31,15 +32,18 @@ reasoned AS (SELECT cand.*, CASE WHEN verdict <> 'HIGH_VALUE' THEN 'not HIGH_VAL
 """
 
 
+def line_categories():
+    return F.when(F.col("l_partkey") % 3 == 0, F.array(F.lit("naming"), F.lit("api_design"))).when(F.col("l_partkey") % 3 == 1, F.array(F.lit("naming")))
+
+
 def candidates(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     m = F.col("l_partkey") % 13
-    categories = F.when(F.col("l_partkey") % 3 == 0, F.array(F.lit("naming"), F.lit("api_design"))).when(F.col("l_partkey") % 3 == 1, F.array(F.lit("naming")))
     return li.select(
         F.col("l_orderkey").alias("pr"), F.when(F.col("l_linenumber") != 7, F.concat(F.lit("d"), F.col("l_linenumber").cast("string"))).alias("declaration"), line_path().alias("file_path"),
         F.when(m == 0, "do let e : MetaM Expr").when(m == 1, "undo MetaM").when(m == 2, "do simp").otherwise("simp").alias("code"), F.when(F.col("l_returnflag").isin("R", "N"), "HIGH_VALUE").otherwise("LOW_VALUE").alias("verdict"),
         (F.col("l_partkey") % 6 == 0).alias("signature_changed"), F.col("l_quantity").cast("long").alias("initial_lines"), (F.col("l_partkey") % 50).cast("long").alias("final_lines"), (F.col("l_suppkey") % 9 != 0).alias("has_feedback"),
-        F.substring(F.col("l_shipdate").cast("string"), 1, 4).alias("year"), (F.col("l_suppkey") % 5).cast("long").alias("n_quotes"), reviews.is_api(categories).alias("is_api"), *LINE_ORDER,
+        F.substring(F.col("l_shipdate").cast("string"), 1, 4).alias("year"), (F.col("l_suppkey") % 5).cast("long").alias("n_quotes"), reviews.is_api(line_categories()).alias("is_api"), *LINE_ORDER,
     )
 
 
@@ -50,14 +54,18 @@ def held_sets(spark, sf_dir):
     return b.select(F.col("item_id").alias("pr")), pairs
 
 
-def parsed_proofs(spark, sf_dir):
-    """The two proofs of each part that has a parsing record; whether they are the same but for comments is found once a part."""
+def proof_texts(spark, sf_dir):
+    """The two proofs of each part that has a parsing record."""
     m = F.col("p_partkey") % 13
     code = F.when(m == 0, "do let e : MetaM Expr").when(m == 1, "undo MetaM").when(m == 2, "do simp").otherwise("simp")
     initial = F.concat(F.lit("theorem t : "), "p_name", F.lit(" := by\n  simp"))
     final = F.when(F.col("p_size") % 8 == 0, F.concat(initial, F.lit(" -- "), "p_brand")).otherwise(F.concat(F.lit("theorem t : "), "p_name", F.lit(" := "), code, F.lit("!")))
-    proofs = table(spark, sf_dir, "part").where("p_size <> 7").select(F.col("p_partkey").alias("l_partkey"), initial.alias("initial"), final.alias("final"))
-    return proofs.select("l_partkey", (scan.code_only("initial") == scan.code_only("final")).alias("same_code"), F.col("final").alias("final_code"))
+    return table(spark, sf_dir, "part").where("p_size <> 7").select(F.col("p_partkey").alias("l_partkey"), initial.alias("initial"), final.alias("final"))
+
+
+def parsed_proofs(spark, sf_dir):
+    """What the cascade asks of proofs; whether they are the same but for comments is found once a part."""
+    return proof_texts(spark, sf_dir).select("l_partkey", (scan.code_only("initial") == scan.code_only("final")).alias("same_code"), F.col("final").alias("final_code"))
 
 
 def reasoned(spark, sf_dir):
@@ -113,14 +121,22 @@ def selection_summary(spark, sf_dir):
 
 
 def evaluation_rows(spark, sf_dir):
-    """The drawn rows as the dataset holds them: sizes, their difference and rounded ratios."""
-    rows = drawn(spark, sf_dir)
+    """The drawn rows as the dataset holds them: both proofs, summary and categories, sizes, their difference, and ratios of
+    the lines and of the proofs' bodies. Only drawn rows, which are few, are joined with texts and compared."""
+    summaries = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("summary"))
+    rows = drawn(spark, sf_dir).join(proof_texts(spark, sf_dir), "l_partkey").join(summaries, "l_suppkey")
     ratio = F.col("final_lines") / F.greatest("initial_lines", F.lit(1))
-    return rows.select("pr", F.coalesce("declaration", F.lit("(unnamed)")).alias("declaration"), "stratum", "initial_lines", "final_lines", (F.col("final_lines") - F.col("initial_lines")).alias("line_delta"), *evaluation_row(ratio, F.lit(1.0) - ratio))
+    return rows.select(
+        "pr", F.coalesce("declaration", F.lit("(unnamed)")).alias("declaration"), "stratum", "initial", "final", "summary", F.coalesce(F.array_join(line_categories(), ","), F.lit("")).alias("categories"),
+        "initial_lines", "final_lines", (F.col("final_lines") - F.col("initial_lines")).alias("line_delta"), *evaluation_row(ratio, scan.similarity("initial", "final")),
+    )
 
 
-ROWS_SQL = """SELECT pr, coalesce(declaration, '(unnamed)') AS declaration, stratum, initial_lines, final_lines, final_lines - initial_lines AS line_delta, round(final_lines::DOUBLE / greatest(initial_lines, 1), 4) AS length_ratio,
-round(1::DOUBLE - final_lines::DOUBLE / greatest(initial_lines, 1), 4) AS code_similarity, false AS signature_changed FROM drawn"""
+#: The bodies are "by simp" and the code with "!": they share " simp", "simp" or a space, twice whose length over both lengths is their ratio.
+ROWS_SQL = """SELECT pr, coalesce(declaration, '(unnamed)') AS declaration, stratum, 'theorem t : ' || p_name || ' := by' || chr(10) || '  simp' AS initial, 'theorem t : ' || p_name || ' := ' || code || '!' AS final, s_name AS summary,
+CASE l_partkey % 3 WHEN 0 THEN 'naming,api_design' WHEN 1 THEN 'naming' ELSE '' END AS categories, initial_lines, final_lines, final_lines - initial_lines AS line_delta, round(final_lines::DOUBLE / greatest(initial_lines, 1), 4) AS length_ratio,
+round(2.0::DOUBLE * CASE code WHEN 'simp' THEN 4 WHEN 'do simp' THEN 5 ELSE 1 END / (length('by simp') + length(code) + 1), 4) AS code_similarity, false AS signature_changed
+FROM drawn JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey"""
 SUMMARY = "SELECT stratum, count(*) AS n, count(DISTINCT pr) AS n_prs, avg(is_api::INT::DOUBLE) AS api_share FROM drawn GROUP BY stratum"
 
 
@@ -166,6 +182,22 @@ def batch_deal(spark, sf_dir):
 DEAL = f"{TASKS}, dealt AS (SELECT *, rep * 12 + (row_number() OVER (PARTITION BY rep ORDER BY stratum, task_id) - 1) % 12 AS batch FROM task)"
 
 
+def blind_artifacts(spark, sf_dir):
+    """Tasks, key and batches written in one commit, read back and put together again."""
+    t = written(tasks(spark, sf_dir), "tasks")
+    path = new_path(spark, "blind")
+    total = sinks.blind_files(t, ev.checked_deal(t), path)["total_rows"]
+    part = lambda name, schema: bundle.read(spark, path, name, schema)
+    shown, key = part("tasks", "task_id string, declaration string, file_path string, proof_a string, proof_b string"), part("key", "task_id string, pr long, stratum string, rep int, accepted_is_a boolean")
+    batches = part("batches", "batch long, task_ids array<string>").select("batch", F.explode("task_ids").alias("task_id"))
+    totals = [F.lit(total[name]).cast("long").alias(f"n_{name}") for name in ("tasks", "batches")]
+    return shown.join(key, "task_id").join(batches, "task_id").select("task_id", "batch", "proof_a", "proof_b", "pr", "stratum", "rep", "accepted_is_a", *totals)
+
+
+ARTIFACTS_SQL = """SELECT task_id, batch, CASE WHEN accepted_is_a THEN fin ELSE ini END AS proof_a, CASE WHEN accepted_is_a THEN ini ELSE fin END AS proof_b, pr, stratum, rep, accepted_is_a,
+(SELECT count(*) FROM dealt) AS n_tasks, (SELECT count(DISTINCT batch) FROM dealt) AS n_batches FROM dealt"""
+
+
 def verdicts(asked):
     """What a stand-in reader says of each task: fixed by a hash of its id. Every 17th task stays unanswered."""
     h = text.to_number(F.substring(F.sha2("task_id", 256), 1, 2))
@@ -259,7 +291,7 @@ SELECT rep, count(*) AS n_tasks, count(DISTINCT batch) AS n_batches, count(*) FI
 
 QUERIES = {
     "reject_tally": reject_tally, "eligible_rows": eligible_rows, "path_and_metaprogram": path_and_metaprogram, "held_out_exclusion": held_out_exclusion, "year_round_robin": year_round_robin, "blind_tasks": blind_tasks,
-    "batch_deal": batch_deal, "selection_summary": selection_summary, "evaluation_rows": evaluation_rows, "sorted_failures": sorted_failures, "batch_outcomes": batch_outcomes, "decode_majority": decode_majority, "label_support_report": label_support_report, "position_bias": position_bias, "failed_pair_drop": failed_pair_drop, "emission_stats": emission_stats,
+    "batch_deal": batch_deal, "selection_summary": selection_summary, "evaluation_rows": evaluation_rows, "sorted_failures": sorted_failures, "batch_outcomes": batch_outcomes, "decode_majority": decode_majority, "label_support_report": label_support_report, "position_bias": position_bias, "failed_pair_drop": failed_pair_drop, "emission_stats": emission_stats, "blind_artifacts": blind_artifacts,
 }
 ORACLE_SQL = {
     "reject_tally": f"WITH {CANDIDATES_SQL} SELECT reason, count(*) AS n FROM reasoned WHERE reason IS NOT NULL GROUP BY reason",
@@ -267,5 +299,5 @@ ORACLE_SQL = {
     "path_and_metaprogram": PATHS_SQL, "held_out_exclusion": HELD_SQL, "year_round_robin": f"WITH {DRAWN} SELECT stratum, pr, declaration, year, turn, n_quotes FROM drawn", "blind_tasks": BLIND_SQL,
     "batch_deal": f"WITH {DEAL} SELECT task_id, rep, stratum, batch FROM dealt", "decode_majority": f"WITH {PICKS} SELECT * FROM m", "label_support_report": REPORT_SQL,
     "position_bias": f"WITH {PICKS} SELECT count(*) FILTER (verdict = 'A') AS chose_a, count(*) FILTER (verdict = 'B') AS chose_b, count(*) FILTER (verdict = 'A')::DOUBLE / count(*) FILTER (verdict IN ('A', 'B')) AS bias FROM verdict",
-    "selection_summary": f"WITH {DRAWN} {SUMMARY}", "evaluation_rows": f"WITH {DRAWN} {ROWS_SQL}", "sorted_failures": f"WITH {PICKS}{SORTED_SQL}", "batch_outcomes": f"WITH {DEAL} {OUTCOMES_SQL}", "failed_pair_drop": FAILED_SQL, "emission_stats": STATS_SQL,
+    "selection_summary": f"WITH {DRAWN} {SUMMARY}", "evaluation_rows": f"WITH {DRAWN} {ROWS_SQL}", "sorted_failures": f"WITH {PICKS}{SORTED_SQL}", "batch_outcomes": f"WITH {DEAL} {OUTCOMES_SQL}", "failed_pair_drop": FAILED_SQL, "emission_stats": STATS_SQL, "blind_artifacts": f"WITH {DEAL} {ARTIFACTS_SQL}",
 }

@@ -18,7 +18,7 @@ from pairquarry.operators.tables import new_path, written
 from pairquarry.plans.status_queries import STATUS_SQL, status_events
 from pairquarry.plans.text_queries import TOKEN_SQL
 from pairquarry.session import table
-from pairquarry.sources import cursor, records, sinks
+from pairquarry.sources import bundle, cursor, records, sinks
 
 TARGET, HIGH_CHANGE, FILE = 50, 6, "Mathlib/A.lean"
 #: Rows of a page of the replayed scan.
@@ -115,18 +115,15 @@ def dataset(store: PhaseStore) -> DataFrame:
 
 
 def select_and_emit(rows: DataFrame, folder: str, target: int = TARGET) -> DataFrame:
-    """Drawn rows with what the audit finds in each, written with a sidecar and read back."""
+    """Drawn rows with what the audit finds in each, written in one commit with their sidecar and read back."""
     ratio = F.length("final") / F.length("initial")
     eligible = rows.withColumn("ratio", ratio).where((F.col("ratio") < 1) & ~F.col("signature_changed")).withColumn("year", F.year("created"))
     drawn = written(evaluation.round_robin_draw(eligible, target, "pr", "year", ["ratio", "pr", "declaration_name"]), "flow-drawn")
     audited = drawn.select("pr", F.col("declaration_name").alias("declaration"), "file_path", "initial", "final", "initial_lines", "final_lines")
     findings = hygiene.audit(audited, "pr").groupBy("pr").agg(F.count(F.lit(1)).alias("n_findings"))
     out = drawn.join(findings, "pr", "left").withColumn("n_findings", F.coalesce("n_findings", F.lit(0)))
-    sinks.replace_table(out, f"{folder}/dataset")
-    emitted = out.sparkSession.read.parquet(f"{folder}/dataset")
-    info = sinks.dataset_info(emitted, "flow", "1")
-    out.sparkSession.createDataFrame([(info,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/info")
-    return emitted
+    bundle.write({"dataset": out}, f"{folder}/emitted", "flow", "1", mode="overwrite")
+    return bundle.read(out.sparkSession, f"{folder}/emitted", "dataset", out.schema)
 
 
 def mined_flow(spark, sf_dir):

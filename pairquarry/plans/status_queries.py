@@ -150,26 +150,32 @@ def raw_turns(spark, sf_dir, **fields):
     return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pr"), "turn", F.to_json(record).alias("record"))
 
 
+def shown_day(column):
+    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss").alias(column)
+
+
 def normalized_review_comments(spark, sf_dir):
-    raw = raw_turns(spark, sf_dir, path=F.when(F.col("turn") % 4 != 0, F.concat(F.lit("f"), F.col("turn").cast("string"))), position=F.col("turn"), diff_hunk=F.when(F.col("turn") % 2 == 0, F.lit("@@")))
-    found = normalize.review_comments(raw, "pr").withColumn("n_chars", F.length("body").cast("long"))
-    return found.groupBy("pr", "author", "path", "is_bot", "diff_hunk").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"), F.max(F.date_format("created_at", "yyyy-MM-dd")).alias("last_day"))
+    raw = raw_turns(
+        spark, sf_dir, path=F.when(F.col("turn") % 4 != 0, F.concat(F.lit("f"), F.col("turn").cast("string"))), position=F.when(F.col("turn") % 3 != 0, F.col("turn")), original_position=F.col("turn"), diff_hunk=F.when(F.col("turn") % 2 == 0, F.lit("@@")),
+        in_reply_to_id=F.when(F.col("turn") > 0, F.col("turn") - 1), pull_request_review_id=F.col("conv_id") * 10,
+    )
+    found = normalize.review_comments(raw, "pr")
+    return found.withColumn("created_at", shown_day("created_at"))
 
 
 AUTHOR_SQL = "CASE WHEN role = 'system' THEN 'ghost' ELSE role || turn % 3 END"
-LENGTH_SQL = "coalesce(sum(length(CASE WHEN turn % 5 <> 0 THEN text END)), 0)::BIGINT"
-REVIEW_COMMENTS_SQL = f"""SELECT conv_id AS pr, {AUTHOR_SQL} AS author, CASE WHEN turn % 4 <> 0 THEN 'f' || turn ELSE '' END AS path, false AS is_bot, CASE WHEN turn % 2 = 0 THEN '@@' ELSE '' END AS diff_hunk, count(*) AS n,
-{LENGTH_SQL} AS n_chars, max('2024-01-0' || turn % 9 + 1) AS last_day FROM conversations GROUP BY ALL"""
+BODY_SQL = "CASE WHEN turn % 5 <> 0 AND text IS NOT NULL THEN text ELSE '' END"
+DAY_SQL = "'2024-01-0' || turn % 9 + 1 || 'T03:04:05'"
+REVIEW_COMMENTS_SQL = f"""SELECT conv_id AS pr, conv_id::BIGINT AS id, {AUTHOR_SQL} AS author, CASE WHEN turn % 4 <> 0 THEN 'f' || turn ELSE '' END AS path, CASE WHEN turn % 3 <> 0 THEN turn END::BIGINT AS position, turn::BIGINT AS original_position,
+{BODY_SQL} AS body, {DAY_SQL} AS created_at, CASE WHEN turn > 0 THEN turn - 1 END::BIGINT AS in_reply_to_id, (conv_id * 10)::BIGINT AS review_id, CASE WHEN turn % 2 = 0 THEN '@@' ELSE '' END AS diff_hunk, false AS is_bot FROM conversations"""
 
 
 def normalized_issue_comments(spark, sf_dir):
-    found = normalize.issue_comments(raw_turns(spark, sf_dir), "pr").withColumn("n_chars", F.length("body").cast("long"))
-    return found.groupBy("pr", "author").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("n_chars"))
+    return normalize.issue_comments(raw_turns(spark, sf_dir), "pr").withColumn("created_at", shown_day("created_at"))
 
 
 def normalized_reviews(spark, sf_dir):
-    found = normalize.reviews(raw_turns(spark, sf_dir, state=F.upper("role")), "pr")
-    return found.groupBy("pr", "author", "state").agg(F.count(F.lit(1)).alias("n"), F.max(F.date_format("submitted_at", "yyyy-MM-dd")).alias("last_day"))
+    return normalize.reviews(raw_turns(spark, sf_dir, state=F.upper("role")), "pr").withColumn("submitted_at", shown_day("submitted_at"))
 
 
 def normalized_commits(spark, sf_dir):
@@ -179,19 +185,19 @@ def normalized_commits(spark, sf_dir):
     inner = F.struct(F.struct(F.when(k == 1, F.concat(F.lit("Name "), "l_suppkey")).alias("name"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date")).alias("author"), F.lit("m").alias("message")).alias("commit")
     parents = F.array(F.struct(F.col("l_suppkey").cast("string").alias("sha"))).alias("parents")
     raw = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr"), F.to_json(F.struct(F.col("l_partkey").cast("string").alias("sha"), author, inner, parents)).alias("record"))
-    return normalize.commits(raw, "pr").groupBy("pr", "author").agg(F.count(F.lit(1)).alias("n"), F.min("sha").alias("first_sha"), F.max(F.date_format("date", "yyyy-MM-dd")).alias("last_day"), F.max(F.array_join("parents", ",")).alias("last_parent"))
+    return normalize.commits(raw, "pr").select("pr", "sha", "message", "author", shown_day("date"), F.array_join("parents", ",").alias("parents"))
 
 
-COMMITS_SQL = """SELECT l_orderkey AS pr, CASE l_orderkey % 3 WHEN 0 THEN 'u' || l_suppkey WHEN 1 THEN 'Name ' || l_suppkey ELSE 'ghost' END AS author, count(*) AS n, min(l_partkey::VARCHAR) AS first_sha,
-max(strftime(l_shipdate, '%Y-%m-%d')) AS last_day, max(l_suppkey::VARCHAR) AS last_parent FROM lineitem GROUP BY ALL"""
+COMMITS_SQL = """SELECT l_orderkey AS pr, l_partkey::VARCHAR AS sha, 'm' AS message, CASE l_orderkey % 3 WHEN 0 THEN 'u' || l_suppkey WHEN 1 THEN 'Name ' || l_suppkey ELSE 'ghost' END AS author,
+strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS date, l_suppkey::VARCHAR AS parents FROM lineitem"""
 
 
 def normalized_files(spark, sf_dir):
     raw = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr"), F.to_json(F.struct(line_path().alias("filename"), F.col("l_quantity").cast("long").alias("additions"), F.col("l_linenumber").cast("long").alias("deletions"))).alias("record"))
-    return normalize.files(raw, "pr").groupBy("path").agg(F.count_distinct("pr").alias("n_prs"), F.sum("additions").alias("additions"), F.sum("deletions").alias("deletions"))
+    return normalize.files(raw, "pr")
 
 
-FILES_SQL = f"WITH f AS (SELECT l_orderkey, {PATH_SQL} AS path, l_quantity::BIGINT AS a, l_linenumber AS d FROM lineitem) SELECT path, count(DISTINCT l_orderkey) AS n_prs, sum(a)::BIGINT AS additions, sum(d)::BIGINT AS deletions FROM f GROUP BY path"
+FILES_SQL = f"SELECT l_orderkey AS pr, {PATH_SQL} AS path, l_quantity::BIGINT AS additions, l_linenumber::BIGINT AS deletions FROM lineitem"
 
 def landed_metadata(spark, sf_dir):
     """Requests written as JSON lines, with lines that don't fit among them, and scanned back by their schema."""
@@ -255,8 +261,8 @@ ORACLE_SQL = {
     "ledger_status": f"WITH {STATUS_SQL} SELECT * FROM status", "status_funnel": f"WITH {STATUS_SQL} {FUNNEL_SQL}", "pending_queues": f"WITH {STATUS_SQL} " + " UNION ALL ".join(f"SELECT * FROM ({_queue_sql(q)})" for q in ledger.QUEUES),
     "generic_queue": f"WITH {STATUS_SQL} SELECT pr, error_count FROM st WHERE summarized_at IS NULL AND error_count < 3", "scan_cursors": SCANS_SQL, "search_cursors": SEARCHES_SQL, "widened_ledger": WIDENED_SQL, "point_lookup": LOOKUP_SQL,
     "request_titles": TITLES_SQL, "comment_pair_join": COMMENTS_SQL, "rollup_nested": NESTED_SQL, "normalized_review_comments": REVIEW_COMMENTS_SQL,
-    "normalized_issue_comments": f"SELECT conv_id AS pr, {AUTHOR_SQL} AS author, count(*) AS n, {LENGTH_SQL} AS n_chars FROM conversations GROUP BY ALL",
-    "normalized_reviews": f"SELECT conv_id AS pr, {AUTHOR_SQL} AS author, upper(role) AS state, count(*) AS n, max('2024-01-0' || turn % 9 + 1) AS last_day FROM conversations GROUP BY ALL",
+    "normalized_issue_comments": f"SELECT conv_id AS pr, conv_id::BIGINT AS id, {AUTHOR_SQL} AS author, {BODY_SQL} AS body, {DAY_SQL} AS created_at, false AS is_bot FROM conversations",
+    "normalized_reviews": f"SELECT conv_id AS pr, conv_id::BIGINT AS id, {AUTHOR_SQL} AS author, upper(role) AS state, {BODY_SQL} AS body, {DAY_SQL} AS submitted_at, false AS is_bot FROM conversations",
     "normalized_commits": COMMITS_SQL, "normalized_files": FILES_SQL,
     "landed_metadata": LANDED_SQL, "journal_of_verdicts": JOURNAL_SQL, "metadata_errors": ERRORS_SQL, "anchor_choice": ANCHORS_SQL,
 }

@@ -57,13 +57,14 @@ def verify_report(verdicts: DataFrame, tasks: DataFrame, preview: int = 12) -> t
     return "\n".join(lines), int(n > 0)
 
 
-def blind_files(tasks: DataFrame, dealt: DataFrame, folder: str) -> None:
-    """What readers get (tasks and batches) and, apart from it, the key."""
+def blind_files(tasks: DataFrame, dealt: DataFrame, folder: str) -> dict:
+    """What readers get (tasks and batches) and, apart from it, the key: three tables in one commit, whose record is returned."""
     from pairquarry.operators.evaluation import reader_view
+    from pairquarry.sources import bundle
 
-    reader_view(tasks).write.mode("overwrite").json(f"{folder}/tasks")
-    tasks.select("task_id", "pr", "declaration", "stratum", "rep", "accepted_is_a").write.mode("overwrite").json(f"{folder}/key")
-    dealt.groupBy("batch").agg(F.sort_array(F.collect_list("task_id")).alias("task_ids")).write.mode("overwrite").json(f"{folder}/batches")
+    key = tasks.select("task_id", "pr", "declaration", "stratum", "rep", "accepted_is_a")
+    batches = dealt.groupBy("batch").agg(F.sort_array(F.collect_list("task_id")).alias("task_ids"))
+    return bundle.write({"tasks": reader_view(tasks), "key": key, "batches": batches}, folder, "blind", mode="overwrite")
 
 
 def calibration(anchors: DataFrame, limit: int = 20) -> str:
