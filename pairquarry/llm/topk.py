@@ -1,9 +1,10 @@
 """Exact top-k inner products: a ball tree per shard, branch and bound with a shared k-th score.
 
 Vectors are dealt to shards by a hash of their id, each vector to one. A shard's task builds its tree once and streams the
-queries that were sent to it, a batch at a time, so that its memory is bounded by the shard. In a first round each
-query goes to one shard; the k-th score found there bounds its search in every other shard, which visits nodes in
-order of their inner-product upper bound q.c + |q| r and stops at the first that can't reach the current k-th place.
+queries that were sent to it, a batch at a time, so that its memory is bounded by the shard. A query goes through the
+shards in three rounds: one shard, as many as the square root of their number, the rest. The k-th best score of the
+rounds before bounds its search in a shard, which visits nodes in order of their inner-product upper bound q.c + |q| r and
+stops at the first that can't reach the current k-th place.
 Only queries are copied, one to a shard: with 100 million vectors, 2 % of them queries, and 65,536 vectors a shard, 3
 billion small rows. Scores are exact; bounds carry a slack for rounding. Equal vectors of a shard are one point with its
 smallest ids, so a vector with many copies costs one visit.
@@ -17,6 +18,8 @@ as its ends; an empty table gives an empty result; other columns are passed by.
 from __future__ import annotations
 
 import heapq
+import math
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -160,6 +163,17 @@ def searched(points: DataFrame, asks: DataFrame, k: int, name: str) -> DataFrame
     return materialize(dealt.mapInArrow(run, "query_id long, q array<double>, vec_id long, score long"), name)
 
 
+def rounds(shards: int) -> list[int]:
+    """Where the rounds over a query's shards begin and end."""
+    return sorted({0, 1, 1 + math.isqrt(shards - 1), shards})
+
+
+def best(found: DataFrame, k: int) -> DataFrame:
+    """The k best of each query among what was found, with their ranks."""
+    place = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
+    return found.select("query_id", "q", "vec_id", "score").withColumn("rank", place).where(F.col("rank") <= k)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "vector", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query the k rows of vectors with the highest inner product.
 
@@ -173,13 +187,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     place = lambda salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(shards)).cast("int")
     points = points.withColumn("shard", place(0))
     lowest = F.lit(-(2**63)).cast("long")
-    first = searched(points, asks.withColumn("shard", place(1)).withColumn("floor", lowest), k, "topk-first")
-    kth = first.groupBy("query_id", "q").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).drop("n")
-    bounded = asks.join(kth, (F.col("id") == F.col("query_id")) & (F.col("v") == F.col("q")), "left").select("id", "v", "dim", F.coalesce("kth", lowest).alias("floor"))
-    others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != place(1))
-    rest = searched(points, bounded.withColumn("shard", F.explode(others)), k, "topk-rest")
-    ranked = first.unionByName(rest).withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    bounded, found = asks.withColumn("floor", lowest), None
+    for n, (start, end) in enumerate(pairwise(rounds(shards))):
+        # Each query begins at a shard of its own, so that no shard gets all queries of a round.
+        sent = bounded.withColumn("turn", F.explode(F.sequence(F.lit(start), F.lit(end - 1)))).withColumn("shard", F.pmod(place(1) + F.col("turn"), F.lit(shards)))
+        part = searched(points, sent, k, f"topk-round-{n}")
+        found = best(part if found is None else part.unionByName(found.drop("rank")), k)
+        kth = found.groupBy("query_id", "q").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).drop("n")
+        bounded = asks.join(kth, (F.col("id") == F.col("query_id")) & (F.col("v") == F.col("q")), "left").select("id", "v", "dim", F.coalesce("kth", lowest).alias("floor"))
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def quantized(embeddings: DataFrame) -> DataFrame:

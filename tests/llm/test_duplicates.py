@@ -6,6 +6,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 from pairquarry.llm import components, exact_dedup, simhash, substrings, topk
+from pairquarry.operators import tables
 
 ROWS = [(5, "a", "s"), (7, "a", "s"), (7, "a", "s"), (2, None, "s"), (9, "", "t"), (None, "b", "t"), (None, "b", "t"), (1, "c", "u"), (4, "long " * 5000, "u"), (3, "d", "v"), (6, "e", "v")]
 
@@ -298,6 +299,25 @@ def test_top_k_equals_brute_force(spark):
     assert 500 not in got
 
 
+def test_rounds():
+    assert [topk.rounds(n) for n in (1, 2, 3, 5, 100)] == [[0, 1], [0, 1, 2], [0, 1, 2, 3], [0, 1, 3, 5], [0, 1, 10, 100]]
+
+
+def test_later_rounds_give_only_what_can_be_among_the_best(spark):
+    rng = random.Random(3)
+    vectors = {i: [rng.randint(-20, 20) for _ in range(4)] for i in range(400)}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, vector array<long>")
+    first = len(tables.WRITTEN)
+    got = {}
+    for r in topk.top_k(df, df.where("vec_id % 50 = 0"), 5, shard_rows=16).collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    for q in range(0, 400, 50):
+        assert sorted(got[q]) == sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q)[:5]
+    # 25 shards: one, then four more, then the last twenty, each of which could give five rows a query without a floor.
+    held = [spark.read.parquet(p).count() for p in tables.WRITTEN[first:] if "topk-round" in p]
+    assert len(held) == 3 and held[0] == 8 * 5 and held[1] <= 8 * 4 * 5 and held[2] < 8 * 20 * 5 / 4
+
+
 def test_huge_components_have_exact_or_saturated_scores(spark):
     rows = [(0, [1.0, 2.0**52]), (1, [3.0, 2.0**52]), (2, [-1.0, 2.0**53 + 2]), (3, [3e36, 1.0]), (4, [-3e36, 1.0]), (50, [1.0, 2.0**4])]
     got = {}
