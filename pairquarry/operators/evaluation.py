@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pairquarry.functions import text
 from pairquarry.functions.text import stable_bit
 from pairquarry.operators.mining import first_wins, last_wins, null_safe_join
+from pairquarry.operators.tables import written
 
 # The strata's sizes, readers of each replicate, replicates, and the columns a reader may see.
 API_ROWS, OTHER_ROWS, READERS, REPLICATES = 60, 190, 12, 3
@@ -39,26 +40,34 @@ REASONS = (
 MIN_INITIAL_LINES = 5
 
 
-def with_reasons(candidates: DataFrame, held_prs: DataFrame, held_pairs: DataFrame, proofs: DataFrame, summaries: DataFrame, proof_keys: list[str], summary_keys: list[str]) -> DataFrame:
+def reasons(min_initial_lines: int = MIN_INITIAL_LINES) -> list[str]:
+    """REASONS, where the rule on initial lines names its bound."""
+    return [f"initial < {min_initial_lines} lines" if r == REASONS[2] else r for r in REASONS]
+
+
+def with_reasons(
+    candidates: DataFrame, held_prs: DataFrame, held_pairs: DataFrame, proofs: DataFrame, summaries: DataFrame, proof_keys: list[str], summary_keys: list[str], min_initial_lines: int = MIN_INITIAL_LINES, require_shrinking: bool = True
+) -> DataFrame:
     """candidates with `reason`: the first of REASONS that holds, null for the eligible.
 
     candidates: pr, declaration, file_path, verdict, signature_changed, has_feedback, initial_lines, ratio and the keys.
     held_prs: pr. held_pairs: declaration, file_path. proofs: proof_keys, same_code, final_code (once a proof, so that
     texts are read once and not for each candidate). Candidates that metadata rules leave out have null texts. summaries: summary_keys, summary. Missing names equal missing names.
+    Without require_shrinking, proofs that got no shorter pass that rule.
     """
     known = candidates.join(held_prs.select("pr", F.lit(True).alias("pr_held")).distinct(), "pr", "left")
     known = null_safe_join(known, held_pairs.select("declaration", "file_path", F.lit(True).alias("pair_held")).distinct(), ["declaration", "file_path"])
     of_metadata = [
-        F.col("verdict") != "HIGH_VALUE", F.col("signature_changed"), F.col("initial_lines") < MIN_INITIAL_LINES, ~F.col("has_feedback"), F.col("ratio") >= 1.0, F.col("pr_held"),
+        F.col("verdict") != "HIGH_VALUE", F.col("signature_changed"), F.col("initial_lines") < min_initial_lines, ~F.col("has_feedback"), F.lit(require_shrinking) & (F.col("ratio") >= 1.0), F.col("pr_held"),
         F.col("file_path").rlike(NOT_MATHEMATICS), F.col("pair_held"),
     ]
     of_texts = [F.col("is_parsed").isNull(), F.col("same_code"), metaprogram(F.col("final_code")), F.coalesce(text.strip(F.col("summary")), F.lit("")) == ""]
     n = len(of_metadata)
-    judged = known.withColumn("reason", first_failure(list(zip(REASONS[:n], of_metadata, strict=True)))).drop("pr_held", "pair_held")
+    judged = known.withColumn("reason", first_failure(list(zip(reasons(min_initial_lines)[:n], of_metadata, strict=True)))).drop("pr_held", "pair_held")
     # Only what the metadata rules let through meets its texts.
     passed = judged.where("reason IS NULL").drop("reason")
     passed = passed.join(proofs.select(*proof_keys, "same_code", "final_code", F.lit(True).alias("is_parsed")), proof_keys, "left").join(summaries.select(*summary_keys, "summary"), summary_keys, "left")
-    passed = passed.withColumn("reason", first_failure(list(zip(REASONS[n:], of_texts, strict=True)))).drop("is_parsed")
+    passed = passed.withColumn("reason", first_failure(list(zip(reasons()[n:], of_texts, strict=True)))).drop("is_parsed")
     return judged.where("reason IS NOT NULL").unionByName(passed, allowMissingColumns=True)
 
 
@@ -66,6 +75,19 @@ def tally(df: DataFrame, reason: str = "reason") -> DataFrame:
     return df.where(F.col(reason).isNotNull()).groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
 
 
+def survivors_and_tally(reasoned: DataFrame, reason: str = "reason", min_initial_lines: int = MIN_INITIAL_LINES) -> tuple[DataFrame, DataFrame]:
+    """The rows without a reason, written, and the tally of the others, from one pass.
+
+    Reasons are counted by an observation on the rows as they are written: nothing is shuffled after it, so that a task
+    that is run again counts once. Reasons that no row has are left out, as in tally().
+    """
+    spark, seen, names = reasoned.sparkSession, Observation(), reasons(min_initial_lines)
+    counts = [F.count_if(F.col(reason) == r).alias(f"n{i}") for i, r in enumerate(names)]
+    kept = written(reasoned.observe(seen, *counts).where(F.col(reason).isNull()), "survivors")
+    found = [(r, seen.get[f"n{i}"]) for i, r in enumerate(names)]
+    return kept, spark.createDataFrame([(r, n) for r, n in found if n], f"{reason} string, n long")
+
+
 def round_robin_draw(pool: DataFrame, target: int, pr: str, year: str, order: list) -> DataFrame:
     """target rows, one per pr, taken from the years in turn, each year's best first.
 

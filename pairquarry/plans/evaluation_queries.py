@@ -80,6 +80,16 @@ def reject_tally(spark, sf_dir):
     return ev.tally(reasoned(spark, sf_dir))
 
 
+def cascade_outcome(spark, sf_dir):
+    """Survivors by year and rejected rows by reason, from one pass over the candidates."""
+    kept, why = ev.survivors_and_tally(reasoned(spark, sf_dir))
+    by_year = kept.groupBy("year").agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("outcome"), "year", "n")
+    return by_year.unionByName(why.select(F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("year"), "n"))
+
+
+OUTCOME_SQL = f"WITH {CANDIDATES_SQL} SELECT coalesce(reason, 'kept') AS outcome, CASE WHEN reason IS NULL THEN year END AS year, count(*) AS n FROM reasoned GROUP BY ALL"
+
+
 def eligible_rows(spark, sf_dir):
     return reasoned(spark, sf_dir).where("reason IS NULL").groupBy("pr", "year").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_api").alias("n_api"), F.sum("n_quotes").alias("n_quotes"))
 
@@ -291,7 +301,7 @@ SELECT rep, count(*) AS n_tasks, count(DISTINCT batch) AS n_batches, count(*) FI
 
 QUERIES = {
     "reject_tally": reject_tally, "eligible_rows": eligible_rows, "path_and_metaprogram": path_and_metaprogram, "held_out_exclusion": held_out_exclusion, "year_round_robin": year_round_robin, "blind_tasks": blind_tasks,
-    "batch_deal": batch_deal, "selection_summary": selection_summary, "evaluation_rows": evaluation_rows, "sorted_failures": sorted_failures, "batch_outcomes": batch_outcomes, "decode_majority": decode_majority, "label_support_report": label_support_report, "position_bias": position_bias, "failed_pair_drop": failed_pair_drop, "emission_stats": emission_stats, "blind_artifacts": blind_artifacts,
+    "batch_deal": batch_deal, "selection_summary": selection_summary, "evaluation_rows": evaluation_rows, "sorted_failures": sorted_failures, "batch_outcomes": batch_outcomes, "decode_majority": decode_majority, "label_support_report": label_support_report, "position_bias": position_bias, "failed_pair_drop": failed_pair_drop, "emission_stats": emission_stats, "blind_artifacts": blind_artifacts, "cascade_outcome": cascade_outcome,
 }
 ORACLE_SQL = {
     "reject_tally": f"WITH {CANDIDATES_SQL} SELECT reason, count(*) AS n FROM reasoned WHERE reason IS NOT NULL GROUP BY reason",
@@ -299,5 +309,5 @@ ORACLE_SQL = {
     "path_and_metaprogram": PATHS_SQL, "held_out_exclusion": HELD_SQL, "year_round_robin": f"WITH {DRAWN} SELECT stratum, pr, declaration, year, turn, n_quotes FROM drawn", "blind_tasks": BLIND_SQL,
     "batch_deal": f"WITH {DEAL} SELECT task_id, rep, stratum, batch FROM dealt", "decode_majority": f"WITH {PICKS} SELECT * FROM m", "label_support_report": REPORT_SQL,
     "position_bias": f"WITH {PICKS} SELECT count(*) FILTER (verdict = 'A') AS chose_a, count(*) FILTER (verdict = 'B') AS chose_b, count(*) FILTER (verdict = 'A')::DOUBLE / count(*) FILTER (verdict IN ('A', 'B')) AS bias FROM verdict",
-    "selection_summary": f"WITH {DRAWN} {SUMMARY}", "evaluation_rows": f"WITH {DRAWN} {ROWS_SQL}", "sorted_failures": f"WITH {PICKS}{SORTED_SQL}", "batch_outcomes": f"WITH {DEAL} {OUTCOMES_SQL}", "failed_pair_drop": FAILED_SQL, "emission_stats": STATS_SQL, "blind_artifacts": f"WITH {DEAL} {ARTIFACTS_SQL}",
+    "selection_summary": f"WITH {DRAWN} {SUMMARY}", "evaluation_rows": f"WITH {DRAWN} {ROWS_SQL}", "sorted_failures": f"WITH {PICKS}{SORTED_SQL}", "batch_outcomes": f"WITH {DEAL} {OUTCOMES_SQL}", "failed_pair_drop": FAILED_SQL, "emission_stats": STATS_SQL, "blind_artifacts": f"WITH {DEAL} {ARTIFACTS_SQL}", "cascade_outcome": OUTCOME_SQL,
 }

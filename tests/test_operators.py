@@ -209,13 +209,21 @@ def test_cascade_takes_the_first_reason(spark):
     rows = [good, *[tuple(v if n == at else x for n, x in enumerate(good)) for at, v in odd.items()], (*good[:8], 3, 1), (*good[:8], 4, 1), (*good[:8], 1, 2), (1, None, "Mathlib/Tactic/X.lean", "LOW_VALUE", True, 1, False, 2.0, 9, 9)]
     df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], names + ", i int")
     frame = lambda data, schema: spark.createDataFrame(data, schema)
-    found = evaluation.with_reasons(
+    inputs = (
         df, frame([(9,)], "pr int"), frame([("held", "Mathlib/A.lean")], "declaration string, file_path string"),
         frame([(1, False, "simp"), (3, True, "simp"), (4, False, "do let x : MetaM Expr")], "p int, same_code boolean, final_code string"), frame([(1, "why"), (2, " \n")], "s int, summary string"), ["p"], ["s"],
     )
+    found = evaluation.with_reasons(*inputs)
     got = {r.i: r.reason for r in found.collect()}
     r = evaluation.REASONS
     assert [got[i] for i in range(len(rows))] == [None, r[0], r[1], r[2], r[3], r[4], r[5], r[6], r[7], r[8], r[9], r[10], r[11], r[0]]
+    kept, why = evaluation.survivors_and_tally(found)
+    assert [x.i for x in kept.collect()] == [0] and {x.reason: x.n for x in why.collect()} == {x.reason: x.n for x in evaluation.tally(found).collect()} and why.count() == 12
+    # Rows 3 and 5 break the two rules that are parameters.
+    loose = {x.i: x.reason for x in evaluation.with_reasons(*inputs, min_initial_lines=4, require_shrinking=False).collect()}
+    assert {i for i in got if loose[i] != got[i]} == {3, 5} and loose[3] is None and loose[5] is None
+    tight = evaluation.with_reasons(*inputs, min_initial_lines=6)
+    assert {x.reason: x.n for x in evaluation.survivors_and_tally(tight, min_initial_lines=6)[1].collect()}["initial < 6 lines"] == len([i for i in got if got[i] is None or r.index(got[i]) > 1])
 
 
 def test_majorities_and_failures(spark):
