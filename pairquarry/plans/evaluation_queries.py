@@ -289,6 +289,17 @@ SELECT batch, count(*) AS n_tasks, count(*) FILTER (batch % 7 <> 0 AND ('0x' ||
   count(*) FILTER (batch % 7 <> 0 AND ('0x' || substr(sha256(task_id), 1, 2))::INT % 17 <> 0) > 0 AS ok FROM dealt GROUP BY batch"""
 
 
+def unanswered_tasks(spark, sf_dir):
+    """Tasks without a verdict, with the stratum of their pair where the API stratum holds it."""
+    rows = drawn(spark, sf_dir)
+    t = written(tasks(spark, sf_dir, rows), "tasks")
+    strata = rows.where("stratum = 'B'").select("pr", F.coalesce("declaration", F.lit("(unnamed)")).alias("declaration"), "stratum")
+    return ev.with_strata(ev.missing_verdicts(verdicts(t), t).select("task_id", "pr", "declaration"), strata, ["pr", "declaration"])
+
+
+UNANSWERED_SQL = f"WITH {PICKS} SELECT task_id, pr, declaration, CASE WHEN stratum = 'B' THEN 'B' ELSE '-' END AS stratum FROM h WHERE h % 17 = 0"
+
+
 def emission_stats(spark, sf_dir):
     t = written(ev.deal(tasks(spark, sf_dir)), "dealt")
     answered = verdicts(t).select("task_id", F.lit(1).alias("answered"))
@@ -301,7 +312,7 @@ SELECT rep, count(*) AS n_tasks, count(DISTINCT batch) AS n_batches, count(*) FI
 
 QUERIES = {
     "reject_tally": reject_tally, "eligible_rows": eligible_rows, "path_and_metaprogram": path_and_metaprogram, "held_out_exclusion": held_out_exclusion, "year_round_robin": year_round_robin, "blind_tasks": blind_tasks,
-    "batch_deal": batch_deal, "selection_summary": selection_summary, "evaluation_rows": evaluation_rows, "sorted_failures": sorted_failures, "batch_outcomes": batch_outcomes, "decode_majority": decode_majority, "label_support_report": label_support_report, "position_bias": position_bias, "failed_pair_drop": failed_pair_drop, "emission_stats": emission_stats, "blind_artifacts": blind_artifacts, "cascade_outcome": cascade_outcome,
+    "batch_deal": batch_deal, "selection_summary": selection_summary, "evaluation_rows": evaluation_rows, "sorted_failures": sorted_failures, "batch_outcomes": batch_outcomes, "decode_majority": decode_majority, "label_support_report": label_support_report, "position_bias": position_bias, "failed_pair_drop": failed_pair_drop, "emission_stats": emission_stats, "blind_artifacts": blind_artifacts, "unanswered_tasks": unanswered_tasks, "cascade_outcome": cascade_outcome,
 }
 ORACLE_SQL = {
     "reject_tally": f"WITH {CANDIDATES_SQL} SELECT reason, count(*) AS n FROM reasoned WHERE reason IS NOT NULL GROUP BY reason",
@@ -309,5 +320,5 @@ ORACLE_SQL = {
     "path_and_metaprogram": PATHS_SQL, "held_out_exclusion": HELD_SQL, "year_round_robin": f"WITH {DRAWN} SELECT stratum, pr, declaration, year, turn, n_quotes FROM drawn", "blind_tasks": BLIND_SQL,
     "batch_deal": f"WITH {DEAL} SELECT task_id, rep, stratum, batch FROM dealt", "decode_majority": f"WITH {PICKS} SELECT * FROM m", "label_support_report": REPORT_SQL,
     "position_bias": f"WITH {PICKS} SELECT count(*) FILTER (verdict = 'A') AS chose_a, count(*) FILTER (verdict = 'B') AS chose_b, count(*) FILTER (verdict = 'A')::DOUBLE / count(*) FILTER (verdict IN ('A', 'B')) AS bias FROM verdict",
-    "selection_summary": f"WITH {DRAWN} {SUMMARY}", "evaluation_rows": f"WITH {DRAWN} {ROWS_SQL}", "sorted_failures": f"WITH {PICKS}{SORTED_SQL}", "batch_outcomes": f"WITH {DEAL} {OUTCOMES_SQL}", "failed_pair_drop": FAILED_SQL, "emission_stats": STATS_SQL, "blind_artifacts": f"WITH {DEAL} {ARTIFACTS_SQL}", "cascade_outcome": OUTCOME_SQL,
+    "selection_summary": f"WITH {DRAWN} {SUMMARY}", "evaluation_rows": f"WITH {DRAWN} {ROWS_SQL}", "sorted_failures": f"WITH {PICKS}{SORTED_SQL}", "batch_outcomes": f"WITH {DEAL} {OUTCOMES_SQL}", "failed_pair_drop": FAILED_SQL, "emission_stats": STATS_SQL, "unanswered_tasks": UNANSWERED_SQL, "blind_artifacts": f"WITH {DEAL} {ARTIFACTS_SQL}", "cascade_outcome": OUTCOME_SQL,
 }

@@ -226,6 +226,33 @@ def journal_of_verdicts(spark, sf_dir):
 JOURNAL_SQL = "SELECT 't' || event_id AS task_id, CASE event_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'comparable' END AS verdict, event_type AS reasoning FROM events WHERE event_id % 5 > 1"
 
 
+def held_out_reader(spark, sf_dir):
+    """A reference set of flat records (even requests) and records that hold declarations (odd ones), read as requests and pairs."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr_number"), F.concat(F.lit("d"), "l_linenumber").alias("declaration_name"), F.when(F.col("l_linenumber") != 3, line_path()).alias("file_path"))
+    path, even = new_path(spark, "held-out"), F.col("pr_number") % 2 == 0
+    sinks.append_lines(li.where(even), path)
+    sinks.append_lines(li.where(~even).groupBy("pr_number").agg(F.collect_list(F.struct("declaration_name", "file_path")).alias("declarations")), path)
+    requests, pairs = records.held_out(spark, path)
+    none = F.lit(None).cast("string")
+    return requests.select("pr_number", none.alias("declaration"), none.alias("file_path")).unionByName(pairs.select(F.lit(None).cast("long").alias("pr_number"), F.col("declaration_name").alias("declaration"), "file_path"))
+
+
+HELD_OUT_SQL = f"""WITH l AS (SELECT l_orderkey, 'd' || l_linenumber AS declaration, {PATH_SQL} AS file_path, l_linenumber FROM lineitem)
+SELECT DISTINCT l_orderkey AS pr_number, NULL::VARCHAR AS declaration, NULL::VARCHAR AS file_path FROM l UNION ALL SELECT DISTINCT NULL::BIGINT, declaration, file_path FROM l WHERE l_linenumber <> 3"""
+
+
+def strict_records(spark, sf_dir):
+    """Landed requests, read so that a line which doesn't fit is an error, by the numbers of the benchmark."""
+    path = new_path(spark, "strict-records")
+    o = table(spark, sf_dir, "orders")
+    sinks.append_lines(o.select(F.col("o_orderkey").alias("number"), F.col("o_orderpriority").alias("title"), F.col("o_orderstatus").alias("state")), path)
+    numbers = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("long").alias("number"))
+    return records.by_number(records.strict_lines(spark, path, "metadata"), numbers, "number").select("number", "title", "state")
+
+
+STRICT_SQL = "SELECT o_orderkey AS number, o_orderpriority AS title, o_orderstatus AS state FROM orders WHERE o_orderkey IN (SELECT item_id FROM benchmark)"
+
+
 def metadata_errors(spark, sf_dir):
     """Pending requests without metadata, as errors of theirs."""
     o = table(spark, sf_dir, "orders")
@@ -255,7 +282,7 @@ QUERIES = {
     "ledger_status": ledger_status, "status_funnel": status_funnel, "pending_queues": pending_queues, "generic_queue": generic_queue, "scan_cursors": scan_cursors, "search_cursors": search_cursors, "widened_ledger": widened_ledger,
     "point_lookup": point_lookup, "request_titles": request_titles, "comment_pair_join": comment_pair_join, "rollup_nested": rollup_nested, "normalized_review_comments": normalized_review_comments,
     "normalized_issue_comments": normalized_issue_comments, "normalized_reviews": normalized_reviews, "normalized_commits": normalized_commits, "normalized_files": normalized_files,
-    "landed_metadata": landed_metadata, "journal_of_verdicts": journal_of_verdicts, "metadata_errors": metadata_errors, "anchor_choice": anchor_choice,
+    "landed_metadata": landed_metadata, "journal_of_verdicts": journal_of_verdicts, "metadata_errors": metadata_errors, "anchor_choice": anchor_choice, "held_out_reader": held_out_reader, "strict_records": strict_records,
 }
 ORACLE_SQL = {
     "ledger_status": f"WITH {STATUS_SQL} SELECT * FROM status", "status_funnel": f"WITH {STATUS_SQL} {FUNNEL_SQL}", "pending_queues": f"WITH {STATUS_SQL} " + " UNION ALL ".join(f"SELECT * FROM ({_queue_sql(q)})" for q in ledger.QUEUES),
@@ -264,5 +291,5 @@ ORACLE_SQL = {
     "normalized_issue_comments": f"SELECT conv_id AS pr, conv_id::BIGINT AS id, {AUTHOR_SQL} AS author, {BODY_SQL} AS body, {DAY_SQL} AS created_at, false AS is_bot FROM conversations",
     "normalized_reviews": f"SELECT conv_id AS pr, conv_id::BIGINT AS id, {AUTHOR_SQL} AS author, upper(role) AS state, {BODY_SQL} AS body, {DAY_SQL} AS submitted_at, false AS is_bot FROM conversations",
     "normalized_commits": COMMITS_SQL, "normalized_files": FILES_SQL,
-    "landed_metadata": LANDED_SQL, "journal_of_verdicts": JOURNAL_SQL, "metadata_errors": ERRORS_SQL, "anchor_choice": ANCHORS_SQL,
+    "landed_metadata": LANDED_SQL, "journal_of_verdicts": JOURNAL_SQL, "metadata_errors": ERRORS_SQL, "anchor_choice": ANCHORS_SQL, "held_out_reader": HELD_OUT_SQL, "strict_records": STRICT_SQL,
 }
