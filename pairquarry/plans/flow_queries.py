@@ -123,6 +123,8 @@ def select_and_emit(rows: DataFrame, folder: str, target: int = TARGET) -> DataF
     findings = hygiene.audit(audited, "pr").groupBy("pr").agg(F.count(F.lit(1)).alias("n_findings"))
     out = drawn.join(findings, "pr", "left").withColumn("n_findings", F.coalesce("n_findings", F.lit(0)))
     bundle.write({"dataset": out}, f"{folder}/emitted", "flow", "1", mode="overwrite")
+    # The commit's record is what counts; info is a copy of the sidecar for those who read plain files.
+    out.sparkSession.createDataFrame([(bundle.info(f"{folder}/emitted", "dataset"),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/info")
     return bundle.read(out.sparkSession, f"{folder}/emitted", "dataset", out.schema)
 
 
