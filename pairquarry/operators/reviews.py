@@ -77,8 +77,9 @@ def titled(rows, titles, key: str, order: list):
 
 def comments_on_pairs(comments, pairs):
     """comments(pr, path, diff_hunk, ...) by the pairs(pr, path, declaration) of their file: priority 1 if the hunk names
-    the declaration, 2 if it doesn't."""
-    named = F.contains("diff_hunk", "declaration")
+    the declaration, 2 if it doesn't or if there is no name. Each comment by each pair: where only what fits a budget is wanted, see
+    contexts.reachable_comments."""
+    named = F.contains("diff_hunk", "declaration") & (F.col("declaration") != "")
     return comments.join(pairs, ["pr", "path"]).withColumn("priority", F.when(named, 1).otherwise(2))
 
 

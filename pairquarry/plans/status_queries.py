@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pairquarry.operators import assembly, evaluation, ledger, reviews
+from pairquarry.functions import text
+from pairquarry.operators import assembly, contexts, evaluation, ledger, reviews
 from pairquarry.operators.tables import new_path
 from pairquarry.plans.record_queries import LINE_ORDER, PATH_SQL, line_path
 from pairquarry.session import table
@@ -124,10 +125,42 @@ def comment_pair_join(spark, sf_dir):
     return reviews.comments_on_pairs(comments, pairs).select("pr", "declaration", "turn", "priority")
 
 
-COMMENTS_SQL = """SELECT c.conv_id AS pr, lower(split_part(p.text, ' ', 2)) AS declaration, c.turn, CASE WHEN contains(c.text, lower(split_part(p.text, ' ', 2))) THEN 1 ELSE 2 END AS priority
+COMMENTS_SQL = """SELECT c.conv_id AS pr, lower(split_part(p.text, ' ', 2)) AS declaration, c.turn, CASE WHEN split_part(p.text, ' ', 2) <> '' AND contains(c.text, lower(split_part(p.text, ' ', 2))) THEN 1 ELSE 2 END AS priority
 FROM conversations c JOIN conversations p ON p.conv_id = c.conv_id AND p.turn < 2 AND c.turn % 3 = p.conv_id % 3"""
 
 
+CONTEXT_BUDGET = 1500
+
+
+def discussed_pairs(spark, sf_dir):
+    """Conversation turns as pairs, comments and remarks of a request: a turn's hunk is its text, and a pair is named like a word of its turn."""
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pr"), F.concat(F.lit("f"), (F.col("turn") % 3).cast("string")).alias("path"), "turn", "role", "text")
+    position = F.col("turn").cast("long").alias("position")
+    pairs = c.select(F.struct("pr", "turn").alias("pair"), "pr", "path", F.split_part("text", F.lit(" "), F.lit(3)).alias("declaration"))
+    comments = c.select("pr", "path", position, reviews.inline_text(F.col("role"), F.col("path"), F.col("turn"), F.col("text")).alias("text"), F.col("text").alias("diff_hunk"))
+    return pairs.distinct(), comments, c.where(~reviews.noise(F.col("text"))).select("pr", position, text.strip(F.col("text")).alias("text"))
+
+
+def review_contexts(spark, sf_dir):
+    """What a judge gets to read of each pair's review within the budget."""
+    made = contexts.review_contexts(*discussed_pairs(spark, sf_dir), CONTEXT_BUDGET)
+    return made.select("pair.pr", "pair.turn", "n_taken", F.length("context").cast("long").alias("n_chars"), F.sha2("context", 256).alias("context_sha"))
+
+
+CONTEXTS_SQL = rf"""WITH RECURSIVE c AS (SELECT conv_id AS pr, 'f' || turn % 3 AS path, turn, role, text, regexp_replace(text, '^[\s\x0B\x1c-\x1f\x85\p{{Z}}]+|[\s\x0B\x1c-\x1f\x85\p{{Z}}]+$', '', 'g') AS b FROM conversations),
+p AS (SELECT DISTINCT pr, turn, path, split_part(text, ' ', 3) AS declaration FROM c),
+q AS (SELECT p.pr, p.turn, CASE WHEN declaration <> '' AND contains(c.text, declaration) THEN 1 ELSE 2 END AS priority, c.turn AS place, '[Inline comment by @' || role || ' on ' || path || ':' || c.turn || '] ' || b AS t FROM p JOIN c USING (pr, path)
+      UNION ALL SELECT p.pr, p.turn, 3, c.turn, b FROM p JOIN c USING (pr) WHERE NOT (starts_with(b, 'bors') OR length(b) < 20)),
+o AS (SELECT *, row_number() OVER (PARTITION BY pr, turn ORDER BY priority, place, t) AS i FROM q),
+w AS (SELECT pr, turn, 0::BIGINT AS i, {CONTEXT_BUDGET}::BIGINT AS budget, -1 AS grp, false AS stopped, false AS over, NULL::VARCHAR AS ctx, 0::BIGINT AS n_taken FROM p
+      UNION ALL
+      SELECT pr, turn, i, CASE WHEN takes THEN budget - length(t) - 1 ELSE budget END, priority, stopped, over, CASE WHEN takes THEN coalesce(ctx || chr(10) || chr(10), '') || t ELSE ctx END, n_taken + takes::INT
+      FROM (SELECT *, NOT stopped AND NOT over AS takes FROM (SELECT w.pr, w.turn, o.i, o.priority, o.t, w.budget, w.ctx, w.n_taken, (o.priority = w.grp AND w.stopped) OR length(o.t) > w.budget AS stopped,
+              w.over OR (o.priority <> w.grp AND w.grp >= 0 AND w.budget <= 0) AS over FROM w JOIN o ON o.pr = w.pr AND o.turn = w.turn AND o.i = w.i + 1))),
+e AS (SELECT pr, turn, max(n_taken) AS n_taken, coalesce(max_by(ctx, i), '{contexts.NOTHING}') AS context FROM w GROUP BY pr, turn)
+SELECT pr, turn, n_taken, length(context) AS n_chars, sha256(context) AS context_sha FROM e"""
+
+
 def rollup_nested(spark, sf_dir):
     """One row per request with its declarations nested in order."""
     li = table(spark, sf_dir, "lineitem")
@@ -280,14 +313,14 @@ UNION ALL (SELECT l_orderkey, 'd' || l_partkey, 'comparable', l_linenumber, l_su
 
 QUERIES = {
     "ledger_status": ledger_status, "status_funnel": status_funnel, "pending_queues": pending_queues, "generic_queue": generic_queue, "scan_cursors": scan_cursors, "search_cursors": search_cursors, "widened_ledger": widened_ledger,
-    "point_lookup": point_lookup, "request_titles": request_titles, "comment_pair_join": comment_pair_join, "rollup_nested": rollup_nested, "normalized_review_comments": normalized_review_comments,
+    "point_lookup": point_lookup, "request_titles": request_titles, "comment_pair_join": comment_pair_join, "review_contexts": review_contexts, "rollup_nested": rollup_nested, "normalized_review_comments": normalized_review_comments,
     "normalized_issue_comments": normalized_issue_comments, "normalized_reviews": normalized_reviews, "normalized_commits": normalized_commits, "normalized_files": normalized_files,
     "landed_metadata": landed_metadata, "journal_of_verdicts": journal_of_verdicts, "metadata_errors": metadata_errors, "anchor_choice": anchor_choice, "held_out_reader": held_out_reader, "strict_records": strict_records,
 }
 ORACLE_SQL = {
     "ledger_status": f"WITH {STATUS_SQL} SELECT * FROM status", "status_funnel": f"WITH {STATUS_SQL} {FUNNEL_SQL}", "pending_queues": f"WITH {STATUS_SQL} " + " UNION ALL ".join(f"SELECT * FROM ({_queue_sql(q)})" for q in ledger.QUEUES),
     "generic_queue": f"WITH {STATUS_SQL} SELECT pr, error_count FROM st WHERE summarized_at IS NULL AND error_count < 3", "scan_cursors": SCANS_SQL, "search_cursors": SEARCHES_SQL, "widened_ledger": WIDENED_SQL, "point_lookup": LOOKUP_SQL,
-    "request_titles": TITLES_SQL, "comment_pair_join": COMMENTS_SQL, "rollup_nested": NESTED_SQL, "normalized_review_comments": REVIEW_COMMENTS_SQL,
+    "request_titles": TITLES_SQL, "comment_pair_join": COMMENTS_SQL, "review_contexts": CONTEXTS_SQL, "rollup_nested": NESTED_SQL, "normalized_review_comments": REVIEW_COMMENTS_SQL,
     "normalized_issue_comments": f"SELECT conv_id AS pr, conv_id::BIGINT AS id, {AUTHOR_SQL} AS author, {BODY_SQL} AS body, {DAY_SQL} AS created_at, false AS is_bot FROM conversations",
     "normalized_reviews": f"SELECT conv_id AS pr, conv_id::BIGINT AS id, {AUTHOR_SQL} AS author, upper(role) AS state, {BODY_SQL} AS body, {DAY_SQL} AS submitted_at, false AS is_bot FROM conversations",
     "normalized_commits": COMMITS_SQL, "normalized_files": FILES_SQL,
