@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairquarry.operators import mining
+from pairquarry.operators.tables import written
 
 #: Names are looked up by so many of their first characters, or by all, if they have fewer.
 HEAD = 8
@@ -59,7 +60,8 @@ def reachable_comments(pairs: DataFrame, comments: DataFrame, remarks: DataFrame
     spent = lambda *keys: F.coalesce(F.sum(cost).over(Window.partitionBy(*keys).orderBy("position", "text").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     pairs = pairs.select("pair", "pr", "path", "declaration")
     on_file = comments.select("pr", "path", "position", shown, hunk_key(F.col("diff_hunk")).alias("hunk_key")).withColumn("spent", spent("pr", "path"))
-    hits = named_hunks(comments, pairs)
+    # Read three times below.
+    hits = written(named_hunks(comments, pairs), "named-hunks")
     of_pair = pairs.join(hits, ["pr", "path", "declaration"])
     named = of_pair.join(on_file.drop("spent"), ["pr", "path", "hunk_key"]).select("pair", "position", "text")
     costs = named.groupBy("pair").agg(F.sum(cost).alias("named_cost"))
