@@ -200,11 +200,27 @@ JSON_SQL = "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events
 
 
 def body_similarity(spark, sf_dir):
-    """Similarity of a part's name and type as two bodies of one theorem; no SQL equivalent, see the tests."""
+    """Similarity of a part's name and type as two bodies of one theorem."""
     side = lambda c: F.concat(F.lit("theorem t : T := "), F.col(c))
     return table(spark, sf_dir, "part").select("p_partkey", scan.similarity(side("p_name"), side("p_type")).alias("similarity"))
 
 
+# Longest common runs of what is left before and behind the last ones, until nothing matches.
+SIMILARITY_SQL = """
+WITH RECURSIVE p AS (SELECT p_partkey AS k, trim(p_name) AS a, trim(p_type) AS b FROM part),
+starts AS (SELECT k, a, b, unnest(range(1, length(a) + 1)) AS i FROM p),
+pos AS (SELECT k, a, b, i, unnest(range(1, length(b) + 1)) AS j FROM starts),
+ext AS (SELECT k, i, j, len(list_filter(range(1, least(length(a) - i, length(b) - j) + 2), lambda n: substr(a, i, n) = substr(b, j, n))) AS n FROM pos WHERE substr(a, i, 1) = substr(b, j, 1)),
+seg AS (
+  SELECT k, 1::BIGINT AS al, length(a) + 1 AS ah, 1::BIGINT AS bl, length(b) + 1 AS bh, 0::BIGINT AS matched FROM p
+  UNION ALL
+  SELECT k, CASE WHEN side = 0 THEN al ELSE m.n - m.i END, CASE WHEN side = 0 THEN -m.i ELSE ah END, CASE WHEN side = 0 THEN bl ELSE m.n - m.j END, CASE WHEN side = 0 THEN -m.j ELSE bh END, CASE WHEN side = 0 THEN m.n ELSE 0 END
+  FROM (SELECT k, al, ah, bl, bh, max(struct_pack(n := least(n, ah - i, bh - j), i := -i, j := -j)) AS m
+        FROM seg JOIN ext USING (k) WHERE i >= al AND i < ah AND j >= bl AND j < bh GROUP BY ALL), (VALUES (0), (1)) AS sides(side))
+SELECT k AS p_partkey, 2.0::DOUBLE * sum(matched) / any_value(length(a) + length(b)) AS similarity FROM seg JOIN p USING (k) GROUP BY k
+"""
+
+
 def name_suffix_present(spark, sf_dir):
     """Whether the last part of a dotted name occurs in a text."""
     p = table(spark, sf_dir, "part").withColumn("name", F.replace(F.col("p_name"), F.lit(" "), F.lit(".")))
@@ -404,6 +420,6 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "bag_token_diff": DIFF_SQL + "SELECT * FROM diff", "meaningful_pairs": MEANINGFUL_SQL, "multiset_except": MULTISET_SQL, "duplicate_groups": DUPLICATES_SQL, "duplicate_members": MEMBERS_SQL, "stored_line_counts": STORED_SQL, "diff_declarations": DECLARATIONS_SQL, "tactic_blocks": TACTICS_SQL, "line_counts": LINES_SQL,
-    "bracket_balance": BRACKETS_SQL, "strip_comments_synth": STRIP_SQL, "block_parse_synth": BLOCKS_SQL, "diff_hunks_synth": HUNKS_SQL, "json_lenient": JSON_SQL, "name_suffix_present": SUFFIX_SQL,
+    "bracket_balance": BRACKETS_SQL, "strip_comments_synth": STRIP_SQL, "block_parse_synth": BLOCKS_SQL, "diff_hunks_synth": HUNKS_SQL, "json_lenient": JSON_SQL, "body_similarity": SIMILARITY_SQL, "name_suffix_present": SUFFIX_SQL,
     "keyword_union": KEYWORD_SQL, "base64_content": BASE64_SQL, "snapshot_align": SNAPSHOT_SQL, "anchor_lookup": ANCHOR_SQL, "greedy_pool_dedup": POOL_SQL, "pool_rejections": REJECTIONS_SQL, "hygiene_summary": HYGIENE_SQL, "hygiene_audit": AUDIT_SQL,
 }

@@ -1,4 +1,5 @@
 import difflib
+import random
 
 import pytest
 
@@ -55,6 +56,16 @@ def test_similarity_is_of_the_bodies_in_their_order():
     assert scan.body_similarity("def f :=", "def f := --") == 1.0
 
 
+@pytest.mark.parametrize("letters", ["ab", "ab⟨𝔸 ", "abcdefghij_."])
+def test_similarity_equals_a_plain_matcher(letters):
+    rng = random.Random(letters)
+    for _ in range(150):
+        a, b = ("".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(2))
+        plain = [" ".join(side.split()) for side in (a, b)]
+        wanted = difflib.SequenceMatcher(None, *plain, autojunk=False).ratio() if any(plain) else 1.0
+        assert scan.body_similarity(f"theorem t : T := {a}", f"theorem t : T := {b}") == wanted
+
+
 @pytest.mark.parametrize(
     ("line", "kind"),
     [
