@@ -1,85 +1,14 @@
-"""Scanners for Lean sources. Nesting isn't regular, so they run in Arrow UDFs, one regular-expression pass per text.
-
-The three ways of tracking depth differ on purpose: comment stripping nests and knows strings, the canonical split
-counts all brackets without a floor, and the block parser's split has a floor and skips strings and comments.
-"""
+"""What is read out of texts by Arrow UDFs: similarities of bodies, JSON amid prose."""
 
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-_OPENING = re.compile(r'"|/-|--')
-_STRING = re.compile(r'"(?:\\.|[^"\\])*+(?:"|\\?\Z)', re.S)
-_NESTED = re.compile(r"/-|-/")
-_BLANK = re.compile(r"\s+")
-_SPLIT = re.compile(r"[(\[{⟨]|[)\]}⟩]|:=|where")
-_BRACKET = re.compile(r"[(\[{⟨)\]}⟩]")
-_PARTNER = {")": "(", "]": "[", "}": "{", "⟩": "⟨"}
-
-
-def without_comments(source: str) -> str:
-    """The source without nested block comments and line comments; strings, and a stray end of comment, are kept."""
-    kept, at, size = [], 0, len(source)
-    while at < size:
-        opening = _OPENING.search(source, at)
-        begin = opening.start() if opening else size
-        kept.append(source[at:begin])
-        if not opening:
-            break
-        if opening[0] == "--":
-            at = source.find("\n", begin)
-            at = size if at < 0 else at
-        elif opening[0] == '"':
-            at = _STRING.match(source, begin).end()
-            kept.append(source[begin:at])
-        else:
-            depth, at = 1, begin + 2
-            while depth:
-                mark = _NESTED.search(source, at)
-                if not mark:
-                    return "".join(kept)
-                depth += 1 if mark[0] == "/-" else -1
-                at = mark.end()
-    return "".join(kept)
-
-
-def canonical(source: str) -> str:
-    """Comment-free source with white space squeezed: what equality of two versions is judged on."""
-    return _BLANK.sub(" ", without_comments(source)).strip()
-
-
-def _statement_end(code: str) -> int:
-    """Where the first := or whole-word where stands outside of all brackets; -1 if nowhere. Depth has no floor."""
-    depth = 0
-    for m in _SPLIT.finditer(code):
-        mark = m[0]
-        if mark in "([{⟨":
-            depth += 1
-        elif mark in ")]}⟩":
-            depth -= 1
-        elif depth == 0:
-            around = code[m.start() - 1 : m.start()] + code[m.end() : m.end() + 1]
-            if mark == ":=" or not any(c.isalnum() for c in around):
-                return m.start()
-    return -1
-
-
-def statement(source: str) -> str:
-    code = without_comments(source)
-    end = _statement_end(code)
-    return _BLANK.sub(" ", code if end < 0 else code[:end]).strip()
-
-
-def proof_body(source: str) -> str:
-    code = without_comments(source)
-    end = _statement_end(code)
-    rest = code if end < 0 else code[end:].removeprefix(":=")
-    return _BLANK.sub(" ", rest).strip()
+from pairquarry.functions import code
 
 
 def _longest_run(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
@@ -109,25 +38,14 @@ def _matched_characters(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def body_similarity(initial: str, final: str) -> float:
-    """Ratcliff-Obershelp ratio of the two bodies, in this order; 1 if both are empty. Memory grows with the longer body,
-    time with the product of both."""
-    a, b = (np.frombuffer(proof_body(side).encode("utf-32-le", "surrogatepass"), np.uint32) for side in (initial, final))
+    """Ratcliff-Obershelp ratio of two bodies, in this order; 1 if both are empty. Memory grows with the longer body, time
+    with the product of both."""
+    a, b = (np.frombuffer(side.encode("utf-32-le", "surrogatepass"), np.uint32) for side in (initial, final))
     if np.array_equal(a, b):
         return 1.0
     return 2.0 * _matched_characters(a, b) / (len(a) + len(b))
 
 
-def balanced(source: str) -> bool:
-    """Whether all brackets outside comments close in order."""
-    open_: list[str] = []
-    for m in _BRACKET.finditer(canonical(source)):
-        if m[0] not in _PARTNER:
-            open_.append(m[0])
-        elif not open_ or open_.pop() != _PARTNER[m[0]]:
-            return False
-    return not open_
-
-
 def json_object(answer: str) -> str | None:
     """The JSON object in a model's answer, fenced or amid prose, as canonical JSON; null if there is none."""
     text = (answer or "").strip()
@@ -154,33 +72,15 @@ def _column(fn, kind: str):
     return mapped
 
 
-def code_only(col):
-    return _column(canonical, "string")(col)
-
-
-def stripped(col):
-    return _column(without_comments, "string")(col)
-
-
-def signature(col):
-    return _column(statement, "string")(col)
-
-
-def body(col):
-    return _column(proof_body, "string")(col)
-
-
-def is_balanced(col):
-    return _column(balanced, "boolean")(col)
-
-
 def lenient_json(col):
     return _column(json_object, "string")(col)
 
 
 def similarity(initial, final):
+    """body_similarity of two sources' bodies."""
+
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else body_similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    return ratio(initial, final)
+    return ratio(code.body(initial), code.body(final))

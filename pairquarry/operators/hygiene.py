@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairquarry.functions import scan, text
+from pairquarry.functions import code, text
 from pairquarry.operators.evaluation import NOT_MATHEMATICS, metaprogram
 
 # The checks by name.
@@ -29,7 +29,7 @@ def audit(rows: DataFrame, key: str) -> DataFrame:
     """
     scanned = rows.select(
         "*",
-        *[f(s).alias(f"{n}_{s}") for s in ("initial", "final") for n, f in (("code", scan.code_only), ("sig", scan.signature), ("balanced", scan.is_balanced))],
+        *[f(s).alias(f"{n}_{s}") for s in ("initial", "final") for n, f in (("code", code.code_only), ("sig", code.signature), ("balanced", code.is_balanced))],
         text.last_component(F.col("declaration")).alias("short_name"),
     )
     both = ("initial", "final")
@@ -54,7 +54,7 @@ def audit(rows: DataFrame, key: str) -> DataFrame:
 
 def duplicate_groups(rows: DataFrame, key: str, side: str) -> DataFrame:
     """The rows whose side has the same canonical text, joined in order, for a bounded evaluation set; see audit() for any size."""
-    groups = rows.groupBy(scan.code_only(side).alias("code")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(key)).alias("members")).where("n > 1")
+    groups = rows.groupBy(code.code_only(side).alias("code")).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(key)).alias("members")).where("n > 1")
     return groups.select("n", F.array_join(F.col("members").cast("array<string>"), " == ").alias("members"))
 
 

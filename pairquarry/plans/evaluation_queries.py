@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pairquarry.functions import scan, text
+from pairquarry.functions import code, scan, text
 from pairquarry.operators import evaluation as ev
 from pairquarry.operators import reviews
 from pairquarry.operators.assembly import evaluation_row
@@ -65,7 +65,7 @@ def proof_texts(spark, sf_dir):
 
 def parsed_proofs(spark, sf_dir):
     """What the cascade asks of proofs; whether they are the same but for comments is found once a part."""
-    return proof_texts(spark, sf_dir).select("l_partkey", (scan.code_only("initial") == scan.code_only("final")).alias("same_code"), F.col("final").alias("final_code"))
+    return proof_texts(spark, sf_dir).select("l_partkey", (code.code_only("initial") == code.code_only("final")).alias("same_code"), F.col("final").alias("final_code"))
 
 
 def reasoned(spark, sf_dir):

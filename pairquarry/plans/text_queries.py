@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pairquarry.functions import blocks, scan, text
+from pairquarry.functions import blocks, code, scan, text
 from pairquarry.operators import evaluation, mining, reviews
 from pairquarry.operators.tables import written
 from pairquarry.session import table
@@ -126,7 +126,7 @@ def part_sources(spark, sf_dir):
 
 def strip_comments_synth(spark, sf_dir):
     s = part_sources(spark, sf_dir)
-    return s.select("p_partkey", scan.code_only("source").alias("code"), scan.signature("source").alias("signature"), scan.body("source").alias("body"), scan.is_balanced("source").alias("balanced"))
+    return s.select("p_partkey", code.code_only("source").alias("code"), code.signature("source").alias("signature"), code.body("source").alias("body"), code.is_balanced("source").alias("balanced"))
 
 
 STRIP_SQL = """

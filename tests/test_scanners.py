@@ -1,9 +1,14 @@
 import difflib
+import os
 import random
+import sys
 
+sys.path.insert(0, os.path.dirname(__file__))
+import plain_scanners as plain
 import pytest
+from pyspark.sql import functions as F
 
-from pairquarry.functions import blocks, scan
+from pairquarry.functions import blocks, code, scan
 
 
 @pytest.mark.parametrize(
@@ -20,7 +25,7 @@ from pairquarry.functions import blocks, scan
     ],
 )
 def test_comments(source, kept):
-    assert scan.without_comments(source) == kept
+    assert plain.without_comments(source) == kept
 
 
 @pytest.mark.parametrize(
@@ -34,12 +39,12 @@ def test_comments(source, kept):
     ],
 )
 def test_statement_and_body(source, statement, body):
-    assert scan.statement(source) == statement
-    assert scan.proof_body(source) == body
+    assert plain.statement(source) == statement
+    assert plain.proof_body(source) == body
 
 
 def test_balanced():
-    assert scan.balanced("(a [b] ⟨c⟩)") and not scan.balanced("(a]") and not scan.balanced("(") and scan.balanced("-- (\n")
+    assert plain.balanced("(a [b] ⟨c⟩)") and not plain.balanced("(a]") and not plain.balanced("(") and plain.balanced("-- (\n")
 
 
 @pytest.mark.parametrize(
@@ -52,8 +57,8 @@ def test_lenient_json(answer, found):
 
 def test_similarity_is_of_the_bodies_in_their_order():
     a, b = "theorem t : T := abcd xx", "theorem t : T := bcda"
-    assert scan.body_similarity(a, b) == difflib.SequenceMatcher(None, "abcd xx", "bcda", autojunk=False).ratio()
-    assert scan.body_similarity("def f :=", "def f := --") == 1.0
+    assert scan.body_similarity(plain.proof_body(a), plain.proof_body(b)) == difflib.SequenceMatcher(None, "abcd xx", "bcda", autojunk=False).ratio()
+    assert scan.body_similarity("", "") == 1.0
 
 
 @pytest.mark.parametrize("letters", ["ab", "ab⟨𝔸 ", "abcdefghij_."])
@@ -61,9 +66,7 @@ def test_similarity_equals_a_plain_matcher(letters):
     rng = random.Random(letters)
     for _ in range(150):
         a, b = ("".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(2))
-        plain = [" ".join(side.split()) for side in (a, b)]
-        wanted = difflib.SequenceMatcher(None, *plain, autojunk=False).ratio() if any(plain) else 1.0
-        assert scan.body_similarity(f"theorem t : T := {a}", f"theorem t : T := {b}") == wanted
+        assert scan.body_similarity(a, b) == (difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() if a or b else 1.0)
 
 
 @pytest.mark.parametrize(
@@ -119,4 +122,35 @@ def test_what_a_block_holds(source, found):
 
 
 def test_a_string_hides_no_split_from_the_canonical_scanner():
-    assert scan.statement('def f "a := b" := c') == 'def f "a'
+    assert plain.statement('def f "a := b" := c') == 'def f "a'
+
+
+def in_columns(spark, sources):
+    rows = spark.createDataFrame(list(enumerate(sources)), "i long, s string")
+    made = rows.select("i", code.stripped("s"), code.folded(F.col("s")), code.code_only("s"), code.signature("s"), code.body("s"), code.is_balanced("s"))
+    return [tuple(r)[1:] for r in made.orderBy("i").collect()]
+
+
+def in_python(source):
+    if source is None:
+        return (None,) * 6
+    bare = plain.without_comments(source)
+    return bare, bare, plain.canonical(source), plain.statement(source), plain.proof_body(source), plain.balanced(source)
+
+
+def test_columns_equal_the_plain_scanners(spark):
+    rng = random.Random(5)
+    pieces = ["/-", "-/", "--", "/", "-", '"', "\\", "\n", " ", "\u3000", "a", "𝔸", "😀", "2", ":=", ":", "=", "w", "where", "here", "(", ")", "[", "]", "⟨", "⟩", "{", "}"]
+    mixed = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    nested = ["".join(rng.choice(["/-", "/-", "-/", "x", "--", '"', "\n"]) for _ in range(rng.randint(10, 60))) for _ in range(1000)]
+    sources = [None, "", *mixed, *nested]
+    for source, found in zip(sources, in_columns(spark, sources), strict=True):
+        assert found == in_python(source), repr(source)
+
+
+def test_long_comments_strings_and_deep_nests_cost_no_stack(spark):
+    n = 200_000
+    sources = ["/- " + "- " * n + "-/ a := b", '"' + "\\x" * n + '" := b', "-" * n, "/-" * 300 + "x" + "-/" * 300 + " a := b", "/-" * 300, "a " * n + "( := x ) where y"]
+    rows = spark.createDataFrame(list(enumerate(sources)), "i long, s string").select("i", code.stripped("s"), code.signature("s"), code.body("s")).orderBy("i").collect()
+    for source, row in zip(sources, rows, strict=True):
+        assert tuple(row)[1:] == (plain.without_comments(source), plain.statement(source), plain.proof_body(source))
