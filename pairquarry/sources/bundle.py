@@ -3,7 +3,8 @@
 A bundle is a folder with a subfolder of JSON lines for each table and a record for each commit below `_commits`. Tasks
 write files below `_staged`; the commit moves them to their tables' folders and then puts its record, which lists all
 files that count, in its place by one rename. read() goes by the newest record, so that it sees all tables of a write or
-none; what an aborted or killed write has left is removed by its abort or by the next commit. Counts come from what
+none. What an aborted or killed write has left is removed by its abort or, where a task was still writing then, by the next
+commit: one writer at a time. Counts come from what
 the tasks say they wrote: nothing is counted a second time.
 """
 
@@ -111,7 +112,7 @@ class BundleWriter(DataSourceArrowWriter):
             "number": before["number"] + 1 if before else 0, "rows": rows, "total_rows": total, "files": files,
         }
         self._put(system, f"{folder}/{COMMITS}/{record['number']:08}.json", record)
-        self._sweep(system, folder, files)
+        self._sweep(system, folder, files, f"{folder}/{STAGED}")
 
     def _put(self, system: fs.FileSystem, place: str, record: dict) -> None:
         if system.get_file_info(place).type != fs.FileType.NotFound:
@@ -121,18 +122,18 @@ class BundleWriter(DataSourceArrowWriter):
             f.write(json.dumps(record, sort_keys=True).encode())
         system.move(f"{place}.{self.run}", place)
 
-    def _sweep(self, system: fs.FileSystem, folder: str, files: dict[str, list[str]]) -> None:
+    def _sweep(self, system: fs.FileSystem, folder: str, files: dict[str, list[str]], staged: str) -> None:
         for part in files:
             for path in entries(system, f"{folder}/{part}"):
                 if path.rpartition("/")[2] not in files[part]:
                     system.delete_file(path)
-        if system.get_file_info(f"{folder}/{STAGED}/{self.run}").type != fs.FileType.NotFound:
-            system.delete_dir(f"{folder}/{STAGED}/{self.run}")
+        if system.get_file_info(staged).type != fs.FileType.NotFound:
+            system.delete_dir(staged)
 
     def abort(self, messages: list[Wrote | None]) -> None:
         system, folder = opened(self.uri)
         last = last_commit(self.uri)
-        self._sweep(system, folder, {p: (last["files"].get(p, []) if last else []) for p in self.parts})
+        self._sweep(system, folder, {p: (last["files"].get(p, []) if last else []) for p in self.parts}, f"{folder}/{STAGED}/{self.run}")
 
 
 def write(tables: dict[str, DataFrame], path: str, name: str = "", version: str = "", mode: str = "append", now: datetime | None = None) -> dict:
