@@ -15,6 +15,7 @@ empty table gives an empty result; other columns are passed by.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from itertools import combinations
 
@@ -225,17 +226,34 @@ def similarity_sketches(docs: DataFrame, id_col: str, text_col: str, shingle: in
     return chosen.mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, text string, fp long, keys array<long>")
 
 
+def byte_bins(ordered: np.ndarray) -> bytes:
+    """How many of the different hashes in order start with each byte (255: as many or more), then a byte of the least of each."""
+    bins = (ordered >> np.uint64(56)).astype(np.int64)
+    least = (sketch(ordered) >> np.uint64(1)).astype(np.uint8)
+    return np.minimum(np.bincount(bins, minlength=BINS), 255).astype(np.uint8).tobytes() + least.tobytes()
+
+
+def sure_differences(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """A number of hashes that the set of bins `one` and each of the others certainly don't share: in each bin the
+    difference of the counts; where these are equal but the least hashes aren't, one on each side."""
+    count, least = one[:BINS].astype(np.int16), one[BINS:]
+    apart = np.abs(others[:, :BINS] - count)
+    swapped = (apart == 0) & (others[:, BINS:] != least)
+    return apart.sum(axis=1, dtype=np.int64) + swapped @ np.where(count < 255, 2, 1)
+
+
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """docs(doc_id, text, fp) with the sorted hashes of the different shingles instead of the text."""
+    """docs(doc_id, text, fp) with the sorted hashes of the different shingles, and their byte_bins, instead of the text."""
 
     def run(batches):
         for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
+            sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(1)]
             ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
-            flat = pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "fp", "shingles"])
+            flat = pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))
+            bins = pa.array([byte_bins(x) for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(ends, flat), bins], names=["doc_id", "fp", "shingles", "bins"])
 
-    return docs.select("doc_id", "text", "fp").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, shingles array<long>")
+    return docs.select("doc_id", "text", "fp").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, shingles array<long>, bins binary")
 
 
 def exact_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -307,22 +325,84 @@ def joining_links(fps: np.ndarray, sets: list[np.ndarray], component: np.ndarray
                     yield i, k
 
 
+def possible_links(fps: np.ndarray, sizes: np.ndarray, bins: np.ndarray, component: np.ndarray, similarity: float, radius: int):
+    """Pairs (i, j) of rows in order of size that neither their sizes, nor the pivot table, nor their bins rule out, and that
+    join two components not joined before."""
+    table = pivot_table(fps, pivot_fingerprints(PIVOTS))
+    names, number = np.unique(component, return_inverse=True)
+    root = np.arange(len(names))
+    # Sets of sizes m and n with the similarity differ by (m + n) * share at most.
+    share, end = (1 - similarity) / (1 + similarity), np.searchsorted(sizes, sizes / similarity + 1e-6, "right")
+    for i in range(len(sizes) - 1):
+        while (root != root[root]).any():
+            root = root[root]
+        j = np.arange(i + 1, end[i])
+        j = j[root[number[j]] != root[number[i]]]
+        for p in range(0, table.shape[1], 8):
+            if not len(j):
+                break
+            j = j[(np.abs(table[j, p : p + 8] - table[i, p : p + 8]) <= radius).all(axis=1)]
+        j = j[np.bitwise_count(fps[j] ^ fps[i]) <= radius]
+        if len(j):
+            j = j[sure_differences(bins[i], bins[j]) <= (sizes[i] + sizes[j]) * share + 1e-6]
+            for k in j.tolist():
+                a, b = root[number[i]], root[number[k]]
+                if a != b:
+                    root[root == max(a, b)] = min(a, b)
+                    yield i, k
+
+
+def families(opened: DataFrame, held: DataFrame, similarity: float, radius: int, chunk: int) -> DataFrame:
+    """(component, family): components with documents that share a key and may be similar. Sharing a key by chance makes no
+    family, so that families don't grow with the corpus.
+
+    A row is a document's fingerprint, size and bins, never its shingles. Keys of over `chunk` documents are cut by size,
+    each document meeting those of its own step and the next, and what is still larger a chunk by a chunk.
+    """
+    kind = held.schema["doc_id"].dataType.simpleString()
+    step = math.log(1 / similarity) * (1 + 1e-9)  # sizes of similar documents are at most a step apart
+    many = materialize(opened.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "similar-crowds")
+    small = held.select("doc_id", "fp", F.size("shingles").alias("size"), "bins")
+    rows = materialize(opened.select("key", "doc_id", "component").join(many, "key").withColumn("crowded", F.col("n") > chunk).drop("n"), "similar-asked").join(small, "doc_id")
+    own = F.floor(F.log("size") / step).cast("int")
+    sized = rows.withColumn("step", F.explode(F.when(F.col("crowded"), F.array(own, own + 1)).otherwise(F.array(F.lit(0)))))
+    asked = opened.select("key", "doc_id").join(held.select("doc_id", F.size("shingles").alias("size")), "doc_id").join(many.where(F.col("n") > chunk).select("key"), "key", "left_semi")
+    steps = asked.select("key", F.explode(F.array(own, own + 1)).alias("step")).groupBy("key", "step").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))
+    cut = sized.join(materialize(steps, "similar-steps"), ["key", "step"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    mine = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
+    blocks = cut.withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    keys = ["key", "step", "i", "j"]
+    grouped = blocks.select(*keys, "size", "component", "fp", "bins").repartition(*keys).sortWithinPartitions(*keys, "size")
+
+    def run(batches):
+        for frame in whole_groups(batches, keys):
+            fps, sizes, component, a, b = frame["fp"].to_numpy().view(np.uint64), frame["size"].to_numpy(), frame["component"].to_numpy(), [], []
+            bins = np.frombuffer(b"".join(frame["bins"]), np.uint8).reshape(-1, 2 * BINS)
+            for x, y in group_edges(frame, keys):
+                for m, n in possible_links(fps[x:y], sizes[x:y], bins[x:y], component[x:y], similarity, radius):
+                    a.append(component[x + m])
+                    b.append(component[x + n])
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": pd.Series(a, dtype=component.dtype), "b": pd.Series(b, dtype=component.dtype)}), preserve_index=False)
+
+    found = materialize(grouped.mapInArrow(run, f"a {kind}, b {kind}"), "possible-links")
+    return connected_components(found).select(F.col("node").alias("component"), F.col("component").alias("family"))
+
+
 def family_links(shared: DataFrame, held: DataFrame, components: DataFrame, similarity: float, radius: int, chunk: int) -> DataFrame:
     """(a, b): links that join the components of all similar documents that share a key.
 
-    Keys whose documents are one component are done. Documents connected by the other keys are a family; its documents
-    outside of its largest component are compared with all of it, a chunk of these and a chunk of those at a time, by
+    Keys whose documents are one component are done. Components connected by possibly similar documents of the other
+    keys are a family; its documents outside of its largest component are compared with all of it, a chunk of these and a chunk of those at a time, by
     their pivot tables and then their whole shingle sets. A task gives links that join two components, of which there
     are fewer than components, and never all similar pairs.
     """
     kind = held.schema["doc_id"].dataType.simpleString()
     placed = shared.select("doc_id", "key").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     placed = materialize(placed.withColumn("component", F.coalesce("component", "doc_id")), "similar-placed")
-    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("doc_id").alias("least")).where("low < high").select("key", "least")
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     opened = materialize(placed.join(materialize(several, "similar-open"), "key"), "similar-opened")
-    named = connected_components(opened.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-    members = named.join(opened.select("doc_id", "component").distinct(), "doc_id")
-    rows = materialize(held.join(members, "doc_id").withColumn("size", F.size("shingles")), "similar-members")
+    members = opened.select("doc_id", "component").distinct().join(families(opened, held, similarity, radius, chunk), "component")
+    rows = materialize(held.drop("bins").join(members, "doc_id").withColumn("size", F.size("shingles")), "similar-members")
     counts = rows.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
     largest = counts.groupBy("family").agg(F.max(F.struct("n", "component", "shingles")).alias("top"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"))
     parts = lambda n, m: F.greatest(F.ceil(n / chunk), F.ceil(m / CHUNK_SHINGLES), F.lit(1)).cast("int")
