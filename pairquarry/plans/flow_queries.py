@@ -229,7 +229,7 @@ def cursor_scan(spark, sf_dir):
     # Pages by key range, so that each is written by one task.
     keyed = o.select(one.alias("value"), (F.col("o_orderkey") / (4 * PAGE)).cast("long").alias("page"))
     keyed.repartition("page").write.partitionBy("page").text(path)
-    options = {"transport": "pairquarry.sources.replay:chain", "resource": path}
+    options = {"transport": "pairquarry.sources.replay:chain", "following": "pairquarry.sources.replay:following", "resource": path}
     cursor.scan(spark, f"{path}-rows", f"{path}-state", **options, limit=str(3 * PAGE))
     cursor.scan(spark, f"{path}-rows", f"{path}-state", **options)
     found = spark.read.schema("cursor string, place int, record string").parquet(f"{path}-rows")
