@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairquarry.functions import text
 
@@ -11,27 +15,44 @@ from pairquarry.functions import text
 MIN_CHANGED, MIN_SHARE = 3, 0.05
 
 
+#: Pairs whose tokens are counted at once; memory only.
+SLICE = 256
+
+
+def balances(one: pa.ListArray, other: pa.ListArray) -> list[np.ndarray]:
+    """n_initial, n_final, added and removed of each pair of token lists: equal tokens of a pair are one number, and the
+    sorted numbers are counted by their runs."""
+    n = len(one)
+    sizes = [pc.list_value_length(side).to_numpy(zero_copy_only=False).astype(np.int64) for side in (one, other)]
+    codes = pa.concat_arrays([one.flatten(), other.flatten()]).dictionary_encode()
+    row = np.concatenate([np.repeat(np.arange(n), s) for s in sizes])
+    keys = row * max(1, len(codes.dictionary)) + codes.indices.to_numpy(zero_copy_only=False)
+    # The side is the lowest bit, so that a run's sum tells how its tokens are shared.
+    keys = np.sort(2 * keys + (np.arange(len(keys)) >= sizes[0].sum()))
+    token, sign = keys >> 1, 2 * (keys & 1) - 1
+    start = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(keys) else np.zeros(0, np.int64)
+    net = np.add.reduceat(sign, start) if len(keys) else sign
+    owner = token[start] // max(1, len(codes.dictionary))
+    total = lambda x: np.bincount(owner, weights=x, minlength=n).astype(np.int64)
+    return [*sizes, total(np.maximum(net, 0)), total(np.maximum(-net, 0))]
+
+
 def bag_diff(pairs: DataFrame, key: str, initial: str, final: str, *carried: str) -> DataFrame:
     """key, carried columns, n_initial, n_final, added, removed: tokens that one side has more often, as multisets, order apart.
 
-    Both sides' tokens are sorted as one list, in which equal tokens lie together, and one pass sums their balance: all
-    in the pair's own row, without a shuffle. A null side has no tokens.
+    Tokens are numbered and their balance is summed for many pairs at once, without a shuffle. A null side has no tokens.
     """
     none = F.array().cast("array<string>")
     split = pairs.select(key, *carried, F.coalesce(text.tokens(F.col(initial)), none).alias("one"), F.coalesce(text.tokens(F.col(final)), none).alias("other"))
-    signed = lambda tokens, sign: F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(sign).alias("sign")))
-    marks = F.sort_array(F.concat(signed("one", -1), signed("other", 1)))
-    each = split.select(key, *carried, F.size("one").cast("long").alias("n_initial"), F.size("other").cast("long").alias("n_final"), marks.alias("marks"))
-    start = F.struct(F.lit("").alias("token"), F.lit(0).alias("net"), F.lit(0).alias("added"), F.lit(0).alias("removed"))
-
-    def step(s, m):
-        # A new token closes the balance of the one before.
-        same = m["token"] == s["token"]
-        closed = F.struct(m["token"].alias("token"), m["sign"].alias("net"), (s["added"] + F.greatest(s["net"], F.lit(0))).alias("added"), (s["removed"] - F.least(s["net"], F.lit(0))).alias("removed"))
-        return F.when(same, F.struct(m["token"].alias("token"), (s["net"] + m["sign"]).alias("net"), s["added"].alias("added"), s["removed"].alias("removed"))).otherwise(closed)
-
-    ended = lambda s: F.struct((s["added"] + F.greatest(s["net"], F.lit(0))).cast("long").alias("added"), (s["removed"] - F.least(s["net"], F.lit(0))).cast("long").alias("removed"))
-    return each.select(key, *carried, "n_initial", "n_final", F.aggregate("marks", start, step, ended).alias("d")).select(key, *carried, "n_initial", "n_final", "d.*")
+    kept, counts = [key, *carried], ["n_initial", "n_final", "added", "removed"]
+
+    def run(batches):
+        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+            found = balances(batch.column(len(kept)), batch.column(len(kept) + 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *map(pa.array, found)], names=[*kept, *counts])
+
+    schema = T.StructType([*split.select(*kept).schema.fields, *(T.StructField(c, T.LongType()) for c in counts)])
+    return split.mapInArrow(run, schema)
 
 
 def migration_only(initial: Column, final: Column) -> Column:
