@@ -126,33 +126,26 @@ def tactics_only(blocks: DataFrame) -> DataFrame:
 
 # A hunk's header, and a declaration's name in a line of a hunk.
 HUNK = r"^@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@"
-DECLARED = r"(?:theorem|lemma|def|instance)\s+([\p{L}\p{N}_][\p{L}\p{N}_'.]*)"
+DECLARED = r"(?:theorem|lemma|def|instance)[ \t\x0B\f\r]+([\p{L}\p{N}_][\p{L}\p{N}_'.]*)"
 
 
 def hunks_of(diffs: DataFrame, diff_col: str, key: str) -> DataFrame:
     """One row per hunk: key, hunk (from 1), starts and counts, old, new and context lines, and the declaration named.
 
-    Context lines name the declaration before old and new lines do. Lines before the first header belong to no hunk.
+    Context lines name the declaration before old and new lines do. Lines before the first header belong to no hunk. A diff
+    is cut before its headers, and a hunk's lines are found by their signs: no line is gone through by a function.
     """
-    lines = F.split(F.col(diff_col), "\n", -1)
-    marked = F.transform(lines, lambda line, i: F.struct(i.alias("n"), line.alias("line"), line.rlike(HUNK).alias("head")))
-    # A hunk's lines lie between its header and the next one's.
-    heads = F.filter(marked, lambda x: x["head"])
-    spans = F.transform(
-        heads,
-        lambda h, i: F.struct(
-            (i + 1).alias("hunk"),
-            h["line"].alias("header"),
-            F.slice(lines, h["n"] + 2, F.greatest(F.coalesce(F.get(heads, i + 1)["n"], F.size(lines)) - h["n"] - 1, F.lit(0))).alias("lines"),
-        ),
-    )
-    cut = diffs.select(key, F.explode(spans).alias("h")).select(key, "h.*")
-    number = lambda g: F.regexp_extract("header", HUNK, g)
+    diff = F.col(diff_col)
+    pieces = F.split(diff, rf"\n(?={HUNK[1:]})", -1)
+    cut = diffs.select(key, diff.rlike(HUNK).cast("int").alias("headed"), F.posexplode(pieces).alias("at", "piece"))
+    # What precedes the first header is the first piece, unless the diff begins with a header.
+    cut = cut.select(key, (F.col("at") + F.col("headed")).alias("hunk"), "piece").where("hunk > 0")
+    number = lambda g: F.regexp_extract("piece", HUNK, g)
     count = lambda g: F.when(number(g) == "", 1).otherwise(number(g).cast("int"))
-    rest = lambda signs: F.transform(F.filter("lines", lambda x: F.substring(x, 1, 1).isin(*signs)), lambda x: F.substring(x, 2, 2**31 - 1))
-    split = cut.select(key, "hunk", number(1).cast("int").alias("old_start"), count(2).alias("old_count"), number(3).cast("int").alias("new_start"), count(4).alias("new_count"), rest("- ").alias("old_lines"), rest("+ ").alias("new_lines"), rest(" ").alias("context_lines"))
-    named = lambda ls: F.element_at(F.filter(F.transform(ls, lambda x: F.regexp_extract(x, DECLARED, 1)), lambda x: x != ""), 1)
-    first = lambda ls: F.when(F.exists(ls, lambda x: x.rlike(DECLARED)), named(ls))
+    rest = lambda signs: F.regexp_extract_all("piece", F.lit(rf"\n[{signs}]([^\n]*)"), F.lit(1))
+    split = cut.select(key, "hunk", number(1).cast("int").alias("old_start"), count(2).alias("old_count"), number(3).cast("int").alias("new_start"), count(4).alias("new_count"), rest(" \\-").alias("old_lines"), rest(" +").alias("new_lines"), rest(" ").alias("context_lines"))
+    # Names don't reach over the ends of lines, so that the first in the joined lines is that of the first line with one.
+    first = lambda ls: F.nullif(F.regexp_extract(F.array_join(ls, "\n"), DECLARED, 1), F.lit(""))
     return split.withColumn("declaration", F.coalesce(first(F.col("context_lines")), first(F.concat("old_lines", "new_lines"))))
 
 
