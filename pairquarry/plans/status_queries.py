@@ -9,7 +9,7 @@ from pairquarry.functions import text
 from pairquarry.operators import assembly, contexts, evaluation, ledger, reviews
 from pairquarry.operators.tables import new_path
 from pairquarry.plans.record_queries import LINE_ORDER, PATH_SQL, line_path
-from pairquarry.session import table
+from pairquarry.session import dealt, table
 from pairquarry.sources import normalize, records, sinks
 
 STATUS_SQL = """
@@ -288,9 +288,12 @@ STRICT_SQL = "SELECT o_orderkey AS number, o_orderpriority AS title, o_orderstat
 
 def metadata_errors(spark, sf_dir):
     """Pending requests without metadata, as errors of theirs."""
-    o = table(spark, sf_dir, "orders")
-    pending = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr")).distinct()
-    ready, errors = assembly.pending_metadata(pending, o.where("o_orderkey % 6 <> 0").select(F.col("o_orderkey").alias("pr"), F.col("o_orderpriority").alias("title")))
+    lines = table(spark, sf_dir, "lineitem")
+    # Keys take few bytes, so that tasks by bytes would grow with the input; these are by what is read.
+    tasks = 4 * lines.rdd.getNumPartitions()
+    pending = dealt(lines.select(F.col("l_orderkey").alias("pr")), "pr", tasks=tasks).distinct()
+    metadata = table(spark, sf_dir, "orders").where("o_orderkey % 6 <> 0").select(F.col("o_orderkey").alias("pr"), F.col("o_orderpriority").alias("title"))
+    ready, errors = assembly.pending_metadata(pending, dealt(metadata, "pr", tasks=tasks))
     return ready.select("pr", "title", F.lit(None).cast("string").alias("error")).unionByName(errors.select("pr", F.lit(None).cast("string").alias("title"), "error"))
 
 

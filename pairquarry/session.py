@@ -26,8 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
+def dealt(df: DataFrame, *keys: str, tasks: int = 0) -> DataFrame:
     """df's rows dealt out by key before work that is heavy for a row: a small file is one task, however long its rows take. The
-    number of tasks is fixed, as few bytes would be put together again."""
+    number of tasks (of at least `tasks`) is fixed, as few bytes would be put together again, however many rows they are."""
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *keys)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism, tasks), *keys)
