@@ -43,9 +43,20 @@ class AnswerStore:
 
     def __init__(self, uri: str):
         self.uri = uri
+        #: What a process opened, and the folders that it has made.
+        self._opened: tuple[fs.FileSystem, str] | None = None
+        self._made: set[str] = set()
+
+    def __getstate__(self) -> dict:
+        return {"uri": self.uri}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(state["uri"])
 
     def _place(self, digest: str) -> tuple[fs.FileSystem, str]:
-        system, folder = fs.FileSystem.from_uri(self.uri) if "://" in self.uri or self.uri.startswith("file:") else (fs.LocalFileSystem(), self.uri)
+        if self._opened is None:
+            self._opened = fs.FileSystem.from_uri(self.uri) if "://" in self.uri or self.uri.startswith("file:") else (fs.LocalFileSystem(), self.uri)
+        system, folder = self._opened
         return system, f"{folder}/{digest[:2]}/{digest}"
 
     def get(self, digest: str) -> Reply | None:
@@ -58,7 +69,9 @@ class AnswerStore:
     def put(self, digest: str, reply: Reply) -> None:
         """Whole or not at all: written beside its place, then renamed."""
         system, path = self._place(digest)
-        system.create_dir(path.rpartition("/")[0], recursive=True)
+        if (folder := path.rpartition("/")[0]) not in self._made:
+            system.create_dir(folder, recursive=True)
+            self._made.add(folder)
         beside = f"{path}.{uuid.uuid4().hex}.part"
         with system.open_output_stream(beside) as f:
             f.write(json.dumps(list(reply)).encode())

@@ -17,7 +17,7 @@ from pairquarry.operators.phases import Phase, PhaseStore, run_phases
 from pairquarry.operators.tables import new_path, written
 from pairquarry.plans.status_queries import STATUS_SQL, status_events
 from pairquarry.plans.text_queries import TOKEN_SQL
-from pairquarry.session import table
+from pairquarry.session import dealt, table
 from pairquarry.sources import bundle, cursor, records, sinks
 
 TARGET, HIGH_CHANGE, FILE = 50, 6, "Mathlib/A.lean"
@@ -29,7 +29,7 @@ def land(spark, sf_dir, root: str) -> None:
     """Metadata and contexts of conversations as JSON lines, as a host's answers are landed. Every eleventh has no context."""
     day = F.make_date(2019 + F.col("pr") % 5, 1 + F.col("pr") % 12, F.lit(1))
     stamp = lambda d: F.date_format(d.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pr"), "turn", "role", F.lower(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]+", " "))).alias("words"))
+    c = dealt(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(F.col("conv_id").alias("pr"), "turn", "role", F.lower(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]+", " "))).alias("words"))
     meta = c.groupBy("pr").agg(F.count(F.lit(1)).alias("comment_count"), F.count_if(F.col("role") == "user").alias("review_count"))
     sinks.append_lines(
         meta.select(F.col("pr").alias("number"), F.concat(F.lit("[Merged by Bors] - Request "), "pr").alias("title"), F.lit("CLOSED").alias("state"), stamp(day).alias("created_at"), stamp(F.date_add(day, (F.col("pr") % 9).cast("int"))).alias("closed_at"), "comment_count", "review_count"),
